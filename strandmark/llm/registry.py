@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from . import records
+from . import lines, records, simhash
 
 QUERIES = {
+    "op2_line_dedup": lines.op2_line_dedup,
+    "op8_simhash": simhash.op8_simhash,
     "op10_token_records": records.op10_token_records,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_line_dedup": lines.SQL,
+}
