@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import lines, records, simhash
+from . import lines, packing, records, simhash
 
 QUERIES = {
+    "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op2_line_dedup": lines.op2_line_dedup,
     "op8_simhash": simhash.op8_simhash,
     "op10_token_records": records.op10_token_records,
