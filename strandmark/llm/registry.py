@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import lines, packing, records, simhash
+from . import langid, lines, packing, records, simhash, toxicity
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op2_line_dedup": lines.op2_line_dedup,
+    "op5_toxicity": toxicity.op5_toxicity,
+    "op6_language_id": langid.op6_language_id,
     "op8_simhash": simhash.op8_simhash,
     "op10_token_records": records.op10_token_records,
 }
