@@ -121,7 +121,7 @@ def pieces(docs: DataFrame, capacity: int, tokenizer: str, drops_space: bool, en
         tool, seen = tokens.encoder(tokenizer, drops_space), np.zeros(capacity + 1, np.int64)
         part = TaskContext.get().partitionId()
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts = batch.column(1)
             for i, j in tokens.slices(texts):
                 flat, at = tool.encode(texts[i:j])
                 owner, piece, start, length, crc, rank, raw = [], [], [], [], [], [], []

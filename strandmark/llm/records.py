@@ -151,7 +151,7 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, drops_space: bool,
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = tokens.encoder(tokenizer, drops_space)
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            keys, texts = batch.column(0).to_pylist(), batch.column(1)
             if None in keys:
                 raise ValueError("a document without a key can't be ordered")
             for i, j in tokens.slices(texts):
@@ -206,8 +206,8 @@ def with_starts(records: DataFrame) -> DataFrame:
 
 
 def write_index(records: DataFrame, path: str) -> None:
-    """The offset index for shuffled reads: where each record lies, beside the data."""
-    with_starts(records.drop("ids")).select("key", "file", "offset", "length", "n_ids", "ids_crc32", "start").write.parquet(path)
+    """The offset index for shuffled reads: where each record lies, beside the data. The files are read once."""
+    with_starts(base.written(records.drop("ids"), "offsets")).select("key", "file", "offset", "length", "n_ids", "ids_crc32", "start").write.parquet(path)
 
 
 def read_at(spark, path: str, index: DataFrame, id_bytes: int = 2) -> DataFrame:

@@ -1,27 +1,33 @@
-"""Whole-text encoding with the tokenizers library, each distinct blank-separated segment only once.
+"""Whole-text encoding with the tokenizers library, each distinct blank-separated piece only once.
 
 Pre-tokenizers of both kinds of public files never join text across certain blanks, so a text's ids are the ids
-of its segments in a row:
+of its pieces in a row:
 
 * ``drops_space`` (word-end BPE): white space only separates words, so a text is cut at blanks and line feeds;
-* otherwise (byte-level BPE): a word takes the one blank before it, so a text is cut in front of each blank;
-  a text in which a blank stands beside other white space is encoded in one piece instead.
+* otherwise (byte-level BPE): a word takes the one blank before it, so a text is cut at each blank and a piece
+  stands for itself and that blank. A text in which a blank stands beside other white space is encoded whole.
 
-Texts with the opening characters of a special token are encoded in one piece too. Ids equal those of
+A comma or full stop between a letter or digit and a blank is a piece of its own. Texts with the opening characters
+of a special token, or where a rule above doesn't hold, are encoded whole. Cutting and finding the distinct pieces is
+Arrow's work. New pieces go through the library as one long text; a piece's ids are found by the bytes that each id
+stands for, and if those don't meet the pieces' ends, piece by piece. Ids equal those of
 ``Tokenizer.encode(text, add_special_tokens=False)``.
 """
 
 from __future__ import annotations
 
-import re
-from itertools import chain
+import os
+import unicodedata
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Distinct segments kept per worker; then the table starts anew.
-CACHE_SEGMENTS = 400_000
-_BESIDE = re.compile(r" \s|\s ")
+#: Distinct pieces kept per worker; beyond, those seen most often stay.
+CACHE_PIECES = 300_000
+#: Marks in front of a text, and for a comma and a full stop before a blank.
+FIRST, COMMA, STOP = "\0", "\1", "\2"
 
 
 class _Grown:
@@ -40,47 +46,133 @@ class _Grown:
         self.size = need
 
 
+def _ids(encoding) -> np.ndarray:
+    return np.array(encoding.ids, np.uint32)
+
+
 class Encoder:
     def __init__(self, path: str, drops_space: bool) -> None:
         from tokenizers import Tokenizer
 
         self.library, self.drops_space = Tokenizer.from_file(path), drops_space
+        vocab = self.library.get_vocab()
+        self.id_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
+        for token, i in vocab.items():
+            self.id_bytes[i] = len(token.removesuffix("</w>") if drops_space else token)
         self._clear()
 
     def _clear(self) -> None:
         self.code: dict[str, int] = {}
-        self.ids, self.starts, self.lengths = _Grown(np.uint32), _Grown(np.int64), _Grown(np.int64)
-
-    def _segments(self, text: str) -> list[str]:
-        if "<|" in text or "\0" in text:
-            return [text]
+        self.ids, self.starts, self.lengths = _Grown(np.uint32), _Grown(np.int64), _Grown(np.int32)
+        self.alone, self.open, self.seen = _Grown(bool), _Grown(bool), _Grown(np.int32)
+        for mark, text in ((COMMA, ","), (STOP, ".")):
+            self._add([mark], [_ids(self.library.encode(text, add_special_tokens=False))], False)
+
+    def _add(self, pieces: list[str], ids: list[np.ndarray], alone: bool, lengths: np.ndarray | None = None) -> None:
+        """ids: of each piece, or of all in a row with their lengths."""
+        if not pieces:
+            return
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) if lengths is None else lengths
+        self.starts.extend(self.ids.size + np.cumsum(lengths) - lengths)
+        self.ids.extend(np.concatenate(ids))
+        self.lengths.extend(lengths)
+        self.alone.extend(np.full(len(pieces), alone))
+        self.open.extend(np.fromiter((not p[-1:].isalnum() for p in pieces), bool, len(pieces)))
+        self.seen.extend(np.zeros(len(pieces), np.int32))
+        base = len(self.code)
+        self.code.update(zip(pieces, range(base, base + len(pieces))))
+
+    def _shrink(self) -> None:
+        """Keeps the more frequent half, in old order."""
+        n = len(self.code)
+        seen = self.seen.data[:n].copy()
+        seen[:2] = np.iinfo(np.int32).max
+        keep = np.sort(np.argpartition(-seen, CACHE_PIECES // 2)[: CACHE_PIECES // 2])
+        names = list(self.code)
+        starts, lengths = self.starts.data[keep], self.lengths.data[keep].astype(np.int64)
+        ends = np.cumsum(lengths)
+        ids = self.ids.data[np.repeat(starts - (ends - lengths), lengths) + np.arange(int(ends[-1]))]
+        alone, opened = self.alone.data[keep], self.open.data[keep]
+        self.code = {names[k]: i for i, k in enumerate(keep)}
+        self.ids, self.starts, self.lengths = _Grown(np.uint32), _Grown(np.int64), _Grown(np.int32)
+        self.alone, self.open, self.seen = _Grown(bool), _Grown(bool), _Grown(np.int32)
+        for grown, values in ((self.ids, ids), (self.starts, ends - lengths), (self.lengths, lengths), (self.alone, alone), (self.open, opened), (self.seen, seen[keep] // 2)):
+            grown.extend(values)
+
+    def _alone(self, piece: str) -> bool:
+        """Whether texts with this piece must be encoded whole."""
+        own = piece[1:] if piece[:1] == FIRST else piece
+        if "<|" in own or FIRST in own or COMMA in own or STOP in own:
+            return True
         if self.drops_space:
-            return text.replace("\n", " ").split(" ")
-        return [text] if _BESIDE.search(text) else text.replace(" ", "\0 ").split("\0")
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+            return False
+        return own == "" or own[0].isspace() or own[-1].isspace()
+
+    def _size(self, piece: str) -> int:
+        """Bytes that the piece's ids stand for."""
+        if not self.drops_space:
+            return len(piece.encode()) + 1
+        if not piece.isascii():
+            piece = unicodedata.normalize("NFC", piece).lower()
+        return len("".join(piece.split()).encode())
+
+    def _many(self, texts: list[str]) -> list[np.ndarray]:
+        return [_ids(e) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> None:
+        alone = [self._alone(p) for p in new]
+        plain = [p for p, x in zip(new, alone) if not x and p[:1] != FIRST]
+        first = [p for p, x in zip(new, alone) if not x and p[:1] == FIRST]
+        odd = [p for p, x in zip(new, alone) if x]
+        if plain:
+            blank = "" if self.drops_space else " "
+            flat = self._many([blank + " ".join(plain)])[0]
+            ends = np.concatenate(([0], np.cumsum(self.id_bytes[flat])))
+            want = np.cumsum(np.fromiter(map(self._size, plain), np.int64, len(plain)))
+            at = np.searchsorted(ends, want)
+            if at[-1] == len(flat) and np.array_equal(ends[at], want):
+                self._add(plain, [flat], False, np.diff(at, prepend=0))
+            else:
+                self._add(plain, self._many([blank + p for p in plain]), False)
+        self._add(first, self._many([p[1:] for p in first]), False)
+        self._add(odd, [np.zeros(0, np.uint32)] * len(odd), True)
+
+    def encode(self, texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's begin (one more entry than texts). Null is empty."""
-        if len(self.code) > CACHE_SEGMENTS:
-            self._clear()
-        cut = [self._segments(t) if t else [] for t in texts]
-        segments = list(chain.from_iterable(cut))
-        new = list(set(segments).difference(self.code))
+        if len(self.code) > CACHE_PIECES:
+            self._shrink()
+        texts = pc.fill_null(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, "")
+        cut = pc.replace_substring(texts, "\n", " ") if self.drops_space else pc.binary_join_element_wise(FIRST, texts, "")
+        for mark, text in ((COMMA, ", "), (STOP, ". ")):
+            cut = pc.replace_substring(cut, text, f" {mark} ")
+        cut = pc.split_pattern(cut, " ")
+        bounds = cut.offsets.to_numpy().astype(np.int64)
+        pieces = cut.flatten().dictionary_encode()
+        bounds -= bounds[0] if len(bounds) else 0
+        distinct = pieces.dictionary.to_pylist()
+        new = [p for p in distinct if p not in self.code]
         if new:
-            at = self.ids.size
-            lists = [e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-            self.ids.extend(np.fromiter(chain.from_iterable(lists), np.uint32, int(lengths.sum())))
-            self.starts.extend(at + np.cumsum(lengths) - lengths)
-            self.lengths.extend(lengths)
-            base = len(self.code)
-            self.code.update(zip(new, range(base, base + len(new))))
-        codes = np.fromiter(map(self.code.__getitem__, segments), np.int64, len(segments))
+            self._learn(new)
+        known = np.fromiter(map(self.code.__getitem__, distinct), np.int32, len(distinct))
+        codes = known[pieces.indices.to_numpy()]
+        self.seen.data[: self.seen.size] += np.bincount(codes, minlength=self.seen.size).astype(np.int32)
         lengths = self.lengths.data[codes]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        flat = self.ids.data[np.repeat(self.starts.data[codes] - (ends - lengths), lengths) + np.arange(total)]
-        counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        return flat, np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
+        ends = np.cumsum(lengths, dtype=np.int64)
+        flat = np.repeat((self.starts.data[codes] - (ends - lengths)).astype(np.int32), lengths)
+        flat += np.arange(len(flat), dtype=np.int32)
+        flat = self.ids.data[flat]
+        at = np.concatenate(([0], ends))[bounds]
+        wrong = self.alone.data[codes]
+        wrong[1:] |= (codes[1:] < 2) & self.open.data[codes[:-1]]
+        empty = pc.equal(texts, "").to_numpy(zero_copy_only=False)
+        marked = pc.or_(pc.match_substring(texts, COMMA), pc.match_substring(texts, STOP)).to_numpy(zero_copy_only=False)
+        whole = np.flatnonzero(((np.diff(np.concatenate(([0], np.cumsum(wrong)))[bounds]) > 0) | marked) & ~empty)
+        if len(whole):
+            parts = [flat[a:b] for a, b in zip(at, at[1:])]
+            for k, ids in zip(whole, self._many(texts.take(pa.array(whole)).to_pylist())):
+                parts[k] = ids
+            flat, at = np.concatenate(parts), np.concatenate(([0], np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))))
+        return flat, at
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
@@ -88,22 +180,20 @@ _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 def encoder(name: str, drops_space: bool) -> Encoder:
     """This worker's encoder for a public tokenizer file; it lives as long as the worker."""
-    import os
-
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     key = (public_tokenizers.path(name), drops_space)
     if key not in _ENCODERS:
+        _ENCODERS.clear()
         _ENCODERS[key] = Encoder(*key)
     return _ENCODERS[key]
 
 
-def slices(texts: list[str | None], most: int = 4_000_000):
-    """(first, last) of runs of texts with about ``most`` characters at most (a longer text stands alone)."""
-    first, size = 0, 0
-    for k, t in enumerate(texts):
-        if size and size + len(t or "") > most:
-            yield first, k
-            first, size = k, 0
-        size += len(t or "")
-    if first < len(texts):
-        yield first, len(texts)
+def slices(texts: pa.Array, most: int = 4_000_000):
+    """(first, last) of runs of texts with about ``most`` bytes at most (a longer text stands alone)."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))
+    first = 0
+    while first < len(ends):
+        done = int(ends[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, done + most, side="right")))
+        yield first, last
+        first = last
