@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import langid, lines, packing, records, simhash, toxicity
+from . import langid, lines, neighbours, packing, records, simhash, toxicity
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op2_line_dedup": lines.op2_line_dedup,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_language_id": langid.op6_language_id,
+    "op7_nearest_neighbours": neighbours.op7_nearest_neighbours,
     "op8_simhash": simhash.op8_simhash,
     "op10_token_records": records.op10_token_records,
 }
