@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import langid, lines, media, neighbours, packing, records, simhash, toxicity
+from . import langid, lines, media, neighbours, packing, records, simhash, suffixes, toxicity
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_language_id": langid.op6_language_id,
     "op7_nearest_neighbours": neighbours.op7_nearest_neighbours,
     "op8_simhash": simhash.op8_simhash,
+    "op9_suffix_dedup": suffixes.op9_suffix_dedup,
     "op10_token_records": records.op10_token_records,
 }
 ORACLE_SQL: dict[str, str] = {
