@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import langid, lines, media, neighbours, packing, records, simhash, suffixes, toxicity
+from . import langid, lines, media, neighbours, packing, records, sentences, simhash, suffixes, toxicity
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op2_line_dedup": lines.op2_line_dedup,
     "op3_media_columns": media.op3_media_columns,
+    "op4_sentencepiece": sentences.op4_sentencepiece,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_language_id": langid.op6_language_id,
     "op7_nearest_neighbours": neighbours.op7_nearest_neighbours,
