@@ -77,7 +77,7 @@ def crc32c_many(buffers: list[bytes]) -> np.ndarray:
     sizes = np.fromiter(map(len, buffers), np.int64, len(buffers))
     starts = np.cumsum(sizes) - sizes
     # lanes of equal length, so that one very long buffer doesn't set the number of steps
-    lane = max(16, int(np.sqrt(max(1, sizes.sum()))) // 4)
+    lane = 1 << max(4, int(sizes.sum()).bit_length() // 2 - 2)
     counts = np.maximum(1, -(-sizes // lane))
     owner = np.repeat(np.arange(len(sizes)), counts)
     k = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -95,7 +95,6 @@ def crc32c_many(buffers: list[bytes]) -> np.ndarray:
     lanes = np.empty(len(order), np.uint32)
     lanes[order] = state
     if lane not in _SHIFTS:
-        _SHIFTS.clear()
         _SHIFTS[lane] = _zeros_matrix(lane)
     m = _SHIFTS[lane]
     at = np.cumsum(counts) - counts

@@ -26,6 +26,8 @@ import pyarrow.compute as pc
 
 #: Distinct pieces kept per worker; beyond, those seen most often stay.
 CACHE_PIECES = 300_000
+#: New pieces that go through the library together.
+_AT_ONCE = 50_000
 #: Marks in front of a text, and for a comma and a full stop before a blank.
 FIRST, COMMA, STOP = "\0", "\1", "\2"
 
@@ -66,21 +68,21 @@ class Encoder:
         self.ids, self.starts, self.lengths = _Grown(np.uint32), _Grown(np.int64), _Grown(np.int32)
         self.alone, self.open, self.seen = _Grown(bool), _Grown(bool), _Grown(np.int32)
         for mark, text in ((COMMA, ","), (STOP, ".")):
-            self._add([mark], [_ids(self.library.encode(text, add_special_tokens=False))], False)
+            self._add(pa.array([mark]), [_ids(self.library.encode(text, add_special_tokens=False))], False)
 
-    def _add(self, pieces: list[str], ids: list[np.ndarray], alone: bool, lengths: np.ndarray | None = None) -> None:
+    def _add(self, pieces: pa.Array, ids: list[np.ndarray], alone: bool, lengths: np.ndarray | None = None) -> None:
         """ids: of each piece, or of all in a row with their lengths."""
-        if not pieces:
+        if not len(pieces):
             return
         lengths = np.fromiter(map(len, ids), np.int64, len(ids)) if lengths is None else lengths
         self.starts.extend(self.ids.size + np.cumsum(lengths) - lengths)
         self.ids.extend(np.concatenate(ids))
         self.lengths.extend(lengths)
         self.alone.extend(np.full(len(pieces), alone))
-        self.open.extend(np.fromiter((not p[-1:].isalnum() for p in pieces), bool, len(pieces)))
+        self.open.extend(pc.invert(pc.utf8_is_alnum(pc.utf8_slice_codeunits(pieces, -1, None))).to_numpy(zero_copy_only=False))
         self.seen.extend(np.zeros(len(pieces), np.int32))
         base = len(self.code)
-        self.code.update(zip(pieces, range(base, base + len(pieces))))
+        self.code.update(zip(pieces.to_pylist(), range(base, base + len(pieces))))
 
     def _shrink(self) -> None:
         """Keeps the more frequent half, in old order."""
@@ -99,44 +101,53 @@ class Encoder:
         for grown, values in ((self.ids, ids), (self.starts, ends - lengths), (self.lengths, lengths), (self.alone, alone), (self.open, opened), (self.seen, seen[keep] // 2)):
             grown.extend(values)
 
-    def _alone(self, piece: str) -> bool:
-        """Whether texts with this piece must be encoded whole."""
-        own = piece[1:] if piece[:1] == FIRST else piece
-        if "<|" in own or FIRST in own or COMMA in own or STOP in own:
-            return True
-        if self.drops_space:
-            return False
-        return own == "" or own[0].isspace() or own[-1].isspace()
-
-    def _size(self, piece: str) -> int:
-        """Bytes that the piece's ids stand for."""
+    def _classes(self, new: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """For each piece: whether it begins a text; whether texts with it must be encoded whole."""
+        head = pc.starts_with(new, FIRST)
+        own = pc.if_else(head, pc.utf8_slice_codeunits(new, 1), new)
+        alone = pc.match_substring(own, "<|")
+        for mark in (FIRST, COMMA, STOP):
+            alone = pc.or_(alone, pc.match_substring(own, mark))
         if not self.drops_space:
-            return len(piece.encode()) + 1
-        if not piece.isascii():
-            piece = unicodedata.normalize("NFC", piece).lower()
-        return len("".join(piece.split()).encode())
+            bare = pc.binary_length(pc.utf8_trim_whitespace(own))
+            alone = pc.or_(alone, pc.or_(pc.equal(bare, 0), pc.not_equal(bare, pc.binary_length(own))))
+        return head.to_numpy(zero_copy_only=False), alone.to_numpy(zero_copy_only=False)
+
+    def _sizes(self, plain: pa.Array) -> np.ndarray:
+        """Bytes that each piece's ids stand for."""
+        sizes = pc.binary_length(plain).to_numpy().astype(np.int64)
+        if not self.drops_space:
+            return sizes + 1
+        for k in np.flatnonzero(~pc.and_(pc.string_is_ascii(plain), pc.invert(pc.match_substring_regex(plain, r"\s"))).to_numpy(zero_copy_only=False)):
+            sizes[k] = len("".join(unicodedata.normalize("NFC", plain[int(k)].as_py()).lower().split()).encode())
+        return sizes
 
     def _many(self, texts: list[str]) -> list[np.ndarray]:
         return [_ids(e) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]) -> None:
-        alone = [self._alone(p) for p in new]
-        plain = [p for p, x in zip(new, alone) if not x and p[:1] != FIRST]
-        first = [p for p, x in zip(new, alone) if not x and p[:1] == FIRST]
-        odd = [p for p, x in zip(new, alone) if x]
-        if plain:
-            blank = "" if self.drops_space else " "
-            flat = self._many([blank + " ".join(plain)])[0]
+    def _learn(self, new: pa.Array) -> None:
+        head, alone = self._classes(new)
+        plain, first, odd = (new.filter(pa.array(x)) for x in (~head & ~alone, head & ~alone, alone))
+        if len(plain):
+            blank, names = "" if self.drops_space else " ", plain.to_pylist()
+            flat = self._many([blank + " ".join(names)])[0]
             ends = np.concatenate(([0], np.cumsum(self.id_bytes[flat])))
-            want = np.cumsum(np.fromiter(map(self._size, plain), np.int64, len(plain)))
+            want = np.cumsum(self._sizes(plain))
             at = np.searchsorted(ends, want)
             if at[-1] == len(flat) and np.array_equal(ends[at], want):
                 self._add(plain, [flat], False, np.diff(at, prepend=0))
             else:
-                self._add(plain, self._many([blank + p for p in plain]), False)
-        self._add(first, self._many([p[1:] for p in first]), False)
+                self._add(plain, self._many([blank + p for p in names]), False)
+        self._add(first, self._many([p[1:] for p in first.to_pylist()]), False)
         self._add(odd, [np.zeros(0, np.uint32)] * len(odd), True)
 
+    def _wrong(self, codes: np.ndarray, distinct: np.ndarray) -> np.ndarray:
+        """Places of pieces that break a rule in their text."""
+        marks = np.flatnonzero(codes < 2)
+        marks = marks[marks > 0]
+        found = marks[self.open.data[codes[marks - 1]]]
+        return np.append(found, np.flatnonzero(self.alone.data[codes])) if self.alone.data[distinct].any() else found
+
     def encode(self, texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's begin (one more entry than texts). Null is empty."""
         if len(self.code) > CACHE_PIECES:
@@ -149,11 +160,14 @@ class Encoder:
         bounds = cut.offsets.to_numpy().astype(np.int64)
         pieces = cut.flatten().dictionary_encode()
         bounds -= bounds[0] if len(bounds) else 0
+        get = self.code.get
         distinct = pieces.dictionary.to_pylist()
-        new = [p for p in distinct if p not in self.code]
-        if new:
-            self._learn(new)
-        known = np.fromiter(map(self.code.__getitem__, distinct), np.int32, len(distinct))
+        known = np.fromiter((get(p, -1) for p in distinct), np.int32, len(distinct))
+        new = np.flatnonzero(known < 0)
+        for k in range(0, len(new), _AT_ONCE):
+            self._learn(pieces.dictionary.take(pa.array(new[k : k + _AT_ONCE])))
+        if len(new):
+            known[new] = np.fromiter((self.code[distinct[k]] for k in new.tolist()), np.int32, len(new))
         codes = known[pieces.indices.to_numpy()]
         self.seen.data[: self.seen.size] += np.bincount(codes, minlength=self.seen.size).astype(np.int32)
         lengths = self.lengths.data[codes]
@@ -162,11 +176,12 @@ class Encoder:
         flat += np.arange(len(flat), dtype=np.int32)
         flat = self.ids.data[flat]
         at = np.concatenate(([0], ends))[bounds]
-        wrong = self.alone.data[codes]
-        wrong[1:] |= (codes[1:] < 2) & self.open.data[codes[:-1]]
+        wrong = self._wrong(codes, known)
         empty = pc.equal(texts, "").to_numpy(zero_copy_only=False)
         marked = pc.or_(pc.match_substring(texts, COMMA), pc.match_substring(texts, STOP)).to_numpy(zero_copy_only=False)
-        whole = np.flatnonzero(((np.diff(np.concatenate(([0], np.cumsum(wrong)))[bounds]) > 0) | marked) & ~empty)
+        broken = np.zeros(len(texts), bool)
+        broken[np.searchsorted(bounds, wrong, side="right") - 1] = True
+        whole = np.flatnonzero((broken | marked) & ~empty)
         if len(whole):
             parts = [flat[a:b] for a, b in zip(at, at[1:])]
             for k, ids in zip(whole, self._many(texts.take(pa.array(whole)).to_pylist())):
@@ -188,7 +203,7 @@ def encoder(name: str, drops_space: bool) -> Encoder:
     return _ENCODERS[key]
 
 
-def slices(texts: pa.Array, most: int = 4_000_000):
+def slices(texts: pa.Array, most: int = 5_000_000):
     """(first, last) of runs of texts with about ``most`` bytes at most (a longer text stands alone)."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))
     first = 0
