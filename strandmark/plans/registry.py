@@ -1,6 +1,175 @@
-"""Queries over the driver's tables, by name, and the same results as DuckDB SQL."""
+"""Queries over the driver's tables, by name, and the same results as DuckDB SQL.
+
+Reads, variants and the mask are projections of lineitem and part (strandmark.sources.fixtures).
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strandmark.functions import reads as R
+from strandmark.functions.statistics import benjamini_hochberg
+from strandmark.operators import double_strand, evidence, filters, intervals, planner, single_strand, sinks, sites
+from strandmark.plans.calling import Calls, Inputs, call
+from strandmark.plans.oracle import ORACLE_SQL as ORACLE_SQL
+from strandmark.schema import Params
+from strandmark.session import written
+from strandmark.sources import fixtures
+
+SINGLE = Params(sample="treated", control_sample="control", ndigenome_min_count=4, ndigenome_opposite_window=2, ndigenome_ambiguous_min_count=2, control_min_fold=3.0)
+DOUBLE = SINGLE.but(analysis="digenome", digenome_pair_window=3, digenome_forward_cutoff=2, digenome_reverse_cutoff=2, digenome_depth_cutoff=4, digenome_pair_score_cutoff=0.5)
+
+
+def _inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    return Inputs(fixtures.reads(spark, sf_dir), fixtures.contigs(spark, sf_dir), fixtures.reads(spark, sf_dir, "control"), fixtures.variants(spark, sf_dir), fixtures.mask(spark, sf_dir))
+
+
+def _called(spark: SparkSession, sf_dir: str, params: Params) -> Calls:
+    return call(_inputs(spark, sf_dir), params)
+
+
+def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    return df.select(*[F.round(f.name, digits).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name) for f in df.schema.fields])
+
+
+def eligible_reads(spark, d):
+    return fixtures.reads(spark, d).where(R.eligible(1)).groupBy("contig", R.strand().alias("strand")).agg(F.count("*").alias("n"), F.sum("reference_start").alias("starts"), F.sum(R.five_prime_clip()).cast("long").alias("clipped"))
+
+
+def read_endpoints(spark, d):
+    return fixtures.reads(spark, d).where(R.eligible(1)).select("query_name", "contig", R.strand().alias("strand"), R.endpoint().alias("pos"))
+
+
+def endpoint_pileups(spark, d):
+    return sites.pileups(fixtures.reads(spark, d), 4, 1)
+
+
+def site_depth_fraction(spark, d):
+    r = fixtures.reads(spark, d)
+    return _rounded(sites.depths(sites.pileups(r, 4, 1), r, 1))
+
+
+def site_local_metrics(spark, d):
+    r = fixtures.reads(spark, d)
+    drop = ("indel_position", "indel_type", "indel_length")
+    return _rounded(sites.metrics(sites.pileups(r, 4, 1), r, 10, 1).drop(*drop))
+
+
+def modal_indel(spark, d):
+    r = fixtures.reads(spark, d)
+    return sites.metrics(sites.pileups(r, 4, 1), r, 10, 1).where("indel_position IS NOT NULL").select(*sites.SITE, "indel_position", "indel_type", "indel_length")
+
+
+def opposite_best(spark, d):
+    r = fixtures.reads(spark, d)
+    return _rounded(single_strand.best_opposite(written(single_strand.focal(r, SINGLE)[1], "sites"), r, SINGLE))
+
+
+def ssb_calls(spark, d):
+    rows = single_strand.calls(fixtures.reads(spark, d), SINGLE)[1]
+    return _rounded(rows.select("contig", "pos", "strand", "endpoint_count", "strand_depth", "opposite_position_0based", "opposite_count", "signal_classification", "digenome_pair_score"))
+
+
+def pair_candidates(spark, d):
+    pairs = double_strand.candidates(fixtures.reads(spark, d), DOUBLE, metrics=False)
+    return _rounded(pairs.select(*double_strand.PAIR, "pair_score", F.array_join("caller_reasons", ";").alias("reasons")))
+
+
+def pair_components(spark, d):
+    pairs = double_strand.candidates(fixtures.reads(spark, d), DOUBLE, metrics=False)
+    return double_strand.components(pairs.select(*double_strand.PAIR), 0)
+
+
+def pair_matching(spark, d):
+    pairs = written(double_strand.candidates(fixtures.reads(spark, d), DOUBLE, metrics=False), "pairs")
+    return _rounded(double_strand.select_pairs(pairs, 0).select(*double_strand.PAIR, "pair_score"))
+
+
+def rgen_score(spark, d):
+    r = fixtures.reads(spark, d)
+    forward = sites.pileups(r, 3, 1).where("strand = '+'").select("contig", F.col("pos").alias("forward_position"))
+    return _rounded(double_strand.single_precision_score(forward, r, fixtures.contigs(spark, d), 0, 1))
+
+
+def control_evidence(spark, d):
+    rows = single_strand.calls(fixtures.reads(spark, d), SINGLE)[1]
+    out = evidence.control(rows, fixtures.reads(spark, d, "control"), fixtures.contigs(spark, d), SINGLE)
+    return _rounded(out.select("contig", "pos", "strand", "control_status", "control_endpoint_count", "control_depth", "control_fraction", "control_fold_enrichment", "control_fisher_p", "control_fisher_q"))
+
+
+def q_values(spark, d):
+    from strandmark.session import table
+
+    p = table(spark, d, "orders").select("o_orderkey", F.round((F.col("o_totalprice") % 1000) / 1000, 3).alias("p"), (F.col("o_custkey") % 3).alias("g"))
+    p = p.withColumn("p", F.when(F.col("o_orderkey") % 10 != 0, F.col("p")))
+    return _rounded(benjamini_hochberg(p, "p", "q", ["g"], ["o_orderkey"]).select("o_orderkey", "g", "p", "q"))
+
+
+def blacklist_merge(spark, d):
+    return intervals.merge(fixtures.mask(spark, d))
+
+
+def blacklist_totals(spark, d):
+    return intervals.totals(intervals.merge(fixtures.mask(spark, d)))
+
+
+def blacklist_subtract(spark, d):
+    tiles = fixtures.contigs(spark, d).select("contig", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(1000).cast("long"))).alias("start"), "length")
+    tiles = tiles.select("contig", "start", F.least(F.col("start") + 1000, F.col("length")).alias("end"))
+    return intervals.subtract(tiles, intervals.merge(fixtures.mask(spark, d))).select("contig", "start", "end")
+
+
+def masked_endpoints(spark, d):
+    return sites.pileups(fixtures.reads(spark, d), 4, 1, intervals.merge(fixtures.mask(spark, d)))
+
+
+def known_indel_overlap(spark, d):
+    r = fixtures.reads(spark, d)
+    points = sites.pileups(r, 4, 1).withColumn("opposite_position_0based", F.lit(None).cast("long"))
+    return evidence.known_indels(points, fixtures.variants(spark, d), 10).where("known_indel_overlap <> ''").select(*sites.SITE, "known_indel_overlap")
+
+
+def final_calls_ssb(spark, d):
+    return _rounded(_called(spark, d, SINGLE).table)
+
+
+def final_calls_dsb(spark, d):
+    return _rounded(_called(spark, d, DOUBLE).table)
+
+
+def tier_counts(spark, d):
+    return _called(spark, d, SINGLE).table.groupBy(filters.tier().alias("tier"), "classification").agg(F.count("*").alias("n"))
+
+
+def bed_rows(spark, d):
+    return sinks.bed(_called(spark, d, SINGLE).table)
+
+
+def qc_counts(spark, d):
+    return sinks.multiqc(_called(spark, d, SINGLE).table)
+
+
+def contig_density(spark, d):
+    return sites.contig_density(fixtures.reads(spark, d))
+
+
+def flagstat(spark, d):
+    return sites.flagstat(fixtures.reads(spark, d))
+
+
+def chunk_plan(spark, d):
+    return planner.plan_frame(spark, planner.plan(sites.contig_density(fixtures.reads(spark, d)), fixtures.contigs(spark, d), 8, SINGLE.padding, fixtures.mask(spark, d)))
+
+
+def control_matching(spark, d):
+    """Treated samples joined to their control (1 : n), suppliers standing in for samples."""
+    from strandmark.session import table
+
+    s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("sample"), (F.col("s_suppkey") % 7).alias("control_sample"))
+    treated, controls = s.where("sample > 7"), s.where("sample < 7")
+    return treated.join(controls.select(F.col("sample").alias("control_sample")), "control_sample").groupBy("control_sample").agg(F.count("*").alias("treated"))
+
+
+_NAMES = "eligible_reads read_endpoints endpoint_pileups site_depth_fraction site_local_metrics modal_indel opposite_best ssb_calls pair_candidates pair_components pair_matching rgen_score control_evidence q_values blacklist_merge blacklist_totals blacklist_subtract masked_endpoints known_indel_overlap final_calls_ssb final_calls_dsb tier_counts bed_rows qc_counts contig_density flagstat chunk_plan control_matching".split()
+QUERIES = {name: globals()[name] for name in _NAMES}

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,3 +40,28 @@ def local_session(cpus: int | str = 8, **conf: str) -> SparkSession:
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share (spark.checkpoint.dir); a session without one gets a folder of its own."""
+    sc = spark.sparkContext
+    found = sc.getConf().get("spark.checkpoint.dir") or sc._jsc.sc().getCheckpointDir().getOrElse(None)
+    if not found:
+        found = "file://" + tempfile.mkdtemp(prefix="strandmark-")
+        sc.setCheckpointDir(found)
+    return found.rstrip("/")
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder; removed when the application ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows of df as a Parquet table in the shared folder: lineage ends here and lost executors cost nothing."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
