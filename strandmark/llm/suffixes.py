@@ -6,7 +6,7 @@ times the input, so suffixes that can't have an equal elsewhere are left out fir
 
 1. Anchors. Each LENGTH-byte window has an anchor, the KGRAM-byte string in it of least hash (the leftmost). It depends
    on the window's bytes alone, so equal windows have equal anchors in equal places. Neighbouring windows mostly share
-   theirs: such a run of windows is one row (hash of the anchor, hash of the run), some 7 rows for 100 bytes.
+   theirs: such a run of windows is one row (hash of the anchor, hash of the run), some 6 rows for 100 bytes.
 2. Runs meet in buckets by their anchor. An anchor in one document only settles its windows: nothing repeats. A run
    that a smaller document has as well settles them too: all go. Left are anchors with several different runs.
 3. Suffixes of the runs that are left are range-partitioned by their leading bytes with sampled splitters (Spark's
@@ -37,14 +37,16 @@ from pyspark.sql import functions as F
 
 from . import base
 
-LENGTH, KGRAM = 50, 24
+LENGTH, KGRAM = 50, 20
 SPAN = LENGTH - KGRAM + 1
 FEW, MANY = 8, 64
 NOTHING, ALL, SORT, SINGLY = 0, 1, 2, 3
 _CHUNK = 1 << 17
 _POS = np.uint64((1 << 20) - 1)
 _WILD, _WILD_ONE = 0, 1
-_WORDS = (0, 8, 16, 24, 32, 40, 42)
+#: 8-byte words that cover an anchor and a window.
+_GRAM_WORDS = (*range(0, KGRAM - 7, 8), KGRAM - 8)
+_WORDS = (*range(0, LENGTH - 7, 8), LENGTH - 8)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -78,28 +80,30 @@ class Block:
         valid = np.cumsum(closed[:n]) == 0
         view = np.ndarray((n + LENGTH + 8,), "<u8", self.data, strides=(1,))
         self.view = view
-        windows, anchors = [], []
+        anchors = np.empty(n + 1, np.int32)
+        anchors[n] = -1
         for a in range(0, n, _CHUNK):
             b = min(n, a + _CHUNK)
             end = b + SPAN - 1
             h = view[a:end] * np.uint64(0xC2B2AE3D27D4EB4F)
-            for step in range(8, KGRAM, 8):
+            for step in _GRAM_WORDS[1:]:
                 h ^= h >> np.uint64(29)
-                h += view[a + step : end + step] * np.uint64(0x9E3779B97F4A7C15)
+                h += view[a + step : end + step]
+                h *= np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(32)
             h *= np.uint64(0xD6E8FEB86659FD93)
             h &= ~_POS
             h |= np.arange(len(h), dtype=np.uint64)
-            at = np.flatnonzero(valid[a:b])
-            windows.append(at + a)
-            anchors.append((_least(h, SPAN)[at] & _POS).astype(np.int64) + a)
-        windows = np.concatenate(windows) if windows else np.zeros(0, np.int64)
-        anchors = np.concatenate(anchors) if anchors else np.zeros(0, np.int64)
-        new = np.flatnonzero(np.diff(anchors, prepend=-1))
-        self.count = np.diff(np.append(new, len(anchors)))
-        self.first, self.anchor = windows[new], anchors[new]
+            anchors[a:b] = (_least(h, SPAN) & _POS).astype(np.int32) + a
+        anchors[:n][~valid] = -1
+        bounds = np.concatenate(([0], np.flatnonzero(anchors[1:] != anchors[:-1]) + 1)) if n else np.zeros(0, np.int64)
+        runs = np.flatnonzero(anchors[bounds] >= 0)
+        self.first, self.count = bounds[runs], np.diff(np.append(bounds, n + 1))[runs]
+        self.anchor = anchors[self.first].astype(np.int64)
         self.owner = np.searchsorted(self.ends, self.first, side="right")
-        self.key = _mix(_mix(_mix(view[self.anchor] * np.uint64(0xD6E8FEB86659FD93)) ^ view[self.anchor + 8]) * np.uint64(0xA24BAED4963EE407) ^ view[self.anchor + 16])
+        self.key = np.full(len(self.anchor), 0xA24BAED4963EE407, np.uint64)
+        for step in _GRAM_WORDS:
+            self.key = _mix(self.key * np.uint64(0xD6E8FEB86659FD93) ^ view[self.anchor + step])
         shape = ((self.anchor - self.first) * 64 + self.count).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)
         self.run = _mix(_mix(self.window_hash(self.first) + shape) ^ self.window_hash(self.first + self.count - 1)) | np.uint64(2)
         self._group()
@@ -114,24 +118,24 @@ class Block:
         """Rows to send: distinct runs, or one for an anchor with many. ``row``: each run's row; ``later``: whether the block settles it."""
         n = len(self.key)
         both = _mix(self.key ^ (self.run * np.uint64(0xA24BAED4963EE407)))
-        order = np.argsort(both, kind="stable")
-        new = np.diff(both[order], prepend=both[order][:1] ^ np.uint64(1)) != 0 if n else np.zeros(0, bool)
+        owners = self.ids[self.owner]
+        order = np.argsort(both)
+        starts = _heads(both[order])
         group = np.empty(n, np.int64)
-        group[order] = np.cumsum(new) - 1
-        rep = order[np.flatnonzero(new)]  # the least place, so the least id
-        self.later = self.ids[self.owner] > self.ids[self.owner[rep]][group] if n else np.zeros(0, bool)
-        # distinct runs by anchor
-        o = np.argsort(self.key[rep], kind="stable")
+        group[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, n)))
+        rep = np.minimum.reduceat(order, starts) if n else order  # the least place, so the least id
+        self.later = owners > owners[rep][group]
+        # distinct runs by anchor; its least and largest id
+        o = np.argsort(self.key[rep])
         k = self.key[rep][o]
-        heads = np.flatnonzero(np.diff(k, prepend=k[:1] ^ np.uint64(1)) != 0) if n else np.zeros(0, np.int64)
+        heads = _heads(k)
+        counts = np.diff(np.append(heads, len(k)))
         of = np.empty(len(rep), np.int64)
-        of[o] = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(k))))
-        counts = np.bincount(of, minlength=len(heads))
+        of[o] = np.repeat(np.arange(len(heads)), counts)
         wild = counts > FEW
-        owners = self.ids[self.owner]
-        low, high = np.full(len(heads), np.iinfo(np.int64).max), np.full(len(heads), np.iinfo(np.int64).min)
-        np.minimum.at(low, of[group], owners)
-        np.maximum.at(high, of[group], owners)
+        most = np.maximum.reduceat(owners[order], starts) if n else owners
+        low = np.minimum.reduceat(owners[rep][o], heads) if n else owners
+        high = np.maximum.reduceat(most[o], heads) if n else owners
         plain = np.flatnonzero(~wild[of])
         loose = np.flatnonzero(wild)
         row_of_rep = np.empty(len(rep), np.int64)
@@ -156,6 +160,11 @@ def _block(ids: pa.Array, texts: pa.Array) -> tuple[Block, np.ndarray]:
     return Block(values[order], [raw[k] for k in order]), order
 
 
+def _heads(ordered: np.ndarray) -> np.ndarray:
+    """Where each group of equal neighbours begins."""
+    return np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, np.int64)
+
+
 def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Order by bucket, and where each bucket begins."""
     bucket = (keys >> np.uint64(40)) % np.uint64(buckets)
@@ -168,8 +177,7 @@ def _settle(keys: np.ndarray, runs: np.ndarray, ids: np.ndarray, many: np.ndarra
     out = np.zeros(len(keys), np.uint8)
     order = np.argsort(keys)
     k = keys[order]
-    heads = np.flatnonzero(np.diff(k, prepend=k[0] ^ np.uint64(1)) != 0)
-    size = np.diff(np.append(heads, len(k)))
+    size = np.diff(np.append(_heads(k), len(k)))
     some = np.repeat(size > 1, size) | many[order] | (runs[order] == _WILD)
     order = order[some]  # the rest: anchors of one document
     order = order[np.lexsort((ids[order], runs[order], keys[order]))]
@@ -264,7 +272,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_
     kept is binary; as text, characters that a cut went through go as well."""
     spark = docs.sparkSession
     parts = base.partitions_for(spark)
-    buckets, blocks = 4 * parts, 4 * parts
+    buckets, blocks = 2 * parts, parts
     results = ["n_bytes", "n_removed", "n_spans", "kept"]
     rest = [c for c in docs.columns if c not in (text_col, *results)]
     carried = [f"_{k}" for k in range(len(rest))]
@@ -281,7 +289,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_
             part = order[at[b] : at[b + 1]]
             k, r = block.sent_key[part], block.sent_run[part]
             head = (k << np.uint64(1) | block.sent_many[part].astype(np.uint64)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-            tail = r.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]
+            tail = r.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
             ids = zlib.compress(np.diff(block.sent_id[part], prepend=0).astype("<i8").tobytes(), 1)
             out.append(len(part).to_bytes(4, "little") + head.tobytes() + tail.tobytes() + ids)
             numbers.append(int(b))
@@ -295,10 +303,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_
             sizes.append(n)
             k, r = np.zeros((n, 8), np.uint8), np.zeros((n, 8), np.uint8)
             k[:, :5] = np.frombuffer(raw, np.uint8, 5 * n, 4).reshape(-1, 5)
-            r[:, :7] = np.frombuffer(raw, np.uint8, 7 * n, 4 + 5 * n).reshape(-1, 7)
+            r[:, :6] = np.frombuffer(raw, np.uint8, 6 * n, 4 + 5 * n).reshape(-1, 6)
             keys.append(k.view("<u8").ravel())
             runs.append(r.view("<u8").ravel())
-            ids.append(np.cumsum(np.frombuffer(zlib.decompress(raw[4 + 12 * n :]), "<i8")))
+            ids.append(np.cumsum(np.frombuffer(zlib.decompress(raw[4 + 11 * n :]), "<i8")))
         keys, runs, ids = np.concatenate(keys), np.concatenate(runs), np.concatenate(ids)
         found = _settle(keys >> np.uint64(1), runs, ids, (keys & np.uint64(1)).astype(bool))
         cut = np.cumsum(sizes)[:-1]
