@@ -14,9 +14,13 @@ most 2 bits apart, so every link of the address is real).
 
 Equal fingerprints are one node before anything is enumerated, so thousands of copies cost one row.
 
+``near_groups`` and ``keep_one`` find near copies of a given similarity (0.8 and five words by default), whose
+fingerprints differ in far more bits: fingerprints have 256 bits, the first 64 are indexed by four 16-bit segments
+with radius-1 balls on both sides (all pairs within 11 of the 64 bits meet), and all 256 are compared.
+
 Edge cases: null text is empty; texts without words share fingerprint zero and are linked like any other; repeated
 rows and ids are kept as rows of their own; rows with a null id take part but are never a component's id unless all
-ids in it are null; columns of other names are carried by ``keep_one``; no documents give no rows.
+ids in it are null; other columns are carried by ``keep_one``; no documents give no rows.
 """
 
 from __future__ import annotations
@@ -91,9 +95,120 @@ def components(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col
     return marks.join(rooted.join(smallest, "root").select("fp", "component_id"), "fp").select("id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows whose component has a smaller id; ids must be unique."""
-    gone = components(docs, width, id_col, text_col).where("id > component_id").select(F.col("id").alias("_gone"))
+#: The wide fingerprints of near copies: so many bits, of which the first 64 are indexed in segments of 16.
+WIDE_BITS, SEGMENT_BITS = 256, 16
+_SALTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA24BAED4963EE407], np.uint64)
+
+
+def wide_fingerprint(text: str | None, width: int) -> bytes:
+    """A fingerprint of WIDE_BITS bits: each hash goes through four mixers of 64 bits."""
+    hashes = np.array(shingle_hashes(text, width), np.uint64)
+    if not len(hashes):
+        return bytes(WIDE_BITS // 8)
+    h = hashes[:, None] * _SALTS
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0x9FB21C651E98DF25)
+    h ^= h >> np.uint64(29)
+    set_in = np.zeros(WIDE_BITS, np.int64)
+    for k in range(0, len(h), 4096):
+        set_in += np.unpackbits(h[k : k + 4096].view(np.uint8).reshape(-1, WIDE_BITS // 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
+    return np.packbits(2 * set_in > len(hashes), bitorder="little").tobytes()
+
+
+def most_bits(similarity: float) -> int:
+    """Differing bits of WIDE_BITS at a Jaccard similarity: the angle between two equally large sets."""
+    return round(WIDE_BITS * np.arccos(2 * similarity / (1 + similarity)) / np.pi) + 1
+
+
+def _addresses(first: np.ndarray) -> np.ndarray:
+    """(segment, value) addresses of each fingerprint's first word: the radius-1 ball of every segment."""
+    flips = np.concatenate(([0], 1 << np.arange(SEGMENT_BITS))).astype(np.uint64)
+    out = []
+    for k in range(64 // SEGMENT_BITS):
+        value = (first >> np.uint64(SEGMENT_BITS * k)) & np.uint64((1 << SEGMENT_BITS) - 1)
+        out.append((value[:, None] ^ flips) | np.uint64(k << SEGMENT_BITS))
+    return np.concatenate(out, axis=1).astype(np.uint32)
+
+
+def _linked(ids: np.ndarray, words: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Links (a, b) that connect what pairs within ``most`` bits connect: each member met is compared with all that
+    no link has reached yet, so a group of copies costs one comparison a member, not all pairs."""
+    open_, out = np.arange(len(ids)), []
+    while len(open_) > 1:
+        queue, open_ = [open_[0]], open_[1:]
+        while queue and len(open_):
+            k = queue.pop()
+            near = np.bitwise_count(words[open_] ^ words[k]).sum(axis=1) <= most
+            if near.any():
+                reached = open_[near]
+                out += [(int(ids[r]), int(ids[k])) for r in reached]
+                queue += reached.tolist()
+                open_ = open_[~near]
+    return out
+
+
+def near_links(nodes: DataFrame, most: int) -> DataFrame:
+    """(a, b) of nodes(id, fp): the links of fingerprints within ``most`` bits that share an address.
+
+    All pairs whose indexed words differ in less than 3 bits a segment in some segment do, so all within 11 bits.
+    """
+    groups = 2 * base.partitions_for(nodes.sparkSession)
+    size = 4 + 8 + WIDE_BITS // 8
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(len(ids), -1)
+            address = _addresses(raw[:, :8].copy().view("<u8").ravel())
+            rows = np.repeat(np.arange(len(ids)), address.shape[1])
+            address = address.ravel()
+            group = (address * np.uint32(0x9E3779B1) >> np.uint32(8)) % np.uint32(groups)
+            order = np.argsort(group, kind="stable")
+            at = np.searchsorted(group[order], np.arange(groups + 1))
+            entry = np.empty((len(order), size), np.uint8)
+            entry[:, :4] = address[order].astype("<u4").view(np.uint8).reshape(-1, 4)
+            entry[:, 4:12] = ids[rows[order]].astype("<i8").view(np.uint8).reshape(-1, 8)
+            entry[:, 12:] = raw[rows[order]]
+            some = np.flatnonzero(np.diff(at))
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([entry[at[g] : at[g + 1]].tobytes() for g in some], pa.binary())], ["g", "rows"])
+
+    def match(table: pa.Table) -> pa.Table:
+        entry = np.frombuffer(b"".join(table["rows"].to_pylist()), np.uint8).reshape(-1, size)
+        address = entry[:, :4].copy().view("<u4").ravel()
+        order = np.argsort(address, kind="stable")
+        entry, address = entry[order], address[order]
+        ids, words = entry[:, 4:12].copy().view("<i8").ravel(), entry[:, 12:].copy().view("<u8").reshape(len(entry), -1)
+        heads = np.flatnonzero(np.append(True, address[1:] != address[:-1]))
+        found: set[tuple[int, int]] = set()
+        for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(address)]):
+            if b - a > 1:
+                found.update(_linked(ids[a:b], words[a:b], most))
+        pairs = sorted(found)
+        return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
+
+    return nodes.select("id", "fp").mapInArrow(probe, "g int, rows binary").groupBy("g").applyInArrow(match, "a long, b long").distinct()
+
+
+def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, component_id) of documents with equal or similar shingles: the smallest id of the group.
+
+    Similarity is the fingerprints' estimate of the shingle sets' Jaccard similarity. ids are integers and unique.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([wide_fingerprint(t.as_py(), width) for t in batch.column(1)], pa.binary())], ["id", "fp"])
+
+    own = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    marks = base.written(own.mapInArrow(run, "id long, fp binary"), "fingerprints")
+    nodes = base.written(marks.groupBy("fp").agg(F.min("id").alias("id")), "nodes")
+    roots = base.connected_components(near_links(nodes, most_bits(similarity)))
+    rooted = nodes.join(roots, nodes["id"] == roots["node"], "left").select("fp", F.coalesce("root", "id").alias("component_id"))
+    return marks.join(rooted, "fp").select("id", "component_id")
+
+
+def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs without the rows whose group has a smaller id; rows with a null id stay."""
+    gone = near_groups(docs, width, similarity, id_col, text_col).where("id > component_id").select(F.col("id").alias("_gone"))
     return docs.join(gone.hint("shuffle_hash"), F.col(id_col) == F.col("_gone"), "left_anti")
 
 
