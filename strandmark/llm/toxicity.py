@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import base
+
 #: Labelled rows that are learned from at most.
 SAMPLE_ROWS = 16_000
 FOLDS, TREES, DEPTH, RATE, BINS = 4, 50, 3, 0.2, 32
@@ -131,10 +133,10 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
     ]
 
 
-def learn_lexicon(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> Lexicon:
-    """From rows by term (toxic, clean): the terms that stand out among toxic rows, with log odds as weights."""
+def learn_lexicon(counts: dict[str, tuple[int, int]], toxic: int, clean: int, terms: int) -> Lexicon:
+    """From rows by term (toxic, clean): those of all ``terms`` that stand out among toxic rows, with log odds as weights."""
     scored, all_ = [], toxic + clean
-    least = 2 * math.log(max(100, len(counts)))
+    least = 2 * math.log(max(100, terms))
     for term, (t, c) in counts.items():
         if t < MIN_TOXIC_ROWS or t * clean <= c * toxic:
             continue
@@ -229,46 +231,62 @@ class Model:
         return np.interp(self.trees.raw(x), *self.knots)
 
 
-def fit_rows(rows: list[tuple[int, set[str], str]]) -> Model:
-    """rows: (label, terms, text) of distinct texts in a fixed order."""
-    y = np.array([r[0] for r in rows], float)
-    mean = float(y.mean()) if len(y) else 0.5
-    if len(y) < 2 * FOLDS or y.min() == y.max():
-        return Model(Lexicon(), None, None, mean)
-    fold = np.arange(len(y)) % FOLDS
-    by = [{0: Counter(), 1: Counter()} for _ in range(FOLDS)]
-    for (label, terms, _), f in zip(rows, fold):
-        by[f][label].update(terms)
-    toxic = Counter()
-    clean = Counter()
-    for c in by:
-        toxic.update(c[1])
-        clean.update({t: n for t, n in c[0].items()})
-    kept = {t for t, n in toxic.items() if n >= MIN_TOXIC_ROWS}
-    n1, n0 = int(y.sum()), int(len(y) - y.sum())
-    x = np.zeros((len(y), len(NAMES)))
-    for f in range(FOLDS):
-        out1, out0 = int(y[fold == f].sum()), int((fold == f).sum() - y[fold == f].sum())
-        lexicon = learn_lexicon({t: (toxic[t] - by[f][1][t], clean[t] - by[f][0][t]) for t in kept}, max(1, n1 - out1), max(1, n0 - out0))
-        for k in np.flatnonzero(fold == f):
-            x[k] = features(rows[k][2], lexicon)
-    held = np.zeros(len(y))
-    for f in range(FOLDS):
-        held[fold == f] = Trees().fit(x[fold != f], y[fold != f]).raw(x[fold == f])
-    return Model(learn_lexicon({t: (toxic[t], clean[t]) for t in kept}, n1, n0), Trees().fit(x, y), isotonic(held, y), mean)
-
-
 def train(docs: DataFrame, labels: DataFrame, allowed, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fits on at most ``sample_rows`` labelled rows for which ``allowed`` (a condition on doc_id) holds."""
+    """Fits on at most ``sample_rows`` labelled rows for which ``allowed`` (a condition on doc_id) holds.
+
+    Terms are counted and features computed on the executors; the driver gets a row a promising term and a row a
+    sampled text.
+    """
     pick = labels.where(allowed & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     pick = pick.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     chosen = docs.where(allowed).select("doc_id", "text").join(F.broadcast(pick), "doc_id").where(F.length("text") > 0)
-    found = {}
-    for r in chosen.select("doc_id", "text", "toxic", F.xxhash64("doc_id").alias("h")).toLocalIterator():
-        found.setdefault(r["text"], []).append((r["h"], r["doc_id"], r["toxic"]))
-    rows = [(min(v), t) for t, v in found.items()]
-    rows.sort(key=lambda r: (r[0], r[1]))
-    return fit_rows([(r[0][2], terms_of(words_of(r[1])), r[1]) for r in rows])
+    texts = chosen.groupBy("text").agg(F.min(F.struct(F.xxhash64("doc_id").alias("h"), "doc_id", "toxic")).alias("m"))
+    rows = base.written(texts.select("text", F.col("m.h").alias("h"), F.col("m.toxic").alias("toxic"), F.pmod("m.h", F.lit(FOLDS)).cast("int").alias("fold")), "labelled")
+    size = {(r["fold"], r["toxic"]): r["count"] for r in rows.groupBy("fold", "toxic").count().collect()}
+    total = [sum(n for (_, t), n in size.items() if t == k) for k in (0, 1)]
+    mean = total[1] / sum(total) if sum(total) else 0.5
+    if min(total) < 1 or sum(total) < 2 * FOLDS:
+        return Model(Lexicon(), None, None, mean)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: Counter = Counter()
+            for text, toxic, fold in zip(*(c.to_pylist() for c in batch.columns)):
+                found.update((term, fold, toxic) for term in terms_of(words_of(text)))
+            keys = list(found)
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([2 * k[1] + k[2] for k in keys], pa.int32()), pa.array(list(found.values()), pa.int64())], ["term", "cell", "n"])
+
+    cells = rows.select("text", "toxic", "fold").mapInArrow(count, "term string, cell int, n long")
+    by_cell = [F.sum(F.when(F.col("cell") == k, F.col("n")).otherwise(0)).alias(f"c{k}") for k in range(2 * FOLDS)]
+    wide = cells.groupBy("term").agg(*by_cell)
+    n1, n0 = sum(F.col(f"c{2 * k + 1}") for k in range(FOLDS)), sum(F.col(f"c{2 * k}") for k in range(FOLDS))
+    wide = wide.withColumns({"n1": n1, "n0": n0}).where(F.col("n1") >= MIN_TOXIC_ROWS)
+    terms = wide.agg(F.count("*")).first()[0]
+    # a term whose odds are low over all rows doesn't stand out in a fold's complement either
+    promising = wide.where((F.col("n1") + 0.5) / (total[1] + 1) > 2 * (F.col("n0") + 0.5) / (total[0] + 1) * 0.9).select("term", *[f"c{k}" for k in range(2 * FOLDS)])
+    table = {r[0]: r[1:] for r in promising.collect()}
+
+    def lexicon(without: int | None) -> Lexicon:
+        kept = [k for k in range(FOLDS) if k != without]
+        counts = {t: (sum(c[2 * k + 1] for k in kept), sum(c[2 * k] for k in kept)) for t, c in table.items()}
+        return learn_lexicon(counts, max(1, sum(size.get((k, 1), 0) for k in kept)), max(1, sum(size.get((k, 0), 0) for k in kept)), terms)
+
+    of_fold = [lexicon(k) for k in range(FOLDS)]
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = [np.array(features(t, of_fold[f])).tobytes() for t, f in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(x, pa.binary())], ["fold", "toxic", "h", "x"])
+
+    got = sorted((r["h"], r["toxic"], r["fold"], bytes(r["x"])) for r in rows.select("text", "fold", "toxic", "h").mapInArrow(measure, "fold int, toxic int, h long, x binary").collect())
+    x = np.array([np.frombuffer(r[3]) for r in got])
+    y, fold = np.array([r[1] for r in got], float), np.array([r[2] for r in got])
+    held = np.full(len(y), math.log(mean / (1 - mean)))
+    for f in range(FOLDS):
+        own = y[fold != f]
+        if len(own) and own.min() < own.max():
+            held[fold == f] = Trees().fit(x[fold != f], own).raw(x[fold == f])
+    return Model(lexicon(None), Trees().fit(x, y), isotonic(held, y), mean)
 
 
 def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
