@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strandmark.session import table
+from strandmark.session import new_folder, table
 
 READS_SQL = """
 SELECT sample, read_ord, query_name, flag, contig, reference_start, reference_end, mapping_quality, cigar, nm FROM (
@@ -50,13 +51,21 @@ def _sql(spark: SparkSession, sf_dir: str, text: str, name: str) -> DataFrame:
     return spark.sql(text.replace(f"FROM {name}", "FROM {t}"), t=table(spark, sf_dir, name))
 
 
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
 def reads(spark: SparkSession, sf_dir: str, sample: str = "treated") -> DataFrame:
-    return _sql(spark, sf_dir, READS_SQL, "lineitem").where(f"sample = '{sample}'").drop("sample")
+    """Aligned reads of a sample. The projection is nested deeply, and Catalyst would spell it out in each scan, so it's
+    written once an application and folder, partitioned by sample, as reads are kept in practice."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WRITTEN:
+        path = new_folder(spark, "reads")
+        _sql(spark, sf_dir, READS_SQL, "lineitem").write.partitionBy("sample").parquet(path)
+        _WRITTEN[key] = path
+    return spark.read.parquet(_WRITTEN[key]).where(F.col("sample") == sample).drop("sample")
 
 
 def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     return _sql(spark, sf_dir, VARIANTS_SQL, "part").select("contig", "pos", "ref", F.split("alt", ",").alias("alts"))
 
 
