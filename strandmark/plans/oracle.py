@@ -148,7 +148,7 @@ ORACLE_SQL = {
     "contig_density": _with("SELECT contig, count(*) AS mapped FROM reads WHERE (flag & 4) = 0 GROUP BY ALL"),
     "flagstat": _with("SELECT count(*) AS total, " + ", ".join(f"count(*) FILTER (WHERE (flag & {b}) <> 0) AS {n}" for n, b in (("paired", 1), ("unmapped", 4), ("secondary", 256), ("qcfail", 512), ("duplicates", 1024), ("supplementary", 2048), ("reverse", 16))) + ", count(*) FILTER (WHERE (flag & 4) = 0) AS mapped FROM reads"),
     "rgen_score": _with(
-        "SELECT contig, forward_position, round(CAST(total AS DOUBLE), 6) AS rgen_digenome_score FROM summed",
+        "SELECT contig, forward_position, CASE WHEN round(CAST(total AS DOUBLE), 6) = 0 THEN CAST(0 AS DOUBLE) ELSE round(CAST(total AS DOUBLE), 6) END AS rgen_digenome_score FROM summed",
         "ends", "piles3", "contigs",
         "ok_rgen AS (SELECT contig, flag, reference_start, reference_end, strand, pos5 FROM reads WHERE (flag & 1796) = 0 AND mapping_quality >= 1)",
         "fwd AS (SELECT contig, pos AS p FROM piles3 WHERE strand = '+')",
