@@ -2,42 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import ctypes
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandmark.session import new_folder as new_folder
+from strandmark.session import written as written
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir); a session without one gets a folder of its own."""
-    sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir") or sc._jsc.sc().getCheckpointDir().getOrElse(None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="strandmark-")
-        sc.setCheckpointDir(found)
-    return found.rstrip("/")
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+except OSError:
+    _LIBC = None
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder; removed when the application ends."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return path
-
-
-def drop_folder(spark: SparkSession, path: str) -> None:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows of df as a Parquet table in the shared folder: lineage ends here and lost executors cost nothing."""
-    spark = df.sparkSession
-    path = new_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def give_back() -> None:
+    """Returns freed memory to the system, where the C library can: an executor's workers share one limit."""
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
 
 
 def partitions_for(spark: SparkSession) -> int:

@@ -69,6 +69,7 @@ def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            base.give_back()
             values = np.array([fingerprint(t.as_py(), width) for t in batch.column(1)], np.uint64).astype(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], ["id", "fp"])
 
@@ -156,6 +157,7 @@ def near_links(nodes: DataFrame, most: int) -> DataFrame:
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            base.give_back()
             ids = batch.column(0).to_numpy()
             raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(len(ids), -1)
             address = _addresses(raw[:, :8].copy().view("<u8").ravel())
@@ -172,6 +174,7 @@ def near_links(nodes: DataFrame, most: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([entry[at[g] : at[g + 1]].tobytes() for g in some], pa.binary())], ["g", "rows"])
 
     def match(table: pa.Table) -> pa.Table:
+        base.give_back()
         entry = np.frombuffer(b"".join(table["rows"].to_pylist()), np.uint8).reshape(-1, size)
         address = entry[:, :4].copy().view("<u4").ravel()
         order = np.argsort(address, kind="stable")
@@ -196,6 +199,7 @@ def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            base.give_back()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([wide_fingerprint(t.as_py(), width) for t in batch.column(1)], pa.binary())], ["id", "fp"])
 
     own = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))

@@ -74,10 +74,6 @@ class Block:
         self.starts = self.ends - self.sizes
         self.data = b"".join(texts) + b"\0" * (LENGTH + 16)
         n = int(self.sizes.sum())
-        closed = np.zeros(n + 1, np.int32)
-        np.add.at(closed, np.maximum(self.starts, self.ends - LENGTH + 1), 1)
-        np.add.at(closed, self.ends, -1)
-        valid = np.cumsum(closed[:n]) == 0
         view = np.ndarray((n + LENGTH + 8,), "<u8", self.data, strides=(1,))
         self.view = view
         anchors = np.empty(n + 1, np.int32)
@@ -95,7 +91,8 @@ class Block:
             h &= ~_POS
             h |= np.arange(len(h), dtype=np.uint64)
             anchors[a:b] = (_least(h, SPAN) & _POS).astype(np.int32) + a
-        anchors[:n][~valid] = -1
+        short = np.minimum(self.sizes, LENGTH - 1)
+        anchors[_places(self.ends - short, short)] = -1  # no window starts there
         bounds = np.concatenate(([0], np.flatnonzero(anchors[1:] != anchors[:-1]) + 1)) if n else np.zeros(0, np.int64)
         runs = np.flatnonzero(anchors[bounds] >= 0)
         self.first, self.count = bounds[runs], np.diff(np.append(bounds, n + 1))[runs]
@@ -105,7 +102,11 @@ class Block:
         for step in _GRAM_WORDS:
             self.key = _mix(self.key * np.uint64(0xD6E8FEB86659FD93) ^ view[self.anchor + step])
         shape = ((self.anchor - self.first) * 64 + self.count).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)
-        self.run = _mix(_mix(self.window_hash(self.first) + shape) ^ self.window_hash(self.first + self.count - 1)) | np.uint64(2)
+        self.run = _mix(self.window_hash(self.first) + shape)
+        ends = self.first + self.count - 1 + LENGTH
+        for step in range(8, SPAN + 7, 8):  # what the last window has beyond the first
+            self.run = _mix(self.run * np.uint64(0xD6E8FEB86659FD93) ^ view[ends - step])
+        self.run |= np.uint64(2)
         self._group()
 
     def window_hash(self, at: np.ndarray) -> np.ndarray:
@@ -272,7 +273,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_
     kept is binary; as text, characters that a cut went through go as well."""
     spark = docs.sparkSession
     parts = base.partitions_for(spark)
-    buckets, blocks = 2 * parts, parts
+    buckets, blocks = parts, 4 * parts
     results = ["n_bytes", "n_removed", "n_spans", "kept"]
     rest = [c for c in docs.columns if c not in (text_col, *results)]
     carried = [f"_{k}" for k in range(len(rest))]
@@ -282,13 +283,14 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_
     types = {c: docs.schema[c].dataType.simpleString() for c in rest}
 
     def send(table: pa.Table) -> pa.Table:
+        base.give_back()
         block, _ = _block(table["id"].combine_chunks(), table["raw"].combine_chunks())
         order, at = _by_bucket(block.sent_key, buckets)
         out, numbers = [], []
         for b in np.flatnonzero(np.diff(at)):
             part = order[at[b] : at[b + 1]]
             k, r = block.sent_key[part], block.sent_run[part]
-            head = (k << np.uint64(1) | block.sent_many[part].astype(np.uint64)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+            head = (k << np.uint64(1) | block.sent_many[part].astype(np.uint64)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :4]
             tail = r.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
             ids = zlib.compress(np.diff(block.sent_id[part], prepend=0).astype("<i8").tobytes(), 1)
             out.append(len(part).to_bytes(4, "little") + head.tobytes() + tail.tobytes() + ids)
@@ -297,16 +299,17 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_
         return pa.table({"bucket": pa.array(numbers, pa.int32()), "h": pa.array([h] * len(out), pa.int32()), "rows": pa.array(out, pa.binary())})
 
     def settle(table: pa.Table) -> pa.Table:
+        base.give_back()
         keys, runs, ids, sizes = [], [], [], []
         for raw in table["rows"].to_pylist():
             n = int.from_bytes(raw[:4], "little")
             sizes.append(n)
             k, r = np.zeros((n, 8), np.uint8), np.zeros((n, 8), np.uint8)
-            k[:, :5] = np.frombuffer(raw, np.uint8, 5 * n, 4).reshape(-1, 5)
-            r[:, :6] = np.frombuffer(raw, np.uint8, 6 * n, 4 + 5 * n).reshape(-1, 6)
+            k[:, :4] = np.frombuffer(raw, np.uint8, 4 * n, 4).reshape(-1, 4)
+            r[:, :6] = np.frombuffer(raw, np.uint8, 6 * n, 4 + 4 * n).reshape(-1, 6)
             keys.append(k.view("<u8").ravel())
             runs.append(r.view("<u8").ravel())
-            ids.append(np.cumsum(np.frombuffer(zlib.decompress(raw[4 + 11 * n :]), "<i8")))
+            ids.append(np.cumsum(np.frombuffer(zlib.decompress(raw[4 + 10 * n :]), "<i8")))
         keys, runs, ids = np.concatenate(keys), np.concatenate(runs), np.concatenate(ids)
         found = _settle(keys >> np.uint64(1), runs, ids, (keys & np.uint64(1)).astype(bool))
         cut = np.cumsum(sizes)[:-1]
@@ -318,6 +321,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_
     names = {"key": pa.binary(), "h": pa.int32(), "kind": pa.int32(), "place": pa.int64(), "id": pa.int64(), "rows": pa.binary(), "n": pa.int32()}
 
     def suffixes(own: pa.Table, answers: pa.Table) -> pa.Table:
+        base.give_back()
         if not own.num_rows:
             return pa.table({c: pa.array([], t) for c, t in names.items()})
         block, _ = _block(own["id"].combine_chunks(), own["raw"].combine_chunks())
@@ -346,6 +350,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_
         return pa.table({c: pa.array(columns[c], t) for c, t in names.items()})
 
     def compare(batches):
+        base.give_back()
         got = [b for b in batches if b.num_rows]
         if not got:
             return
@@ -370,6 +375,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_
     kept_type = pa.string() if as_text else pa.binary()
 
     def finish(own: pa.Table, answers: pa.Table) -> pa.Table:
+        base.give_back()
         schema = {c: own.schema.field(x).type for c, x in zip(rest, carried)}
         if not own.num_rows:
             return pa.table([pa.array([], t) for t in [*schema.values(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]], names=[*rest, *results])
