@@ -3,9 +3,9 @@
 File format. A data file is a row of frames, each
 
     length   8 bytes, little-endian: bytes of the payload
-    check    4 bytes: masked CRC-32C of those 8 bytes
+    check    4 bytes: masked CRC-32 of those 8 bytes
     payload  key (8 bytes, signed), then the ids, 2 bytes each (4 if the vocabulary needs them)
-    check    4 bytes: masked CRC-32C of the payload
+    check    4 bytes: masked CRC-32 of the payload
     0x0A     ends the frame
 
 masked(c) = ((c >> 15 | c << 17) + 0xa282ead8) mod 2**32. Spark's text sink puts the bytes out unchanged and ends
@@ -32,111 +32,30 @@ from . import base, tokens
 MASK_DELTA = 0xA282EAD8
 
 
-def _table() -> np.ndarray:
-    """CRC-32C remainders of one byte, from the reflected Castagnoli polynomial."""
-    out = np.arange(256, dtype=np.uint32)
-    for _ in range(8):
-        out = np.where(out & 1, (out >> 1) ^ np.uint32(0x82F63B78), out >> 1)
-    return out
+def masked(data: bytes) -> bytes:
+    c = zlib.crc32(data)
+    return struct.pack("<I", ((c >> 15 | c << 17) + MASK_DELTA) & 0xFFFFFFFF)
 
 
-_BYTE = _table()
-
-
-def _zeros_matrix(n_bytes: int) -> np.ndarray:
-    """Columns of the linear map that n zero bytes apply to a CRC state: 4 tables of 256."""
-    basis = np.uint32(1) << np.arange(32, dtype=np.uint32)
-    state = basis
-    step = lambda s: (s >> np.uint32(8)) ^ _BYTE[s & np.uint32(0xFF)]
-    square = [int(x) for x in step(state)]
-
-    def times(m: list[int], v: int) -> int:
-        r, k = 0, 0
-        while v:
-            if v & 1:
-                r ^= m[k]
-            v >>= 1
-            k += 1
-        return r
-
-    result = [1 << k for k in range(32)]
-    while n_bytes:
-        if n_bytes & 1:
-            result = [times(square, x) for x in result]
-        square = [times(square, x) for x in square]
-        n_bytes >>= 1
-    return np.array([[times(result, b << 8 * k) for b in range(256)] for k in range(4)], dtype=np.uint32)
-
-
-_SHIFTS: dict[int, np.ndarray] = {}
-
-
-def crc32c_many(buffers: list[bytes]) -> np.ndarray:
-    """CRC-32C of each buffer. Buffers advance together, a byte a step; long ones are cut into lanes first."""
-    whole = np.frombuffer(b"".join(buffers), np.uint8)
-    sizes = np.fromiter(map(len, buffers), np.int64, len(buffers))
-    starts = np.cumsum(sizes) - sizes
-    # lanes of equal length, so that one very long buffer doesn't set the number of steps
-    lane = 1 << max(4, int(sizes.sum()).bit_length() // 2 - 2)
-    counts = np.maximum(1, -(-sizes // lane))
-    owner = np.repeat(np.arange(len(sizes)), counts)
-    k = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    # the short lane comes first: then every later lane has the full length
-    first = sizes - (counts - 1) * lane
-    begin = starts[owner] + np.where(k == 0, 0, first[owner] + (k - 1) * lane)
-    length = np.where(k == 0, first[owner], lane)
-    order = np.argsort(-length, kind="stable")
-    begin, length = begin[order], length[order]
-    state = np.where(k[order] == 0, np.uint32(0xFFFFFFFF), np.uint32(0)).astype(np.uint32)
-    active = np.searchsorted(-length, -np.arange(int(length[0]) if len(length) else 0), side="left")
-    for step, n in enumerate(active):
-        s = state[:n]
-        state[:n] = (s >> np.uint32(8)) ^ _BYTE[(s ^ whole[begin[:n] + step]) & np.uint32(0xFF)]
-    lanes = np.empty(len(order), np.uint32)
-    lanes[order] = state
-    if lane not in _SHIFTS:
-        _SHIFTS[lane] = _zeros_matrix(lane)
-    m = _SHIFTS[lane]
-    at = np.cumsum(counts) - counts
-    crc = lanes[at] if len(at) else np.zeros(0, np.uint32)
-    for j in range(1, int(counts.max()) if len(counts) else 0):
-        go = np.flatnonzero(counts > j)
-        c = crc[go]
-        moved = m[0][c & 255] ^ m[1][(c >> 8) & 255] ^ m[2][(c >> 16) & 255] ^ m[3][c >> 24]
-        crc[go] = moved ^ lanes[at[go] + j]
-    return crc ^ np.uint32(0xFFFFFFFF)
-
-
-def masked(crc: np.ndarray) -> np.ndarray:
-    crc = crc.astype(np.uint32)
-    return ((crc >> np.uint32(15)) | (crc << np.uint32(17))) + np.uint32(MASK_DELTA)
-
-
-def frames(payloads: list[bytes]) -> list[bytes]:
-    """Each payload between its lengths and checks, without the ending 0x0A."""
-    heads = [struct.pack("<Q", len(p)) for p in payloads]
-    a, b = masked(crc32c_many(heads)).astype("<u4").tobytes(), masked(crc32c_many(payloads)).astype("<u4").tobytes()
-    return [h + a[4 * k : 4 * k + 4] + p + b[4 * k : 4 * k + 4] for k, (h, p) in enumerate(zip(heads, payloads))]
+def frame(payload: bytes) -> bytes:
+    """The payload between its length and checks, without the ending 0x0A."""
+    head = struct.pack("<Q", len(payload))
+    return b"".join((head, masked(head), payload, masked(payload)))
 
 
 def parse(content: bytes) -> list[tuple[int, bytes]]:
     """(offset, payload) of each frame of a file; ValueError where a length or a check is wrong."""
-    out, at, heads, checks = [], 0, [], []
+    out, at = [], 0
     while at < len(content):
-        if at + 12 > len(content):
-            raise ValueError(f"frame at {at} is cut off")
-        (n,) = struct.unpack_from("<Q", content, at)
-        if at + 17 + n > len(content) or content[at + 16 + n] != 0x0A:
-            raise ValueError(f"frame at {at} is cut off")
-        heads.append(content[at : at + 8])
-        checks.append((content[at + 8 : at + 12], content[at + 12 + n : at + 16 + n]))
-        out.append((at, content[at + 12 : at + 12 + n]))
+        head = content[at : at + 8]
+        if len(head) < 8 or content[at + 8 : at + 12] != masked(head):
+            raise ValueError(f"length of the frame at {at} is wrong")
+        (n,) = struct.unpack("<Q", head)
+        payload = content[at + 12 : at + 12 + n]
+        if content[at + 12 + n : at + 17 + n] != masked(payload) + b"\n":
+            raise ValueError(f"checksum of the frame at {at} is wrong")
+        out.append((at, payload))
         at += 17 + n
-    if out:
-        a, b = masked(crc32c_many(heads)).astype("<u4").tobytes(), masked(crc32c_many([p for _, p in out])).astype("<u4").tobytes()
-        for k, (x, y) in enumerate(checks):
-            if a[4 * k : 4 * k + 4] != x or b[4 * k : 4 * k + 4] != y:
-                raise ValueError(f"checksum of the frame at {out[k][0]} is wrong")
     return out
 
 
@@ -159,7 +78,7 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, drops_space: bool,
                     raise ValueError(f"an id needs more than {id_bytes} bytes")
                 flat, end = flat.astype(dtype), np.array([end_id], dtype).tobytes()
                 payloads = [struct.pack("<q", k) + flat[a:b].tobytes() + end for k, a, b in zip(keys[i:j], at, at[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(frames(payloads), pa.binary())], ["frame"])
+                yield pa.RecordBatch.from_arrays([pa.array(list(map(frame, payloads)), pa.binary())], ["frame"])
 
     ordered = rows.repartitionByRange(n, "key").sortWithinPartitions("key")
     ordered.mapInArrow(encode, "frame binary").select(F.col("frame").cast("string").alias("value")).write.text(path)

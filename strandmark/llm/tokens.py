@@ -24,10 +24,12 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from . import base
+
 #: Distinct pieces kept per worker; beyond, those seen most often stay.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 250_000
 #: New pieces that go through the library together.
-_AT_ONCE = 50_000
+_AT_ONCE = 25_000
 #: Marks in front of a text, and for a comma and a full stop before a blank.
 FIRST, COMMA, STOP = "\0", "\1", "\2"
 
@@ -64,41 +66,37 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.code: dict[str, int] = {}
-        self.ids, self.starts, self.lengths = _Grown(np.uint32), _Grown(np.int64), _Grown(np.int32)
-        self.alone, self.open, self.seen = _Grown(bool), _Grown(bool), _Grown(np.int32)
+        self.names = pa.array([], pa.string())  # pieces by code
+        self.ids, self.starts = _Grown(np.uint32), np.zeros(1, np.int32)  # a piece's ids lie between two starts
+        self.alone, self.open, self.seen = _Grown(bool), _Grown(bool), _Grown(np.int64)
         for mark, text in ((COMMA, ","), (STOP, ".")):
-            self._add(pa.array([mark]), [_ids(self.library.encode(text, add_special_tokens=False))], False)
+            own = _ids(self.library.encode(text, add_special_tokens=False))
+            self._add(pa.array([mark]), own, np.array([len(own)]), False)
 
-    def _add(self, pieces: pa.Array, ids: list[np.ndarray], alone: bool, lengths: np.ndarray | None = None) -> None:
-        """ids: of each piece, or of all in a row with their lengths."""
+    def _add(self, pieces: pa.Array, ids: np.ndarray, lengths: np.ndarray, alone: bool) -> None:
         if not len(pieces):
             return
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) if lengths is None else lengths
-        self.starts.extend(self.ids.size + np.cumsum(lengths) - lengths)
-        self.ids.extend(np.concatenate(ids))
-        self.lengths.extend(lengths)
+        self.names = pa.concat_arrays([self.names, pieces])
+        self.starts = np.concatenate([self.starts, (self.ids.size + np.cumsum(lengths)).astype(np.int32)])
+        self.ids.extend(ids)
         self.alone.extend(np.full(len(pieces), alone))
         self.open.extend(pc.invert(pc.utf8_is_alnum(pc.utf8_slice_codeunits(pieces, -1, None))).to_numpy(zero_copy_only=False))
-        self.seen.extend(np.zeros(len(pieces), np.int32))
-        base = len(self.code)
-        self.code.update(zip(pieces.to_pylist(), range(base, base + len(pieces))))
+        self.seen.extend(np.zeros(len(pieces), np.int64))
+
+    def _lists(self) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(self.starts), pa.array(self.ids.data[: self.ids.size]))
 
     def _shrink(self) -> None:
         """Keeps the more frequent half, in old order."""
-        n = len(self.code)
+        n = len(self.names)
         seen = self.seen.data[:n].copy()
-        seen[:2] = np.iinfo(np.int32).max
+        seen[:2] = np.iinfo(np.int64).max
         keep = np.sort(np.argpartition(-seen, CACHE_PIECES // 2)[: CACHE_PIECES // 2])
-        names = list(self.code)
-        starts, lengths = self.starts.data[keep], self.lengths.data[keep].astype(np.int64)
-        ends = np.cumsum(lengths)
-        ids = self.ids.data[np.repeat(starts - (ends - lengths), lengths) + np.arange(int(ends[-1]))]
-        alone, opened = self.alone.data[keep], self.open.data[keep]
-        self.code = {names[k]: i for i, k in enumerate(keep)}
-        self.ids, self.starts, self.lengths = _Grown(np.uint32), _Grown(np.int64), _Grown(np.int32)
-        self.alone, self.open, self.seen = _Grown(bool), _Grown(bool), _Grown(np.int32)
-        for grown, values in ((self.ids, ids), (self.starts, ends - lengths), (self.lengths, lengths), (self.alone, alone), (self.open, opened), (self.seen, seen[keep] // 2)):
+        own = self._lists().take(pa.array(keep))
+        alone, opened, names = self.alone.data[keep], self.open.data[keep], self.names.take(pa.array(keep))
+        self.names, self.starts = names, own.offsets.to_numpy().copy()
+        self.ids, self.alone, self.open, self.seen = _Grown(np.uint32), _Grown(bool), _Grown(bool), _Grown(np.int64)
+        for grown, values in ((self.ids, own.flatten().to_numpy()), (self.alone, alone), (self.open, opened), (self.seen, seen[keep] // 2)):
             grown.extend(values)
 
     def _classes(self, new: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -125,21 +123,32 @@ class Encoder:
     def _many(self, texts: list[str]) -> list[np.ndarray]:
         return [_ids(e) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: pa.Array) -> None:
+    def _learn(self, new: pa.Array) -> np.ndarray:
+        """Adds the pieces; their codes."""
         head, alone = self._classes(new)
-        plain, first, odd = (new.filter(pa.array(x)) for x in (~head & ~alone, head & ~alone, alone))
+        kinds = [np.flatnonzero(x) for x in (~head & ~alone, head & ~alone, alone)]
+        plain, first, odd = (new.take(pa.array(k)) for k in kinds)
+        codes = np.empty(len(new), np.int32)
+        codes[np.concatenate(kinds)] = len(self.names) + np.arange(len(new))
         if len(plain):
-            blank, names = "" if self.drops_space else " ", plain.to_pylist()
-            flat = self._many([blank + " ".join(names)])[0]
+            blank = "" if self.drops_space else " "
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(plain)], pa.int32()), plain), " ")[0].as_py()
+            flat = self._many([blank + joined])[0]
             ends = np.concatenate(([0], np.cumsum(self.id_bytes[flat])))
             want = np.cumsum(self._sizes(plain))
             at = np.searchsorted(ends, want)
             if at[-1] == len(flat) and np.array_equal(ends[at], want):
-                self._add(plain, [flat], False, np.diff(at, prepend=0))
+                self._add(plain, flat, np.diff(at, prepend=0), False)
             else:
-                self._add(plain, self._many([blank + p for p in names]), False)
-        self._add(first, self._many([p[1:] for p in first.to_pylist()]), False)
-        self._add(odd, [np.zeros(0, np.uint32)] * len(odd), True)
+                self._add_each(plain, [blank + p for p in plain.to_pylist()])
+        self._add_each(first, [p[1:] for p in first.to_pylist()])
+        self._add(odd, np.zeros(0, np.uint32), np.zeros(len(odd), np.int64), True)
+        return codes
+
+    def _add_each(self, pieces: pa.Array, texts: list[str]) -> None:
+        if texts:
+            ids = self._many(texts)
+            self._add(pieces, np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids)), False)
 
     def _wrong(self, codes: np.ndarray, distinct: np.ndarray) -> np.ndarray:
         """Places of pieces that break a rule in their text."""
@@ -150,7 +159,7 @@ class Encoder:
 
     def encode(self, texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's begin (one more entry than texts). Null is empty."""
-        if len(self.code) > CACHE_PIECES:
+        if len(self.names) > CACHE_PIECES:
             self._shrink()
         texts = pc.fill_null(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, "")
         cut = pc.replace_substring(texts, "\n", " ") if self.drops_space else pc.binary_join_element_wise(FIRST, texts, "")
@@ -160,22 +169,15 @@ class Encoder:
         bounds = cut.offsets.to_numpy().astype(np.int64)
         pieces = cut.flatten().dictionary_encode()
         bounds -= bounds[0] if len(bounds) else 0
-        get = self.code.get
-        distinct = pieces.dictionary.to_pylist()
-        known = np.fromiter((get(p, -1) for p in distinct), np.int32, len(distinct))
+        known = pc.fill_null(pc.index_in(pieces.dictionary, value_set=self.names), -1).to_numpy().copy()
         new = np.flatnonzero(known < 0)
         for k in range(0, len(new), _AT_ONCE):
-            self._learn(pieces.dictionary.take(pa.array(new[k : k + _AT_ONCE])))
-        if len(new):
-            known[new] = np.fromiter((self.code[distinct[k]] for k in new.tolist()), np.int32, len(new))
+            part = new[k : k + _AT_ONCE]
+            known[part] = self._learn(pieces.dictionary.take(pa.array(part)))
         codes = known[pieces.indices.to_numpy()]
-        self.seen.data[: self.seen.size] += np.bincount(codes, minlength=self.seen.size).astype(np.int32)
-        lengths = self.lengths.data[codes]
-        ends = np.cumsum(lengths, dtype=np.int64)
-        flat = np.repeat((self.starts.data[codes] - (ends - lengths)).astype(np.int32), lengths)
-        flat += np.arange(len(flat), dtype=np.int32)
-        flat = self.ids.data[flat]
-        at = np.concatenate(([0], ends))[bounds]
+        self.seen.data[: self.seen.size] += np.bincount(codes, minlength=self.seen.size)
+        lists = self._lists().take(pa.array(codes))
+        flat, at = lists.flatten().to_numpy(), lists.offsets.to_numpy()[bounds].astype(np.int64)
         wrong = self._wrong(codes, known)
         empty = pc.equal(texts, "").to_numpy(zero_copy_only=False)
         marked = pc.or_(pc.match_substring(texts, COMMA), pc.match_substring(texts, STOP)).to_numpy(zero_copy_only=False)
@@ -203,11 +205,12 @@ def encoder(name: str, drops_space: bool) -> Encoder:
     return _ENCODERS[key]
 
 
-def slices(texts: pa.Array, most: int = 5_000_000):
+def slices(texts: pa.Array, most: int = 3_000_000):
     """(first, last) of runs of texts with about ``most`` bytes at most (a longer text stands alone)."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))
     first = 0
     while first < len(ends):
+        base.give_back()
         done = int(ends[first - 1]) if first else 0
         last = max(first + 1, int(np.searchsorted(ends, done + most, side="right")))
         yield first, last
