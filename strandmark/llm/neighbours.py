@@ -12,8 +12,8 @@ it. The centre is the mean of a bounded sample (``SAMPLE_ROWS`` rows of smallest
 
 Edge cases: vectors that are null, zero, hold null or non-finite components, or have another length than most of the
 sample take no part, as query or candidate; a null id takes no part; candidates with the query's id are its own row;
-equal vectors tie and the smaller id comes first; fewer candidates than k are all returned; an empty table gives an
-empty table; further columns don't matter.
+equal vectors tie and the smaller id comes first; repeated rows (id and vector) count once; fewer candidates than k are
+all returned; an empty table gives an empty table; further columns don't matter.
 """
 
 from __future__ import annotations
