@@ -46,6 +46,7 @@ _POS = np.uint64((1 << 20) - 1)
 _WILD, _WILD_ONE = 0, 1
 #: 8-byte words that cover an anchor and a window.
 _GRAM_WORDS = (*range(0, KGRAM - 7, 8), KGRAM - 8)
+_FACTORS = [np.uint64(0xC2B2AE3D27D4EB4F + 2 * k * 0x9E3779B97F4A7C15 & (1 << 64) - 1) for k in range(len(_GRAM_WORDS))]
 _WORDS = (*range(0, LENGTH - 7, 8), LENGTH - 8)
 
 
@@ -81,11 +82,9 @@ class Block:
         for a in range(0, n, _CHUNK):
             b = min(n, a + _CHUNK)
             end = b + SPAN - 1
-            h = view[a:end] * np.uint64(0xC2B2AE3D27D4EB4F)
-            for step in _GRAM_WORDS[1:]:
-                h ^= h >> np.uint64(29)
-                h += view[a + step : end + step]
-                h *= np.uint64(0x9E3779B97F4A7C15)
+            h = view[a:end] * _FACTORS[0]
+            for step, factor in zip(_GRAM_WORDS[1:], _FACTORS[1:]):
+                h += view[a + step : end + step] * factor
             h ^= h >> np.uint64(32)
             h *= np.uint64(0xD6E8FEB86659FD93)
             h &= ~_POS
