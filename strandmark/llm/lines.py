@@ -53,7 +53,8 @@ def drop_bitmaps(docs: DataFrame, min_docs: int, min_chars: int = 1, policy: str
     within = Window.partitionBy("h1", "h2", "id").orderBy("pos")
     firsts = ranged.withColumn("k", F.row_number().over(within)).where("k = 1")
     keys = firsts.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.min(F.struct("id", "pos")).alias("first"))
-    common = keys.where(F.col("n_docs") >= min_docs).select("h1", "h2", "first")
+    # a table of its own, so that both sides of the join are plain exchanges, of which Spark splits the hot parts
+    common = base.written(keys.where(F.col("n_docs") >= min_docs).select("h1", "h2", "first"), "common-lines")
     hit = hashes.join(common, ["h1", "h2"])
     if policy == "repeats":
         hit = hit.where(F.struct("id", "pos") != F.col("first"))
