@@ -80,6 +80,8 @@ def links(fps: DataFrame) -> DataFrame:
     """(a, b): links between distinct fingerprints ``fps(fp)`` whose closure is that of all pairs within DISTANCE."""
     low = F.expr("transform(sequence(0, 31), i -> fp ^ shiftleft(1L, i))")
     high = F.expr("transform(sequence(32, 63), i -> fp ^ shiftleft(1L, i))")
+    # few bytes become many rows: as many tasks as there are partitions, whatever the size of the table
+    fps = fps.repartition(base.partitions_for(fps.sparkSession), "fp")
     probes = fps.select("fp", F.explode(F.concat(F.array("fp"), low, high)).alias("address"))
     table = probes.groupBy("address").agg(F.collect_list("fp").alias("members")).where(F.size("members") > 1)
     pairs = table.select(F.array_min("members").alias("b"), F.explode("members").alias("a")).where("a <> b")
@@ -188,7 +190,8 @@ def near_links(nodes: DataFrame, most: int) -> DataFrame:
         pairs = sorted(found)
         return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
 
-    return nodes.select("id", "fp").mapInArrow(probe, "g int, rows binary").groupBy("g").applyInArrow(match, "a long, b long").distinct()
+    dealt = nodes.select("id", "fp").repartition(base.partitions_for(nodes.sparkSession), "fp")
+    return dealt.mapInArrow(probe, "g int, rows binary").groupBy("g").applyInArrow(match, "a long, b long").distinct()
 
 
 def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
