@@ -126,7 +126,7 @@ ORACLE_SQL = {
         FROM (SELECT *, max(hi) OVER (PARTITION BY contig ORDER BY lo, hi, forward_position, reverse_position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM (SELECT *, least(forward_position, reverse_position) AS lo, greatest(forward_position, reverse_position) AS hi FROM pairs))""",
         *_PAIRS),
     "control_evidence": _with("SELECT contig, pos, strand, CASE WHEN cd >= 1 THEN 'MATCHED_CONTROL' ELSE 'INSUFFICIENT_CONTROL_COVERAGE' END AS control_status, cn AS control_endpoint_count, cd AS control_depth, round(cf, 6) AS control_fraction, round(CASE WHEN cd >= 1 THEN fold END, 6) AS control_fold_enrichment, round(fp, 6) AS control_fisher_p, round(fq, 6) AS control_fisher_q FROM controlled", *_SSB, "controlled"),
-    "q_values": """WITH o AS (SELECT o_orderkey, o_custkey % 3 AS g, CASE WHEN o_orderkey % 10 <> 0 THEN round((o_totalprice % 1000) / 1000, 3) END AS p FROM orders),
+    "q_values": """WITH o AS (SELECT o_orderkey, o_custkey % 3 AS g, CASE WHEN o_orderkey % 10 <> 0 THEN CAST(floor(o_totalprice) AS BIGINT) % 1000 / CAST(1000 AS DOUBLE) END AS p FROM orders),
       c AS (SELECT g, p, count(*) AS k FROM o WHERE p IS NOT NULL GROUP BY ALL), r AS (SELECT g, p, sum(k) OVER (PARTITION BY g ORDER BY p ROWS UNBOUNDED PRECEDING) AS r, sum(k) OVER (PARTITION BY g) AS t FROM c),
       q AS (SELECT g, p, least(1.0, min(p * t / r) OVER (PARTITION BY g ORDER BY p DESC ROWS UNBOUNDED PRECEDING)) AS q FROM r)
       SELECT o.o_orderkey, o.g, round(o.p, 6) AS p, round(q.q, 6) AS q FROM o LEFT JOIN q ON q.g = o.g AND q.p = o.p""",

@@ -101,7 +101,7 @@ def control_evidence(spark, d):
 def q_values(spark, d):
     from strandmark.session import table
 
-    p = table(spark, d, "orders").select("o_orderkey", F.round((F.col("o_totalprice") % 1000) / 1000, 3).alias("p"), (F.col("o_custkey") % 3).alias("g"))
+    p = table(spark, d, "orders").select("o_orderkey", ((F.floor("o_totalprice") % 1000) / 1000).alias("p"), (F.col("o_custkey") % 3).alias("g"))
     p = p.withColumn("p", F.when(F.col("o_orderkey") % 10 != 0, F.col("p")))
     return _rounded(benjamini_hochberg(p, "p", "q", ["g"], ["o_orderkey"]).select("o_orderkey", "g", "p", "q"))
 
