@@ -39,7 +39,7 @@ from . import base
 
 LENGTH, KGRAM = 50, 20
 SPAN = LENGTH - KGRAM + 1
-FEW, MANY = 8, 64
+FEW, MANY = 16, 512
 NOTHING, ALL, SORT, SINGLY = 0, 1, 2, 3
 _CHUNK = 1 << 17
 _POS = np.uint64((1 << 20) - 1)
