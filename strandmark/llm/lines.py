@@ -7,8 +7,10 @@ documents hold over many ranges. In that order the first line of each (key, docu
 documents and first occurrences are pre-aggregated in each range before one row a key and range is exchanged.
 Decisions return as bitmaps: per document the non-zero 64-line words, a word's bit set where the line goes.
 
-Two policies: ``every`` (keys in at least ``min_docs`` documents lose all their lines) and ``repeats`` (of such keys,
-the first occurrence by document and position stays).
+Three policies: ``every`` (keys in at least ``min_docs`` documents lose all their lines), ``repeats`` (of such keys,
+the first occurrence by document and position stays) and ``boilerplate``: the first occurrence stays, but for keys that
+at least ``min_docs`` documents of mostly other text hold (``OWN_SHARE`` of the keys' characters being of keys that are
+not common); those lose all their lines. So the lines of copies, exact or near, however many, stay in one document.
 
 Edge cases: null and empty texts are one empty line; keys shorter than ``min_chars`` code points (blank lines at the
 default of 1) are never dropped; a document that loses every line keeps the empty text; ids should be unique: rows
@@ -24,6 +26,8 @@ from pyspark.sql import functions as F
 from . import base
 
 BLANKS = " \t\n\x0b\x0c\r"
+#: The share of a document's characters in uncommon lines from which its common lines are additions to a text of its own.
+OWN_SHARE = 0.75
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -37,18 +41,27 @@ def line_key(line: Column) -> Column:
     return F.when(F.octet_length(bare) == F.char_length(bare), F.lower(bare)).otherwise(F.translate(bare, UPPER, UPPER.lower()))
 
 
-def line_hashes(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """(id, pos, h1, h2) of each line whose key is long enough, written to the shared folder."""
+def line_hashes(docs: DataFrame, id_col: str, text_col: str, min_chars: int, sizes: bool = False) -> DataFrame:
+    """(id, pos, h1, h2[, size]) of each line whose key is long enough, written to the shared folder."""
     lines = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.posexplode(split_lines(F.col(text_col))).alias("pos", "line"))
     keys = lines.select("id", "pos", line_key(F.col("line")).alias("key")).where(F.char_length("key") >= min_chars)
-    return base.written(keys.select("id", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2")), "lines")
+    size = [F.char_length("key").alias("size")] if sizes else []
+    return base.written(keys.select("id", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), *size), "lines")
+
+
+def spread_keys(hashes: DataFrame, hit: DataFrame, min_docs: int) -> DataFrame:
+    """(h1, h2) of the common keys, whose lines are ``hit``, that enough documents of mostly other text hold."""
+    whole = hashes.groupBy("id").agg(F.sum("size").alias("whole"))
+    common = hit.groupBy("id").agg(F.sum("size").alias("common"))
+    own = common.join(whole, "id").where(F.col("whole") - F.col("common") >= OWN_SHARE * F.col("whole")).select("id")
+    return hit.join(own.hint("shuffle_hash"), "id", "left_semi").select("h1", "h2", "id").distinct().groupBy("h1", "h2").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("h1", "h2")
 
 
 def drop_bitmaps(docs: DataFrame, min_docs: int, min_chars: int = 1, policy: str = "every", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, words map<int,long>, n_dropped) of each document that loses lines."""
-    if policy not in ("every", "repeats"):
+    if policy not in ("every", "repeats", "boilerplate"):
         raise ValueError(f"policy {policy!r}")
-    hashes = line_hashes(docs, id_col, text_col, min_chars)
+    hashes = line_hashes(docs, id_col, text_col, min_chars, policy == "boilerplate")
     ranged = hashes.repartitionByRange(base.partitions_for(docs.sparkSession), "h1", "h2", "id").sortWithinPartitions("h1", "h2", "id", "pos")
     within = Window.partitionBy("h1", "h2", "id").orderBy("pos")
     firsts = ranged.withColumn("k", F.row_number().over(within)).where("k = 1")
@@ -58,6 +71,11 @@ def drop_bitmaps(docs: DataFrame, min_docs: int, min_chars: int = 1, policy: str
     hit = hashes.join(common, ["h1", "h2"])
     if policy == "repeats":
         hit = hit.where(F.struct("id", "pos") != F.col("first"))
+    if policy == "boilerplate":
+        hit = base.written(hit.withColumn("first", F.struct("id", "pos") == F.col("first")), "common-places")
+        # a row a key: of the many places of a key only the first is looked up
+        stay = hit.where("first").join(spread_keys(hashes, hit, min_docs), ["h1", "h2"], "left_anti")
+        hit = hit.where("NOT first").select("id", "pos").union(hit.where("first").select("id", "pos").join(stay.select("id", "pos"), ["id", "pos"], "left_anti"))
     word = hit.groupBy("id", F.expr("pos div 64").cast("int").alias("word")).agg(F.expr("bit_or(shiftleft(1L, pos % 64))").alias("bits"))
     return word.groupBy("id").agg(
         F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("words"),
