@@ -14,9 +14,10 @@ most 2 bits apart, so every link of the address is real).
 
 Equal fingerprints are one node before anything is enumerated, so thousands of copies cost one row.
 
-``near_groups`` and ``keep_one`` find near copies of a given similarity (0.8 and five words by default), whose
-fingerprints differ in far more bits: fingerprints have 256 bits, the first 64 are indexed by four 16-bit segments
-with radius-1 balls on both sides (all pairs within 11 of the 64 bits meet), and all 256 are compared.
+``near_groups`` and ``keep_one`` find near copies of a given Jaccard similarity of the sets of distinct shingles (0.8
+and five words by default). Fingerprints, here of 256 bits over distinct shingles, only name candidates: 128 bits are
+indexed by eight 16-bit segments with radius-1 balls on both sides (pairs within 2 bits in some segment meet), and pairs
+within ``most_bits`` of all 256 bits are candidates. A link is what the shingle sets themselves confirm.
 
 Edge cases: null text is empty; texts without words share fingerprint zero and are linked like any other; repeated
 rows and ids are kept as rows of their own; rows with a null id take part but are never a component's id unless all
@@ -98,14 +99,20 @@ def components(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col
     return marks.join(rooted.join(smallest, "root").select("fp", "component_id"), "fp").select("id", "fp", "component_id")
 
 
-#: The wide fingerprints of near copies: so many bits, of which the first 64 are indexed in segments of 16.
-WIDE_BITS, SEGMENT_BITS = 256, 16
+#: The wide fingerprints of near copies: so many bits, of which the first INDEXED_BITS are indexed in segments of 16.
+WIDE_BITS, INDEXED_BITS, SEGMENT_BITS = 256, 128, 16
+#: Pairs within so many bits are linked as soon as they are seen, those further apart by nearness.
+CLOSE_BITS = 24
 _SALTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA24BAED4963EE407], np.uint64)
 
 
-def wide_fingerprint(text: str | None, width: int) -> bytes:
-    """A fingerprint of WIDE_BITS bits: each hash goes through four mixers of 64 bits."""
-    hashes = np.array(shingle_hashes(text, width), np.uint64)
+def shingle_set(text: str | None, width: int) -> np.ndarray:
+    """The hashes of the distinct shingles, ascending."""
+    return np.unique(np.array(shingle_hashes(text, width), "<u8"))
+
+
+def wide_fingerprint(hashes: np.ndarray) -> bytes:
+    """A fingerprint of WIDE_BITS bits of a shingle set: each hash goes through four mixers of 64 bits."""
     if not len(hashes):
         return bytes(WIDE_BITS // 8)
     h = hashes[:, None] * _SALTS
@@ -117,63 +124,88 @@ def wide_fingerprint(text: str | None, width: int) -> bytes:
     return np.packbits(2 * set_in > len(hashes), bitorder="little").tobytes()
 
 
+def _node(hashes: np.ndarray) -> int:
+    """A shingle set's number (signed)."""
+    return int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)).astype(np.int64))
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Of two ascending arrays of distinct hashes."""
+    both = np.sort(np.concatenate((a, b)), kind="stable")
+    shared = int(np.count_nonzero(both[1:] == both[:-1]))
+    return shared / max(1, len(both) - shared)
+
+
 def most_bits(similarity: float) -> int:
-    """Differing bits of WIDE_BITS at a Jaccard similarity: the angle between two equally large sets."""
-    return round(WIDE_BITS * np.arccos(2 * similarity / (1 + similarity)) / np.pi) + 1
+    """Differing bits of WIDE_BITS that a pair of this Jaccard similarity hardly exceeds: the angle between two equally
+    large sets and three standard deviations."""
+    p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return int(np.ceil(WIDE_BITS * p + 3 * np.sqrt(WIDE_BITS * p * (1 - p))))
 
 
-def _addresses(first: np.ndarray) -> np.ndarray:
-    """(segment, value) addresses of each fingerprint's first word: the radius-1 ball of every segment."""
+def _addresses(indexed: np.ndarray) -> np.ndarray:
+    """(segment, value) addresses of each fingerprint's indexed words: the radius-1 ball of every segment."""
     flips = np.concatenate(([0], 1 << np.arange(SEGMENT_BITS))).astype(np.uint64)
     out = []
-    for k in range(64 // SEGMENT_BITS):
-        value = (first >> np.uint64(SEGMENT_BITS * k)) & np.uint64((1 << SEGMENT_BITS) - 1)
+    for k in range(INDEXED_BITS // SEGMENT_BITS):
+        word, shift = divmod(SEGMENT_BITS * k, 64)
+        value = (indexed[:, word] >> np.uint64(shift)) & np.uint64((1 << SEGMENT_BITS) - 1)
         out.append((value[:, None] ^ flips) | np.uint64(k << SEGMENT_BITS))
     return np.concatenate(out, axis=1).astype(np.uint32)
 
 
 def _linked(ids: np.ndarray, words: np.ndarray, most: int) -> list[tuple[int, int]]:
-    """Links (a, b) that connect what pairs within ``most`` bits connect: each member met is compared with all that
-    no link has reached yet, so a group of copies costs one comparison a member, not all pairs."""
-    open_, out = np.arange(len(ids)), []
-    while len(open_) > 1:
-        queue, open_ = [open_[0]], open_[1:]
-        while queue and len(open_):
+    """Candidates (a, b) that connect what pairs within ``most`` bits connect, by the nearest pairs: each step takes the
+    member nearest to those reached, and with it all within CLOSE_BITS, so a group of close copies costs few steps."""
+    out = []
+    open_ = np.arange(len(ids))
+    distance, source = np.full(len(ids), WIDE_BITS + 1), np.zeros(len(ids), np.int64)
+    queue: list[int] = []
+    while len(open_):
+        if queue:
             k = queue.pop()
-            near = np.bitwise_count(words[open_] ^ words[k]).sum(axis=1) <= most
-            if near.any():
-                reached = open_[near]
-                out += [(int(ids[r]), int(ids[k])) for r in reached]
-                queue += reached.tolist()
-                open_ = open_[~near]
+        else:
+            at = int(distance[open_].argmin())
+            k = int(open_[at])
+            if distance[k] <= most:
+                out.append((int(ids[k]), int(ids[source[k]])))
+            open_ = np.delete(open_, at)
+        if not len(open_):
+            break
+        bits = np.bitwise_count(words[open_] ^ words[k]).sum(axis=1, dtype=np.int64)
+        nearer = bits < distance[open_]
+        distance[open_[nearer]], source[open_[nearer]] = bits[nearer], k
+        if (close := bits <= CLOSE_BITS).any():
+            out += [(int(ids[r]), int(ids[k])) for r in open_[close]]
+            queue += open_[close].tolist()
+            open_ = open_[~close]
     return out
 
 
-def near_links(nodes: DataFrame, most: int) -> DataFrame:
-    """(a, b) of nodes(id, fp): the links of fingerprints within ``most`` bits that share an address.
-
-    All pairs whose indexed words differ in less than 3 bits a segment in some segment do, so all within 11 bits.
-    """
+def near_candidates(nodes: DataFrame, most: int) -> DataFrame:
+    """(a, b), a > b, of nodes(node, fp): candidates within ``most`` bits that share an address."""
     groups = 2 * base.partitions_for(nodes.sparkSession)
     size = 4 + 8 + WIDE_BITS // 8
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            base.give_back()
-            ids = batch.column(0).to_numpy()
-            raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(len(ids), -1)
-            address = _addresses(raw[:, :8].copy().view("<u8").ravel())
-            rows = np.repeat(np.arange(len(ids)), address.shape[1])
-            address = address.ravel()
-            group = (address * np.uint32(0x9E3779B1) >> np.uint32(8)) % np.uint32(groups)
-            order = np.argsort(group, kind="stable")
-            at = np.searchsorted(group[order], np.arange(groups + 1))
-            entry = np.empty((len(order), size), np.uint8)
-            entry[:, :4] = address[order].astype("<u4").view(np.uint8).reshape(-1, 4)
-            entry[:, 4:12] = ids[rows[order]].astype("<i8").view(np.uint8).reshape(-1, 8)
-            entry[:, 12:] = raw[rows[order]]
-            some = np.flatnonzero(np.diff(at))
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([entry[at[g] : at[g + 1]].tobytes() for g in some], pa.binary())], ["g", "rows"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, 4096):
+                batch = whole.slice(start, 4096)
+                base.give_back()
+                ids = batch.column(0).to_numpy()
+                raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(len(ids), -1)
+                address = _addresses(raw[:, : INDEXED_BITS // 8].copy().view("<u8"))
+                rows = np.repeat(np.arange(len(ids)), address.shape[1])
+                address = address.ravel()
+                group = (address * np.uint32(0x9E3779B1) >> np.uint32(8)) % np.uint32(groups)
+                order = np.argsort(group, kind="stable")
+                at = np.searchsorted(group[order], np.arange(groups + 1))
+                entry = np.empty((len(order), size), np.uint8)
+                entry[:, :4] = address[order].astype("<u4").view(np.uint8).reshape(-1, 4)
+                entry[:, 4:12] = ids[rows[order]].astype("<i8").view(np.uint8).reshape(-1, 8)
+                entry[:, 12:] = raw[rows[order]]
+                some = np.flatnonzero(np.diff(at))
+                yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([entry[at[g] : at[g + 1]].tobytes() for g in some], pa.binary())], ["g", "rows"])
 
     def match(table: pa.Table) -> pa.Table:
         base.give_back()
@@ -183,34 +215,66 @@ def near_links(nodes: DataFrame, most: int) -> DataFrame:
         entry, address = entry[order], address[order]
         ids, words = entry[:, 4:12].copy().view("<i8").ravel(), entry[:, 12:].copy().view("<u8").reshape(len(entry), -1)
         heads = np.flatnonzero(np.append(True, address[1:] != address[:-1]))
-        found: set[tuple[int, int]] = set()
-        for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(address)]):
-            if b - a > 1:
-                found.update(_linked(ids[a:b], words[a:b], most))
-        pairs = sorted(found)
+        ends = np.append(heads[1:], len(address))
+        # most addresses are of two: those are compared at once
+        two = heads[ends - heads == 2]
+        near = two[np.bitwise_count(words[two] ^ words[two + 1]).sum(axis=1, dtype=np.int64) <= most]
+        found = set(zip(ids[near].tolist(), ids[near + 1].tolist()))
+        more = ends - heads > 2
+        for a, b in zip(heads[more].tolist(), ends[more].tolist()):
+            found.update(_linked(ids[a:b], words[a:b], most))
+        pairs = sorted({(max(p), min(p)) for p in found})
         return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
 
-    dealt = nodes.select("id", "fp").repartition(base.partitions_for(nodes.sparkSession), "fp")
+    dealt = nodes.select("node", "fp").repartition(base.partitions_for(nodes.sparkSession), "fp")
     return dealt.mapInArrow(probe, "g int, rows binary").groupBy("g").applyInArrow(match, "a long, b long").distinct()
 
 
+def confirmed(candidates: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The candidates (a, b) whose shingle sets, of sets(node, shingles), have a Jaccard similarity of at least this."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            base.give_back()
+            a, b = batch.column(2), batch.column(3)
+            good = [jaccard(np.frombuffer(a[k].as_buffer(), "<u8"), np.frombuffer(b[k].as_buffer(), "<u8")) >= similarity for k in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    one = candidates.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a")), "a")
+    both = one.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b")), "b")
+    return both.select("a", "b", "of_a", "of_b").mapInArrow(check, "a long, b long")
+
+
 def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, component_id) of documents with equal or similar shingles: the smallest id of the group.
+    """(id, component_id) of documents with equal or similar shingle sets: the smallest id of the group.
 
-    Similarity is the fingerprints' estimate of the shingle sets' Jaccard similarity. ids are integers and unique.
+    Links are pairs of a Jaccard similarity of at least ``similarity``. ids are integers and unique.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             base.give_back()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([wide_fingerprint(t.as_py(), width) for t in batch.column(1)], pa.binary())], ["id", "fp"])
-
-    own = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    marks = base.written(own.mapInArrow(run, "id long, fp binary"), "fingerprints")
-    nodes = base.written(marks.groupBy("fp").agg(F.min("id").alias("id")), "nodes")
-    roots = base.connected_components(near_links(nodes, most_bits(similarity)))
-    rooted = nodes.join(roots, nodes["id"] == roots["node"], "left").select("fp", F.coalesce("root", "id").alias("component_id"))
-    return marks.join(rooted, "fp").select("id", "component_id")
+            sets = [shingle_set(t.as_py(), width) for t in batch.column(2)]
+            made = [pa.array([_node(h) for h in sets], pa.int64()), pa.array([wide_fingerprint(h) for h in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], ["id", "t", "node", "fp"])
+
+    def spell_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            base.give_back()
+            sets = [shingle_set(t.as_py(), width) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array([_node(h) for h in sets], pa.int64()), pa.array([h.tobytes() for h in sets], pa.binary())], ["node", "shingles"])
+
+    own = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"))
+    marks = base.written(own.mapInArrow(run, "id long, t long, node long, fp binary"), "fingerprints")
+    nodes = base.written(marks.groupBy("node").agg(F.min(F.struct("id", "t")).alias("least"), F.first("fp").alias("fp")), "nodes")
+    candidates = base.written(near_candidates(nodes, most_bits(similarity)), "candidates")
+    named = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    shown = nodes.join(named, "node", "left_semi").select("least.id", "least.t").distinct()
+    sets = base.written(own.join(shown.hint("shuffle_hash"), ["id", "t"], "left_semi").select("text").mapInArrow(spell_out, "node long, shingles binary").dropDuplicates(["node"]), "shingles")
+    roots = base.connected_components(confirmed(candidates, sets, similarity))
+    rooted = base.written(nodes.select("node", "least.id").join(roots, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root")), "rooted")
+    smallest = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
+    return marks.select("id", "node").join(rooted.join(smallest, "root").select("node", "component_id"), "node").select("id", "component_id")
 
 
 def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
