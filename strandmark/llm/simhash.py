@@ -246,9 +246,10 @@ def confirmed(candidates: DataFrame, sets: DataFrame, similarity: float) -> Data
 
 
 def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, component_id) of documents with equal or similar shingle sets: the smallest id of the group.
+    """(id, t, component_id) of documents with equal or similar shingle sets: the smallest id of the group.
 
-    Links are pairs of a Jaccard similarity of at least ``similarity``. ids are integers and unique.
+    Links are pairs of a Jaccard similarity of at least ``similarity``. ids are integers; t, the text's hash, tells rows
+    that share an id apart.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,13 +275,14 @@ def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
     roots = base.connected_components(confirmed(candidates, sets, similarity))
     rooted = base.written(nodes.select("node", "least.id").join(roots, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root")), "rooted")
     smallest = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-    return marks.select("id", "node").join(rooted.join(smallest, "root").select("node", "component_id"), "node").select("id", "component_id")
+    return marks.select("id", "t", "node").join(rooted.join(smallest, "root").select("node", "component_id"), "node").select("id", "t", "component_id")
 
 
 def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the rows whose group has a smaller id; rows with a null id stay."""
-    gone = near_groups(docs, width, similarity, id_col, text_col).where("id > component_id").select(F.col("id").alias("_gone"))
-    return docs.join(gone.hint("shuffle_hash"), F.col(id_col) == F.col("_gone"), "left_anti")
+    gone = near_groups(docs, width, similarity, id_col, text_col).where("id > component_id").select(F.struct("id", "t").alias("_gone"))
+    same = (F.col(id_col) == F.col("_gone.id")) & (F.xxhash64(text_col) == F.col("_gone.t"))
+    return docs.join(gone.hint("shuffle_hash"), same, "left_anti")
 
 
 def op8_simhash(spark, sf_dir: str) -> DataFrame:

@@ -38,3 +38,10 @@ def test_isolated_pairs_are_decided_by_the_shingles(spark, pairs):
     gone = {i for i, _ in rows} - {r.doc_id for r in simhash.keep_one(docs).select("doc_id").collect()}
     assert len(want) == 150 and not gone - want
     assert len(gone) >= 0.97 * len(want)
+
+
+def test_rows_that_share_an_id_go_apart(spark):
+    rng = random.Random(9)
+    (a, near), (other, _) = pair(rng, 200, 5), pair(rng, 200, 5)
+    docs = spark.createDataFrame([(1, a), (2, near), (2, other)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in simhash.keep_one(docs).collect()) == [(1, a), (2, other)]
