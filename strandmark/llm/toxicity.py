@@ -80,7 +80,7 @@ class Lexicon:
     weight: dict[str, float] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        self.screen = frozenset(t.rstrip("*")[:4] for t in [*self.weight, *INSULTS])
+        self.screen = frozenset(t.removesuffix("*")[:4] for t in [*self.weight, *INSULTS])
         self.fixed = frozenset(INSULTS)
 
     def look_up(self, word: str) -> tuple[float, bool, bool]:
@@ -107,10 +107,18 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
     second = sum(map(_SECOND.__contains__, words))
     hits, parts, fixed, weights, seen, near = 0, 0, 0, 0.0, {}, 0.0
     screen = lexicon.screen
-    candidates = {w for w in set(words) if w[:4] in screen or not w[:1].isalpha() or (bare and not w.isalpha())}
+    stretched = len(_STRETCHED.findall(lower))
+    stripped = {w: w.strip(_EDGES) or w for w in set(words)}
+    # a word without disguise is its own plain form; what look_up finds begins as some term does
+    if stretched:
+        candidates = {w: s for w, s in stripped.items() if plain(s)[:4] in screen}
+    elif bare:
+        candidates = {w: s for w, s in stripped.items() if (s if s.isalpha() else plain(s))[:4] in screen}
+    else:
+        candidates = {w: s for w, s in stripped.items() if s[:4] in screen}
     if candidates:
         places = []
-        memo = {w: lexicon.look_up(w.strip(_EDGES) or w) for w in candidates}
+        memo = {w: lexicon.look_up(s) for w, s in candidates.items()}
         for k, w in enumerate(words):
             got = memo.get(w)
             if got and got[0] > 0:
@@ -129,7 +137,7 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
     return [
         math.log1p(n), hits / n, parts / n, math.log1p(hits + parts), float(len(seen)), math.log1p(weights), max(seen.values(), default=0.0), fixed / n, near,
         second / n, counts[65:91].sum() / letters, shouted / n, counts[33] / size, counts[63] / size, float(counts[35:39].sum() + counts[42] + counts[64]) / size, mixed / n,
-        len(_STRETCHED.findall(lower)) / n,
+        stretched / n,
     ]
 
 
