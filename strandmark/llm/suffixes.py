@@ -266,7 +266,17 @@ def _states(block: Block, answers: dict[int, bytes], buckets: int) -> np.ndarray
     return np.where(block.later & ~block.wild, np.uint8(ALL), own)
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_text: bool = False) -> DataFrame:
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs and ``n_bytes, n_removed, n_spans, kept`` (binary); text_col leaves. ids are integers; rows with a null id are
+    uncut and cut nothing."""
+    cut = _repeats(docs, id_col, text_col)
+    raw, none = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8"), F.lit(0).cast("long")
+    added = {"n_bytes": F.octet_length(raw).cast("long"), "n_removed": none, "n_spans": none, "kept": raw}
+    whole = docs.where(F.col(id_col).isNull()).select(*[added[c].alias(c) if c in added else F.col(f"`{c}`") for c in cut.columns])
+    return cut.unionByName(whole)
+
+
+def _repeats(docs: DataFrame, id_col: str, text_col: str, as_text: bool = False) -> DataFrame:
     """docs (rows with an id) and ``n_bytes, n_removed, n_spans, kept``; text_col leaves. ids are integers.
 
     kept is binary; as text, characters that a cut went through go as well."""
@@ -423,7 +433,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with repeated passages cut from text_col; the same columns. Rows with a null id stay as they are."""
-    cut = repeats(docs, id_col, text_col, as_text=True).withColumnRenamed("kept", text_col)
+    cut = _repeats(docs, id_col, text_col, as_text=True).withColumnRenamed("kept", text_col)
     return cut.select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
 
 
