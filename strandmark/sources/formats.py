@@ -108,8 +108,26 @@ def fastq(spark: SparkSession, paths: list[str]) -> DataFrame:
     return rows.groupBy("_file", "_record").agg(F.substring(part(0), 2, 1 << 20).alias("name"), part(1).alias("seq"), part(3).alias("qual")).drop("_file", "_record")
 
 
+def _tail(base: str, least: int) -> Column:
+    """Bases of the tail of ``seq`` that is all ``base`` but for one in eight, five at most; 0 if shorter than ``least``."""
+    state = "named_struct('i', 0, 'other', 0, 'tail', 0, 'open', true)"
+    other = f"s.other + if(x = '{base}', 0, 1)"
+    over = f"({other} > 5 OR ({other} > (s.i + 1) div 8 AND s.i >= {least - 1}))"
+    step = f"named_struct('i', if({over}, s.i, s.i + 1), 'other', {other}, 'tail', if(x = '{base}' AND NOT {over}, s.i + 1, s.tail), 'open', NOT {over})"
+    return F.expr(f"aggregate(split(reverse(seq), ''), {state}, (s, x) -> if(s.open, {step}, s), s -> if(s.i >= {least}, s.tail, 0))")
+
+
+def trimmed_tails(reads: DataFrame, least: int = 10, bases: str = "GATC") -> DataFrame:
+    """reads without their polyG/polyX tails: the longest tail of one base, of seq and qual alike. ``G`` alone: polyG."""
+    tail = F.greatest(F.lit(0), *[_tail(b, least) for b in bases])
+    cut = reads.withColumn("_left", F.length("seq") - tail)
+    return cut.withColumns({c: F.substring(F.col(c), F.lit(1), F.col("_left")) for c in ("seq", "qual")}).drop("_left")
+
+
 def passing_reads(reads: DataFrame, phred: int = 20, length: int = 30, low_complexity: int | None = 30, max_low: float = 0.4) -> DataFrame:
-    """Length, base quality and complexity filters as column expressions. Complexity: share of bases unlike the next."""
+    """PolyG/polyX tails trimmed, then length, base quality and complexity filters as column expressions. Complexity:
+    share of bases unlike the next."""
+    reads = trimmed_tails(reads)
     low: Column = F.size(F.filter(F.split("qual", ""), lambda q: F.ascii(q) - 33 < phred)) / F.greatest(F.length("qual"), F.lit(1))
     keep = (F.length("seq") >= length) & (low <= max_low)
     if low_complexity is not None:
