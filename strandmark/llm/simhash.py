@@ -4,13 +4,13 @@ Words are ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z lower-cased; shingles of
 (fewer words: the whole sequence), are hashed with XXH64, seed 42. A fingerprint bit is 1 if it's set in over half
 the hashes; without words the fingerprint is zero.
 
-Links within ``DISTANCE`` = 2 bits. A fingerprint is indexed by two 32-bit segments. Two fingerprints 2 bits apart or
-less differ, in at least one order, by at most one bit in each step through a common neighbour; so the radius-1 balls
-around each segment are enumerated (1 + 32 + 32 addresses, the untouched segment being part of the address), equal
-addresses fetch each other from the table, and the complete distance is verified. An address holds at most 65
-distinct fingerprints however skewed the input, so no bucket grows and no pairs of a group are spelled out: members
-of an address are linked to its smallest one, and that pair is verified as well (two that share an address are at
-most 2 bits apart, so every link of the address is real).
+Links within ``DISTANCE`` = 2 bits. Multi-index hashing: a fingerprint has one row in the table for each of its two
+32-bit segments, addressed by the segment's value. Two fingerprints at most 2 bits apart differ by at most one bit in one
+of the segments, so each fingerprint enumerates the radius-1 ball around each of its segments (only bits that are 0 are
+set: of two values one bit apart one finds the other), fetches the fingerprints that the table has there, and the complete
+distance is verified. Segment values that more than ``HOT`` fingerprints share are split: there the other half is
+indexed the same way by its two 16-bit segments, so an address holds at most 65,536 distinct fingerprints however
+skewed the input is. Only verified links leave the join.
 
 Equal fingerprints are one node before anything is enumerated, so thousands of copies cost one row.
 
@@ -31,13 +31,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import base
 
 DISTANCE = 2
 SEED = 42
+#: Distinct fingerprints of a segment value beyond which it is split by the other half.
+HOT = 4096
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
 
 
@@ -77,16 +79,39 @@ def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_c
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {id_type.simpleString()}, fp long")
 
 
-def links(fps: DataFrame) -> DataFrame:
-    """(a, b): links between distinct fingerprints ``fps(fp)`` whose closure is that of all pairs within DISTANCE."""
-    low = F.expr("transform(sequence(0, 31), i -> fp ^ shiftleft(1L, i))")
-    high = F.expr("transform(sequence(32, 63), i -> fp ^ shiftleft(1L, i))")
+def _ball(address: str, bits: int) -> Column:
+    """The address and those with one more of its lowest bits set."""
+    clear = f"filter(sequence(0, {bits - 1}), i -> (shiftright({address}, i) & 1L) = 0L)"
+    return F.expr(f"concat(array({address}), transform({clear}, i -> {address} | shiftleft(1L, i)))")
+
+
+def _verified(probes: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """(a, b) of what the probes fetch from the table, within DISTANCE."""
+    homes = table.select(F.col("fp").alias("b"), *[F.col(k).alias(f"_{k}") for k in keys])
+    met = (F.col("fp") != F.col("b")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("b"))) <= DISTANCE)
+    for k in keys:
+        met = met & (F.col(k) == F.col(f"_{k}"))
+    return probes.join(homes, met).select(F.greatest("fp", "b").alias("a"), F.least("fp", "b").alias("b"))
+
+
+def links(fps: DataFrame, hot: int | None = None) -> DataFrame:
+    """(a, b), a > b: all pairs of distinct fingerprints ``fps(fp)`` within DISTANCE bits."""
     # few bytes become many rows: as many tasks as there are partitions, whatever the size of the table
     fps = fps.repartition(base.partitions_for(fps.sparkSession), "fp")
-    probes = fps.select("fp", F.explode(F.concat(F.array("fp"), low, high)).alias("address"))
-    table = probes.groupBy("address").agg(F.collect_list("fp").alias("members")).where(F.size("members") > 1)
-    pairs = table.select(F.array_min("members").alias("b"), F.explode("members").alias("a")).where("a <> b")
-    return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= DISTANCE).distinct()
+    segments = F.array(*[F.struct(F.lit(k).alias("segment"), F.expr(f"shiftrightunsigned(fp, {32 * k}) & 4294967295L | {k << 32}L").alias("address")) for k in range(2)])
+    table = fps.select("fp", F.explode(segments).alias("s")).select("fp", "s.segment", "s.address")
+    probes = table.select("fp", "segment", F.explode(_ball("address", 32)).alias("address"))
+    crowded = base.written(table.groupBy("address").count().where(F.col("count") > (HOT if hot is None else hot)).select("address"), "crowded")
+    if crowded.isEmpty():
+        return _verified(probes, table, ["address"]).distinct()
+    plain = [df.join(crowded, "address", "left_anti") for df in (probes, table)]
+    split = []
+    for df in (probes, table):
+        own = df.join(crowded, "address", "left_semi").withColumn("other", F.expr("shiftrightunsigned(fp, 32 * (1 - segment)) & 4294967295L"))
+        inner = F.explode(F.expr("array(other & 65535L, shiftrightunsigned(other, 16) | 65536L)")).alias("inner")
+        split.append(own.select("fp", "address", inner))
+    split[0] = split[0].select("fp", "address", F.explode(_ball("inner", 16)).alias("inner"))
+    return _verified(*plain, ["address"]).union(_verified(*split, ["address", "inner"])).distinct()
 
 
 def components(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
