@@ -15,9 +15,14 @@ skewed the input is. Only verified links leave the join.
 Equal fingerprints are one node before anything is enumerated, so thousands of copies cost one row.
 
 ``near_groups`` and ``keep_one`` find near copies of a given Jaccard similarity of the sets of distinct shingles (0.8
-and five words by default). Fingerprints, here of 256 bits over distinct shingles, only name candidates: 128 bits are
-indexed by eight 16-bit segments with radius-1 balls on both sides (pairs within 2 bits in some segment meet), and pairs
-within ``most_bits`` of all 256 bits are candidates. A link is what the shingle sets themselves confirm.
+and five words by default). Fingerprints, here of 256 bits or more over distinct shingles, only name candidates. Segments
+widen with the logarithm of the number of documents, so that an address holds about as many at every size, and there are
+so many of them that a pair at the similarity asked for shares an address in all but ``MISSED`` of cases (``Shape``). Balls
+have radius 1 on both sides: pairs within 2 bits in some segment meet. A link is what the shingle sets themselves confirm.
+This goes in two rounds: a quarter of the segments first; what they connect is one component from then on, and the other
+segments only name pairs between components, so a large group of near copies does not name its pairs again and again.
+Addresses that a bounded sample shows to hold more than ``CROWD`` documents are dealt over several tasks; in the second
+round the members of the address's largest component are dealt, and all its others go to each of these tasks.
 
 Edge cases: null text is empty; texts without words share fingerprint zero and are linked like any other; repeated
 rows and ids are kept as rows of their own; rows with a null id take part but are never a component's id unless all
@@ -26,7 +31,10 @@ ids in it are null; other columns are carried by ``keep_one``; no documents give
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -124,11 +132,37 @@ def components(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col
     return marks.join(rooted.join(smallest, "root").select("fp", "component_id"), "fp").select("id", "fp", "component_id")
 
 
-#: The wide fingerprints of near copies: so many bits, of which the first INDEXED_BITS are indexed in segments of 16.
-WIDE_BITS, INDEXED_BITS, SEGMENT_BITS = 256, 128, 16
-#: Pairs within so many bits are linked as soon as they are seen, those further apart by nearness.
+#: Bits at least of the wide fingerprints of near copies.
+WIDE_BITS = 256
+#: Pairs at the similarity asked for that share no address.
+MISSED = 0.002
+#: Pairs within so many of 256 bits are linked as soon as they are seen, those further apart by nearness.
 CLOSE_BITS = 24
-_SALTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA24BAED4963EE407], np.uint64)
+#: Documents of an address beyond which it is dealt over tasks, and of the sample that shows it.
+CROWD, SAMPLE = 8192, 20_000
+
+
+@dataclass(frozen=True)
+class Shape:
+    """A wide fingerprint: ``segments`` of ``width`` bits are indexed, ``bits`` in all; a candidate differs in ``most``."""
+
+    width: int
+    segments: int
+    bits: int
+    most: int
+
+    @staticmethod
+    def of(documents: int, similarity: float) -> Shape:
+        p = math.acos(2 * similarity / (1 + similarity)) / math.pi  # of a bit to differ, between two equally large sets
+        width = max(16, math.ceil(math.log2(max(2, documents))) - 2)
+        meet = sum(math.comb(width, k) * p**k * (1 - p) ** (width - k) for k in range(3))
+        segments = math.ceil(math.log(MISSED) / math.log(1 - meet))
+        bits = max(WIDE_BITS, 64 * -(-width * segments // 64))
+        return Shape(width, segments, bits, math.ceil(bits * p + 3 * math.sqrt(bits * p * (1 - p))))
+
+    @property
+    def close(self) -> int:
+        return CLOSE_BITS * self.bits // 256
 
 
 def shingle_set(text: str | None, width: int) -> np.ndarray:
@@ -136,16 +170,17 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique(np.array(shingle_hashes(text, width), "<u8"))
 
 
-def wide_fingerprint(hashes: np.ndarray) -> bytes:
-    """A fingerprint of WIDE_BITS bits of a shingle set: each hash goes through four mixers of 64 bits."""
+def wide_fingerprint(hashes: np.ndarray, bits: int = WIDE_BITS) -> bytes:
+    """A fingerprint of so many bits of a shingle set: each hash goes through a mixer for each 64 bits."""
     if not len(hashes):
-        return bytes(WIDE_BITS // 8)
-    h = hashes[:, None] * _SALTS
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0x9FB21C651E98DF25)
-    h ^= h >> np.uint64(29)
-    set_in = np.zeros(WIDE_BITS, np.int64)
-    for k in range(0, len(h), 4096):
-        set_in += np.unpackbits(h[k : k + 4096].view(np.uint8).reshape(-1, WIDE_BITS // 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
+        return bytes(bits // 8)
+    salts = np.arange(1, bits // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
+    set_in = np.zeros(bits, np.int64)
+    for k in range(0, len(hashes), 4096):
+        h = hashes[k : k + 4096, None] * salts
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0x9FB21C651E98DF25)
+        h ^= h >> np.uint64(29)
+        set_in += np.unpackbits(h.view(np.uint8).reshape(-1, bits // 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
     return np.packbits(2 * set_in > len(hashes), bitorder="little").tobytes()
 
 
@@ -161,30 +196,26 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return shared / max(1, len(both) - shared)
 
 
-def most_bits(similarity: float) -> int:
-    """Differing bits of WIDE_BITS that a pair of this Jaccard similarity hardly exceeds: the angle between two equally
-    large sets and three standard deviations."""
-    p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    return int(np.ceil(WIDE_BITS * p + 3 * np.sqrt(WIDE_BITS * p * (1 - p))))
-
-
-def _addresses(indexed: np.ndarray) -> np.ndarray:
-    """(segment, value) addresses of each fingerprint's indexed words: the radius-1 ball of every segment."""
-    flips = np.concatenate(([0], 1 << np.arange(SEGMENT_BITS))).astype(np.uint64)
+def _addresses(words: np.ndarray, width: int, segments: range) -> np.ndarray:
+    """(segment, value) addresses of each fingerprint: the radius-1 ball of each of these segments."""
+    flips = np.concatenate(([0], 1 << np.arange(width))).astype(np.uint64)
     out = []
-    for k in range(INDEXED_BITS // SEGMENT_BITS):
-        word, shift = divmod(SEGMENT_BITS * k, 64)
-        value = (indexed[:, word] >> np.uint64(shift)) & np.uint64((1 << SEGMENT_BITS) - 1)
-        out.append((value[:, None] ^ flips) | np.uint64(k << SEGMENT_BITS))
-    return np.concatenate(out, axis=1).astype(np.uint32)
-
-
-def _linked(ids: np.ndarray, words: np.ndarray, most: int) -> list[tuple[int, int]]:
-    """Candidates (a, b) that connect what pairs within ``most`` bits connect, by the nearest pairs: each step takes the
-    member nearest to those reached, and with it all within CLOSE_BITS, so a group of close copies costs few steps."""
+    for k in segments:
+        word, shift = divmod(width * k, 64)
+        value = words[:, word] >> np.uint64(shift)
+        if shift + width > 64:
+            value = value | words[:, word + 1] << np.uint64(64 - shift)
+        value = value & np.uint64((1 << width) - 1)
+        out.append((value[:, None] ^ flips) | np.uint64(k << width))
+    return np.concatenate(out, axis=1)
+
+
+def _linked(ids: np.ndarray, labels: np.ndarray, words: np.ndarray, shape: Shape) -> list[tuple[int, int]]:
+    """Candidates (a, b) that connect what pairs within ``most`` bits connect, by the nearest pairs between labels: each
+    step takes the member nearest to those reached, and with it all of its label and those close to it."""
     out = []
     open_ = np.arange(len(ids))
-    distance, source = np.full(len(ids), WIDE_BITS + 1), np.zeros(len(ids), np.int64)
+    distance, source = np.full(len(ids), shape.bits + 1), np.zeros(len(ids), np.int64)
     queue: list[int] = []
     while len(open_):
         if queue:
@@ -192,7 +223,7 @@ def _linked(ids: np.ndarray, words: np.ndarray, most: int) -> list[tuple[int, in
         else:
             at = int(distance[open_].argmin())
             k = int(open_[at])
-            if distance[k] <= most:
+            if distance[k] <= shape.most:
                 out.append((int(ids[k]), int(ids[source[k]])))
             open_ = np.delete(open_, at)
         if not len(open_):
@@ -200,59 +231,118 @@ def _linked(ids: np.ndarray, words: np.ndarray, most: int) -> list[tuple[int, in
         bits = np.bitwise_count(words[open_] ^ words[k]).sum(axis=1, dtype=np.int64)
         nearer = bits < distance[open_]
         distance[open_[nearer]], source[open_[nearer]] = bits[nearer], k
-        if (close := bits <= CLOSE_BITS).any():
-            out += [(int(ids[r]), int(ids[k])) for r in open_[close]]
-            queue += open_[close].tolist()
-            open_ = open_[~close]
+        own = labels[open_] == labels[k]
+        close = (bits <= shape.close) & ~own
+        if close.any():  # one of each label, the others come with it
+            _, first = np.unique(labels[open_[close]], return_index=True)
+            taken = open_[close][first]
+            out += [(int(ids[r]), int(ids[k])) for r in taken]
+            own |= np.isin(open_, taken, assume_unique=True)
+        if own.any():
+            queue += open_[own].tolist()
+            open_ = open_[~own]
+    return out
+
+
+def _named(address: np.ndarray, ids: np.ndarray, labels: np.ndarray, words: np.ndarray, shape: Shape) -> set[tuple[int, int]]:
+    """Candidates of entries that are sorted by address."""
+    heads = np.flatnonzero(np.append(True, address[1:] != address[:-1]))
+    ends = np.append(heads[1:], len(address))
+    sizes = ends - heads
+    # members of the many small addresses that have anything near are found pair by pair, at once for all addresses
+    hit = np.repeat(sizes > 1024, sizes)
+    end = np.repeat(ends, sizes)
+    p, step = np.flatnonzero(~hit), 0
+    while len(p):
+        step += 1
+        p = p[p + step < end[p]]
+        for a in range(0, len(p), 1 << 18):
+            q = p[a : a + (1 << 18)]
+            near = (np.bitwise_count(words[q] ^ words[q + step]).sum(axis=1, dtype=np.int64) <= shape.most) & (labels[q] != labels[q + step])
+            hit[q[near]] = hit[q[near] + step] = True
+    some = np.flatnonzero(hit)
+    cut = np.flatnonzero(address[some][1:] != address[some][:-1]) + 1
+    found: set[tuple[int, int]] = set()
+    for part in np.split(some, cut) if len(some) else []:
+        found.update(_linked(ids[part], labels[part], words[part], shape))
+    return {(max(p), min(p)) for p in found}
+
+
+def _crowds(nodes: DataFrame, shape: Shape, segments: range) -> dict[int, tuple[int, int]]:
+    """Of addresses that hold more than CROWD nodes by a sample of at most SAMPLE: over how many tasks they are dealt, and
+    their most frequent label."""
+    total = nodes.count()
+    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("label", "fp").collect() if total > CROWD else []
+    if not sample:
+        return {}
+    words = np.frombuffer(b"".join(bytes(r.fp) for r in sample), "<u8").reshape(len(sample), -1)
+    address = _addresses(words, shape.width, segments)
+    found, counts = np.unique(address, return_counts=True)
+    held = counts * (total / len(sample))
+    out = {}
+    large = (held > CROWD) & (counts >= 8)
+    for a, n in zip(found[large].tolist(), held[large].tolist()):
+        labels = Counter(sample[k].label for k in np.flatnonzero((address == np.uint64(a)).any(axis=1)).tolist())
+        out[a] = (math.ceil(n / CROWD), labels.most_common(1)[0][0])
     return out
 
 
-def near_candidates(nodes: DataFrame, most: int) -> DataFrame:
-    """(a, b), a > b, of nodes(node, fp): candidates within ``most`` bits that share an address."""
+def near_candidates(nodes: DataFrame, shape: Shape, segments: range) -> DataFrame:
+    """(a, b), a > b, of nodes(node, label, fp): candidates of different labels that share an address of these segments."""
     groups = 2 * base.partitions_for(nodes.sparkSession)
-    size = 4 + 8 + WIDE_BITS // 8
+    size = 24 + shape.bits // 8
+    crowds = _crowds(nodes, shape, segments)
+
+    def dealt(address: np.ndarray, rows: np.ndarray, ids: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The entries' addresses, rows and task numbers within an address."""
+        salt = np.zeros(len(rows), np.uint64)
+        more: list[tuple[np.ndarray, np.ndarray]] = []
+        if crowds:
+            for k in np.flatnonzero(np.isin(address, np.array(list(crowds), np.uint64))).tolist():
+                tasks, label = crowds[int(address[k])]
+                if labels[rows[k]] == label or segments.start == 0:  # the first round knows no components
+                    salt[k] = xxhash.xxh64_intdigest(int(ids[rows[k]]).to_bytes(8, "little", signed=True), int(address[k]) & 0xFFFFFFFF) % tasks
+                else:
+                    more.append((np.full(tasks - 1, k), np.arange(1, tasks, dtype=np.uint64)))
+        if more:
+            again, salts = (np.concatenate(x) for x in zip(*more))
+            return np.concatenate((address, address[again])), np.concatenate((rows, rows[again])), np.concatenate((salt, salts))
+        return address, rows, salt
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, 4096):
                 batch = whole.slice(start, 4096)
                 base.give_back()
-                ids = batch.column(0).to_numpy()
-                raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(len(ids), -1)
-                address = _addresses(raw[:, : INDEXED_BITS // 8].copy().view("<u8"))
+                ids, labels = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                raw = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(len(ids), -1)
+                address = _addresses(raw.copy().view("<u8"), shape.width, segments)
                 rows = np.repeat(np.arange(len(ids)), address.shape[1])
-                address = address.ravel()
-                group = (address * np.uint32(0x9E3779B1) >> np.uint32(8)) % np.uint32(groups)
+                address, rows, salt = dealt(address.ravel(), rows, ids, labels)
+                address = address | salt << np.uint64(44)
+                group = (address * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(groups)
                 order = np.argsort(group, kind="stable")
-                at = np.searchsorted(group[order], np.arange(groups + 1))
+                at = np.searchsorted(group[order], np.arange(groups + 1, dtype=np.uint64))
+                rows = rows[order]
                 entry = np.empty((len(order), size), np.uint8)
-                entry[:, :4] = address[order].astype("<u4").view(np.uint8).reshape(-1, 4)
-                entry[:, 4:12] = ids[rows[order]].astype("<i8").view(np.uint8).reshape(-1, 8)
-                entry[:, 12:] = raw[rows[order]]
+                for k, column in enumerate((address[order], ids[rows], labels[rows])):
+                    entry[:, 8 * k : 8 * k + 8] = column.astype("<u8" if not k else "<i8").view(np.uint8).reshape(-1, 8)
+                entry[:, 24:] = raw[rows]
                 some = np.flatnonzero(np.diff(at))
                 yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([entry[at[g] : at[g + 1]].tobytes() for g in some], pa.binary())], ["g", "rows"])
 
     def match(table: pa.Table) -> pa.Table:
         base.give_back()
         entry = np.frombuffer(b"".join(table["rows"].to_pylist()), np.uint8).reshape(-1, size)
-        address = entry[:, :4].copy().view("<u4").ravel()
+        address = entry[:, :8].copy().view("<u8").ravel()
         order = np.argsort(address, kind="stable")
-        entry, address = entry[order], address[order]
-        ids, words = entry[:, 4:12].copy().view("<i8").ravel(), entry[:, 12:].copy().view("<u8").reshape(len(entry), -1)
-        heads = np.flatnonzero(np.append(True, address[1:] != address[:-1]))
-        ends = np.append(heads[1:], len(address))
-        # most addresses are of two: those are compared at once
-        two = heads[ends - heads == 2]
-        near = two[np.bitwise_count(words[two] ^ words[two + 1]).sum(axis=1, dtype=np.int64) <= most]
-        found = set(zip(ids[near].tolist(), ids[near + 1].tolist()))
-        more = ends - heads > 2
-        for a, b in zip(heads[more].tolist(), ends[more].tolist()):
-            found.update(_linked(ids[a:b], words[a:b], most))
-        pairs = sorted({(max(p), min(p)) for p in found})
+        entry = entry[order]
+        numbers = entry[:, 8:24].copy().view("<i8").reshape(len(entry), 2)
+        pairs = sorted(_named(address[order], numbers[:, 0], numbers[:, 1], entry[:, 24:].copy().view("<u8").reshape(len(entry), -1), shape))
         return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
 
-    dealt = nodes.select("node", "fp").repartition(base.partitions_for(nodes.sparkSession), "fp")
-    return dealt.mapInArrow(probe, "g int, rows binary").groupBy("g").applyInArrow(match, "a long, b long").distinct()
+    even = nodes.select("node", "label", "fp").repartition(base.partitions_for(nodes.sparkSession), "fp")
+    return even.mapInArrow(probe, "g int, rows binary").groupBy("g").applyInArrow(match, "a long, b long").distinct()
 
 
 def confirmed(candidates: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -277,11 +367,14 @@ def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
     that share an id apart.
     """
 
+    own = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"))
+    shape = Shape.of(own.count(), similarity)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             base.give_back()
             sets = [shingle_set(t.as_py(), width) for t in batch.column(2)]
-            made = [pa.array([_node(h) for h in sets], pa.int64()), pa.array([wide_fingerprint(h) for h in sets], pa.binary())]
+            made = [pa.array([_node(h) for h in sets], pa.int64()), pa.array([wide_fingerprint(h, shape.bits) for h in sets], pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], ["id", "t", "node", "fp"])
 
     def spell_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,17 +383,27 @@ def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
             sets = [shingle_set(t.as_py(), width) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array([_node(h) for h in sets], pa.int64()), pa.array([h.tobytes() for h in sets], pa.binary())], ["node", "shingles"])
 
-    own = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"))
+    def spelled(nodes: DataFrame) -> DataFrame:
+        shown = base.written(nodes.select("least.id", "least.t").distinct(), "shown")
+        return own.join(shown, ["id", "t"], "left_semi").select("text").mapInArrow(spell_out, "node long, shingles binary").dropDuplicates(["node"])
+
     marks = base.written(own.mapInArrow(run, "id long, t long, node long, fp binary"), "fingerprints")
-    nodes = base.written(marks.groupBy("node").agg(F.min(F.struct("id", "t")).alias("least"), F.first("fp").alias("fp")), "nodes")
-    candidates = base.written(near_candidates(nodes, most_bits(similarity)), "candidates")
-    named = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    shown = nodes.join(named, "node", "left_semi").select("least.id", "least.t").distinct()
-    sets = base.written(own.join(shown.hint("shuffle_hash"), ["id", "t"], "left_semi").select("text").mapInArrow(spell_out, "node long, shingles binary").dropDuplicates(["node"]), "shingles")
-    roots = base.connected_components(confirmed(candidates, sets, similarity))
-    rooted = base.written(nodes.select("node", "least.id").join(roots, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root")), "rooted")
-    smallest = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-    return marks.select("id", "t", "node").join(rooted.join(smallest, "root").select("node", "component_id"), "node").select("id", "t", "component_id")
+    now = base.written(marks.groupBy("node").agg(F.min(F.struct("id", "t")).alias("least"), F.first("fp").alias("fp")).withColumn("label", F.col("node")), "nodes")
+    first = -(-shape.segments // 4)
+    sets = None
+    for segments in (range(first), range(first, shape.segments)):
+        candidates = base.written(near_candidates(now, shape, segments), "candidates")
+        named = now.join(candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
+        new = base.written(spelled(named if sets is None else named.join(sets, "node", "left_anti")), "shingles")
+        sets = new if sets is None else sets.unionByName(new)
+        found = confirmed(candidates, sets, similarity)
+        for c in "ab":
+            found = found.join(now.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}")), c)
+        roots = base.connected_components(found.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
+        joined = now.join(roots.withColumnRenamed("node", "label"), "label", "left")
+        now = base.written(joined.select("node", "least", "fp", F.coalesce("root", "label").alias("label")), "labels")
+    smallest = now.groupBy("label").agg(F.min("least.id").alias("component_id"))
+    return marks.select("id", "t", "node").join(now.join(smallest, "label").select("node", "component_id"), "node").select("id", "t", "component_id")
 
 
 def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
