@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandmark.functions import reads as R
@@ -111,18 +111,29 @@ def contig_density(reads: DataFrame) -> DataFrame:
 
 
 def layout(reads: DataFrame, min_mapq: int, require_paired: bool, most: int = 10_000) -> None:
-    """Raises unless the first eligible reads exist (and one of them is paired)."""
-    probe = reads.where(R.eligible(min_mapq)).orderBy("contig", "read_ord").limit(most).agg(F.count("*").alias("n"), F.count_if(R.has(R.PAIRED)).alias("paired")).first()
+    """Raises unless there are eligible reads (and one of some ``most`` of them is paired)."""
+    probe = reads.where(R.eligible(min_mapq)).limit(most).agg(F.count("*").alias("n"), F.count_if(R.has(R.PAIRED)).alias("paired")).first()
     if not probe["n"]:
         raise ValueError("no eligible primary alignments")
     if require_paired and not probe["paired"]:
         raise ValueError("ndigenome needs paired-end reads")
 
 
+MATE = ["mate_contig", "mate_start", "mate_reverse"]
+
+
 def mark_duplicates(reads: DataFrame) -> DataFrame:
-    """Flags all but the best read of equal contig, strand, 5' end and mate layout."""
-    from pyspark.sql import Window
+    """Flags all but one of the fragments that begin alike.
 
-    w = Window.partitionBy("contig", R.strand(), R.endpoint(), R.has(R.PAIRED)).orderBy(F.col("mapping_quality").desc(), "read_ord")
-    kept = ~R.has(R.UNMAPPED | R.SECONDARY | R.SUPPLEMENTARY)
-    return reads.withColumn("_k", F.when(kept, F.row_number().over(w))).withColumn("flag", F.when(F.col("_k") > 1, F.col("flag").bitwiseOR(R.DUPLICATE)).otherwise(F.col("flag"))).drop("_k")
+    Only mapped primary records are compared, others keep their flags and stand in nobody's way. Alike: contig, strand,
+    unclipped 5' end, being paired, and the mate's place as far as reads have the columns of MATE. The one that stays has the
+    greatest ``quality_sum`` if reads have it, then mapping quality, then comes first.
+    """
+    plus = R.five_prime_clip()
+    start = F.when(R.has(R.REVERSE), R.endpoint() + plus).otherwise(R.endpoint() - plus)
+    alike = ["contig", R.strand(), start, R.has(R.PAIRED), *[c for c in MATE if c in reads.columns]]
+    best = [F.col(c).desc() for c in ("quality_sum", "mapping_quality") if c in reads.columns]
+    compared = ~R.has(R.UNMAPPED | R.SECONDARY | R.SUPPLEMENTARY)
+    rank = F.row_number().over(Window.partitionBy(*alike).orderBy(*best, "read_ord"))
+    own = reads.where(compared).withColumn("flag", F.when(rank > 1, F.col("flag").bitwiseOR(R.DUPLICATE)).otherwise(F.col("flag")))
+    return own.unionByName(reads.where(~compared))

@@ -62,32 +62,67 @@ def test_fastq(spark, tmp_path):
     assert [r.name for r in formats.passing_reads(rows, length=10).collect()] == ["a"]
 
 
-def sheet(tmp_path, *rows, head="sample,fastq_1,fastq_2,lane,control"):
+def sheet(tmp_path, *rows, head="sample,fastq_1,fastq_2,control"):
     return put(tmp_path / "s.csv", "\n".join([head, *rows]) + "\n")
 
 
 def test_samplesheet(spark, tmp_path):
-    path = sheet(tmp_path, "t,t_1.fq.gz,t_2.fq.gz,,c", "c,c_1.fq.gz,c_2.fq.gz,,", "t,u_1.fq.gz,u_2.fq.gz,,c")
+    path = sheet(tmp_path, "t,/x/t_1.fq.gz,/x/t_2.fq.gz,c", "c,/x/c_1.fq.gz,/x/c_2.fq.gz,", "t,/x/y/../u_1.fq.gz,/x/u_2.fq.gz,c")
     rows = manifest.normalised(manifest.read(spark, path), "ndigenome")
     got = rows.collect()
     assert [(r.sample, r.lane, r.is_control) for r in got] == [("c", "L001", "true"), ("t", "L001", "false"), ("t", "L002", "false")]
+    assert got[2].fastq_1 == "/x/u_1.fq.gz" and {r.layout for r in got} == {"PE"}
     assert [tuple(r) for r in manifest.matched(rows).collect()] == [("t", "c")]
+    manifest.write(rows, str(tmp_path / "out"))
+    lines = spark.read.text(str(tmp_path / "out")).collect()
+    assert [r.value for r in lines][:2] == [",".join(manifest.WRITTEN), "c,L001,/x/c_1.fq.gz,/x/c_2.fq.gz,,,,true"]
+
+
+def test_samplesheet_files(spark, tmp_path):
+    for name in ("a_1.fq.gz", "v.vcf.gz", "v.vcf.gz.csi", "w.vcf.gz"):
+        put(tmp_path / name, "")
+    (tmp_path / "link_1.fq.gz").symlink_to(tmp_path / "a_1.fq.gz")
+    exists = lambda p: (tmp_path / p).exists()
+    resolve = lambda p: str((tmp_path / p).resolve())
+    head = "sample,fastq_1,fastq_2,variant_vcf"
+    got = manifest.normalised(manifest.read(spark, sheet(tmp_path, "a,a_1.fq.gz,,v.vcf.gz", head=head)), "digenome", exists, resolve).collect()
+    assert got[0].variant_index == str(tmp_path / "v.vcf.gz.csi") and got[0].variant_vcf == str(tmp_path / "v.vcf.gz") and got[0].layout == "SE"
+    for row, message in (("a,a_1.fq.gz,,w.vcf.gz", "no index"), ("a,b_1.fq.gz,,", "no such file: b_1"), ("a,a_1.fq.gz,,\nb,link_1.fq.gz,,", "twice")):
+        with pytest.raises(ValueError, match=message):
+            manifest.normalised(manifest.read(spark, sheet(tmp_path, row, head=head)), "digenome", exists, resolve)
+
+
+def test_samplesheet_names_clash_within_a_sample_only(spark, tmp_path):
+    path = sheet(tmp_path, "a,d/x_1.fq.gz,d/x_2.fq.gz,", "b,e/x_1.fq.gz,e/x_2.fq.gz,")
+    assert manifest.normalised(manifest.read(spark, path), "ndigenome").count() == 2
+    with pytest.raises(ValueError, match="one name"):
+        manifest.normalised(manifest.read(spark, sheet(tmp_path, "a,d/x_1.fq.gz,d/x_2.fq.gz,", "a,e/x_1.fq.gz,e/y_2.fq.gz,")), "ndigenome")
+
+
+def test_samplesheet_lanes(spark, tmp_path):
+    head = "sample,fastq_1,fastq_2,lane"
+    rows = manifest.normalised(manifest.read(spark, sheet(tmp_path, "a,x_1.fq.gz,x_2.fq.gz,L7", "a,y_1.fq.gz,y_2.fq.gz,L3", head=head)), "digenome").collect()
+    assert [r.lane for r in rows] == ["L3", "L7"]
+    for row, message in (("a,x_1.fq.gz,x_2.fq.gz,", "blank lane"), ("a,x_1.fq.gz,x_2.fq.gz,L1\na,y_1.fq.gz,y_2.fq.gz,L1", "repeat")):
+        with pytest.raises(ValueError, match=message):
+            manifest.normalised(manifest.read(spark, sheet(tmp_path, row, head=head)), "digenome")
 
 
 @pytest.mark.parametrize(
     "row, message",
     [
-        ("a b,x_1.fq.gz,x_2.fq.gz,,", "characters"),
-        (",x_1.fq.gz,x_2.fq.gz,,", "blank sample"),
-        ("a,,x_2.fq.gz,,", "blank fastq_1"),
-        ("a,x.txt,x_2.fq.gz,,", "fastq_1"),
-        ("a,x_1.fq.gz,,,", "paired"),
-        ("a,x_1.fq.gz,x_1.fq.gz,,", "twice"),
-        ("a,d/x.fq.gz,e/x.fq.gz,,", "one name"),
-        ("a,x_1.fq.gz,x_2.fq.gz,,a", "own control"),
-        ("a,x_1.fq.gz,x_2.fq.gz,,zz", "no such control"),
-        ("a,x_1.fq.gz,x_2.fq.gz,L1,\na,y_1.fq.gz,y_2.fq.gz,L1,", "repeat"),
-        ("a,x_1.fq.gz,x_2.fq.gz,,b\nb,y_1.fq.gz,y_2.fq.gz,,c\nc,z_1.fq.gz,z_2.fq.gz,,", "has a control"),
+        ("a b,x_1.fq.gz,x_2.fq.gz,", "characters"),
+        (",x_1.fq.gz,x_2.fq.gz,", "blank sample"),
+        ("a,,x_2.fq.gz,", "blank fastq_1"),
+        ("a,x.txt,x_2.fq.gz,", "fastq_1"),
+        ("a,x_1.fq.gz,,", "paired"),
+        ("a,x_1.fq.gz,x_1.fq.gz,", "twice"),
+        ("a,x_1.fq.gz,./x_1.fq.gz,", "twice"),
+        ("a,d/x.fq.gz,e/x.fq.gz,", "one name"),
+        ("a,x_1.fq.gz,x_2.fq.gz,a", "own control"),
+        ("a,x_1.fq.gz,x_2.fq.gz,zz", "no such control"),
+        ("a,x_1.fq.gz,x_2.fq.gz,b\nb,y_1.fq.gz,y_2.fq.gz,c\nc,z_1.fq.gz,z_2.fq.gz,", "has a control"),
+        ("a,x_1.fq.gz,x_2.fq.gz,b\na,y_1.fq.gz,y_2.fq.gz,\nb,z_1.fq.gz,z_2.fq.gz,", "different controls"),
     ],
 )
 def test_samplesheet_faults(spark, tmp_path, row, message):
@@ -96,9 +131,9 @@ def test_samplesheet_faults(spark, tmp_path, row, message):
 
 
 def test_samplesheet_header(spark, tmp_path):
-    for head in ("sample,fastq_1", "sample,fastq_1,fastq_2,other"):
+    for head in ("sample,fastq_1", "sample,fastq_1,fastq_2,other", "sample,fastq_1,fastq_2,lane, lane"):
         with pytest.raises(ValueError):
-            manifest.read(spark, sheet(tmp_path, "a,b,c,d"[: 2 * len(head.split(",")) - 1], head=head))
+            manifest.read(spark, sheet(tmp_path, "a,b,c,d,e"[: 2 * len(head.split(",")) - 1], head=head))
     with pytest.raises(ValueError, match="no rows"):
         manifest.normalised(manifest.read(spark, sheet(tmp_path)), "digenome")
 
@@ -117,16 +152,70 @@ def test_parameters():
         Params(ndigenome_min_fraction=1.5)
 
 
-def test_plan(spark):
-    three = spark.createDataFrame([("chr1", 2000), ("chr2", 2000), ("chr3", 2000)], "contig string, length long")
-    density = spark.createDataFrame([("chr1", 8), ("chr2", 5), ("chr3", 3)], "contig string, mapped long")
-    rows = planner.plan(density, three, 2, 10)
-    assert [(r["chunk_id"], r["contig"]) for r in rows] == [("000", "chr1"), ("001", "chr2"), ("001", "chr3")]
-    assert len({r["chunk_id"] for r in planner.plan(density, three, 20)}) <= 16
-    mask = spark.createDataFrame([("chr1", 0, 1800)], "contig string, start long, end long")
-    rows = planner.plan(spark.createDataFrame([("chr1", 100), ("chr2", 100)], "contig string, mapped long"), three, 2, 0, mask)
-    assert sum(r["callable_bases"] for r in rows) == 2200 and sum(r["mapped_reads"] for r in rows) == 200
-    assert planner.plan_frame(spark, rows).count() == len(rows)
+THREE = [("chr1", 2000, 0), ("chr2", 2000, 1), ("chr10", 2000, 2)]
+
+
+def planned(spark, mapped, chunks, padding=0, mask=None):
+    contigs = spark.createDataFrame(THREE, "contig string, length long, ordinal long")
+    density = spark.createDataFrame(mapped, "contig string, mapped long")
+    hidden = mask and spark.createDataFrame(mask, "contig string, start long, end long")
+    return planner.plan(density, contigs, chunks, padding, hidden)
+
+
+def spans(rows):
+    return [(r["chunk_id"][-3:], r["contig"], r["owner_start"], r["owner_end"]) for r in rows]
+
+
+def test_plan_balances_open_records(spark, tmp_path):
+    rows = planned(spark, [("chr1", 100), ("chr2", 100)], 2, 0, [("chr1", 0, 1800)])
+    assert spans(rows) == [("000", "chr1", 0, 2000), ("000", "chr2", 0, 900), ("001", "chr2", 900, 2000)]
+    assert [(r["mapped_records"], r["callable_mapped_records"]) for r in rows] == [(145, 55), (145, 55), (55, 55)]
+    planner.write_plan(spark, rows, str(tmp_path))
+    table = spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / "plan")).collect()
+    assert [(r.chunk_id, r.interval_count, r.contig_count, r.owned_bases, r.callable_bases, r.excluded_bases, r.intervals) for r in table] == [
+        ("chunk_000", "2", "2", "2900", "1100", "1800", "chr1:0-2000,chr2:0-900"), ("chunk_001", "1", "1", "1100", "1100", "0", "chr2:900-2000")
+    ]
+    one = formats.interval_table(spark, str(tmp_path / "intervals/chunk_id=chunk_000"))
+    assert sorted(tuple(r)[:3] for r in one.collect()) == [("chr1", 0, 2000), ("chr2", 0, 900)]
+
+
+def test_plan_keeps_a_contig_that_is_hidden_whole(spark):
+    rows = planned(spark, [("chr1", 10)], 8, 0, [("chr1", 0, 2000)])
+    assert spans(rows) == [("000", "chr1", 0, 2000)]
+    assert [rows[0][k] for k in ("mapped_records", "callable_mapped_records", "callable_bases", "excluded_bases")] == [10, 0, 0, 2000]
+
+
+def test_plan_follows_the_header_and_covers_all(spark):
+    rows = planned(spark, [("chr10", 3), ("chr2", 5), ("chr1", 8)], 2, 10)
+    assert [r["contig"] for r in rows] == ["chr1", "chr2", "chr10"] and [r["chunk_id"] for r in rows] == ["chunk_000", "chunk_001", "chunk_001"]
+    assert all(r["scan_start"] == 0 and r["scan_end"] == 2000 for r in rows)
+    many = planned(spark, [("chr1", 8), ("chr2", 5), ("chr10", 3)], 20, 10)
+    assert len({r["chunk_id"] for r in many}) <= 16
+    for c in ("chr1", "chr2", "chr10"):
+        own = [(r["owner_start"], r["owner_end"]) for r in many if r["contig"] == c]
+        assert own[0][0] == 0 and own[-1][1] == 2000 and all(a[1] == b[0] for a, b in zip(own, own[1:]))
+    masked = planned(spark, [("chr1", 8)], 2, 10, [("chr1", 100, 200)])
+    assert sum(r["excluded_bases"] for r in masked) == 100
+    # cuts that would fall together are moved apart, and stay within the contig
+    tight = planned(spark, [("chr1", 50)], 8, 0, [("chr1", 3, 1999)])
+    assert all(a["owner_end"] == b["owner_start"] and a["owner_start"] < a["owner_end"] for a, b in zip(tight, tight[1:])) and tight[-1]["owner_end"] == 2000
+    with pytest.raises(ValueError, match="no mapped"):
+        planned(spark, [("chr1", 0)], 2)
+
+
+def test_duplicates(spark):
+    rows = forward(3, 100) + forward(1, 300)
+    df = frame(spark, rows)
+    first = df.where("reference_start = 100").first().asDict()
+    extra = [
+        first | {"read_ord": 900, "query_name": "secondary", "flag": 257, "mapping_quality": 60},
+        first | {"read_ord": 901, "query_name": "clipped", "flag": 1, "reference_start": 105, "cigar": "5S45M", "mapping_quality": 61},
+        first | {"read_ord": 902, "query_name": "unmapped", "flag": 5},
+    ]
+    marked = {r.query_name: r.flag for r in sites.mark_duplicates(df.union(spark.createDataFrame(extra, df.schema))).collect()}
+    own = {r.query_name for r in df.where("reference_start = 100").collect()}
+    assert marked["clipped"] == 1 and all(marked[n] & 1024 for n in own) and marked["secondary"] == 257 and marked["unmapped"] == 5
+    assert all(not marked[r.query_name] & 1024 for r in df.where("reference_start = 300").collect())
 
 
 def test_fragments_and_stream(spark, tmp_path):
