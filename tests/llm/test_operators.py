@@ -343,14 +343,6 @@ def test_suffix_dedup_keeps_columns_and_null_ids(spark, docs):
     assert all(r.text.encode() == want[r.doc_id][3].decode(errors="ignore").encode() for r in cut.where("doc_id IS NOT NULL").collect())
 
 
-def test_multikey_sort():
-    rng = np.random.default_rng(1)
-    words = rng.integers(0, 3, (500, 5)).astype(np.uint64)
-    order, new = suffixes._sorted_equal(words)
-    rows = [tuple(r) for r in words[order].tolist()]
-    assert rows == sorted(rows) and [k for k in range(500) if k == 0 or rows[k] != rows[k - 1]] == np.flatnonzero(new).tolist()
-
-
 def test_nearest_neighbours(spark):
     rng = np.random.default_rng(3)
     x = rng.standard_normal((1500, 32))
