@@ -16,12 +16,15 @@ CALL = ["contig", "pos", "strand"]
 
 
 def indel_labels(variants: DataFrame) -> DataFrame:
-    """variants(contig, pos 1-based, ref, alts) that change length, as (contig, start, end, label)."""
+    """variants(contig, pos 1-based, ref, alts[, end]) that change length, as (contig, start, end, label). A variant covers its
+    reference bases, and all up to ``end`` where that is given, as for symbolic alleles."""
     alts = F.filter("alts", lambda a: (a != "") & (F.length(a) != F.length("ref")))
     found = variants.withColumn("_alts", alts).where(F.size("_alts") > 0)
     start = F.col("pos") - 1
     label = F.concat("contig", F.lit(":"), F.col("pos").cast("string"), F.lit(":"), "ref", F.lit(">"), F.array_join("_alts", ","))
-    return found.select("contig", start.alias("start"), (start + F.greatest(F.length("ref"), F.lit(1))).alias("end"), label.alias("label"))
+    last = start + F.greatest(F.length("ref"), F.lit(1))
+    last = F.greatest(last, F.col("end")) if "end" in variants.columns else last
+    return found.select("contig", start.alias("start"), last.alias("end"), label.alias("label"))
 
 
 def known_indels(calls: DataFrame, variants: DataFrame | None, window: int) -> DataFrame:

@@ -31,6 +31,8 @@ def faults(name: str, value: Any, rule: dict[str, Any]) -> list[str]:
     if isinstance(value, list) and "items" in rule:
         for k, x in enumerate(value):
             out += faults(f"{name}[{k}]", x, rule["items"])
+    if isinstance(value, dict) and len(value) < rule.get("minProperties", 0):
+        out.append(f"{name} must have {rule['minProperties']} entries or more")
     if isinstance(value, dict) and ("properties" in rule or "additionalProperties" in rule or "required" in rule):
         out += object_faults(value, rule, f"{name}.")
     return out

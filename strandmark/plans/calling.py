@@ -1,24 +1,29 @@
-"""The whole call: candidates, variants, control, filters, as one lazy plan."""
+"""The whole call: checks of the inputs, candidates, variants, control, filters, as one lazy plan."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from strandmark.operators import double_strand, evidence, filters, intervals, single_strand
+from strandmark.operators import double_strand, evidence, filters, intervals, single_strand, sites
 from strandmark.schema import Params
+from strandmark.sources import formats
 
 
 @dataclass(frozen=True)
 class Inputs:
-    """reads, contigs(contig, length), and what may be absent: control reads, variants, an interval mask."""
+    """reads, contigs(contig, length[, ordinal]), and what may be absent: control reads, variants, an interval mask, and the
+    contigs that the control and the variants' header declare, which are compared with ``contigs``."""
 
     reads: DataFrame
     contigs: DataFrame
     control: DataFrame | None = None
     variants: DataFrame | None = None
     mask: DataFrame | None = None
+    control_contigs: DataFrame | None = None
+    variant_contigs: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -28,12 +33,44 @@ class Calls:
     candidates: DataFrame
 
 
-def call(inputs: Inputs, params: Params) -> Calls:
+def check(inputs: Inputs, params: Params) -> None:
+    """Raises ValueError unless the inputs fit each other and the analysis."""
+    paired = params.analysis == "ndigenome"
+    sites.layout(inputs.reads, params.min_mapq, paired)
+    if inputs.control is not None:
+        sites.layout(inputs.control, params.min_mapq, paired)
+    if inputs.control_contigs is not None:
+        formats.same_contigs(inputs.contigs, inputs.control_contigs)
+    if inputs.variant_contigs is not None:
+        formats.check_contigs(inputs.contigs, inputs.variant_contigs, "the variants' header")
+    if inputs.mask is not None:
+        whole = inputs.mask.join(inputs.contigs.select("contig", "length"), "contig", "left")
+        formats._refuse(whole.where("length IS NULL OR start < 0 OR start >= `end` OR `end` > length"), "the mask has intervals outside the contigs")
+
+
+def rows(inputs: Inputs, params: Params) -> tuple[DataFrame, DataFrame]:
+    """(candidates, call rows with all evidence, before the filters)."""
     mask = None if inputs.mask is None else intervals.merge(inputs.mask)
     if params.analysis == "ndigenome":
-        candidates, rows = single_strand.calls(inputs.reads, params, mask)
+        candidates, found = single_strand.calls(inputs.reads, params, mask)
     else:
-        candidates, rows = double_strand.calls(inputs.reads, inputs.contigs, params, mask)
-    rows = evidence.known_indels(rows, inputs.variants, params.artifact_window)
-    rows = evidence.control(rows, inputs.control, inputs.contigs, params, mask)
-    return Calls(filters.call_table(filters.classified(rows, params), params), candidates)
+        candidates, found = double_strand.calls(inputs.reads, inputs.contigs, params, mask)
+    found = evidence.known_indels(found, inputs.variants, params.artifact_window)
+    return candidates, evidence.control(found, inputs.control, inputs.contigs, params, mask)
+
+
+def table(found: DataFrame, params: Params) -> DataFrame:
+    return filters.call_table(filters.classified(found, params), params)
+
+
+def call(inputs: Inputs, params: Params, checks: bool = True) -> Calls:
+    """The calls; with ``checks`` the inputs are checked first, which takes a look at each of them."""
+    if checks:
+        check(inputs, params)
+    candidates, found = rows(inputs, params)
+    return Calls(table(found, params), candidates)
+
+
+def position(candidates: DataFrame) -> DataFrame:
+    """(contig, pos) by which a candidate belongs to an interval: its own place, or the forward one of a pair."""
+    return candidates.select("contig", F.col("pos" if "pos" in candidates.columns else "forward_position").alias("pos"))

@@ -50,13 +50,14 @@ def bed(spark: SparkSession, path: str, contigs: DataFrame) -> DataFrame:
 
 
 def vcf(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(variants(contig, pos, ref, alts), header contigs(contig, length))."""
+    """(variants(contig, pos, ref, alts, end), header contigs(contig, length)); end: the last base, 1-based, of INFO/END."""
     lines = spark.read.text(path)
     head = lines.where(F.col("value").startswith("##contig"))
     declared = head.select(F.regexp_extract("value", r"ID=([^,>]+)", 1).alias("contig"), F.nullif(F.regexp_extract("value", r"length=(\d+)", 1), F.lit("")).cast("long").alias("length"))
     f = F.split("value", "\t")
     rows = lines.where(~F.col("value").startswith("#") & (F.col("value") != ""))
-    return rows.select(f[0].alias("contig"), f[1].cast("long").alias("pos"), f[3].alias("ref"), F.filter(F.split(f[4], ","), lambda a: a != ".").alias("alts")), declared
+    end = F.nullif(F.regexp_extract(F.coalesce(F.get(f, F.lit(7)), F.lit("")), r"(?:^|;)END=(\d+)", 1), F.lit("")).cast("long")
+    return rows.select(f[0].alias("contig"), f[1].cast("long").alias("pos"), f[3].alias("ref"), F.filter(F.split(f[4], ","), lambda a: a != ".").alias("alts"), end.alias("end")), declared
 
 
 def check_contigs(used: DataFrame, declared: DataFrame, what: str) -> None:

@@ -1,8 +1,10 @@
 """Operators on small hand-made reads; expected values follow from the definitions."""
 
 import itertools
+import json
 import math
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +13,8 @@ from util import covering, forward, frame, read, reverse, reverse_covering
 from strandmark.functions import reads as R
 from strandmark.functions.statistics import benjamini_hochberg, contribution, fisher_two_sided
 from strandmark.operators import double_strand as D
-from strandmark.operators import filters, intervals, sinks, sites
+from strandmark.operators import filters, intervals, planner, sinks, sites
+from strandmark.plans import calling, chunks
 from strandmark.plans.calling import Inputs, call
 from strandmark.schema import CALL_COLUMNS, FLOAT_COLUMNS, Params
 
@@ -24,7 +27,7 @@ def contigs(spark):
 
 
 def called(spark, contigs, rows, params=P, **rest):
-    got = call(Inputs(frame(spark, rows), contigs, **rest), params).table.collect()
+    got = call(Inputs(frame(spark, rows), contigs, **rest), params, checks=False).table.collect()
     return sorted(got, key=lambda r: (r.position_0based, r.strand))
 
 
@@ -176,7 +179,14 @@ def test_bins_do_not_change_results(spark, contigs):
 def test_written_results(spark, contigs, tmp_path):
     got = call(Inputs(frame(spark, forward(8, 100) + covering(12, 100) + forward(8, 700, cigar="5S45M")), contigs), P)
     document = sinks.write(got.table, got.candidates.count(), P, str(tmp_path / "out"))
-    assert document["call_count"] == 2 and document["filter_status_counts"] == {"PASS": 1, "FILTERED": 1}
+    assert [document[k] for k in ("reported_candidates", "high_confidence_calls", "manual_review_candidates", "artifact_candidates", "high_confidence_ssb", "high_confidence_dsb")] == [2, 1, 0, 1, 1, 0]
+    assert document["classifications"] == {"SSB": 1, "ARTIFACT_RISK": 1} and document["signal_classifications"] == {"SSB": 2} and not document["genome_blacklist"]["enabled"]
+    whole = spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / "out/all"))
+    assert whole.columns == CALL_COLUMNS and whole.count() == 2
+    lines = [r.value for r in spark.read.text(str(tmp_path / "out/report")).collect()]
+    assert len(lines) == 6 and lines[4].split("\t")[:3] == ["Sample", "Reported candidates", "High-confidence calls"] and lines[5].split("\t") == ["t", "2", "1", "0", "1", "0", "2", "0", "0"]
+    with pytest.raises(ValueError, match="repeated"):
+        sinks.write(got.table.union(got.table), 0, P, str(tmp_path / "twice"))
     back = spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / "out/calls"))
     assert back.columns == [*CALL_COLUMNS, "tier"] and {r.tier for r in back.collect()} == {"high_confidence", "artifact"}
     assert {r.endpoint_fraction for r in back.collect()} == {"0.4", "1"}
@@ -188,3 +198,58 @@ def test_written_results(spark, contigs, tmp_path):
 def test_no_reads_no_calls(spark, contigs):
     for analysis in ("ndigenome", "digenome"):
         assert called(spark, contigs, [], P.but(analysis=analysis)) == []
+
+
+def test_inputs_are_checked(spark, contigs):
+    good, far = forward(8, 100), spark.createDataFrame([("chr1", 3000)], "contig string, length long")
+    single = [read(100, flag=0, name=str(k)) for k in range(8)]
+    mask = spark.createDataFrame([("chr1", 1990, 2001)], "contig string, start long, end long")
+    ordered = contigs.withColumn("ordinal", F.lit(0))
+    whole = lambda **kw: Inputs(frame(spark, good), ordered, **kw)
+    call(whole(control=frame(spark, good), control_contigs=ordered, variant_contigs=contigs), P)
+    for inputs, message in (
+        (Inputs(frame(spark, []), contigs), "no eligible"), (Inputs(frame(spark, single), contigs), "paired"), (whole(control=frame(spark, [])), "no eligible"), (whole(control_contigs=far.withColumn("ordinal", F.lit(0))), "different contigs"),
+        (whole(variant_contigs=far), "other lengths"), (whole(variant_contigs=far.where("contig = 'x'")), "lacks contigs"), (whole(mask=mask), "outside"),
+    ):
+        with pytest.raises(ValueError, match=message):
+            call(inputs, P)
+    call(Inputs(frame(spark, single), contigs), P.but(analysis="digenome"))
+
+
+def test_chunks_give_the_calls_of_one_run(spark, tmp_path):
+    contigs = spark.createDataFrame([("chr1", 2000), ("chr2", 2000)], "contig string, length long")
+    rows = forward(8, 100) + covering(12, 100) + forward(8, 700, cigar="5S45M") + forward(6, 400, contig="chr2") + forward(9, 1500, contig="chr2")
+    inputs = Inputs(frame(spark, rows), contigs, control=frame(spark, forward(2, 100) + covering(9, 100)))
+    params = P.but(control_sample="c")
+    want = call(inputs, params).table.collect()
+    plan = planner.plan(sites.contig_density(inputs.reads), contigs, 3)
+    candidates, found = calling.rows(inputs, params)
+    chunks.write_chunks(found, candidates, plan, contigs, params, str(tmp_path / "a"))
+    got, n = chunks.finalised(spark, str(tmp_path / "a"), params)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want)) and len(want) == 4 and n == candidates.count()
+    with pytest.raises(ValueError, match="another sample"):
+        chunks.finalised(spark, str(tmp_path / "a"), params.but(sample="u"))
+
+    def changed(change, name):
+        folder = tmp_path / name
+        shutil.copytree(tmp_path / "a", folder)
+        for path in sorted((folder / "summaries").glob("part-*")):
+            document = json.loads(path.read_text() or "null")
+            if document:
+                change(document)
+                path.write_text(json.dumps(document))
+        for crc in folder.rglob("*.crc"):
+            crc.unlink()
+        return str(folder)
+
+    def shifted(d):
+        for x in d["intervals"]:
+            x["end"] -= x["end"] == 2000
+
+    def moved(d):
+        d["chunk_id"] = {"chunk_000": "chunk_001", "chunk_001": "chunk_000"}.get(d["chunk_id"], d["chunk_id"])
+
+    cases = [(lambda d: d.update(reported_rows=9), "reported"), (shifted, "leave out"), (moved, "outside their chunk"), (lambda d: d.update(chunk_id="x"), "repeated chunk"), (lambda d: d["parameters"].update(sample=d["chunk_id"]), "parameters"), (lambda d: d.update(contigs=["chr9"]), "disagree"), (lambda d: d.update(expected_contig_lengths={}), "length")]
+    for k, (change, message) in enumerate(cases):
+        with pytest.raises(ValueError, match=message):
+            chunks.finalised(spark, changed(change, f"b{k}"), params)

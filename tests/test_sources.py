@@ -4,7 +4,7 @@ import json
 import pytest
 from util import forward, frame
 
-from strandmark.operators import manifest, parameters, planner, sites
+from strandmark.operators import evidence, manifest, parameters, planner, runinfo, sites
 from strandmark.schema import Params
 from strandmark.sources import formats
 from strandmark.streaming import endpoints
@@ -39,7 +39,9 @@ def test_bed(spark, tmp_path, contigs):
 def test_vcf(spark, tmp_path, contigs):
     path = put(tmp_path / "v.vcf", "##contig=<ID=chr1,length=1000>\n#CHROM\n" + "chr1\t5\t.\tAA\tA,T\t.\n")
     rows, declared = formats.vcf(spark, path)
-    assert tuple(rows.first()) == ("chr1", 5, "AA", ["A", "T"])
+    assert tuple(rows.first()) == ("chr1", 5, "AA", ["A", "T"], None)
+    symbolic, _ = formats.vcf(spark, put(tmp_path / "s.vcf", "##contig=<ID=chr1,length=1000>\n#CHROM\nchr1\t100\t.\tA\t<DEL>\t.\t.\tSVTYPE=DEL;END=200\nchr1\t9\t.\tA\tG\n"))
+    assert [tuple(r) for r in evidence.indel_labels(symbolic).collect()] == [("chr1", 99, 200, "chr1:100:A><DEL>")]
     formats.check_contigs(contigs.where("contig = 'chr1'"), declared, "variants")
     with pytest.raises(ValueError, match="chr2"):
         formats.check_contigs(contigs, declared, "variants")
@@ -144,6 +146,8 @@ def test_parameters():
     for bad in ({}, {"n": True}, {"n": 0}, {"n": 1, "x": 2}, {"n": 1, "m": "b"}, {"n": 1, "l": ["a"]}, {"n": 1, "zz": 1}):
         with pytest.raises(ValueError):
             parameters.check(bad, schema)
+    with pytest.raises(ValueError, match="entries"):
+        parameters.check({"n": 1, "o": {}}, schema | {"properties": schema["properties"] | {"o": {"type": "object", "minProperties": 1}}})
     genomes = {"hg38": {"aliases": ["GRCh38"]}, "mm10": {"aliases": ["grch38"]}}
     assert parameters.resolve_genome("HG38", genomes) == "hg38" and parameters.alias_clashes(genomes)
     with pytest.raises(ValueError):
@@ -166,6 +170,29 @@ def spans(rows):
     return [(r["chunk_id"][-3:], r["contig"], r["owner_start"], r["owner_end"]) for r in rows]
 
 
+def test_preflight_and_run_info(tmp_path):
+    for name in ("s.csv", "g.fa"):
+        put(tmp_path / name, "x")
+    schema = {"properties": {"input": {"type": "string"}, "genome": {"type": "string"}, "genomes": {"type": "object", "minProperties": 1}, "containers": {"type": "object"}}, "required": ["input"], "additionalProperties": False}
+    paths = {"input": str(tmp_path / "s.csv"), "fasta": str(tmp_path / "g.fa"), "genome_blacklist": "", "outdir": str(tmp_path / "new/out"), "ref_cache": str(tmp_path)}
+    given = {"input": "s.csv", "genome": "hg38", "genomes": {"hg38": {}}, "containers": {"a": "docker://x"}}
+    ready = runinfo.preflight({"parameters": given, "paths": paths}, schema)
+    assert ready["status"] == "PASS" and len(ready["parameters_sha256"]) == 64 and ready["resolved_paths"] == paths
+    bad = [
+        (given | {"genome": " "}, paths, "genome is required"), (given, paths | {"fasta": "/none.fa"}, "fasta can't be read"), (given | {"zz": 1}, paths, "zz is unknown"), (given, {k: v for k, v in paths.items() if k != "outdir"}, "path outdir"),
+        (given | {"containers": {"a": "./none.sif"}}, paths, "container a"), (given | {"genomes": {}}, paths, "entries"), (given, paths | {"outdir": str(tmp_path / "g.fa/out")}, "can't be made"), (given | {"genomes": {"a": {"aliases": ["x"]}, "b": {"aliases": ["X"]}}}, paths, "x: a, b"),
+    ]
+    for parameters_, paths_, message in bad:
+        with pytest.raises(ValueError, match=message):
+            runinfo.preflight({"parameters": parameters_, "paths": paths_}, schema)
+    info = runinfo.run_info(Params(keep_multimappers=True), ready, 8, "hg38", containers={"a": tmp_path})
+    assert info["ndigenome"]["min_mapq"] == 0 and len(info["automatic_overrides"]) == 3 and info["cleavage"]["chunks"] == 8 and info["containers"] == {"a": str(tmp_path)}
+    assert json.loads(runinfo.document_text(info)) == info
+    with pytest.raises(ValueError):
+        runinfo.run_info(Params(), {"status": "FAIL"}, 8)
+    assert runinfo.absolute("a/../b", "/x") == "/x/b" and runinfo.absolute("s3://a/b") == "s3://a/b" and runinfo.resolved_container("img.sif", "/x") == "/x/img.sif" and runinfo.quoted("a b") == "'a b'"
+
+
 def test_plan_balances_open_records(spark, tmp_path):
     rows = planned(spark, [("chr1", 100), ("chr2", 100)], 2, 0, [("chr1", 0, 1800)])
     assert spans(rows) == [("000", "chr1", 0, 2000), ("000", "chr2", 0, 900), ("001", "chr2", 900, 2000)]
