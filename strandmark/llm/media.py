@@ -1,8 +1,8 @@
 """Operator 3: media columns of lossless WebP images.
 
-``stored`` turns binary payloads into WebP bytes, 8-bit R, G, B samples, 64 pixels a row, in as many files one after
-another as the format's side of 16,384 pixels makes necessary. ``read_back`` decodes a media column to its samples and
-computes features from the pixel arrays; ``pixels`` writes the arrays themselves (width, height, samples) for any
+``stored`` turns binary payloads into WebP bytes: grey images, an 8-bit sample a payload byte, 64 pixels a row and 128 rows at
+most, in as many files one after another as that takes. ``read_back`` decodes a media column to its pixel arrays, and
+computes digests and features from them; ``pixels`` writes the arrays themselves (width, height, R, G, B samples) for any
 lossless WebP. All of it is one pass without a shuffle, batch by batch.
 
 Edge cases: null or empty payloads become one row of blanks; broken media raise (ValueError names the cause); equal
@@ -23,9 +23,12 @@ from pyspark.sql import functions as F
 
 from . import base, tokens, webp
 
-UNIT = 3 * webp.ROW
+#: Payloads are filled up to a multiple of this.
+UNIT = 192
 #: Payload bytes of the largest single image.
-IMAGE_BYTES = UNIT * webp.MAX_SIDE
+IMAGE_BYTES = webp.ROW * webp.MAX_ROWS
+#: Payload and media bytes of which images are made and read together.
+TOGETHER = 6_000_000
 
 
 def padded(payload: bytes | None) -> bytes:
@@ -39,20 +42,31 @@ def to_media(payloads: list[bytes]) -> list[bytes]:
     return [b"".join(next(made) for _ in c) for c in cut]
 
 
-def from_media(media: list[bytes]) -> list[list[np.ndarray]]:
+def images_of(media: list[bytes]) -> list[list[np.ndarray]]:
+    """The R, G, B pixel arrays of each."""
     cut = [webp.files(m) for m in media]
     made = iter(webp.decode_many([x for c in cut for x in c]))
     return [[next(made) for _ in c] for c in cut]
 
 
+def from_media(media: list[bytes]) -> list[list[np.ndarray]]:
+    """The grey samples of each one's pixel arrays."""
+    return [list(map(samples, images)) for images in images_of(media)]
+
+
+def samples(image: np.ndarray) -> np.ndarray:
+    """The grey samples of a pixel array; ValueError if it isn't grey."""
+    if not ((image[..., 0] == image[..., 1]).all() and (image[..., 2] == image[..., 1]).all()):
+        raise ValueError("a stored payload is a grey image")
+    return np.ascontiguousarray(image[..., 1])
+
+
 def feature(images: list[np.ndarray]) -> str:
-    """Size, channel means (of 1/256), largest sample, and mean step between neighbours in a row, all exact integers."""
-    h = sum(len(x) for x in images)
-    sums = sum(x.reshape(-1, 3).sum(axis=0, dtype=np.int64) for x in images)
+    """Size, mean (of 1/256) and largest sample, and mean step (of 1/256) between neighbours in a row, all exact integers."""
+    h, w = sum(len(x) for x in images), images[0].shape[1]
+    total = sum(int(x.sum(dtype=np.int64)) for x in images)
     steps = sum(int(np.abs(np.diff(x.astype(np.int16), axis=1)).sum(dtype=np.int64)) for x in images)
-    n = h * images[0].shape[1]
-    means = ",".join(str(int(s) * 256 // n) for s in sums)
-    return f"{images[0].shape[1]}x{h};mean256={means};max={max(int(x.max()) for x in images)};step256={steps * 256 // (3 * n)}"
+    return f"{w}x{h};mean256={total * 256 // (h * w)};max={max(int(x.max()) for x in images)};step256={steps * 256 // (h * (w - 1))}"
 
 
 def _schema(df: DataFrame, added: dict[str, str]) -> tuple[list[str], str]:
@@ -69,7 +83,7 @@ def stored(df: DataFrame, payload: str, media: str = "media") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(len(rest))
-            for a, b in tokens.slices(column):
+            for a, b in tokens.slices(column, TOGETHER):
                 own = column[a:b].to_pylist()
                 made = to_media([padded(p) for p in own])
                 yield pa.RecordBatch.from_arrays([*(c[a:b] for c in batch.columns[: len(rest)]), pa.array([len(p or b"") for p in own], pa.int64()), pa.array(made, pa.binary())], [*rest, "n_bytes", media])
@@ -89,11 +103,11 @@ def read_back(df: DataFrame, media: str = "media") -> DataFrame:
             for a, b in tokens.slices(column):
                 own = column[a:b].to_pylist()
                 images = from_media(own)
-                samples = [b"".join(x.tobytes() for x in i) for i in images]
+                payloads = [b"".join(x.tobytes() for x in i) for i in images]
                 columns = [
-                    [len(s) for s in samples],
-                    [hashlib.sha256(s).hexdigest() for s in samples],
-                    [zlib.crc32(s[-16:]) for s in samples],
+                    [len(s) for s in payloads],
+                    [hashlib.sha256(s).hexdigest() for s in payloads],
+                    [zlib.crc32(s[-16:]) for s in payloads],
                     [len(m) for m in own],
                     [hashlib.sha256(m).hexdigest() for m in own],
                     [feature(i) for i in images],
@@ -113,7 +127,7 @@ def pixels(df: DataFrame, media: str = "media") -> DataFrame:
         for batch in batches:
             column = batch.column(len(rest))
             for a, b in tokens.slices(column):
-                images = from_media(column[a:b].to_pylist())
+                images = images_of(column[a:b].to_pylist())
                 flat = [(a + k, n, x) for k, i in enumerate(images) for n, x in enumerate(i)]
                 owner = pa.array([k for k, _, _ in flat], pa.int64())
                 made = [pa.array([n for _, n, _ in flat], pa.int32()), pa.array([x.shape[1] for _, _, x in flat], pa.int32()), pa.array([x.shape[0] for _, _, x in flat], pa.int32()), pa.array([x.tobytes() for _, _, x in flat], pa.binary())]

@@ -2,15 +2,20 @@
 
 Pixels are uint8 arrays (height, width, 4) in the order A, R, G, B. ``decode`` reads prefix codes (simple and normal,
 several groups), back-references, the colour cache, and inverts the predictor, cross-colour, subtract-green and palette
-transforms. ``encode`` writes any of these, for tests and single images. ``encode_many`` and ``decode_many`` are the
-fast lane for images that are literals under one prefix code: all images of a batch advance together, a pixel a step.
+transforms. ``encode`` writes any of these, one image at a time.
+
+``encode_many`` stores grey images. Of each it chooses the transforms by what entropy they leave (cross-colour, which makes
+red and blue nothing; predictors; a palette; the colour cache instead), finds back-references and writes prefix codes.
+``decode_many`` reads any image: those whose literals are one code, as all but a few of encode_many's are, advance together,
+a literal or reference a step, and their transforms are inverted together; others go through ``decode`` one by one.
 """
 
 from __future__ import annotations
 
-import heapq
+import functools
 import struct
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 
@@ -61,6 +66,15 @@ def turned(v: int, n: int) -> int:
     return int(f"{v:0{n}b}"[::-1], 2) if n else 0
 
 
+@functools.cache
+def _reversed_index(bits: int) -> np.ndarray:
+    """Each number of so many bits, turned."""
+    out = np.zeros(1, np.int64)
+    for _ in range(bits):
+        out = np.concatenate((2 * out, 2 * out + 1))
+    return out
+
+
 def canonical(lengths) -> list[int]:
     """Each symbol's code, its first bit lowest; ValueError if the lengths don't make a whole code."""
     out, code = [0] * len(lengths), 0
@@ -78,6 +92,22 @@ def canonical(lengths) -> list[int]:
     return out
 
 
+def canonical_many(lengths: np.ndarray) -> np.ndarray:
+    """``canonical`` of each row."""
+    row, symbol = np.nonzero(lengths)
+    n = lengths[row, symbol].astype(np.int64)
+    order = np.lexsort((symbol, n, row))
+    row, symbol, n = row[order], symbol[order], n[order]
+    share = 1 << 15 - n
+    before = np.cumsum(share) - share
+    first = np.searchsorted(row, np.arange(len(lengths)))
+    # a code is the share of all codes before it, in its first n of 15 bits; turned, these are the last ones
+    code = before - np.append(before, 0)[first][row]
+    out = np.zeros(lengths.shape, np.uint64)
+    out[row, symbol] = _reversed_index(15)[code]
+    return out
+
+
 class Prefix:
     """A prefix code for reading; bounded: its stored form doesn't depend on the alphabet's size."""
 
@@ -214,6 +244,15 @@ def predict(mode: int, left, top, right, corner) -> np.ndarray:
 def predictor(image: np.ndarray, modes: np.ndarray, bits: int, forward: bool) -> np.ndarray:
     """Adds (or, forward, takes off) each pixel's prediction; modes: by block."""
     h, w, _ = image.shape
+    if not forward and modes.size and modes.min() == modes.max() and modes.flat[0] in (1, 2):
+        # left or above throughout: sums along one side, then from there on
+        out = image.copy()
+        out[0, 0] += np.array([255, 0, 0, 0], np.uint8)
+        if modes.flat[0] == 1:
+            out[:, 0] = out[:, 0].cumsum(axis=0, dtype=np.uint8)
+            return out.cumsum(axis=1, dtype=np.uint8)
+        out[0] = out[0].cumsum(axis=0, dtype=np.uint8)
+        return out.cumsum(axis=0, dtype=np.uint8)
     if forward:
         source, out = image.astype(int), np.empty_like(image)
     else:
@@ -234,12 +273,11 @@ def predictor(image: np.ndarray, modes: np.ndarray, bits: int, forward: bool) ->
     return out.astype(np.uint8)
 
 
-def cross_colour(image: np.ndarray, factors: np.ndarray, bits: int, forward: bool) -> np.ndarray:
-    """factors: by block A, R (red to blue), G (green to blue), B (green to red)."""
-    h, w, _ = image.shape
-    f = np.repeat(np.repeat(factors.view(np.int8).astype(int), 1 << bits, 0), 1 << bits, 1)[:h, :w]
-    signed = lambda c: c.astype(np.uint8).view(np.int8).astype(int)
-    green, red, blue = signed(image[..., 2]), image[..., 1].astype(int), image[..., 3].astype(int)
+def crossed(image: np.ndarray, factors: np.ndarray, forward: bool) -> np.ndarray:
+    """factors, of each pixel or of all: A, R (red to blue), G (green to blue), B (green to red)."""
+    signed = lambda c: c.astype(np.uint8).view(np.int8).astype(np.int16)
+    f = np.ascontiguousarray(factors).view(np.int8).astype(np.int16)
+    green, red, blue = signed(image[..., 2]), image[..., 1].astype(np.int16), image[..., 3].astype(np.int16)
     sign = -1 if forward else 1
     turned_red = (red + sign * (f[..., 3] * green >> 5)) & 255
     before = red if forward else turned_red
@@ -249,6 +287,12 @@ def cross_colour(image: np.ndarray, factors: np.ndarray, bits: int, forward: boo
     return out
 
 
+def cross_colour(image: np.ndarray, factors: np.ndarray, bits: int, forward: bool) -> np.ndarray:
+    """factors: by block."""
+    h, w, _ = image.shape
+    return crossed(image, np.repeat(np.repeat(factors, 1 << bits, 0), 1 << bits, 1)[:h, :w], forward)
+
+
 def green_added(image: np.ndarray, sign: int) -> np.ndarray:
     out = image.astype(int)
     out[..., [1, 3]] += sign * out[..., [2]]
@@ -328,33 +372,67 @@ def decode(data: bytes) -> np.ndarray:
     return image
 
 
-def code_lengths(counts: dict[int, int], alphabet: int, most: int = 15) -> list[int]:
-    """Huffman code lengths of at most ``most``; rare symbols count for more until they fit."""
-    lengths = [0] * alphabet
-    if len(counts) < 2:
-        for s in counts:
-            lengths[s] = 1
-        return lengths
-    floor = 1
+def depths(weights: list[int], most: int) -> list[int]:
+    """Huffman code lengths of at most ``most`` for two or more ascending weights: two queues, of symbols and of joined nodes."""
+    floor, n = 1, len(weights)
     while True:
-        heap = [(max(n, floor), s, (s,)) for s, n in counts.items()]
-        heapq.heapify(heap)
-        depth = dict.fromkeys(counts, 0)
-        while len(heap) > 1:
-            a, s, x = heapq.heappop(heap)
-            b, t, y = heap[0]
-            z = x + y
-            for k in z:
-                depth[k] += 1
-            heapq.heapreplace(heap, (a + b, min(s, t), z))
-        if max(depth.values()) <= most:
-            break
+        weight = weights if floor == 1 else [max(x, floor) for x in weights]
+        weight = [*weight, *[0] * (n - 1)]
+        parent = [0] * (2 * n - 1)
+        leaf, node = 0, n
+        for new in range(n, 2 * n - 1):
+            if node < new and (leaf >= n or weight[node] < weight[leaf]):
+                a = node
+                node += 1
+            else:
+                a = leaf
+                leaf += 1
+            if node < new and (leaf >= n or weight[node] < weight[leaf]):
+                b = node
+                node += 1
+            else:
+                b = leaf
+                leaf += 1
+            weight[new] = weight[a] + weight[b]
+            parent[a] = parent[b] = new
+        depth = [0] * (2 * n - 1)
+        for k in range(2 * n - 3, -1, -1):
+            depth[k] = depth[parent[k]] + 1
+        if max(depth[:n]) <= most:
+            return depth[:n]
         floor *= 2
-    for s, n in depth.items():
-        lengths[s] = n
+
+
+def code_lengths(counts: np.ndarray, most: int) -> list[int]:
+    """Huffman code lengths of at most ``most`` by symbol; 0 for those without a count."""
+    lengths = [0] * len(counts)
+    used = np.flatnonzero(counts)
+    order = used[np.argsort(counts[used], kind="stable")]
+    for s, d in zip(order.tolist(), depths(counts[order].tolist(), most) if len(used) > 1 else [1]):
+        lengths[s] = d
     return lengths
 
 
+def _codes(counts: np.ndarray, most: int) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
+    """(symbols, their lengths, all lengths as a matrix with zeros for codes of one symbol) of the code of each row."""
+    row, symbol = np.nonzero(counts)
+    weight = counts[row, symbol]
+    first = np.searchsorted(row, np.arange(len(counts) + 1)).tolist()
+    order = np.lexsort((symbol, weight, row))
+    symbols, ordered, weights = symbol.tolist(), symbol[order].tolist(), weight[order].tolist()
+    names, lengths = [], []
+    matrix = np.zeros(counts.shape, np.int64)
+    flat = np.zeros(len(row), np.int64)
+    for a, b in zip(first, first[1:]):
+        names.append(symbols[a:b])
+        own = dict(zip(ordered[a:b], depths(weights[a:b], most))) if b - a > 1 else {}
+        lengths.append([own[s] for s in symbols[a:b]] if own else [1] * (b - a))
+        if own:
+            flat[a:b] = lengths[-1]
+    matrix[row, symbol] = flat
+    return names, lengths, matrix
+
+
 def write_prefix(w: Writer, lengths: list[int]) -> None:
     used = [s for s, n in enumerate(lengths) if n]
     if len(used) <= 1 and (not used or used[0] < 256):
@@ -385,7 +463,7 @@ def write_prefix(w: Writer, lengths: list[int]) -> None:
                 runs.append((16, m - 3, 2))
                 n -= m
             runs += [(lengths[k - 1], 0, 0)] * n
-    own = code_lengths(Counter(s for s, _, _ in runs), 19, 7)
+    own = code_lengths(np.bincount([s for s, _, _ in runs], minlength=19), 7)
     stored = max(4, 1 + max(i for i, s in enumerate(LENGTH_ORDER) if own[s]))
     w.write(0, 1)
     w.write(stored - 4, 4)
@@ -406,6 +484,60 @@ def write_prefix(w: Writer, lengths: list[int]) -> None:
         w.write(extra, bits)
 
 
+#: Lengths of the code in which encode_many writes its codes' lengths: one for all images, so that it's made only once.
+CODE_OF_LENGTHS = {0: 3, 1: 6, 2: 6, 3: 4, 4: 3, 5: 4, 6: 3, 7: 4, 8: 5, 9: 4, 10: 4, 11: 5, 12: 6, 16: 6, 17: 4, 18: 3}
+
+
+def _fixed_code() -> tuple[tuple[int, int], list[tuple[int, int, int]], list[tuple[int, int]]]:
+    """(bits that begin a prefix code, what a gap of so many unused symbols takes and its steps, what each length takes)."""
+    own = [CODE_OF_LENGTHS.get(s, 0) for s in range(19)]
+    codes = canonical(own)
+    w = Writer()
+    stored = 1 + max(i for i, s in enumerate(LENGTH_ORDER) if own[s])
+    w.write(0, 1)
+    w.write(stored - 4, 4)
+    for s in LENGTH_ORDER[:stored]:
+        w.write(own[s], 3)
+    bits = 8 * len(w.out) + w.at
+    gaps = []
+    for gap in range(256 + LENGTH_CODES):
+        value = at = steps = 0
+        while gap:
+            m = 1 if gap < 3 else min(gap, 10) if gap < 11 else min(gap, 138)
+            s, extra = (0, 0) if m < 3 else (17, 3) if m < 11 else (18, 7)
+            value |= (codes[s] | (m - (3 if s == 17 else 11 if s == 18 else 1)) << own[s]) << at
+            at += own[s] + extra
+            steps += 1
+            gap -= m
+        gaps.append((value, at, steps))
+    return (int.from_bytes(w.done(), "little"), bits), gaps, list(zip(codes, own))
+
+
+def fixed_prefix(w: Writer, symbols: list[int], lengths: list[int]) -> None:
+    """Writes a prefix code of symbols (ascending) and their lengths of at most 12, by CODE_OF_LENGTHS."""
+    if len(symbols) < 2:
+        s = symbols[0] if symbols else 0
+        w.write(1 | int(s > 1) << 2 | s << 3, 11 if s > 1 else 4)
+        return
+    (value, at), gaps, codes = _FIXED
+    body = bits = 0
+    steps, last = len(symbols), -1
+    for s, n in zip(symbols, lengths):
+        if gap := s - last - 1:
+            v, m, k = gaps[gap]
+            body |= v << bits
+            bits += m
+            steps += k
+        v, m = codes[n]
+        body |= v << bits
+        bits += m
+        last = s
+    half = max(0, -(-((steps - 2).bit_length() - 2) // 2))
+    value |= (1 | half << 1 | (steps - 2) << 4) << at
+    at += 6 + 2 * half
+    w.write(value | body << at, at + bits)
+
+
 def amount_code(v: int) -> tuple[int, int, int]:
     """(prefix code, extra value, extra bits) of v >= 1."""
     if v <= 4:
@@ -458,7 +590,7 @@ def write_image(w: Writer, image: np.ndarray, main: bool, cache_bits: int = 0, r
             counts[0][256 + amount_code(a)[0]] += 1
             counts[4][amount_code(b)[0]] += 1
     sizes = (256 + LENGTH_CODES + len(cache), 256, 256, 256, DISTANCE_CODES)
-    lengths = [code_lengths(c, n) for c, n in zip(counts, sizes)]
+    lengths = [code_lengths(np.array([c[k] for k in range(n)]), 15) for c, n in zip(counts, sizes)]
     for x in lengths:
         write_prefix(w, x)
     codes = [canonical(x) for x in lengths]
@@ -534,138 +666,498 @@ def encode(image: np.ndarray, predictor_modes: np.ndarray | None = None, factors
     return riff(w.done())
 
 
-#: Longest code of the fast lane; a table has 2**FAST_BITS entries.
-FAST_BITS = 12
-ROW = 64
+_FIXED = _fixed_code()
+_FIXED_TABLE = Prefix([CODE_OF_LENGTHS.get(s, 0) for s in range(19)])
+#: Longest code of the fast lane for literals and lengths, and for distances; tables have 2**bits entries.
+FAST_BITS, FAST_DISTANCE_BITS = 12, 8
+#: Width of the images of encode_many, and their greatest height: so many pixels let references reach far, and images of a
+#: batch are decoded side by side.
+ROW, MAX_ROWS = 64, 128
+#: Shortest reference that encode_many makes, and the longest of the format.
+SHORTEST, LONGEST = 6, 4096
+#: The factors that take green off red and blue whole, for one block that covers an image of any size here.
+BLOCK_BITS = 9
+GREY_FACTORS = np.array([[[255, 0, 32, 32]]], np.uint8)
+CACHE_BITS = 4
+
+
+class Bits:
+    """Like Writer, in one number: for short pieces."""
+
+    def __init__(self) -> None:
+        self.value, self.at = 0, 0
+
+    def write(self, v: int, n: int) -> None:
+        self.value |= v << self.at
+        self.at += n
+
+
+def _single_block(kind: int, pixel: np.ndarray) -> tuple[int, int]:
+    """The bits of a transform with one block."""
+    w = Bits()
+    w.write(1, 1)
+    w.write(kind, 2)
+    w.write(BLOCK_BITS - 2, 3)
+    write_image(w, pixel, False)
+    return w.value, w.at
+
+
+_CROSS = _single_block(CROSS_COLOUR, GREY_FACTORS)
+#: Whole-image predictors that encode_many tries: the pixel to the left, and the one above.
+_PREDICT = {mode: _single_block(PREDICTOR, np.array([[[255, 0, mode, 0]]], np.uint8)) for mode in (1, 2)}
+_AMOUNT_BITS = np.array([0, 0, 0, 0, *((k - 2) >> 1 for k in range(4, DISTANCE_CODES))])
+_AMOUNT_BASE = np.array([1, 2, 3, 4, *((2 + (k & 1) << ((k - 2) >> 1)) + 1 for k in range(4, DISTANCE_CODES))])
+
+
+def amount_codes(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(prefix code, extra value, extra bits) of each v >= 1."""
+    code = np.searchsorted(_AMOUNT_BASE, v, side="right") - 1
+    return code, v - _AMOUNT_BASE[code], _AMOUNT_BITS[code]
+
+
+def _predicted(rows: np.ndarray, tops: np.ndarray, mode: int) -> np.ndarray:
+    """What is left of samples, ROW a row, after the prediction by the left (mode 1) or upper one; tops: first rows of images."""
+    out = rows.copy()
+    if mode == 1:
+        out[1:, 0] -= rows[:-1, 0]
+        out[tops, 0] = rows[tops, 0]
+        out[:, 1:] -= rows[:, :-1]
+    else:
+        out[1:] -= rows[:-1]
+        out[tops] = rows[tops]
+        out[tops, 1:] -= rows[tops, :-1]
+    return out
+
+
+def _entropies(values: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bits of all values of each image at its own entropy, distinct values)."""
+    counts = np.bincount(owner * 256 + values, minlength=256 * n).reshape(n, 256)
+    total = counts.sum(axis=1)
+    inner = np.zeros(n)
+    for a in range(0, n, 1024):
+        c = counts[a : a + 1024].astype(float)
+        inner[a : a + 1024] = (c * np.log2(np.maximum(c, 1))).sum(axis=1)
+    return total * np.log2(np.maximum(total, 1)) - inner, (counts > 0).sum(axis=1)
+
+
+def _code_cost(symbols: np.ndarray) -> np.ndarray:
+    """About so many bits a prefix code takes to store."""
+    return np.where(symbols <= 1, 8, np.where(symbols == 2, 20, 50 + 4 * symbols))
+
+
+DIRECT, GREEN_ONLY, LEFT, ABOVE, INDEXED, CACHED = range(6)
+
+
+def chosen(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The transforms of each grey image, by the entropy of what they leave (references come after, whatever is chosen):
+
+    DIRECT: none; GREEN_ONLY: cross-colour; LEFT, ABOVE: predictor and cross-colour; INDEXED: a palette of at most 16
+    colours, which puts several pixels into one; CACHED: none, but the colour cache."""
+    n = len(sizes)
+    owner = np.repeat(np.arange(n), sizes)
+    bits, colours = _entropies(flat, owner, n)
+    cost = np.full((n, 6), np.inf)
+    cost[:, DIRECT] = 3 * bits + 3 * _code_cost(colours)
+    cost[:, GREEN_ONLY] = _CROSS[1] + bits + _code_cost(colours) + 16
+    for choice, mode in ((LEFT, 1), (ABOVE, 2)):
+        left, kinds = _entropies(_predicted(flat.reshape(-1, ROW), starts // ROW, mode).ravel(), owner, n)
+        cost[:, choice] = _CROSS[1] + _PREDICT[mode][1] + left + _code_cost(kinds) + 16
+    few = np.flatnonzero(colours <= 16)
+    if len(few):
+        cost[few, CACHED] = 5 + bits[few] + 3 * colours[few] * np.log2(1 + colours[few]) + _code_cost(2 * colours[few]) + 2 * _code_cost(colours[few])
+        for k in few.tolist():
+            own = flat[starts[k] : starts[k] + sizes[k]].reshape(-1, ROW)
+            packed, _ = _indexed(own)
+            left, kinds = _entropies(packed.ravel(), np.zeros(packed.size, np.int64), 1)
+            cost[k, INDEXED] = 11 + 3 * _code_cost(colours[k]) + 3 * colours[k] * np.log2(1 + colours[k]) + left[0] + _code_cost(kinds)[0] + 16
+    return cost.argmin(axis=1)
+
+
+def _indexed(grey: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(green samples of the packed image, colours) of a grey image of at most 16 colours."""
+    colours, index = np.unique(grey, return_inverse=True)
+    index = index.reshape(grey.shape)
+    bits = pack_bits(len(colours))
+    per = 8 >> bits
+    parts = index.reshape(len(grey), -1, 1 << bits).astype(np.uint8) << (per * np.arange(1 << bits)).astype(np.uint8)
+    return np.bitwise_or.reduce(parts, axis=2), colours
+
+
+def grey(samples: np.ndarray) -> np.ndarray:
+    """Opaque pixels of these samples, (h, w, 4)."""
+    out = np.repeat(samples[..., None], 4, axis=2)
+    out[..., 0] = 255
+    return out
+
+
+def matches(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distance, length) at each place of the nearest earlier SHORTEST equal samples of the same image; distance 0: none."""
+    n = len(flat)
+    padded = np.concatenate((flat, np.zeros(8, np.uint8)))
+    words = np.ndarray((n,), "<u8", padded, strides=(1,)) & np.uint64((1 << 8 * SHORTEST) - 1)
+    first, last = np.repeat(starts.astype(np.int32), sizes), np.repeat((starts + sizes - SHORTEST).astype(np.int32), sizes)
+    distance = np.zeros(n, np.int32)
+    low = np.uint64((1 << 22) - 1)
+    for a in range(0, n, 1 << 22):  # a place within a part takes 22 bits
+        keys = words[a : a + (1 << 22)] * np.uint64(0x9E3779B97F4A7C15)
+        keys &= ~low
+        keys |= np.arange(len(keys), dtype=np.uint64)
+        keys.sort()
+        same = np.flatnonzero((keys[1:] ^ keys[:-1]) <= low)
+        here, before = (keys[same + 1] & low).astype(np.int32) + np.int32(a), (keys[same] & low).astype(np.int32) + np.int32(a)
+        good = (before >= first[here]) & (here <= last[here])
+        here, before = here[good], before[good]
+        good = words[here] == words[before]
+        distance[here[good]] = (here - before)[good]
+    bounds = np.flatnonzero(np.append(distance[1:] != distance[:-1], True)).astype(np.int32)
+    length = np.repeat(bounds + np.int32(SHORTEST), np.diff(bounds, prepend=-1)) - np.arange(n, dtype=np.int32)
+    length[distance == 0] = 1
+    return distance, np.minimum(length, LONGEST)
+
+
+def _parsed(length: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Where the steps of all images begin, if each takes the length at its place."""
+    begins = np.zeros(len(length), bool)
+    at, ends = starts.copy(), starts + sizes
+    while len(at):
+        begins[at] = True
+        at = at + length[at]
+        if (at >= ends).any():
+            open_ = at < ends
+            at, ends = at[open_], ends[open_]
+    return np.flatnonzero(begins)
 
 
 def encode_many(payloads: list[bytes]) -> list[bytes]:
-    """Opaque images of ROW pixels a row; a payload is their R, G, B bytes. One prefix code serves all three channels."""
+    """Grey opaque images of ROW pixels a row, the payloads' bytes their samples; at most MAX_ROWS rows."""
     flat = np.frombuffer(b"".join(payloads), np.uint8)
     sizes = np.fromiter(map(len, payloads), np.int64, len(payloads))
+    if not len(payloads):
+        return []
     starts = np.cumsum(sizes) - sizes
-    code = np.zeros((len(payloads), 256), np.uint64)
-    length = np.zeros((len(payloads), 256), np.int64)
-    heads = []
-    for k, (a, n) in enumerate(zip(starts, sizes)):
-        counts = np.bincount(flat[a : a + n], minlength=256)
-        used = np.flatnonzero(counts)
-        lengths = code_lengths(dict(zip(used.tolist(), counts[used].tolist())), 256, FAST_BITS)
-        w = Writer()
-        header(w, ROW, int(n) // (3 * ROW), False)
-        w.write(0, 3)  # no transform, no colour cache, one group
-        one = Writer()
-        write_prefix(one, lengths)
-        bits = 8 * len(one.out) + one.at
-        value = int.from_bytes(one.done(), "little")
-        for _ in range(3):
-            w.write(value, bits)
-        alpha = [0] * 256
-        alpha[255] = 1
-        write_prefix(w, alpha)
-        write_prefix(w, [0] * DISTANCE_CODES)
-        heads.append((bytes(w.out), w.value, w.at))
-        if len(used) > 1:
-            code[k], length[k] = canonical(lengths), lengths
-    pixels = flat.reshape(-1, 3)[:, [1, 0, 2]].ravel()  # stored as G, R, B
-    owner = np.repeat(np.arange(len(payloads)), sizes)
-    n, c = length[owner, pixels], code[owner, pixels]
-    ends = np.cumsum(n)
-    before = np.concatenate(([0], ends))
-    bits = before[starts + sizes] - before[starts]
-    lead = np.array([h[2] for h in heads], np.int64)
-    words = (lead + bits + 31) // 32 + 1
+    choice = chosen(flat, starts, sizes)
+    out: list[bytes | None] = [None] * len(payloads)
+    heads, planes, kept = [], [], []
+    for k, c in enumerate(choice.tolist()):
+        own = flat[starts[k] : starts[k] + sizes[k]].reshape(-1, ROW)
+        if c == CACHED or c == DIRECT and own.min() != own.max():
+            out[k] = encode(grey(own), cache_bits=CACHE_BITS if c == CACHED else 0)
+            continue
+        w = Bits()
+        header(w, ROW, len(own), False)
+        plane = own
+        if c == INDEXED:
+            plane, colours = _indexed(own)
+            w.write(1 | PALETTE << 1, 3)
+            w.write(len(colours) - 1, 8)
+            deltas = grey(np.diff(colours, prepend=np.uint8(0)).astype(np.uint8)[None])
+            deltas[0, 1:, 0] = 0
+            write_image(w, deltas, False)
+        elif c in (LEFT, ABOVE):
+            mode = 1 if c == LEFT else 2
+            plane = _predicted(own, np.zeros(1, np.int64), mode)
+            w.write(*_PREDICT[mode])
+        if c in (GREEN_ONLY, LEFT, ABOVE):
+            w.write(*_CROSS)
+        w.write(0, 3)  # no more transforms, no colour cache, one group
+        # what is left of the other channels, and of alpha
+        heads.append((w, int(own[0, 0]) if c == DIRECT else 0, 0 if c in (LEFT, ABOVE) else 255))
+        planes.append(plane.ravel())
+        kept.append(k)
+    if kept:
+        for k, made in zip(kept, _written(planes, heads)):
+            out[k] = made
+    return out
+
+
+def _written(planes: list[np.ndarray], heads: list[tuple[Bits, int, int]]) -> list[bytes]:
+    """The files of images whose other channels are one sample throughout; heads: the bits so far, that of red and blue, that
+    of alpha."""
+    n = len(planes)
+    sizes = np.fromiter(map(len, planes), np.int64, n)
+    flat, starts = np.concatenate(planes), np.cumsum(sizes) - sizes
+    distance, length = matches(flat, starts, sizes)
+    at = _parsed(length, starts, sizes)
+    owner = np.searchsorted(starts, at, side="right") - 1
+    symbol = flat[at].astype(np.int64)
+    copies = np.flatnonzero(distance[at])
+    code, extra, extra_bits = amount_codes(length[at[copies]])
+    far, far_extra, far_bits = amount_codes(distance[at[copies]] + len(NEAR))
+    symbol[copies] = 256 + code
+    alphabet = 256 + LENGTH_CODES
+    counts = np.bincount(owner * alphabet + symbol, minlength=alphabet * n).reshape(n, alphabet)
+    far_counts = np.bincount(owner[copies] * DISTANCE_CODES + far, minlength=DISTANCE_CODES * n).reshape(n, DISTANCE_CODES)
+    near_symbols, near_lengths, lengths = _codes(counts, FAST_BITS)
+    far_symbols, far_own, far_lengths = _codes(far_counts, FAST_DISTANCE_BITS)
+    codes, far_codes = canonical_many(lengths), canonical_many(far_lengths)
+    lead = []
+    for k, (w, other, alpha) in enumerate(heads):
+        fixed_prefix(w, near_symbols[k], near_lengths[k])
+        for sample in (other, other, alpha):
+            fixed_prefix(w, [sample], [1])
+        fixed_prefix(w, far_symbols[k], far_own[k])
+        lead.append(w.at)
+    # a step is one piece of at most 22 bits, a reference's distance another one of at most 20
+    pieces, bits = codes[owner, symbol], lengths[owner, symbol]
+    pieces[copies] |= extra.astype(np.uint64) << bits[copies].astype(np.uint64)
+    bits[copies] += extra_bits
+    away = far_lengths[owner[copies], far]
+    second = far_codes[owner[copies], far] | far_extra.astype(np.uint64) << away.astype(np.uint64)
+    pieces, owner = np.insert(pieces, copies + 1, second), np.insert(owner, copies + 1, owner[copies])
+    bits = np.insert(bits, copies + 1, away + far_bits)
+    ends = np.cumsum(bits)
+    first = np.searchsorted(owner, np.arange(n + 1))
+    before = np.append(0, ends)[first]
+    total = np.diff(before)
+    lead = np.array(lead, np.int64)
+    skip = lead >> 5 << 5  # whole words of the head are put in as they are
+    words = (lead - skip + total + 31) // 32 + 1
     word_start = np.cumsum(words) - words
-    at = (ends - n) - np.repeat(before[starts] - lead - 32 * word_start, sizes)
-    spread = c << (at & 31).astype(np.uint64)
-    w = at >> 5
-    total = int(words.sum())
-    out = np.bincount(w, (spread & np.uint64(0xFFFFFFFF)).astype(float), total) + np.bincount(w + 1, (spread >> np.uint64(32)).astype(float), total + 1)[:total]
-    out[word_start] += [h[1] for h in heads]
-    raw = out.astype(np.uint64).astype("<u4").tobytes()
-    return [riff(h[0] + raw[4 * s : 4 * s + (h[2] + b + 7) // 8]) for h, s, b in zip(heads, word_start.tolist(), bits.tolist())]
-
-
-def _fast(data: bytes) -> tuple[int, int, int, list[int]] | None:
-    """(width, height, first bit of the pixels, code lengths), or None where the fast lane doesn't apply."""
-    r = Reader(data)
-    r.read(8)
-    width, height = r.read(14) + 1, r.read(14) + 1
-    r.read(4)
-    if r.read(3):
+    where = ends - bits + (lead - skip + 32 * word_start - before[:-1])[owner]
+    spread, w = pieces << (where & 31).astype(np.uint64), where >> 5
+    out = np.zeros(int(words.sum()) + 1, np.uint64)
+    new = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
+    out[w[new]] |= np.bitwise_or.reduceat(spread & np.uint64(0xFFFFFFFF), new)
+    out[w[new] + 1] |= np.bitwise_or.reduceat(spread >> np.uint64(32), new)
+    out[word_start] |= np.array([h.value >> s for (h, *_), s in zip(heads, skip.tolist())], np.uint64)
+    raw = out.astype("<u4").tobytes()
+    made = []
+    for (h, *_), s, i, t, d in zip(heads, skip.tolist(), word_start.tolist(), total.tolist(), lead.tolist()):
+        made.append(riff((h.value & (1 << s) - 1).to_bytes(s // 8, "little") + raw[4 * i : 4 * i + (d - s + t + 7) // 8]))
+    return made
+
+
+def _quick_prefix(value: int, at: int, alphabet: int) -> tuple[list[tuple[int, int]], int]:
+    """((symbol, length) of a prefix code's symbols, the first bit after it) in a stream as one number."""
+    if value >> at & 1:
+        two, wide = value >> at + 1 & 1, value >> at + 2 & 1
+        at += 3
+        size = 8 if wide else 1
+        symbols = [value >> at & (1 << size) - 1]
+        at += size
+        if two:
+            symbols.append(value >> at & 255)
+            at += 8
+        return [(s, 1) for s in symbols], at
+    bits, start = value >> at & (1 << 4096) - 1, at
+    if bits & (1 << _FIXED[0][1]) - 1 == _FIXED[0][0]:
+        at, bits, code = at + _FIXED[0][1], bits >> _FIXED[0][1], _FIXED_TABLE
+    else:
+        n = 4 + (bits >> 1 & 15)
+        own = [0] * 19
+        for k, s in enumerate(LENGTH_ORDER[:n]):
+            own[s] = bits >> 5 + 3 * k & 7
+        at, bits, code = at + 5 + 3 * n, bits >> 5 + 3 * n, Prefix(own)
+    left = alphabet
+    if bits & 1:
+        m = 2 + 2 * (bits >> 1 & 7)
+        left = 2 + (bits >> 4 & (1 << m) - 1)
+        bits >>= 4 + m
+        at += 4 + m
+    else:
+        bits >>= 1
+        at += 1
+    table = code.table if code.bits else [(code.only, 0)]
+    found, place, last, mask = [], 0, 8, len(table) - 1
+    while place < alphabet and left:
+        left -= 1
+        s, m = table[bits & mask]
+        bits >>= m
+        at += m
+        if s < 16:
+            if s:
+                found.append((place, s))
+                last = s
+            place += 1
+            continue
+        m = (2, 3, 7)[s - 16]
+        run = (11 if s == 18 else 3) + (bits & (1 << m) - 1)
+        bits >>= m
+        at += m
+        if place + run > alphabet:
+            raise ValueError("code lengths run over")
+        if s == 16:
+            found += [(k, last) for k in range(place, place + run)]
+        place += run
+    if at - start > 4096:
+        raise ValueError("a prefix code too long to be one")
+    return found, at
+
+
+@dataclass(frozen=True)
+class Known:
+    """What the fast lane needs of an image: sizes, transforms, the sample of the other channels, where the pixels begin, the
+    codes of literals and lengths, and of distances."""
+
+    width: int
+    height: int
+    across: int
+    mode: int
+    crossed: bool
+    palette: np.ndarray | None
+    other: int
+    at: int
+    near: list[tuple[int, int]]
+    far: list[tuple[int, int]]
+
+
+def _known(data: bytes) -> Known | None:
+    """None where the fast lane doesn't apply."""
+    head = int.from_bytes(data[:2048], "little")
+    width, height = (head >> 8 & 0x3FFF) + 1, (head >> 22 & 0x3FFF) + 1
+    if head >> 36 & 15 or width > 1 << BLOCK_BITS or height > 1 << BLOCK_BITS:
         return None
-    start = r.at
-    green = read_prefix(r, 256 + LENGTH_CODES)
-    n = r.at - start
-    if any(green.lengths[256:]) or green.bits > FAST_BITS:
+    at, across, mode, crossed, palette = 40, width, 0, False, None
+    for m, (value, n) in _PREDICT.items():
+        if head >> at & (1 << n) - 1 == value:
+            at, mode = at + n, m
+    if head >> at & (1 << _CROSS[1]) - 1 == _CROSS[0]:
+        at, crossed = at + _CROSS[1], True
+    if not (mode or crossed) and head >> at & 7 == 1 | PALETTE << 1:
+        r = Reader(data)
+        r.at = at + 3
+        n = r.read(8) + 1
+        palette = as_array(read_image(r, n, 1, False), n, 1)[0].cumsum(axis=0, dtype=np.uint8)
+        at, across = r.at, cells(width, pack_bits(n))
+    if head >> at & 7:  # another transform, a colour cache, several groups
         return None
-    stored = int.from_bytes(data[start >> 3 : (start + 3 * n >> 3) + 1], "little") >> (start & 7)
-    first, second, third = (stored >> n * k & (1 << n) - 1 for k in range(3))
-    if green.bounded and first == second == third:
-        r.at += 2 * n  # the same code, bit by bit
-    elif any(read_prefix(r, 256).lengths != green.lengths[:256] for _ in range(2)):
+    at += 3
+    codes = []
+    for alphabet in (256 + LENGTH_CODES, 256, 256, 256, DISTANCE_CODES):
+        own, at = _quick_prefix(head, at, alphabet)
+        codes.append(own)
+    near, *rest, far = codes
+    red, blue, alpha = (c[0][0] if len(c) == 1 else None for c in rest)
+    longest = [max((n for _, n in c), default=0) for c in (near, far)]
+    if red is None or red != blue or alpha != (0 if mode else 255) or longest[0] > FAST_BITS or longest[1] > FAST_DISTANCE_BITS or at > 8 * len(data):
         return None
-    alpha = read_prefix(r, 256)
-    read_prefix(r, DISTANCE_CODES)
-    return (width, height, r.at, green.lengths[:256]) if alpha.only == 255 else None
+    return Known(width, height, across, mode, crossed, palette, red, at, near, far)
 
 
 def decode_many(images: list[bytes]) -> list[np.ndarray]:
-    """Pixels (height, width, 3) in the order R, G, B of each image; those outside the fast lane one by one."""
+    """Pixels (height, width, 3) in the order R, G, B of each image; those outside the fast lane one by one.
+
+    The fast lane is for images of one group whose red, blue and alpha are one sample throughout as stored: then a literal is
+    one code. It reads references and inverts cross-colour, predictor and palette transforms of all images of a batch."""
     content = [chunk(x) for x in images]
-    known = [_fast(c) for c in content]
+    known = [_known(c) for c in content]
     out: list[np.ndarray | None] = [None if f else decode(x)[..., 1:] for f, x in zip(known, images)]
-    fast = sorted((k for k, f in enumerate(known) if f), key=lambda k: -known[k][0] * known[k][1])
-    step = 1024
-    for a in range(0, len(fast), step):
-        part = fast[a : a + step]
+    fast = sorted((k for k, f in enumerate(known) if f), key=lambda k: -len(content[k]))
+    for a in range(0, len(fast), 2048):
+        part = fast[a : a + 2048]
         for k, pixels in zip(part, _together([content[k] for k in part], [known[k] for k in part])):
             out[k] = pixels
     return out
 
 
-def _together(content: list[bytes], known: list[tuple]) -> list[np.ndarray]:
-    """The fast lane; images by falling number of pixels."""
-    tables = np.zeros((len(known), 1 << FAST_BITS), np.uint16)  # symbol, length
-    for k, (_, _, _, lengths) in enumerate(known):
-        n = np.array(lengths)
-        used = np.flatnonzero(n)
-        if len(used) < 2:
-            tables[k] = used[0] << 4 if len(used) else 0
-            continue
-        order = used[np.lexsort((used, n[used]))]
-        # codes in canonical order fill the table in the order of reversed bits
-        tables[k] = np.repeat((order << 4 | n[order]).astype(np.uint16), 1 << FAST_BITS - n[order])
-    tables = tables[:, _REVERSED].ravel()
-    buffer = b"".join(content) + b"\0" * 8
-    sizes = np.fromiter(map(len, content), np.int64, len(content))
-    at = 8 * (np.cumsum(sizes) - sizes) + np.array([f[2] for f in known])
-    window = np.ndarray((len(buffer) - 3,), "<u4", buffer, strides=(1,))
-    pixels = np.array([f[0] * f[1] for f in known])
-    base = np.arange(len(known)) << FAST_BITS
-    ends = np.cumsum(3 * pixels)
-    out = np.zeros(int(ends[-1]), np.uint8)
-    place = ends - 3 * pixels
-    active = np.searchsorted(-pixels, -np.arange(int(pixels[0])), side="left")
-    mask = (1 << FAST_BITS) - 1
-    for n in active.tolist():
-        if n != len(at):
-            at, base, place = at[:n], base[:n], place[:n]
-        for channel in (1, 0, 2):
-            got = tables[base + ((window[at >> 3] >> (at & 7).astype(np.uint32)) & mask)]
-            out[place + channel] = got >> 4
-            at = at + (got & 15)
-        place = place + 3
-    if int(at.max(initial=0)) > 8 * len(buffer):
-        raise ValueError("the stream ends too early")
-    return [out[e - 3 * p : e].reshape(f[1], f[0], 3) for e, p, f in zip(ends, pixels, known)]
-
-
-def _reversed_index(bits: int) -> np.ndarray:
-    out = np.zeros(1, np.int64)
-    for _ in range(bits):
-        out = np.concatenate((2 * out, 2 * out + 1))
+def _tables(codes: list[list[tuple[int, int]]], bits: int) -> np.ndarray:
+    """By image and next bits: symbol << 4 | length."""
+    sizes = np.fromiter(map(len, codes), np.int64, len(codes))
+    flat = np.array([x for own in codes for x in (own or [(0, 0)])], np.int64)
+    image = np.repeat(np.arange(len(codes)), np.maximum(sizes, 1))
+    symbol, n = flat[:, 0], np.where(sizes[image] < 2, 0, flat[:, 1])
+    many = 1 << bits - n
+    if (np.bincount(image, many, len(codes)) != 1 << bits).any():
+        raise ValueError("not a whole prefix code")
+    # codes in canonical order fill the table in the order of reversed bits
+    order = np.lexsort((symbol, n, image))
+    tables = np.repeat((symbol << 4 | n)[order].astype(np.uint16), many[order]).reshape(len(codes), -1)
+    return tables[:, _reversed_index(bits)].ravel()
+
+
+def _together(content: list[bytes], known: list[Known]) -> list[np.ndarray]:
+    """The fast lane: all images advance together, a literal or reference a step."""
+    n = len(known)
+    literals, far = _tables([f.near for f in known], FAST_BITS), _tables([f.far for f in known], FAST_DISTANCE_BITS)
+    buffer = b"".join(content) + b"\0" * 16
+    sizes = np.fromiter(map(len, content), np.int64, n)
+    begin = np.cumsum(sizes) - sizes
+    at = 8 * begin + np.array([f.at for f in known])
+    window = np.ndarray((len(buffer) - 7,), "<u8", buffer, strides=(1,))
+    across = np.array([f.across for f in known])
+    pixels = across * np.array([f.height for f in known])
+    ends = np.cumsum(pixels)
+    place = ends - pixels
+    starts = place.copy()
+    green = np.zeros(int(ends[-1]), np.uint8)
+    image, stop = np.arange(n), ends
+    references = []
+    near_x, near_y = np.array(NEAR).T
+    bound = np.uint64((1 << FAST_BITS) - 1), np.uint64((1 << FAST_DISTANCE_BITS) - 1)
+    while len(image):
+        bits = window[np.minimum(at >> 3, len(window) - 1)] >> (at & 7).astype(np.uint64)
+        got = literals[(image << FAST_BITS) + (bits & bound[0]).astype(np.int64)]
+        symbol, used = got >> 4, (got & 15).astype(np.int64)
+        green[place] = symbol  # a reference's place is filled later
+        at = at + used
+        copies = np.flatnonzero(symbol >= 256)
+        if len(copies):
+            rest = bits[copies] >> used[copies].astype(np.uint64)
+            code = symbol[copies].astype(np.int64) - 256
+            extra = _AMOUNT_BITS[code]
+            length = _AMOUNT_BASE[code] + (rest & ((np.uint64(1) << extra.astype(np.uint64)) - np.uint64(1))).astype(np.int64)
+            rest >>= extra.astype(np.uint64)
+            got = far[(image[copies] << FAST_DISTANCE_BITS) + (rest & bound[1]).astype(np.int64)]
+            used = (got & 15).astype(np.int64)
+            rest >>= used.astype(np.uint64)
+            more = _AMOUNT_BITS[got >> 4]
+            distance = _AMOUNT_BASE[got >> 4] + (rest & ((np.uint64(1) << more.astype(np.uint64)) - np.uint64(1))).astype(np.int64)
+            at[copies] += extra + used + more
+            close = distance <= len(NEAR)
+            k = np.minimum(distance, len(NEAR)) - 1
+            distance = np.where(close, np.maximum(1, near_x[k] + near_y[k] * across[image[copies]]), distance - len(NEAR))
+            here = place[copies]
+            if (here - distance < starts[image[copies]]).any() or (here + length > stop[copies]).any():
+                raise ValueError("a back-reference leaves the image")
+            references.append((here, length, distance))
+            step = np.ones(len(image), np.int64)
+            step[copies] = length
+            place = place + step
+        else:
+            place = place + 1
+        done = place >= stop
+        if done.any():
+            if (at[done] > 8 * (begin + sizes)[image[done]]).any():
+                raise ValueError("the stream ends too early")
+            image, place, stop, at = image[~done], place[~done], stop[~done], at[~done]
+    if references:
+        _copied(green, *(np.concatenate(x) for x in zip(*references)))
+    return _undone(green, starts, ends, known)
+
+
+def _copied(green: np.ndarray, place: np.ndarray, length: np.ndarray, distance: np.ndarray) -> None:
+    """Fills in the references. Each pixel of one points to the pixel it's a copy of, which may be a copy again; pointers are
+    doubled until all point to literals."""
+    ends = np.cumsum(length)
+    to = np.repeat(place - (ends - length), length) + np.arange(int(ends[-1]))
+    source = np.arange(len(green), dtype=np.int32)
+    source[to] = to - np.repeat(distance, length)
+    open_ = to
+    while len(open_):
+        now = source[open_]
+        then = source[now]
+        source[open_] = then
+        open_ = open_[then != now]
+    green[to] = green[source[to]]
+
+
+def _undone(green: np.ndarray, starts: np.ndarray, ends: np.ndarray, known: list[Known]) -> list[np.ndarray]:
+    """R, G, B of each image from its stored green samples: the transforms are inverted, last first."""
+    whole = np.empty((len(green), 4), np.uint8)
+    whole[:, 0] = 255
+    whole[:, 2] = green
+    whole[:, [1, 3]] = np.repeat(np.array([f.other for f in known], np.uint8), ends - starts)[:, None]
+    # all crossed images have the same factors, so they are one image here
+    own = np.flatnonzero(np.repeat(np.array([f.crossed for f in known]), ends - starts))
+    for a in range(0, len(own), 1 << 20):
+        part = own[a : a + (1 << 20)]
+        whole[part] = crossed(whole[part], GREY_FACTORS[0, 0], False)
+    out = []
+    for a, b, f in zip(starts, ends, known):
+        image = whole[a:b].reshape(f.height, f.across, 4)
+        if f.palette is not None:
+            image = unpacked(image, f.palette, f.width)
+        if f.mode:
+            image = predictor(image, np.full((1, 1), f.mode), BLOCK_BITS, False)
+        out.append(image[..., 1:])
     return out
-
-
-_REVERSED = _reversed_index(FAST_BITS)

@@ -156,12 +156,13 @@ def test_webp_palettes(colours):
 def test_webp_fast_lane_and_faults():
     rng = np.random.default_rng(9)
     payloads = [b" " * 192, bytes(range(192)), rng.integers(0, 256, 19200).astype(np.uint8).tobytes(), b"ab " * 640]
+    grey = [np.repeat(np.frombuffer(p, np.uint8), 3).tobytes() for p in payloads]
     made = webp.encode_many(payloads)
-    assert [x.tobytes() for x in webp.decode_many(made)] == payloads
-    assert [webp.decode(x)[..., 1:].tobytes() for x in made] == payloads
+    assert [x.tobytes() for x in webp.decode_many(made)] == grey
+    assert [webp.decode(x)[..., 1:].tobytes() for x in made] == grey
     other = random_image(rng, 5, 6)
     assert np.array_equal(webp.decode_many([made[0], webp.encode(other)])[1], other[..., 1:])
-    for bad in (b"RIFF", made[1][:60], b"x" * 64):
+    for bad in (b"RIFF", made[1][:-12], b"x" * 64):
         with pytest.raises(ValueError):
             webp.decode(bad)
 
