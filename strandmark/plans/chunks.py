@@ -28,7 +28,7 @@ def _owned(plan: list[dict]) -> list[tuple]:
 
 
 def write_chunks(found: DataFrame, candidates: DataFrame, plan: list[dict], contigs: DataFrame, params: Params, folder: str) -> None:
-    """``rows`` (gzipped JSON lines, a folder a chunk) and ``summaries`` (a JSON document a chunk) of calling.rows and a
+    """``rows`` (gzipped JSON lines, a folder a chunk) and ``summaries`` (a line of JSON a chunk) of calling.rows and a
     planner.plan. Rows outside all chunks are a fault."""
     spark = found.sparkSession
     own = spark.createDataFrame(_owned(plan), OWNED)
@@ -59,13 +59,13 @@ def write_chunks(found: DataFrame, candidates: DataFrame, plan: list[dict], cont
             "row_schema": of_chunk.drop("chunk_id").schema.jsonValue(),
         }
         documents.append((json.dumps(json_safe(document), sort_keys=True),))
-    spark.createDataFrame(documents, "value string").repartition(len(documents)).write.text(f"{folder}/summaries")
+    spark.createDataFrame(documents, "value string").coalesce(1).write.text(f"{folder}/summaries")
 
 
 def summaries(spark: SparkSession, path: str, sample: str, analysis: str) -> list[dict]:
     """The summary documents of all chunks, a row a chunk; ValueError where they don't belong together or don't cover their
     contigs, each base once."""
-    found = [json.loads(r["value"]) for r in spark.read.text(path, wholetext=True).collect() if r["value"].strip()]
+    found = [json.loads(r["value"]) for r in spark.read.text(path).collect() if r["value"].strip()]
     if not found:
         raise ValueError("no chunk summaries")
     first = found[0]

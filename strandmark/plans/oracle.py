@@ -28,6 +28,16 @@ def _depth(sites: str, reads: str, out: str) -> str:
       FROM (SELECT DISTINCT contig, pos, strand FROM {sites}) s JOIN {reads} r ON r.ok AND r.contig = s.contig AND r.strand = s.strand AND r.reference_start <= s.pos AND r.reference_end > s.pos GROUP BY ALL)"""
 
 
+#: From tested(n, d, cn, cd): p and q values as controlled(..., fold, fp, fq).
+_FISHER = """      tables AS (SELECT DISTINCT n AS a, greatest(d - n, 0) AS b, cn AS c, greatest(cd - cn, 0) AS e FROM tested WHERE cd >= 1),
+      grid AS (SELECT *, unnest(range(greatest(0, a + c - (c + e)), least(a + b, a + c) + 1)) AS x FROM tables),
+      probs AS (SELECT a, b, c, e, x, exp(lgamma(a + b + 1) - lgamma(x + 1) - lgamma(a + b - x + 1) + lgamma(c + e + 1) - lgamma(a + c - x + 1) - lgamma(e - a + x + 1) - (lgamma(a + b + c + e + 1) - lgamma(a + c + 1) - lgamma(b + e + 1))) AS p FROM grid),
+      fisher AS (SELECT a, b, c, e, least(1.0, sum(p) FILTER (WHERE p <= o * (1 + 1e-12))) AS fp FROM (SELECT *, max(p) FILTER (WHERE x = a) OVER (PARTITION BY a, b, c, e) AS o FROM probs) GROUP BY ALL),
+      ranked AS (SELECT t.*, f.fp, ((t.n + 0.5) / (t.d + 1.0)) / ((t.cn + 0.5) / (t.cd + 1.0)) AS fold FROM tested t LEFT JOIN fisher f ON t.cd >= 1 AND f.a = t.n AND f.b = greatest(t.d - t.n, 0) AND f.c = t.cn AND f.e = greatest(t.cd - t.cn, 0)),
+      ps AS (SELECT fp, count(*) AS k FROM ranked WHERE fp IS NOT NULL GROUP BY fp),
+      pr AS (SELECT fp, sum(k) OVER (ORDER BY fp ROWS UNBOUNDED PRECEDING) AS r, sum(k) OVER () AS t FROM ps),
+      qs AS (SELECT fp, least(1.0, min(fp * t / r) OVER (ORDER BY fp DESC ROWS UNBOUNDED PRECEDING)) AS fq FROM pr),
+      controlled AS (SELECT ranked.*, qs.fq FROM ranked LEFT JOIN qs ON qs.fp = ranked.fp)"""
 _PARTS = {
     "ends": "ends AS (SELECT contig, pos5 AS pos, strand, count(*) AS count FROM reads WHERE ok GROUP BY ALL)",
     "piles": "piles AS (SELECT * FROM ends WHERE count >= 4)",
@@ -64,15 +74,7 @@ _PARTS = {
         CASE WHEN b.op IS NULL THEN 0 ELSE f.f * b.of_ * (f.n + b.on_) / 4.0 END AS score FROM focal f LEFT JOIN best b USING (contig, pos, strand))""",
     "controlled": f"""{_depth("called", "control", "cdepth")},
       tested AS (SELECT c.*, coalesce(x.n, 0) AS cn, coalesce(x.d, 0) AS cd, coalesce(x.f, 0) AS cf FROM called c LEFT JOIN cdepth x USING (contig, pos, strand)),
-      tables AS (SELECT DISTINCT n AS a, greatest(d - n, 0) AS b, cn AS c, greatest(cd - cn, 0) AS e FROM tested WHERE cd >= 1),
-      grid AS (SELECT *, unnest(range(greatest(0, a + c - (c + e)), least(a + b, a + c) + 1)) AS x FROM tables),
-      probs AS (SELECT a, b, c, e, x, exp(lgamma(a + b + 1) - lgamma(x + 1) - lgamma(a + b - x + 1) + lgamma(c + e + 1) - lgamma(a + c - x + 1) - lgamma(e - a + x + 1) - (lgamma(a + b + c + e + 1) - lgamma(a + c + 1) - lgamma(b + e + 1))) AS p FROM grid),
-      fisher AS (SELECT a, b, c, e, least(1.0, sum(p) FILTER (WHERE p <= o * (1 + 1e-12))) AS fp FROM (SELECT *, max(p) FILTER (WHERE x = a) OVER (PARTITION BY a, b, c, e) AS o FROM probs) GROUP BY ALL),
-      ranked AS (SELECT t.*, f.fp, ((t.n + 0.5) / (t.d + 1.0)) / ((t.cn + 0.5) / (t.cd + 1.0)) AS fold FROM tested t LEFT JOIN fisher f ON t.cd >= 1 AND f.a = t.n AND f.b = greatest(t.d - t.n, 0) AND f.c = t.cn AND f.e = greatest(t.cd - t.cn, 0)),
-      ps AS (SELECT fp, count(*) AS k FROM ranked WHERE fp IS NOT NULL GROUP BY fp),
-      pr AS (SELECT fp, sum(k) OVER (ORDER BY fp ROWS UNBOUNDED PRECEDING) AS r, sum(k) OVER () AS t FROM ps),
-      qs AS (SELECT fp, least(1.0, min(fp * t / r) OVER (ORDER BY fp DESC ROWS UNBOUNDED PRECEDING)) AS fq FROM pr),
-      controlled AS (SELECT ranked.*, qs.fq FROM ranked LEFT JOIN qs ON qs.fp = ranked.fp)""",
+{_FISHER}""",
     "labels": """labels AS (SELECT contig, pos - 1 AS s, pos - 1 + length(ref) AS e, concat(contig, ':', pos, ':', ref, '>', alt) AS label FROM (SELECT contig, pos, ref, string_agg(a, ',' ORDER BY k) AS alt FROM (SELECT contig, pos, ref, unnest(string_split(alt, ',')) AS a, unnest(range(len(string_split(alt, ',')))) AS k FROM variants) WHERE length(a) <> length(ref) GROUP BY ALL))""",
 }
 _ALL = ("ends", "piles", "sites", "depth", "focal", "mask", "merged", "open_ends")
@@ -159,5 +161,123 @@ ORACLE_SQL = {
         "wide AS (SELECT contig, p, max(v) FILTER (WHERE k = -2) AS a, max(v) FILTER (WHERE k = -1) AS b, max(v) FILTER (WHERE k = 0) AS c, max(v) FILTER (WHERE k = 1) AS d, max(v) FILTER (WHERE k = 2) AS e FROM added GROUP BY ALL)",
         "summed AS (SELECT contig, p AS forward_position, e + (d + (c + (b + (a + 0::FLOAT)))) AS total FROM wide)",
     ),
-    "control_matching": "SELECT s_suppkey % 7 AS control_sample, count(*) AS treated FROM supplier WHERE s_suppkey > 7 AND s_suppkey % 7 IN (SELECT s_suppkey FROM supplier WHERE s_suppkey < 7) GROUP BY ALL",
+}
+
+_REASONS = "list_filter([CASE WHEN fn <= 2 THEN 'LOW_FORWARD_COUNT' END, CASE WHEN rn <= 2 THEN 'LOW_REVERSE_COUNT' END, CASE WHEN fd <= 4 THEN 'LOW_FORWARD_DEPTH' END, CASE WHEN rd <= 4 THEN 'LOW_REVERSE_DEPTH' END, CASE WHEN ff <= 0.2 THEN 'LOW_FORWARD_FRACTION' END, CASE WHEN rf <= 0.2 THEN 'LOW_REVERSE_FRACTION' END, CASE WHEN pair_score <= 0.5 THEN 'LOW_DIGENOME_PAIR_SCORE' END], lambda x: x IS NOT NULL)"
+#: One-to-one pairs by trying all subsets of each component, which are small here.
+_CHOSEN = (
+    f"reasoned AS (SELECT *, {_REASONS} AS reasons FROM pairs)",
+    """spans AS (SELECT *, least(forward_position, reverse_position) AS lo, greatest(forward_position, reverse_position) AS hi FROM reasoned),
+      islands AS (SELECT *, max(hi) OVER (PARTITION BY contig ORDER BY lo, hi, forward_position, reverse_position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM spans),
+      parts AS (SELECT *, sum(CASE WHEN before IS NULL OR lo > before THEN 1 ELSE 0 END) OVER (PARTITION BY contig ORDER BY lo, hi, forward_position, reverse_position ROWS UNBOUNDED PRECEDING) AS component FROM islands),
+      numbered AS (SELECT *, row_number() OVER (PARTITION BY contig, component ORDER BY forward_position, reverse_position) - 1 AS i, count(*) OVER (PARTITION BY contig, component) AS k FROM parts),
+      masks AS (SELECT contig, component, k, unnest(range(1, 1 << CAST(k AS INT))) AS mask FROM (SELECT DISTINCT contig, component, k FROM numbered)),
+      tries AS (SELECT m.contig, m.component, m.mask, count(*) AS n, count(*) FILTER (WHERE len(x.reasons) = 0) AS passing, sum(x.pair_score) AS score, sum(x.i) AS ranks, sum(1 << CAST(m.k - 1 - x.i AS INT)) AS early, count(DISTINCT x.forward_position) AS nf, count(DISTINCT x.reverse_position) AS nr
+        FROM masks m JOIN numbered x ON x.contig = m.contig AND x.component = m.component AND (m.mask >> CAST(x.i AS INT)) & 1 = 1 GROUP BY ALL),
+      taken AS (SELECT contig, component, mask FROM tries WHERE n = nf AND n = nr QUALIFY row_number() OVER (PARTITION BY contig, component ORDER BY passing DESC, n DESC, round(score, 9) DESC, ranks, early DESC) = 1),
+      chosen AS (SELECT x.* FROM numbered x JOIN taken t ON t.contig = x.contig AND t.component = x.component AND (t.mask >> CAST(x.i AS INT)) & 1 = 1)""",
+)
+
+
+def _rgen(forward: str, reads: str, tag: str, masked: bool) -> str:
+    """summed_{tag}(contig, forward_position, total): the five-position score at forward(contig, p)."""
+    hidden = "AND NOT EXISTS (SELECT 1 FROM merged m WHERE m.contig = a.contig AND a.at >= m.s AND a.at < m.e)" if masked else ""
+    return f"""ok_{tag} AS (SELECT contig, flag, reference_start, reference_end, strand, pos5 FROM {reads} WHERE (flag & 1796) = 0 AND mapping_quality >= 1),
+      places_{tag} AS (SELECT DISTINCT contig, p + k AS at FROM {forward}, range(-3, 3) t(k)),
+      one_{tag} AS (SELECT a.contig, a.at, count(*) FILTER (WHERE r.strand = '+' AND r.pos5 = a.at) AS f, count(*) FILTER (WHERE r.strand = '-' AND r.pos5 = a.at) AS r, count(*) AS d FROM places_{tag} a JOIN contigs c ON c.contig = a.contig AND a.at >= 0 AND a.at < c.length {hidden} JOIN ok_{tag} r ON r.contig = a.contig AND r.reference_start <= a.at AND r.reference_end > a.at GROUP BY ALL),
+      steps_{tag} AS (SELECT w.contig, w.p, k, coalesce(a.f, 0) AS c1, coalesce(a.d, 0) AS d1, coalesce(b.r, 0) AS c2, coalesce(b.d, 0) AS d2, coalesce(e.r, 0) AS c3, coalesce(e.d, 0) AS d3, coalesce(g.f, 0) AS c4, coalesce(g.d, 0) AS d4 FROM (SELECT contig, p, k FROM {forward}, range(-2, 3) t(k)) w LEFT JOIN one_{tag} a ON a.contig = w.contig AND a.at = w.p LEFT JOIN one_{tag} b ON b.contig = w.contig AND b.at = w.p - 1 + k LEFT JOIN one_{tag} e ON e.contig = w.contig AND e.at = w.p - 1 LEFT JOIN one_{tag} g ON g.contig = w.contig AND g.at = w.p + k),
+      added_{tag} AS (SELECT contig, p, k, CASE WHEN d3 > 0 AND d4 > 0 THEN ((c3::FLOAT - 1::FLOAT) / d3::FLOAT) * (c4::FLOAT - 1::FLOAT) / d4::FLOAT * ((c3 + c4)::FLOAT - 2::FLOAT) ELSE 0::FLOAT END + CASE WHEN d1 > 0 AND d2 > 0 THEN ((c1::FLOAT - 1::FLOAT) / d1::FLOAT) * (c2::FLOAT - 1::FLOAT) / d2::FLOAT * ((c1 + c2)::FLOAT - 2::FLOAT) ELSE 0::FLOAT END AS v FROM steps_{tag}),
+      wide_{tag} AS (SELECT contig, p, max(v) FILTER (WHERE k = -2) AS a, max(v) FILTER (WHERE k = -1) AS b, max(v) FILTER (WHERE k = 0) AS c, max(v) FILTER (WHERE k = 1) AS d, max(v) FILTER (WHERE k = 2) AS e FROM added_{tag} GROUP BY ALL),
+      summed_{tag} AS (SELECT contig, p AS forward_position, CAST(e + (d + (c + (b + (a + 0::FLOAT)))) AS DOUBLE) AS total FROM wide_{tag})"""
+
+
+_mean = lambda c, n: f"CASE WHEN f.{n} + r.{n} > 0 THEN (f.{c} * f.{n} + r.{c} * r.{n}) / (f.{n} + r.{n})::DOUBLE ELSE 0 END AS {c}"
+_ratio = lambda a, b: f"CASE WHEN {b} > 0 THEN ({a}) / ({b})::DOUBLE ELSE 0 END"
+_both = lambda c: f"f.{c} + r.{c}"
+_FORWARD = "(f.indel_fraction > r.indel_fraction OR (f.indel_fraction = r.indel_fraction AND f.indel_read_count >= r.indel_read_count))"
+_FINAL_DSB = (
+    "ends", "mask", "merged", "open_ends", "contigs", "piles3 AS (SELECT * FROM open_ends WHERE count >= 3)", *_PAIRS[2:], *_CHOSEN,
+    "sites AS (SELECT contig, forward_position AS pos, '+' AS strand FROM chosen UNION SELECT contig, reverse_position, '-' FROM chosen)", "indels", "metrics", "fwd AS (SELECT DISTINCT contig, forward_position AS p FROM chosen)",
+    _rgen("fwd", "reads", "t", True), _rgen("fwd", "control", "c", True), _depth("sites", "control", "cdepth"),
+    f"""joined AS (SELECT c.contig, c.forward_position, c.reverse_position, c.fn, c.fd, c.ff, c.rn, c.rd, c.rf, c.pair_score, c.reasons AS own,
+      {_both('endpoint_count')} AS n, {_both('strand_depth')} AS d, {_ratio(_both('endpoint_count'), _both('strand_depth'))} AS endpoint_fraction, {_mean('support_mean_mapq', 'support_read_count')}, {_mean('local_mean_mapq', 'local_read_count')}, {_mean('support_mean_nm', 'support_nm_count')}, {_mean('local_mean_nm', 'local_nm_count')},
+      {_ratio(_both('softclipped_count'), _both('endpoint_count'))} AS softclip_fraction, {_both('secondary_endpoint_count')} AS secondary_endpoint_count, {_both('indel_read_count')} AS indel_read_count, {_ratio(_both('indel_read_count'), _both('local_read_count'))} AS indel_fraction,
+      CASE WHEN {_FORWARD} THEN f.ip ELSE r.ip END AS ip, CASE WHEN {_FORWARD} THEN f.kind ELSE r.kind END AS kind, CASE WHEN {_FORWARD} THEN f.len ELSE r.len END AS len, t.total AS rgen, u.total AS control_rgen,
+      coalesce(x.n, 0) AS cfn, coalesce(x.d, 0) AS cfd, coalesce(x.f, 0) AS cff, coalesce(y.n, 0) AS crn, coalesce(y.d, 0) AS crd, coalesce(y.f, 0) AS crf, coalesce(x.n, 0) + coalesce(y.n, 0) AS cn, coalesce(x.d, 0) + coalesce(y.d, 0) AS cd
+      FROM chosen c JOIN metrics f ON f.contig = c.contig AND f.pos = c.forward_position AND f.strand = '+' JOIN metrics r ON r.contig = c.contig AND r.pos = c.reverse_position AND r.strand = '-'
+      JOIN summed_t t ON t.contig = c.contig AND t.forward_position = c.forward_position JOIN summed_c u ON u.contig = c.contig AND u.forward_position = c.forward_position
+      LEFT JOIN cdepth x ON x.contig = c.contig AND x.pos = c.forward_position AND x.strand = '+' LEFT JOIN cdepth y ON y.contig = c.contig AND y.pos = c.reverse_position AND y.strand = '-')""",
+    f"tested AS (SELECT *, {_ratio('cn', 'cd')} AS cf FROM joined)", _FISHER.strip(), "variants", "labels",
+    "hits AS (SELECT c.contig, c.forward_position, c.reverse_position, string_agg(DISTINCT l.label, ';' ORDER BY l.label) AS known FROM (SELECT contig, forward_position, reverse_position, unnest([forward_position, reverse_position]) AS at FROM chosen) c JOIN labels l ON l.contig = c.contig AND c.at >= greatest(l.s - 10, 0) AND c.at < l.e + 10 GROUP BY ALL)",
+    """judged AS (SELECT c.*, coalesce(h.known, '') AS known, CASE WHEN cd >= 1 THEN 'MATCHED_CONTROL' ELSE 'INSUFFICIENT_CONTROL_COVERAGE' END AS status,
+      list_filter([CASE WHEN softclip_fraction >= 0.2 THEN 'HIGH_5P_SOFTCLIP' END, CASE WHEN indel_fraction >= 0.2 THEN 'NEARBY_INDEL' END, CASE WHEN h.known IS NOT NULL THEN 'KNOWN_INDEL' END, CASE WHEN support_mean_mapq < 10 THEN 'LOW_SUPPORT_MAPQ' END,
+        CASE WHEN cd < 1 THEN 'INSUFFICIENT_CONTROL_COVERAGE' END, CASE WHEN cd >= 1 AND cf > 0.05 THEN 'HIGH_CONTROL_FRACTION' END, CASE WHEN cd >= 1 AND fold < 3 THEN 'LOW_CONTROL_FOLD' END, CASE WHEN cd >= 1 AND fq > 0.05 THEN 'CONTROL_Q_FAIL' END], lambda x: x IS NOT NULL) AS artifact
+      FROM controlled c LEFT JOIN hits h USING (contig, forward_position, reverse_position))""",
+    "final AS (SELECT *, CASE WHEN len(artifact) > 0 THEN 'ARTIFACT_RISK' ELSE 'DSB' END AS classification, list_concat(own, artifact) AS all_reasons FROM judged)",
+)
+_FINAL_DSB_SELECT = f"""SELECT 'treated' AS sample, 'digenome' AS analysis, 'control' AS control_sample, status AS control_status, contig, forward_position AS position_0based, forward_position + 1 AS position_1based, 'both' AS strand,
+ forward_position AS forward_position_0based, forward_position + 1 AS forward_position_1based, reverse_position AS reverse_position_0based, reverse_position + 1 AS reverse_position_1based,
+ n AS endpoint_count, d AS strand_depth, {_r('endpoint_fraction', 'endpoint_fraction')}, reverse_position AS opposite_position_0based, reverse_position + 1 AS opposite_position_1based, rn AS opposite_count, rd AS opposite_depth, {_r('rf', 'opposite_fraction')},
+ fn AS forward_endpoint_count, fd AS forward_depth, {_r('ff', 'forward_fraction')}, rn AS reverse_endpoint_count, rd AS reverse_depth, {_r('rf', 'reverse_fraction')},
+ {_r('pair_score', 'digenome_pair_score')}, CASE WHEN round(rgen, 6) = 0 THEN 0 ELSE round(rgen, 6) END AS rgen_digenome_score, 'DSB' AS signal_classification, classification, CASE WHEN len(all_reasons) = 0 THEN 'PASS' ELSE 'FILTERED' END AS filter_status, array_to_string(all_reasons, ';') AS filter_reasons,
+ {_r('support_mean_mapq', 'support_mean_mapq')}, {_r('local_mean_mapq', 'local_mean_mapq')}, {_r('support_mean_nm', 'support_mean_nm')}, {_r('local_mean_nm', 'local_mean_nm')}, {_r('softclip_fraction', 'softclip_fraction')}, secondary_endpoint_count,
+ ip AS indel_position_0based, ip + 1 AS indel_position_1based, coalesce(kind, '') AS indel_type, CAST(coalesce(len, 0) AS BIGINT) AS indel_length, indel_read_count, {_r('indel_fraction', 'indel_fraction')}, known AS known_indel_overlap,
+ cn AS control_endpoint_count, cd AS control_depth, {_r('cf', 'control_fraction')}, cfn AS control_forward_endpoint_count, cfd AS control_forward_depth, {_r('cff', 'control_forward_fraction')}, crn AS control_reverse_endpoint_count, crd AS control_reverse_depth, {_r('crf', 'control_reverse_fraction')},
+ {_r('cff * crf * (cfn + crn) / 4.0', 'control_digenome_pair_score')}, CASE WHEN round(control_rgen, 6) = 0 THEN 0 ELSE round(control_rgen, 6) END AS control_rgen_digenome_score, {_r('CASE WHEN cd >= 1 THEN fold END', 'control_fold_enrichment')}, {_r('fp', 'control_fisher_p')}, {_r('fq', 'control_fisher_q')} FROM final"""
+_TILES = "tiles AS (SELECT contig, s, least(s + {0}, length) AS e, length FROM (SELECT contig, length, unnest(range(0, length, {0})) AS s FROM contigs))"
+#: The plan of chunks over contigs of one length L; weights are times L, cuts times the number of chunks.
+_CHUNKS = lambda n: (
+    "ends", "contigs", "mask", "merged",
+    f"""mapped AS (SELECT contig, length, count(*) AS m FROM reads JOIN contigs USING (contig) WHERE (flag & 4) = 0 GROUP BY ALL),
+      gaps AS (SELECT contig, length, m, coalesce(lag(e) OVER w, 0) AS s, ms AS e FROM (SELECT x.contig, x.length, x.m, g.s AS ms, g.e FROM mapped x JOIN merged g USING (contig) UNION ALL SELECT contig, length, m, length, length FROM mapped) WINDOW w AS (PARTITION BY contig ORDER BY ms, e)),
+      open_ AS (SELECT contig, length, m, s, e, coalesce(sum(e - s) OVER (PARTITION BY contig ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM gaps WHERE e > s),
+      weights AS (SELECT contig, length, m, sum(m * (e - s)) AS w FROM open_ GROUP BY contig, length, m),
+      line AS (SELECT *, coalesce(sum(w) OVER (ORDER BY contig ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS origin, sum(w) OVER () AS total FROM weights),
+      cuts AS (SELECT contig, length, m, origin, total * k AS cut FROM line, range(1, {n}) t(k) WHERE total * k > origin * {n} AND total * k < (origin + w) * {n}),
+      placed AS (SELECT c.contig, c.length, o.s + (2 * (c.cut - c.origin * {n}) + c.m * {n} - 2 * o.before * c.m * {n}) // (2 * c.m * {n}) AS spot FROM cuts c JOIN open_ o ON o.contig = c.contig AND c.cut - c.origin * {n} > o.before * c.m * {n} AND c.cut - c.origin * {n} <= (o.before + o.e - o.s) * c.m * {n}),
+      bounds AS (SELECT contig, length, 0 AS spot FROM line UNION SELECT contig, length, CAST(spot AS BIGINT) FROM placed),
+      pieces AS (SELECT contig, length, spot AS a, coalesce(lead(spot) OVER (PARTITION BY contig ORDER BY spot), length) AS b FROM bounds),
+      filled AS (SELECT p.contig, p.length, p.a, p.b, coalesce(sum(greatest(0, least(o.e, p.b) - greatest(o.s, p.a))), 0) AS own, coalesce(sum(greatest(0, least(o.e, p.a) - o.s)), 0) AS left_ FROM pieces p JOIN open_ o USING (contig) GROUP BY ALL),
+      numbered_pieces AS (SELECT f.*, l.m, (SELECT count(*) FROM range(1, {n}) t(k) WHERE 2 * l.total * k <= {n} * (2 * l.origin + l.m * (2 * f.left_ + f.own))) AS part FROM filled f JOIN line l USING (contig)),
+      planned AS (SELECT contig, a, b, own, length, m, dense_rank() OVER (ORDER BY part) - 1 AS number FROM numbered_pieces),
+      chunk AS (SELECT 'chunk_' || lpad(CAST(number AS VARCHAR), 3, '0') AS chunk_id, contig, a AS owner_start, b AS owner_end, greatest(0, a - 10) AS scan_start, least(length, b + 10) AS scan_end, CAST(own AS BIGINT) AS callable_bases, CAST(b - a - own AS BIGINT) AS excluded_bases,
+        CAST((2 * sum(m * (b - a)) OVER (PARTITION BY number) + length) // (2 * length) AS BIGINT) AS mapped_records, CAST((2 * sum(m * own) OVER (PARTITION BY number) + length) // (2 * length) AS BIGINT) AS callable_mapped_records FROM planned)""",
+)
+_FASTQ = "fastq AS (SELECT o_orderkey AS k, left(CASE o_orderkey % 5 WHEN 0 THEN repeat('A', 60) WHEN 1 THEN repeat('ACGT', 15) ELSE repeat('GATTACAC', 8) END, CAST(24 + 8 * (o_orderkey % 6) AS INT)) AS seq FROM orders WHERE o_orderkey % 4 <> 1)"
+_SHEET = """s AS (SELECT s_suppkey AS k, 's' || s_suppkey AS sample, unnest(range(1, s_suppkey % 3 + 2)) AS lane FROM supplier),
+ sheet AS (SELECT sample, 'L' || lpad(CAST(lane AS VARCHAR), 3, '0') AS lane, '/lanes/' || sample || '_' || lane || '_1.fq.gz' AS fastq_1, '/lanes/' || sample || '_' || lane || '_2.fq.gz' AS fastq_2, CASE WHEN k > 7 AND k % 7 > 0 THEN 's' || (k % 7) ELSE '' END AS control,
+  CASE WHEN k % 5 = 0 THEN '/known/' || sample || '.vcf.gz' ELSE '' END AS variant_vcf, CASE WHEN k % 5 = 0 THEN '/known/' || sample || '.vcf.gz.csi' ELSE '' END AS variant_index, CASE WHEN k IN (SELECT x.k % 7 FROM s x WHERE x.k > 7 AND x.k % 7 > 0) THEN 'true' ELSE 'false' END AS is_control FROM s)"""
+_TIER = "CASE WHEN len(reasons) = 0 THEN 'high_confidence' WHEN classification = 'ARTIFACT_RISK' THEN 'artifact' ELSE 'manual_review' END"
+_g8 = lambda x: f"coalesce(printf('%.8g', CAST({x} AS DOUBLE)), '')"
+ORACLE_SQL |= {
+    "pair_matching": _with("SELECT contig, forward_position, reverse_position, round(pair_score, 6) AS pair_score FROM chosen", *_PAIRS, *_CHOSEN),
+    "final_calls_dsb": _with(_FINAL_DSB_SELECT, *_FINAL_DSB),
+    "sam_reads": _with("SELECT query_name, flag, contig, reference_start, reference_end, mapping_quality, cigar, nm FROM reads"),
+    "sam_header": CONTIGS_SQL,
+    "reads_probe": _with("SELECT count(*) > 0 AS found, count(*) FILTER (WHERE (flag & 1) <> 0) > 0 AS paired FROM reads WHERE ok"),
+    "vcf_variants": _with("SELECT contig, pos, ref, alt, pos + 9 AS last FROM variants", "variants"),
+    "indel_spans": _with('SELECT contig, s AS start, CASE WHEN (s + 1) % 2 = 0 THEN greatest(e, s + 31) ELSE e END AS "end", label FROM labels', "variants", "labels"),
+    "bed_mask": _with('SELECT contig, start_ AS start, end_ AS "end" FROM mask', "mask"),
+    "overlap_bases": _with('SELECT t.contig, t.s AS start, t.e AS "end", CAST(sum(CASE WHEN m.s IS NULL THEN 0 ELSE least(t.e, m.e) - greatest(t.s, m.s) END) AS BIGINT) AS masked_bases FROM tiles t LEFT JOIN merged m ON m.contig = t.contig AND m.s < t.e AND m.e > t.s GROUP BY ALL', "contigs", "mask", "merged", _TILES.format(1000)),
+    "coverage_faults": _with(
+        """SELECT contig, before AS at, CASE WHEN s > before THEN 'gap' ELSE 'overlap' END AS fault FROM walked WHERE s <> before UNION ALL SELECT contig, max(e), 'end' FROM walked GROUP BY contig, length HAVING max(e) <> length""",
+        "contigs", _TILES.format(500), "kept AS (SELECT contig, length, s, CASE WHEN s % 4000 = 2000 THEN e + 7 ELSE e END AS e FROM tiles WHERE s % 3500 <> 1000)", "walked AS (SELECT *, coalesce(lag(e) OVER (PARTITION BY contig ORDER BY s, e), 0) AS before FROM kept)"),
+    "interval_table": _with("SELECT * FROM piles WHERE (pos // 5000) % 2 = 0", "ends", "piles"),
+    "fastq_reads": f"WITH {_FASTQ}, scored AS (SELECT *, CAST(floor((k % 7) * length(seq) / 10.0) AS INT) AS low FROM fastq) SELECT 'r' || k AS name, seq, left(repeat('#', low) || repeat('I', 100), length(seq)) AS qual FROM scored WHERE k % 5 <> 0 AND length(seq) >= 30 AND low <= 0.4 * length(seq)",
+    "duplicates": _with(f"""SELECT query_name, reference_start, CASE WHEN (flag & 2308) = 0 AND row_number() OVER (PARTITION BY contig, strand, CASE WHEN strand = '-' THEN pos5 + clip ELSE pos5 - clip END, (flag & 2308) = 0 ORDER BY mapping_quality DESC, read_ord) > 1 THEN flag | 1024 ELSE flag END AS flag FROM (SELECT *, CASE WHEN {_CLIP} THEN 5 ELSE 0 END AS clip FROM reads)"""),
+    "samplesheet": f"WITH {_SHEET} SELECT * FROM sheet",
+    "lanes": f"WITH {_SHEET} SELECT sample, count(*) AS lanes, string_agg(lane, ';' ORDER BY lane) AS names, 'PE' AS layout FROM sheet GROUP BY sample",
+    "control_matching": f"WITH {_SHEET} SELECT control AS control_sample, count(DISTINCT sample) AS treated FROM sheet WHERE is_control = 'false' AND control <> '' GROUP BY ALL",
+    "chunk_plan": _with("SELECT * FROM chunk", *_CHUNKS(8)),
+    "chunk_table": _with("SELECT chunk_id, count(*) AS interval_count, count(DISTINCT contig) AS contig_count, max(mapped_records) AS estimated_mapped_records, max(callable_mapped_records) AS estimated_callable_mapped_records, CAST(sum(owner_end - owner_start) AS BIGINT) AS owned_bases, CAST(sum(callable_bases) AS BIGINT) AS callable_bases, CAST(sum(excluded_bases) AS BIGINT) AS excluded_bases, string_agg(contig || ':' || owner_start || '-' || owner_end, ',' ORDER BY contig, owner_start) AS intervals FROM chunk GROUP BY chunk_id", *_CHUNKS(8)),
+    "chunked_calls": ORACLE_SQL["final_calls_ssb"],
+    "chunk_totals": _with("SELECT CAST((SELECT count(*) FROM final) AS BIGINT) AS rows, CAST((SELECT count(*) FROM piles) AS BIGINT) AS candidates", *_FINAL),
+    "formatted_calls": _with(f"SELECT contig, CAST(pos AS VARCHAR) AS position_0based, strand, {_g8('endpoint_fraction')} AS endpoint_fraction, {_g8('support_mean_mapq')} AS support_mean_mapq, {_g8('local_mean_mapq')} AS local_mean_mapq, {_g8('support_mean_nm')} AS support_mean_nm, {_g8('score')} AS digenome_pair_score, '' AS rgen_digenome_score, coalesce(CAST(op + 1 AS VARCHAR), '') AS opposite_position_1based, array_to_string(reasons, ';') AS filter_reasons FROM final", *_FINAL),
+    "written_calls": _with(f"SELECT t AS tier, contig, pos AS position_0based, strand, classification, array_to_string(reasons, ';') AS filter_reasons FROM (SELECT *, unnest(['all', {_TIER}]) AS t FROM final)", *_FINAL),
+    "qc_document": _with(
+        f"""SELECT 'candidate_endpoints_or_pairs_before_filters' AS name, (SELECT count(*) FROM piles) AS n UNION ALL SELECT 'reported_candidates', count(*) FROM final UNION ALL SELECT 'high_confidence_calls', count(*) FILTER (WHERE {_TIER} = 'high_confidence') FROM final UNION ALL SELECT 'manual_review_candidates', count(*) FILTER (WHERE {_TIER} = 'manual_review') FROM final
+        UNION ALL SELECT 'artifact_candidates', count(*) FILTER (WHERE {_TIER} = 'artifact') FROM final UNION ALL SELECT 'high_confidence_ssb', count(*) FILTER (WHERE {_TIER} = 'high_confidence') FROM final UNION ALL SELECT 'high_confidence_dsb', 0
+        UNION ALL SELECT 'classifications_' || classification, count(*) FROM final GROUP BY classification UNION ALL SELECT 'signal_classifications_' || signal, count(*) FROM final GROUP BY signal""",
+        *_FINAL),
+    "streamed_pileups": ORACLE_SQL["endpoint_pileups"],
 }

@@ -234,10 +234,10 @@ def test_chunks_give_the_calls_of_one_run(spark, tmp_path):
         folder = tmp_path / name
         shutil.copytree(tmp_path / "a", folder)
         for path in sorted((folder / "summaries").glob("part-*")):
-            document = json.loads(path.read_text() or "null")
-            if document:
+            documents = [json.loads(x) for x in path.read_text().splitlines()]
+            for document in documents:
                 change(document)
-                path.write_text(json.dumps(document))
+            path.write_text("".join(json.dumps(document) + "\n" for document in documents))
         for crc in folder.rglob("*.crc"):
             crc.unlink()
         return str(folder)

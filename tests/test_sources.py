@@ -253,6 +253,14 @@ def test_fragments_and_stream(spark, tmp_path):
     with pytest.raises(ValueError):
         formats.unique_calls(calls.union(calls))
     rows = frame(spark, forward(6, 100) + forward(2, 200))
-    rows.write.parquet(str(tmp_path / "reads"))
-    endpoints.run(endpoints.endpoint_counts(spark, str(tmp_path / "reads"), 1), str(tmp_path / "piles"), str(tmp_path / "ckpt"), 5).awaitTermination(120)
-    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "piles")).collect()] == [tuple(r) for r in sites.pileups(rows, 5, 1).collect()]
+    more = frame(spark, forward(3, 200) + forward(1, 300))
+    where = [str(tmp_path / x) for x in ("reads", "piles", "checkpoint", "small")]
+    for part in (rows, more):
+        part.write.mode("append").parquet(where[0])
+        endpoints.run(endpoints.endpoint_counts(spark, where[0], 1), where[1], where[2]).awaitTermination(120)
+    want = sorted(tuple(r) for r in sites.pileups(rows.union(more), 5, 1).collect())
+    assert sorted(tuple(r) for r in endpoints.current(spark, where[1], 5).collect()) == want and len(want) == 2
+    # what the second batch didn't touch isn't written again
+    assert spark.read.parquet(where[1]).count() == 4
+    endpoints.compact(spark, where[1], where[3])
+    assert sorted(tuple(r) for r in endpoints.current(spark, where[3], 5).collect()) == want
