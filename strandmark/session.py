@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from pathlib import Path
@@ -43,10 +44,13 @@ def local_session(cpus: int | str = 8, **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir); a session without one gets a folder of its own."""
+    """The folder all executors share (spark.checkpoint.dir). A local session without one gets a folder of its own; on a
+    cluster that would be each machine's own disk, so there it must be set."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc._jsc.sc().getCheckpointDir().getOrElse(None)
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="strandmark-")
         sc.setCheckpointDir(found)
     return found.rstrip("/")
@@ -64,4 +68,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of df as a Parquet table in the shared folder: lineage ends here and lost executors cost nothing."""
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._written_to = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes what ``written`` has put down for these tables, once nothing that is still to run reads them."""
+    for t in tables:
+        if place := getattr(t, "_written_to", None):
+            hadoop = t.sparkSession._jvm.org.apache.hadoop.fs.Path(place)
+            hadoop.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(hadoop, True)

@@ -264,3 +264,26 @@ def test_fragments_and_stream(spark, tmp_path):
     assert spark.read.parquet(where[1]).count() == 4
     endpoints.compact(spark, where[1], where[3])
     assert sorted(tuple(r) for r in endpoints.current(spark, where[3], 5).collect()) == want
+
+
+def test_shared_folder_and_discarded_tables(spark, tmp_path):
+    import pathlib
+    from types import SimpleNamespace
+
+    from strandmark import session
+
+    table = session.written(spark.range(5), "five")
+    place = pathlib.Path(table._written_to.removeprefix("file://"))
+    assert table.count() == 5 and place.exists()
+    session.discard(table, spark.range(1))
+    assert not place.exists()
+
+    def cluster(master, folder):
+        none = SimpleNamespace(getOrElse=lambda x: x)
+        return SimpleNamespace(sparkContext=SimpleNamespace(master=master, getConf=lambda: {"spark.checkpoint.dir": folder} if folder else {}, setCheckpointDir=lambda x: None, _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: none))))
+
+    assert session.shared_dir(cluster("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    assert session.shared_dir(cluster("local[4]", None)).startswith("file://")
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]"):
+        with pytest.raises(RuntimeError, match="checkpoint.dir"):
+            session.shared_dir(cluster(master, None))
