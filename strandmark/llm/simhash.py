@@ -269,10 +269,11 @@ def _named(address: np.ndarray, ids: np.ndarray, labels: np.ndarray, words: np.n
 
 
 def _crowds(nodes: DataFrame, shape: Shape, segments: range) -> dict[int, tuple[int, int]]:
-    """Of addresses that hold more than CROWD nodes by a sample of at most SAMPLE: over how many tasks they are dealt, and
+    """Of addresses that hold more than CROWD nodes by a sample of some SAMPLE: over how many tasks they are dealt, and
     their most frequent label."""
     total = nodes.count()
-    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("label", "fp").collect() if total > CROWD else []
+    share = -(1 << 63) + min((1 << 64) - 1, (SAMPLE << 64) // max(1, total))
+    sample = nodes.where(F.xxhash64("node", F.lit("sample")) <= F.lit(share)).select("label", "fp").collect() if total > CROWD else []
     if not sample:
         return {}
     words = np.frombuffer(b"".join(bytes(r.fp) for r in sample), "<u8").reshape(len(sample), -1)
