@@ -7,6 +7,7 @@ import ctypes
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandmark.session import discard as discard
 from strandmark.session import new_folder as new_folder
 from strandmark.session import written as written
 
@@ -48,7 +49,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        pairs = written(small.select("e.*").where("a > b").distinct(), "components")
+        old, pairs = pairs, written(small.select("e.*").where("a > b").distinct(), "components")
+        discard(old)
         now = digest(pairs)
         if now == before:
             break

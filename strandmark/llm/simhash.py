@@ -402,7 +402,8 @@ def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
             found = found.join(now.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}")), c)
         roots = base.connected_components(found.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
         joined = now.join(roots.withColumnRenamed("node", "label"), "label", "left")
-        now = base.written(joined.select("node", "least", "fp", F.coalesce("root", "label").alias("label")), "labels")
+        old, now = now, base.written(joined.select("node", "least", "fp", F.coalesce("root", "label").alias("label")), "labels")
+        base.discard(old, candidates)
     smallest = now.groupBy("label").agg(F.min("least.id").alias("component_id"))
     return marks.select("id", "t", "node").join(now.join(smallest, "label").select("node", "component_id"), "node").select("id", "t", "component_id")
 
