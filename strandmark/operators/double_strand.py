@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -122,6 +124,72 @@ def best_assignment(edges: list[tuple[int, int, bool, float]]) -> list[int]:
     return sorted(chosen)
 
 
+#: Reverse endpoints that are open at once, up to which an assignment is walked along the contig.
+MOST_OPEN = 12
+
+
+def most_open(edges: list[tuple[int, int, bool, float]]) -> int:
+    """How many reverse endpoints at most have a forward one both before (or at) and at (or after) some step."""
+    first, last = {}, {}
+    order = {f: k for k, f in enumerate(sorted({e[0] for e in edges}))}
+    for f, r, *_ in edges:
+        first.setdefault(r, order[f])
+        last[r] = order[f]
+    change = [0] * (len(order) + 1)
+    for r in first:
+        change[first[r]] += 1
+        change[last[r] + 1] -= 1
+    return max(accumulate(change))
+
+
+def walked_assignment(edges: list[tuple[int, int, bool, float]]) -> list[int]:
+    """What best_assignment chooses, by one walk over the forward endpoints: a state is which reverse endpoints that a later
+    forward one can still have are taken, and only the best way into each state goes on. Linear in the edges for a given
+    ``most_open``, so a long crowded region costs no more than its parts."""
+    ratios = [float(e[3]).as_integer_ratio() for e in edges]
+    unit = max(d for _, d in ratios)
+    by_forward: dict[int, list[tuple[int, int]]] = {}
+    for k, e in enumerate(edges):
+        by_forward.setdefault(e[0], []).append((e[1], k))
+    order = sorted(by_forward)
+    least_later, smallest = {}, None
+    for f in reversed(order):
+        least_later[f] = smallest
+        smallest = min([r for r, _ in by_forward[f]] + ([smallest] if smallest is not None else []))
+    # taken reverse endpoints -> (worth, rank of the choices so far (smaller: earlier in order), chosen edges as a chain)
+    states: dict[frozenset, tuple] = {frozenset(): ((0, 0, 0, 0), 0, None)}
+    for f in order:
+        options = [*enumerate(sorted(by_forward[f])), (len(by_forward[f]), None)]
+        found: dict[frozenset, tuple] = {}
+        for taken, (worth, rank, chain) in states.items():
+            for choice, option in options:
+                if option is None:
+                    now, value, link = taken, worth, chain
+                elif option[0] in taken:
+                    continue
+                else:
+                    k = option[1]
+                    a, d = ratios[k]
+                    now, link = taken | {option[0]}, (k, chain)
+                    value = (worth[0] + int(edges[k][2]), worth[1] + 1, worth[2] + a * (unit // d), worth[3] - k)
+                now = frozenset(r for r in now if least_later[f] is not None and r >= least_later[f])
+                known = found.get(now)
+                if known is None or value > known[0] or value == known[0] and (rank, choice) < known[1]:
+                    found[now] = (value, (rank, choice), link)
+        ranks = {h: n for n, h in enumerate(sorted({x[1] for x in found.values()}))}
+        states = {s: (value, ranks[h], link) for s, (value, h, link) in found.items()}
+    ((_, _, chain),) = states.values()
+    chosen = []
+    while chain:
+        chosen.append(chain[0])
+        chain = chain[1]
+    return sorted(chosen)
+
+
+def assignment(edges: list[tuple[int, int, bool, float]]) -> list[int]:
+    return walked_assignment(edges) if most_open(edges) <= MOST_OPEN else best_assignment(edges)
+
+
 def select_pairs(pairs: DataFrame, overhang: int) -> DataFrame:
     """One-to-one pairs. Single pairs and stars are decided by a window; only the rest goes to Python, by component."""
     slim = components(pairs.select(*PAIR, "pair_score", (F.size("caller_reasons") == 0).alias("good")), overhang)
@@ -133,7 +201,7 @@ def select_pairs(pairs: DataFrame, overhang: int) -> DataFrame:
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["forward_position", "reverse_position"])
-        return pdf.iloc[best_assignment(list(pdf[["forward_position", "reverse_position", "good", "pair_score"]].itertuples(index=False, name=None)))][PAIR]
+        return pdf.iloc[assignment(list(pdf[["forward_position", "reverse_position", "good", "pair_score"]].itertuples(index=False, name=None)))][PAIR]
 
     hard = slim.where("NOT _star").select(*PAIR, "component", "good", "pair_score")
     hard = hard.groupBy("contig", "component").applyInPandas(choose, "contig string, forward_position long, reverse_position long")

@@ -124,6 +124,20 @@ def test_assignment_equals_brute_force():
         assert worth(tuple(got))[:4] == worth(best)[:4]
 
 
+def test_walked_assignment_equals_the_general_one():
+    rng = random.Random(9)
+    for k in range(400):
+        n, w = rng.randrange(2, 14), rng.randrange(1, 4)
+        fs, rs = (sorted({rng.randrange(3 * n) for _ in range(n)}) for _ in range(2))
+        scores = [0.25, 0.5, 0.5, 1.0] if k % 2 else [rng.random() for _ in range(9)]
+        edges = [(f, r, rng.random() < 0.6, rng.choice(scores)) for f in fs for r in rs if abs(f - r) <= w and rng.random() < 0.9]
+        if edges:
+            assert D.walked_assignment(edges) == D.best_assignment(edges), edges
+    # a crowded region takes a moment, not forever
+    long = [(f, r, (f * r) % 3 > 0, ((f + 2 * r) % 7) / 8) for f in range(3000) for r in range(max(0, f - 2), f + 3)]
+    assert D.most_open(long) <= 6 and len(D.assignment(long)) == 3000
+
+
 def test_components_equal_connected_ones(spark):
     rng = random.Random(3)
     fs, rs = ({rng.randrange(0, 300) for _ in range(40)} for _ in range(2))
