@@ -77,6 +77,26 @@ def brute_plan_is_whole(counts, capacity):
     assert not any(left.values())
 
 
+def fewest_bins(lengths, capacity):
+    best = len(lengths)
+
+    def place(k, gaps):
+        nonlocal best
+        if len(gaps) >= best:
+            return
+        if k == len(lengths):
+            best = len(gaps)
+            return
+        for g in {g for g in gaps if g >= lengths[k]}:
+            rest = list(gaps)
+            rest.remove(g)
+            place(k + 1, [*rest, g - lengths[k]])
+        place(k + 1, [*gaps, capacity - lengths[k]])
+
+    place(0, [])
+    return best
+
+
 def test_packing_plan():
     rng = random.Random(2)
     for _ in range(60):
@@ -84,6 +104,10 @@ def test_packing_plan():
         brute_plan_is_whole({rng.randrange(1, capacity + 1): rng.randrange(1, 50) for _ in range(rng.randrange(0, 12))}, capacity)
     # 6 + 3 leaves 1; the best two for the gap of 4 left by 3 are 2 + 2
     assert packing.plan({6: 1, 3: 1, 2: 2}, 10)[0] == (1, [6, 2, 2])
+    for _ in range(40):  # against the best packing there is
+        counts = {rng.randrange(1, 11): rng.randrange(1, 3) for _ in range(4)}
+        lengths = sorted((n for n, k in counts.items() for _ in range(k)), reverse=True)
+        assert sum(t for t, _ in packing.plan(counts, 10)) <= fewest_bins(lengths, 10) + 1
     bins = packing.plan({n: 1000 for n in range(1, 101)}, 100)
     assert sum(t for t, _ in bins) <= 1.002 * sum(n * 1000 for n in range(1, 101)) / 100
 
@@ -218,18 +242,43 @@ def test_records(spark, docs, none, tmp_path):
     some = records.read_at(spark, folder, index.where("key % 2 = 0")).collect()
     assert {r.key for r in some} == {i for i in texts_by_id() if i % 2 == 0}
     records.write_records(none, str(tmp_path / "none"), "byte_bpe_50k.json", False, 0)
-    with pytest.raises(Exception, match="without a key"):
-        records.write_records(docs.withColumn("doc_id", F.lit(None).cast("long")), str(tmp_path / "bad"), "byte_bpe_50k.json", False, 0)
+    # a file that isn't named isn't opened: what's in the others may be anything
+    first = index.where("file = 0").orderBy("key").limit(2)
+    for place in (tmp_path / "data").glob("part-*"):
+        if not place.name.startswith("part-00000"):
+            place.write_bytes(b"damaged")
+            (tmp_path / "data" / f".{place.name}.crc").unlink(missing_ok=True)
+    assert {r.key for r in records.read_at(spark, folder, first).collect()} == {r.key for r in first.collect()}
+    with pytest.raises(Exception, match="length of the frame"):
+        records.read_at(spark, folder, index).collect()
+    assert records.read_at(spark, folder, index.where("key < 0")).count() == 0
+    records.write_records(docs, str(tmp_path / "rolled"), "byte_bpe_50k.json", False, 0)
+    assert spark.read.format("binaryFile").load(str(tmp_path / "rolled")).count() >= 2
+
+
+def test_records_without_a_key_and_of_one_key(spark, tmp_path):
+    rows = [(None, "b"), (5, "x y"), (None, None), (5, "x y"), (5, "z"), (-7, "first"), (1 << 62, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    folder = str(tmp_path / "data")
+    records.write_records(docs, folder, "byte_bpe_50k.json", False, 0, files=4)
+    got = records.with_starts(records.read_records(spark, folder)).orderBy("start").collect()
+    assert [r.key for r in got] == [None, None, -7, 5, 5, 5, 1 << 62]
+    ends = [0, *np.cumsum([r.n_ids for r in got]).tolist()]
+    assert [r.start for r in got] == ends[:-1]
+    library = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"), False).library
+    texts = sorted(str(library.encode(t or "", add_special_tokens=False).ids + [0]) for _, t in rows)
+    assert sorted(str(np.frombuffer(r.ids, "<u4").tolist()) for r in got) == texts
+    assert {r.key for r in records.read_at(spark, folder, records.read_records(spark, folder).where("key IS NULL")).collect()} == {None}
 
 
 def test_frames_tell_damage():
     content = b"".join(records.frame(p) + b"\n" for p in (b"", b"abc\n", bytes(300)))
-    assert [p for _, p in records.parse(content)] == [b"", b"abc\n", bytes(300)]
+    assert [p for _, p in records.parse(content)] == [b"", b"abc\n", bytes(300)] and records.frame_at(content, 17) == b"abc\n"
     for k in (0, 9, 20, len(content) - 3):
         with pytest.raises(ValueError):
-            records.parse(content[:k] + bytes([content[k] ^ 1]) + content[k + 1 :])
+            list(records.parse(content[:k] + bytes([content[k] ^ 1]) + content[k + 1 :]))
     with pytest.raises(ValueError):
-        records.parse(content[:-4])
+        list(records.parse(content[:-4]))
 
 
 def brute_fingerprint(text, width):
