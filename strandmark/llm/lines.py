@@ -1,11 +1,12 @@
 """Operator 2 [native]: line dedup by range-partitioned hashes; decisions travel as bitmaps, never as text.
 
 A line's key is the line without ``[\\x20\\x09-\\x0D]`` at both ends and with A-Z lower-cased. Lines become
-(h1, h2, id, pos): two chained 64-bit hashes of the key, so keys are told apart by 128 bits. These rows are
-range-partitioned by (h1, h2, id) and sorted by position behind them, which splits a hash that a third of all
-documents hold over many ranges. In that order the first line of each (key, document) is streamed out; counts of
-documents and first occurrences are pre-aggregated in each range before one row a key and range is exchanged.
-Decisions return as bitmaps: per document the non-zero 64-line words, a word's bit set where the line goes.
+(h1, h2, id, t, pos): two chained 64-bit hashes of the key, so keys are told apart by 128 bits, and a hash of the text,
+which tells rows that share an id apart. These rows are range-partitioned by (h1, h2, id) and sorted by position behind
+them, which splits a hash that a third of all documents hold over many ranges. In that order the first line of each (key,
+document) is streamed out; counts of documents and first occurrences are pre-aggregated in each range before one row
+a key and range is exchanged. Decisions return as keep bitmaps, a bit a line, set where it stays, in words of 64; they're
+compressed by leaving out the words, and the documents, that keep all.
 
 Three policies: ``every`` (keys in at least ``min_docs`` documents lose all their lines), ``repeats`` (of such keys,
 the first occurrence by document and position stays) and ``boilerplate``: the first occurrence stays, but for keys that
@@ -13,9 +14,9 @@ at least ``min_docs`` documents of mostly other text hold (``OWN_SHARE`` of the
 not common); those lose all their lines. So the lines of copies, exact or near, however many, stay in one document.
 
 Edge cases: null and empty texts are one empty line; keys shorter than ``min_chars`` code points (blank lines at the
-default of 1) are never dropped; a document that loses every line keeps the empty text; ids should be unique: rows
-that share an id count as one document and share their bitmap; rows with a null id are never counted nor cut; columns
-of the input may have any names, also those used inside; an empty table gives an empty table.
+default of 1) are never dropped; a document that loses every line keeps the empty text; rows
+that share an id count as one document and are cut each by its own lines; rows with a null id are never counted nor
+cut; columns of the input may have any names, also those used inside; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -42,11 +43,11 @@ def line_key(line: Column) -> Column:
 
 
 def line_hashes(docs: DataFrame, id_col: str, text_col: str, min_chars: int, sizes: bool = False) -> DataFrame:
-    """(id, pos, h1, h2[, size]) of each line whose key is long enough, written to the shared folder."""
-    lines = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.posexplode(split_lines(F.col(text_col))).alias("pos", "line"))
-    keys = lines.select("id", "pos", line_key(F.col("line")).alias("key")).where(F.char_length("key") >= min_chars)
+    """(id, t, pos, h1, h2[, size]) of each line whose key is long enough, written to the shared folder; t: the text's hash."""
+    lines = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.hash(text_col).alias("t"), F.posexplode(split_lines(F.col(text_col))).alias("pos", "line"))
+    keys = lines.select("id", "t", "pos", line_key(F.col("line")).alias("key")).where(F.char_length("key") >= min_chars)
     size = [F.char_length("key").alias("size")] if sizes else []
-    return base.written(keys.select("id", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), *size), "lines")
+    return base.written(keys.select("id", "t", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), *size), "lines")
 
 
 def spread_keys(hashes: DataFrame, hit: DataFrame, min_docs: int) -> DataFrame:
@@ -57,42 +58,43 @@ def spread_keys(hashes: DataFrame, hit: DataFrame, min_docs: int) -> DataFrame:
     return hit.join(own.hint("shuffle_hash"), "id", "left_semi").select("h1", "h2", "id").distinct().groupBy("h1", "h2").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("h1", "h2")
 
 
-def drop_bitmaps(docs: DataFrame, min_docs: int, min_chars: int = 1, policy: str = "every", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, words map<int,long>, n_dropped) of each document that loses lines."""
+def keep_bitmaps(docs: DataFrame, min_docs: int, min_chars: int = 1, policy: str = "every", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, t, words map<int,long>, n_dropped) of each row that loses lines; a word that isn't there keeps all of its 64 lines."""
     if policy not in ("every", "repeats", "boilerplate"):
         raise ValueError(f"policy {policy!r}")
     hashes = line_hashes(docs, id_col, text_col, min_chars, policy == "boilerplate")
-    ranged = hashes.repartitionByRange(base.partitions_for(docs.sparkSession), "h1", "h2", "id").sortWithinPartitions("h1", "h2", "id", "pos")
-    within = Window.partitionBy("h1", "h2", "id").orderBy("pos")
+    ranged = hashes.repartitionByRange(base.partitions_for(docs.sparkSession), "h1", "h2", "id").sortWithinPartitions("h1", "h2", "id", "t", "pos")
+    within = Window.partitionBy("h1", "h2", "id").orderBy("t", "pos")
     firsts = ranged.withColumn("k", F.row_number().over(within)).where("k = 1")
-    keys = firsts.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.min(F.struct("id", "pos")).alias("first"))
+    keys = firsts.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.min(F.struct("id", "t", "pos")).alias("first"))
     # a table of its own, so that both sides of the join are plain exchanges, of which Spark splits the hot parts
     common = base.written(keys.where(F.col("n_docs") >= min_docs).select("h1", "h2", "first"), "common-lines")
     hit = hashes.join(common, ["h1", "h2"])
     if policy == "repeats":
-        hit = hit.where(F.struct("id", "pos") != F.col("first"))
+        hit = hit.where(F.struct("id", "t", "pos") != F.col("first"))
     if policy == "boilerplate":
-        hit = base.written(hit.withColumn("first", F.struct("id", "pos") == F.col("first")), "common-places")
+        hit = base.written(hit.withColumn("first", F.struct("id", "t", "pos") == F.col("first")), "common-places")
         # a row a key: of the many places of a key only the first is looked up
         stay = hit.where("first").join(spread_keys(hashes, hit, min_docs), ["h1", "h2"], "left_anti")
-        hit = hit.where("NOT first").select("id", "pos").union(hit.where("first").select("id", "pos").join(stay.select("id", "pos"), ["id", "pos"], "left_anti"))
-    word = hit.groupBy("id", F.expr("pos div 64").cast("int").alias("word")).agg(F.expr("bit_or(shiftleft(1L, pos % 64))").alias("bits"))
-    return word.groupBy("id").agg(
+        hit = hit.where("NOT first").select("id", "t", "pos").union(hit.where("first").select("id", "t", "pos").join(stay.select("id", "t", "pos"), ["id", "t", "pos"], "left_anti"))
+    word = hit.groupBy("id", "t", F.expr("pos div 64").cast("int").alias("word")).agg(F.expr("~bit_or(shiftleft(1L, pos % 64))").alias("bits"))
+    return word.groupBy("id", "t").agg(
         F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("words"),
-        F.sum(F.bit_count("bits")).cast("long").alias("n_dropped"),
+        F.sum(64 - F.bit_count("bits")).cast("long").alias("n_dropped"),
     )
 
 
 def dedup_lines(docs: DataFrame, min_docs: int, min_chars: int = 1, policy: str = "every", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with ``text_col`` cut, and ``n_lines`` (before) and ``n_dropped`` (replaced, if there are such columns)."""
-    maps = drop_bitmaps(docs, min_docs, min_chars, policy, id_col, text_col)
-    maps = maps.select(F.struct("id").alias("_map_key"), F.struct("words", "n_dropped").alias("_map"))
+    maps = keep_bitmaps(docs, min_docs, min_chars, policy, id_col, text_col)
+    maps = maps.select(F.struct("id", "t").alias("_map_key"), F.struct("words", "n_dropped").alias("_map"))
     rest = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    joined = docs.join(maps.hint("shuffle_hash"), F.col(id_col) == F.col("_map_key.id"), "left")
+    own = (F.col(id_col) == F.col("_map_key.id")) & (F.hash(text_col) == F.col("_map_key.t"))
+    joined = docs.join(maps.hint("shuffle_hash"), own, "left")
     lines = split_lines(F.col(text_col))
-    bits = lambda i: F.coalesce(F.try_element_at(F.col("_map.words"), F.floor(i / 64).cast("int")), F.lit(0).cast("long"))
-    dropped = lambda i: F.getbit(bits(i), (i % 64).cast("int")) == 1
-    kept = F.when(F.col("_map").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(F.array_join(F.filter(lines, lambda x, i: ~dropped(i)), "\n"))
+    bits = lambda i: F.coalesce(F.try_element_at(F.col("_map.words"), F.floor(i / 64).cast("int")), F.lit(-1).cast("long"))
+    stays = lambda i: F.getbit(bits(i), (i % 64).cast("int")) == 1
+    kept = F.when(F.col("_map").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(F.array_join(F.filter(lines, lambda x, i: stays(i)), "\n"))
     return joined.select(
         *[kept.alias(c) if c == text_col else F.col(f"`{c}`") for c in rest],
         F.size(lines).cast("long").alias("n_lines"),
