@@ -34,7 +34,9 @@ from . import base
 #: Labelled rows that are learned from at most.
 SAMPLE_ROWS = 16_000
 FOLDS, TREES, DEPTH, RATE, BINS = 4, 50, 3, 0.2, 32
-MIN_TOXIC_ROWS, MOST_TERMS = 3, 2000
+MIN_TOXIC_ROWS = 3
+#: Terms that a lexicon holds at most, those that stand out most.
+MOST_TERMS = 2000
 THRESHOLD = 0.3
 
 # Insults that count without having been learned.
@@ -141,8 +143,9 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
     ]
 
 
-def learn_lexicon(counts: dict[str, tuple[int, int]], toxic: int, clean: int, terms: int) -> Lexicon:
-    """From rows by term (toxic, clean): those of all ``terms`` that stand out among toxic rows, with log odds as weights."""
+def learn_lexicon(counts: dict[str, tuple[int, int]], toxic: int, clean: int, terms: int, most_terms: int = MOST_TERMS) -> Lexicon:
+    """From rows by term (toxic, clean): those of all ``terms`` that stand out among toxic rows, with log odds as weights; the
+    first ``most_terms`` by G2."""
     scored, all_ = [], toxic + clean
     least = 2 * math.log(max(100, terms))
     for term, (t, c) in counts.items():
@@ -153,7 +156,7 @@ def learn_lexicon(counts: dict[str, tuple[int, int]], toxic: int, clean: int, te
         if g2 >= least and odds > 1.5:
             scored.append((g2, term, odds))
     scored.sort(key=lambda x: (-x[0], x[1]))
-    return Lexicon({term: round(odds, 6) for _, term, odds in scored[:MOST_TERMS]})
+    return Lexicon({term: round(odds, 6) for _, term, odds in scored[:most_terms]})
 
 
 @dataclass
@@ -239,8 +242,9 @@ class Model:
         return np.interp(self.trees.raw(x), *self.knots)
 
 
-def train(docs: DataFrame, labels: DataFrame, allowed, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fits on at most ``sample_rows`` labelled rows for which ``allowed`` (a condition on doc_id) holds.
+def train(docs: DataFrame, labels: DataFrame, allowed, sample_rows: int = SAMPLE_ROWS, most_terms: int = MOST_TERMS) -> Model:
+    """Fits on at most ``sample_rows`` labelled rows for which ``allowed`` (a condition on doc_id) holds, with a lexicon of at most
+    ``most_terms`` learned terms.
 
     Terms are counted and features computed on the executors; the driver gets a row a promising term and a row a
     sampled text.
@@ -248,6 +252,8 @@ def train(docs: DataFrame, labels: DataFrame, allowed, sample_rows: int = SAMPLE
     pick = labels.where(allowed & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     pick = pick.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     chosen = docs.where(allowed).select("doc_id", "text").join(F.broadcast(pick), "doc_id").where(F.length("text") > 0)
+    # of rows that share an id one, so that the sample is bounded by rows
+    chosen = chosen.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("t"), "text")).alias("r")).select("doc_id", "toxic", "r.text")
     texts = chosen.groupBy("text").agg(F.min(F.struct(F.xxhash64("doc_id").alias("h"), "doc_id", "toxic")).alias("m"))
     rows = base.written(texts.select("text", F.col("m.h").alias("h"), F.col("m.toxic").alias("toxic"), F.pmod("m.h", F.lit(FOLDS)).cast("int").alias("fold")), "labelled")
     size = {(r["fold"], r["toxic"]): r["count"] for r in rows.groupBy("fold", "toxic").count().collect()}
@@ -278,7 +284,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed, sample_rows: int = SAMPLE
     def lexicon(without: int | None) -> Lexicon:
         kept = [k for k in range(FOLDS) if k != without]
         counts = {t: (sum(c[2 * k + 1] for k in kept), sum(c[2 * k] for k in kept)) for t, c in table.items()}
-        return learn_lexicon(counts, max(1, sum(size.get((k, 1), 0) for k in kept)), max(1, sum(size.get((k, 0), 0) for k in kept)), terms)
+        return learn_lexicon(counts, max(1, sum(size.get((k, 1), 0) for k in kept)), max(1, sum(size.get((k, 0), 0) for k in kept)), terms, most_terms)
 
     of_fold = [lexicon(k) for k in range(FOLDS)]
 
