@@ -23,12 +23,13 @@ def candidates(reads: DataFrame, params: Params, mask: DataFrame | None = None,
     The minimum is that of the laxer strand, so pairs with too few on one side are listed with their reason.
     """
     least = min(params.digenome_forward_cutoff, params.digenome_reverse_cutoff) + 1
-    found = S.pileups(reads, least, params.digenome_min_mapq, mask)
+    # few of many reads: with their size known, the reads that are near them needn't be exchanged
+    found = written(S.pileups(reads, least, params.digenome_min_mapq, mask), "piles")
     w = params.digenome_pair_window
     forward = found.where("strand = '+'").select("contig", F.col("pos").alias("forward_position"))
     reverse = found.where("strand = '-'").select("contig", F.col("pos").alias("reverse_position"))
     expected = F.col("forward_position") - params.digenome_overhang
-    pairs = forward.withColumn("reverse_position", F.explode(F.sequence(expected - w, expected + w))).join(reverse, ["contig", "reverse_position"])
+    pairs = written(forward.withColumn("reverse_position", F.explode(F.sequence(expected - w, expected + w))).join(reverse, ["contig", "reverse_position"]), "edges")
     one = lambda strand, name: pairs.select("contig", F.col(name).alias("pos"), F.lit(strand).alias("strand"))
     wanted = one("+", "forward_position").union(one("-", "reverse_position"))
     measured = S.metrics(wanted, reads, params.artifact_window, params.digenome_min_mapq) if metrics else S.depths(wanted, reads, params.digenome_min_mapq)

@@ -14,7 +14,8 @@ from strandmark.session import written
 
 def focal(reads: DataFrame, params: Params, mask: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(scanned pile-ups, those whose fraction passes too, with their metrics)."""
-    scanned = S.pileups(reads, params.ndigenome_min_count, params.ndigenome_min_mapq, mask)
+    # few of many reads: with their size known, the reads that are near them needn't be exchanged
+    scanned = written(S.pileups(reads, params.ndigenome_min_count, params.ndigenome_min_mapq, mask), "scanned")
     measured = S.metrics(scanned, reads, params.artifact_window, params.ndigenome_min_mapq)
     return scanned, scanned.drop("count").join(measured, S.SITE).where(F.col("endpoint_fraction") >= params.ndigenome_min_fraction)
 
@@ -23,9 +24,10 @@ def best_opposite(sites: DataFrame, reads: DataFrame, params: Params, mask: Data
     """Each site with its best opposite endpoint within the window, if any: (site, opposite_position, opposite_count,
     opposite_depth, opposite_fraction). Offsets are exploded, so the band join is an equi-join."""
     w = params.ndigenome_opposite_window
-    ends = outside(S.endpoints(reads, params.ndigenome_min_mapq), mask).select("contig", F.col("pos").alias("o_pos"), F.col("strand").alias("o_strand"))
     asked = sites.select(*S.SITE, F.when(F.col("strand") == "+", "-").otherwise("+").alias("o_strand"), F.explode(F.sequence(F.greatest(F.col("pos") - w, F.lit(0)), F.col("pos") + w)).alias("o_pos"))
-    pairs = asked.join(ends, ["contig", "o_pos", "o_strand"])
+    places = asked.select("contig", F.col("o_pos").alias("pos"), F.col("o_strand").alias("strand")).distinct()
+    ends = outside(S.endpoints(reads, params.ndigenome_min_mapq, places), mask).select("contig", F.col("pos").alias("o_pos"), F.col("strand").alias("o_strand"))
+    pairs = written(asked.join(ends, ["contig", "o_pos", "o_strand"]), "opposites")
     measured = S.depths(pairs.select("contig", F.col("o_pos").alias("pos"), F.col("o_strand").alias("strand")), reads, params.ndigenome_min_mapq)
     measured = measured.select("contig", F.col("pos").alias("o_pos"), F.col("strand").alias("o_strand"), F.col("endpoint_count").alias("n"), F.col("strand_depth").alias("d"), F.col("endpoint_fraction").alias("f"))
     primary = (F.col("n") >= params.ndigenome_min_count) & (F.col("f") >= params.ndigenome_min_fraction)

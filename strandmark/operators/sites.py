@@ -12,9 +12,10 @@ from strandmark.operators import intervals
 SITE = ["contig", "pos", "strand"]
 
 
-def endpoints(reads: DataFrame, min_mapq: int) -> DataFrame:
-    """(contig, pos, strand, count) of eligible reads' 5' ends; pre-aggregated before the shuffle."""
+def endpoints(reads: DataFrame, min_mapq: int, places: DataFrame | None = None) -> DataFrame:
+    """(contig, pos, strand, count) of eligible reads' 5' ends; pre-aggregated before the shuffle. Only at ``places``, if given."""
     ends = reads.where(R.eligible(min_mapq)).select("contig", R.endpoint().alias("pos"), R.strand().alias("strand"))
+    ends = ends if places is None else ends.join(places, SITE, "left_semi")
     return ends.groupBy(*SITE).agg(F.count("*").alias("count"))
 
 
