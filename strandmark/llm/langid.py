@@ -154,7 +154,9 @@ def train(docs: DataFrame, allowed, sample_rows: int = SAMPLE_ROWS) -> Model:
             columns = [pa.array([k[0] for k in kept], pa.int64()), pa.array([k[1] for k in kept], pa.string())] + [pa.array([k[j].astype(np.int32).tobytes() for k in kept], pa.binary()) for j in (2, 3)]
             yield pa.RecordBatch.from_arrays(columns, ["h", "lang", "found", "n"])
 
-    chosen = usable.join(F.broadcast(ids), "doc_id").select(F.xxhash64("doc_id").alias("h"), "lang", "text").mapInArrow(run, "h long, lang string, found binary, n binary")
+    # of rows that share an id one, so that the sample is bounded by rows
+    one = usable.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("lang", "text").alias("t"), "lang", "text")).alias("r"))
+    chosen = one.select(F.xxhash64("doc_id").alias("h"), "r.lang", "r.text").mapInArrow(run, "h long, lang string, found binary, n binary")
     rows = sorted(((r["h"], r["lang"], bytes(r["found"]), bytes(r["n"])) for r in chosen.toLocalIterator()))
     langs = sorted({r[1] for r in rows})
     ready = []
