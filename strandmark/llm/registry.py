@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import langid, lines, media, neighbours, packing, records, sentences, simhash, suffixes, toxicity
+from . import hash_sql, langid, lines, media, neighbours, packing, records, sentences, simhash, suffixes, toxicity
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -18,4 +18,7 @@ QUERIES = {
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": lines.SQL,
+    "op7_nearest_neighbours": neighbours.SQL,
+    "op8_simhash": hash_sql.simhash_sql(),
+    "op9_suffix_dedup": suffixes.SQL,
 }

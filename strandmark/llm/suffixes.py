@@ -47,7 +47,7 @@ LENGTH, KGRAM = 50, 20
 SPAN = LENGTH - KGRAM + 1
 FEW, MANY = 16, 512
 BLOCK_BYTES = 4 << 20
-#: Documents, at most some, and strings of each from which the splitters are taken.
+#: So many documents, and strings of each, from which the splitters are taken.
 SAMPLE_DOCS, SAMPLE_STRINGS = 4096, 8
 NOTHING, SORT, SINGLY = 0, 1, 2
 #: Of an anchor's hash within its bucket: a bucket has some half a million, so few collide.
@@ -369,10 +369,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", has
 
 
 def splitters(rows: DataFrame, documents: int, buckets: int) -> np.ndarray:
-    """At most buckets - 1 strings of LENGTH bytes, ascending, of rows(id, raw): quantiles of strings that begin with an
-    anchor, of some SAMPLE_DOCS documents of small hash."""
-    least = -(1 << 63) + min((1 << 64) - 1, (SAMPLE_DOCS << 64) // max(1, documents))
-
+    """At most buckets - 1 strings of LENGTH bytes, ascending, of rows(raw): quantiles of strings that begin with an
+    anchor, of some SAMPLE_DOCS documents."""
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
@@ -382,7 +380,7 @@ def splitters(rows: DataFrame, documents: int, buckets: int) -> np.ndarray:
                 found += [block.data[k : k + LENGTH] for k in at]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["s"])
 
-    sample = rows.where(F.xxhash64("id", F.lit("sample")) <= F.lit(least)).select("raw").mapInArrow(pick, "s binary").collect()
+    sample = rows.select("raw").sample(min(1.0, SAMPLE_DOCS / max(1, documents)), 1).mapInArrow(pick, "s binary").collect()
     ordered = sorted(bytes(r.s) for r in sample)
     chosen = sorted({ordered[len(ordered) * k // buckets] for k in range(1, buckets)}) if ordered else []
     return np.array(chosen, f"S{LENGTH}")
@@ -402,7 +400,7 @@ def _repeats(docs: DataFrame, id_col: str, text_col: str, as_text: bool, hash_bi
     carried = [f"_{k}" for k in range(len(rest))]
     rows = own_rows.select(F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int").alias("h"), F.col(id_col).cast("long").alias("id"), F.encode(F.col(text_col), "UTF-8").alias("raw"), *[F.col(f"`{c}`").alias(x) for c, x in zip(rest, carried)])
     types = {c: docs.schema[c].dataType.simpleString() for c in rest}
-    bounds = splitters(rows.select("id", "raw"), size.n, buckets)
+    bounds = splitters(rows.select("raw"), size.n, buckets)
 
     def opened(own: pa.Table) -> tuple[Block, np.ndarray, int]:
         return *_block(own["id"].combine_chunks(), own["raw"].combine_chunks(), buckets, hash_bits), own["h"][0].as_py()
@@ -533,3 +531,19 @@ def op9_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     cut = repeats(docs)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: All windows of all texts as hexadecimal strings, and the first document of each: brute force, for tables of megabytes.
+SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+chunks AS (SELECT doc_id, place, substr(h, 2 * place + 1, 2 * (500 + 49)) AS h, least(500, n - 49 - place) AS k FROM (SELECT doc_id, h, n, unnest(range(0, greatest(n - 49, 0), 500)) AS place FROM d)),
+windows AS (SELECT doc_id, place + j AS p, substr(h, 2 * j + 1, 100) AS s FROM (SELECT doc_id, place, h, unnest(range(0, k)) AS j FROM chunks)),
+firsts AS (SELECT s, min(doc_id) AS least FROM windows GROUP BY s HAVING min(doc_id) < max(doc_id)),
+hits AS (SELECT w.doc_id, w.p, lag(w.p) OVER (PARTITION BY w.doc_id ORDER BY w.p) AS before FROM windows w JOIN firsts f ON f.s = w.s AND f.least < w.doc_id),
+runs AS (SELECT doc_id, p, sum(CASE WHEN before IS NULL OR p > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p ROWS UNBOUNDED PRECEDING) AS run FROM hits),
+spans AS (SELECT doc_id, run, min(p) AS a, max(p) + 50 AS b FROM runs GROUP BY ALL),
+pieces AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM spans UNION ALL SELECT doc_id, max(b), NULL FROM spans GROUP BY doc_id),
+kept AS (SELECT p.doc_id, string_agg(substr(d.h, 2 * p.a + 1, 2 * (coalesce(p.b, d.n) - p.a)), '' ORDER BY p.a) AS h FROM pieces p JOIN d USING (doc_id) GROUP BY p.doc_id),
+cut AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS removed, count(*) AS spans FROM spans GROUP BY doc_id)
+SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, coalesce(c.removed, 0) AS n_removed, coalesce(c.spans, 0) AS n_spans, sha256(unhex(coalesce(k.h, d.h))) AS kept_sha256 FROM d LEFT JOIN cut c USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
