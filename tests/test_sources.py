@@ -287,3 +287,19 @@ def test_shared_folder_and_discarded_tables(spark, tmp_path):
     for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]"):
         with pytest.raises(RuntimeError, match="checkpoint.dir"):
             session.shared_dir(cluster(master, None))
+
+
+def test_digests_and_documents(spark, tmp_path):
+    import hashlib
+
+    path = put(tmp_path / "g.fa", ">chr1\nACGT\n")
+    assert formats.sha256(spark, path) == hashlib.sha256(b">chr1\nACGT\n").hexdigest()
+    (tmp_path / "docs").mkdir()
+    for k in range(3):
+        put(tmp_path / f"docs/{k}.json", json.dumps({"chunk_id": f"c{k}", "intervals": [{"contig": "chr1", "start": k}], "reported_rows": k}, indent=2))
+    got = formats.summaries(spark, str(tmp_path / "docs"))
+    assert sorted((r.chunk_id, r.reported_rows, r.intervals[0].start) for r in got.collect()) == [("c0", 0, 0), ("c1", 1, 1), ("c2", 2, 2)]
+    lines = [{"_chunk_id": "c0", "position_0based": 5}, {"_chunk_id": "c1", "position_0based": 6}]
+    (tmp_path / "rows").mkdir()
+    (tmp_path / "rows/a.jsonl.gz").write_bytes(gzip.compress("\n".join(map(json.dumps, lines)).encode()))
+    assert formats.fragments(spark, str(tmp_path / "rows")).count() == 2
