@@ -253,6 +253,7 @@ ORACLE_SQL |= {
     "pair_matching": _with("SELECT contig, forward_position, reverse_position, round(pair_score, 6) AS pair_score FROM chosen", *_PAIRS, *_CHOSEN),
     "final_calls_dsb": _with(_FINAL_DSB_SELECT, *_FINAL_DSB),
     "sam_reads": _with("SELECT query_name, flag, contig, reference_start, reference_end, mapping_quality, cigar, nm FROM reads"),
+    "region_reads": _with("SELECT contig, query_name, reference_start, reference_end FROM reads WHERE contig = 'chr1' AND reference_start < 1000 OR contig = 'chr2' AND reference_start < 3001 AND reference_end > 3000 OR contig = 'chr3' AND reference_end > 5000"),
     "sam_header": CONTIGS_SQL,
     "reads_probe": _with("SELECT count(*) > 0 AS found, count(*) FILTER (WHERE (flag & 1) <> 0) > 0 AS paired FROM reads WHERE ok"),
     "vcf_variants": _with("SELECT contig, pos, ref, alt, pos + 9 AS last FROM variants", "variants"),

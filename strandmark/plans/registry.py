@@ -184,6 +184,15 @@ def sam_reads(spark, d):
     return formats.sam(spark, path).drop("read_ord")
 
 
+def region_reads(spark, d):
+    """Reads of three regions, fetched from files by contig and range."""
+    path = new_folder(spark, "stored")
+    formats.store_reads(fixtures.reads(spark, d), path)
+    stored = spark.read.parquet(path)
+    some = [formats.region(stored, "chr1", 0, 1000), formats.region(stored, "chr2", 3000, 3001), formats.region(stored, "chr3", 5000, 1 << 40)]
+    return some[0].union(some[1]).union(some[2]).select("contig", "query_name", "reference_start", "reference_end")
+
+
 def sam_header(spark, d):
     head = fixtures.contigs(spark, d).orderBy("contig").coalesce(1).select(F.concat(F.lit("@SQ\tSN:"), "contig", F.lit("\tLN:"), F.col("length").cast("string")).alias("value"))
     path = _text(head, "header")
@@ -352,6 +361,6 @@ def streamed_pileups(spark, d):
 
 _NAMES = (
     "eligible_reads read_endpoints endpoint_pileups site_depth_fraction site_local_metrics modal_indel opposite_best ssb_calls pair_candidates pair_components pair_matching rgen_score control_evidence q_values blacklist_merge blacklist_totals blacklist_subtract masked_endpoints known_indel_overlap final_calls_ssb final_calls_dsb tier_counts bed_rows qc_counts contig_density flagstat chunk_plan control_matching "
-    "sam_reads sam_header reads_probe vcf_variants indel_spans bed_mask overlap_bases coverage_faults interval_table fastq_reads duplicates samplesheet lanes chunk_table chunked_calls chunk_totals formatted_calls written_calls qc_document streamed_pileups"
+    "sam_reads region_reads sam_header reads_probe vcf_variants indel_spans bed_mask overlap_bases coverage_faults interval_table fastq_reads duplicates samplesheet lanes chunk_table chunked_calls chunk_totals formatted_calls written_calls qc_document streamed_pileups"
 ).split()
 QUERIES = {name: globals()[name] for name in _NAMES}

@@ -28,6 +28,18 @@ def sam(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("read_ord", "query_name", "flag", "contig", "reference_start", R.reference_end().alias("reference_end"), "mapping_quality", "cigar", "nm")
 
 
+def store_reads(reads: DataFrame, path: str) -> None:
+    """Reads as Parquet, a folder a contig, each file a range of places in order: what looks for a region skips the rest by the
+    folders' names and the files' bounds."""
+    ranged = reads.repartitionByRange("contig", "reference_start").sortWithinPartitions("contig", "reference_start", "read_ord")
+    ranged.write.partitionBy("contig").parquet(path)
+
+
+def region(reads: DataFrame, contig: str, start: int, end: int) -> DataFrame:
+    """The reads that overlap [start, end) of a contig, by conditions that reach the files."""
+    return reads.where((F.col("contig") == contig) & (F.col("reference_start") < end) & (F.col("reference_end") > start))
+
+
 def sam_contigs(spark: SparkSession, path: str) -> DataFrame:
     """(contig, length, ordinal) of the @SQ header lines."""
     head = spark.read.text(path).where(F.col("value").startswith("@SQ")).withColumn("ordinal", F.monotonically_increasing_id())

@@ -27,6 +27,20 @@ def test_sam(spark, tmp_path):
     assert tuple(formats.sam_contigs(spark, path).first())[:2] == ("chr1", 1000)
 
 
+def test_regions_of_stored_reads(spark, tmp_path):
+    rows = frame(spark, [r for k in range(0, 5000, 50) for r in forward(1, k)] + forward(2, 70, contig="chr2"))
+    formats.store_reads(rows, str(tmp_path / "reads"))
+    stored = spark.read.parquet(str(tmp_path / "reads"))
+    some = formats.region(stored, "chr1", 100, 149)
+    assert sorted(r.reference_start for r in some.collect()) == [100] and formats.region(stored, "chr2", 119, 120).count() == 2
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = formats.region(stored, "chr1", 100, 149)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "PartitionFilters: [isnotnull(contig" in plan and "LessThan(reference_start,149)" in plan and "GreaterThan(reference_end,100)" in plan
+
+
 def test_bed(spark, tmp_path, contigs):
     path = tmp_path / "m.bed.gz"
     path.write_bytes(gzip.compress(b"# x\ntrack a\nchr1 10 20 name\n\nchr2\t0\t500\n"))
