@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import ctypes
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,24 @@ except OSError:
     _LIBC = None
 
 
+#: What a worker keeps between batches and tasks, as tokenizers and what they have learned: one thing at a time.
+_TOOLS: dict[tuple, Any] = {}
+
+
+def tool(key: tuple, make: Callable[[], Any]) -> Any:
+    """The worker's tool of this key, made if it's another one that is kept."""
+    if key not in _TOOLS:
+        forget()
+        _TOOLS[key] = make()
+    return _TOOLS[key]
+
+
+def forget() -> None:
+    """Lets the kept tool go: workers live on when a stage that needs no tool follows one that did."""
+    _TOOLS.clear()
+    give_back()
+
+
 def give_back() -> None:
     """Returns freed memory to the system, where the C library can: an executor's workers share one limit."""
     if _LIBC is not None:

@@ -406,15 +406,9 @@ class Encoder:
         return b"".join(self.piece_bytes[ids].tolist()).decode()[1:]
 
 
-_ENCODERS: dict[tuple, Encoder] = {}
-
-
 def encoder(name: str, rate: float, seed: int) -> Encoder:
     key = (public_tokenizers.path(name), rate, seed)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(*key)
-    return _ENCODERS[key]
+    return base.tool(key, lambda: Encoder(*key))
 
 
 def encoded(docs: DataFrame, model: str, rate: float, seed: int, key: str = "doc_id", text: str = "text", decoded: bool = False, with_ids: bool = True) -> DataFrame:

@@ -80,7 +80,7 @@ def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            base.give_back()
+            base.forget()
             values = np.array([fingerprint(t.as_py(), width) for t in batch.column(1)], np.uint64).astype(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], ["id", "fp"])
 
@@ -314,7 +314,7 @@ def near_candidates(nodes: DataFrame, shape: Shape, segments: range) -> DataFram
         for whole in batches:
             for start in range(0, whole.num_rows, 4096):
                 batch = whole.slice(start, 4096)
-                base.give_back()
+                base.forget()
                 ids, labels = batch.column(0).to_numpy(), batch.column(1).to_numpy()
                 raw = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(len(ids), -1)
                 address = _addresses(raw.copy().view("<u8"), shape.width, segments)
@@ -333,7 +333,7 @@ def near_candidates(nodes: DataFrame, shape: Shape, segments: range) -> DataFram
                 yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([entry[at[g] : at[g + 1]].tobytes() for g in some], pa.binary())], ["g", "rows"])
 
     def match(table: pa.Table) -> pa.Table:
-        base.give_back()
+        base.forget()
         entry = np.frombuffer(b"".join(table["rows"].to_pylist()), np.uint8).reshape(-1, size)
         address = entry[:, :8].copy().view("<u8").ravel()
         order = np.argsort(address, kind="stable")
@@ -351,7 +351,7 @@ def confirmed(candidates: DataFrame, sets: DataFrame, similarity: float) -> Data
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            base.give_back()
+            base.forget()
             a, b = batch.column(2), batch.column(3)
             good = [jaccard(np.frombuffer(a[k].as_buffer(), "<u8"), np.frombuffer(b[k].as_buffer(), "<u8")) >= similarity for k in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
@@ -373,14 +373,14 @@ def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            base.give_back()
+            base.forget()
             sets = [shingle_set(t.as_py(), width) for t in batch.column(2)]
             made = [pa.array([_node(h) for h in sets], pa.int64()), pa.array([wide_fingerprint(h, shape.bits) for h in sets], pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], ["id", "t", "node", "fp"])
 
     def spell_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            base.give_back()
+            base.forget()
             sets = [shingle_set(t.as_py(), width) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array([_node(h) for h in sets], pa.int64()), pa.array([h.tobytes() for h in sets], pa.binary())], ["node", "shingles"])
 

@@ -302,14 +302,19 @@ def sort_runs(raw: np.ndarray, starts: np.ndarray, count: np.ndarray, lead: np.n
     if not n:
         return gone, []
     # the anchor first, then the run's shape, then all of its bytes (those behind its end are blanked)
-    head = _words(raw, starts + lead, _GRAM_WORDS)
-    body = np.lib.stride_tricks.sliding_window_view(raw, RUN_BYTES)[starts]
-    body[np.arange(RUN_BYTES) >= (count - 1 + LENGTH)[:, None]] = 0
-    keys = np.concatenate([head, (lead * 64 + count).astype(np.uint64)[:, None], body.view("<u8").byteswap()], axis=1)
-    del body
+    grams = len(_GRAM_WORDS)
+    width = grams + 1 + RUN_BYTES // 8
+    keys = np.empty((n, width), np.uint64)
+    view = np.lib.stride_tricks.sliding_window_view(raw, RUN_BYTES)
+    for a in range(0, n, 1 << 14):
+        part = slice(a, a + (1 << 14))
+        keys[part, :grams] = _words(raw, starts[part] + lead[part], _GRAM_WORDS)
+        keys[part, grams] = lead[part] * 64 + count[part]
+        body = view[starts[part]]
+        body[np.arange(RUN_BYTES) >= (count[part] - 1 + LENGTH)[:, None]] = 0
+        keys[part, grams + 1 :] = body.view("<u8").byteswap()
     order, shared = multikey(keys)
-    width, grams = keys.shape[1], len(_GRAM_WORDS)
-    del keys, head
+    del keys
     heads = np.flatnonzero(shared < width)  # distinct runs
     many = np.diff(np.append(heads, n))
     least = np.minimum.reduceat(ids[order], heads)
@@ -395,18 +400,19 @@ def _repeats(docs: DataFrame, id_col: str, text_col: str, as_text: bool, hash_bi
     size = own_rows.agg(F.count("*").alias("n"), F.sum(F.octet_length(text_col)).alias("b")).first()
     blocks = max(base.partitions_for(spark), -(-(size.b or 0) // BLOCK_BYTES))
     buckets = 2 * max(base.partitions_for(spark), blocks // 4)
+    ranges = 4 * buckets  # strings to sort are longer than hashes: a task holds one range at a time
     results = ["n_bytes", "n_removed", "n_spans", "kept"]
     rest = [c for c in docs.columns if c not in (text_col, *results)]
     carried = [f"_{k}" for k in range(len(rest))]
     rows = own_rows.select(F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int").alias("h"), F.col(id_col).cast("long").alias("id"), F.encode(F.col(text_col), "UTF-8").alias("raw"), *[F.col(f"`{c}`").alias(x) for c, x in zip(rest, carried)])
     types = {c: docs.schema[c].dataType.simpleString() for c in rest}
-    bounds = splitters(rows.select("raw"), size.n, buckets)
+    bounds = splitters(rows.select("raw"), size.n, ranges)
 
     def opened(own: pa.Table) -> tuple[Block, np.ndarray, int]:
         return *_block(own["id"].combine_chunks(), own["raw"].combine_chunks(), buckets, hash_bits), own["h"][0].as_py()
 
     def send(own: pa.Table) -> pa.Table:
-        base.give_back()
+        base.forget()
         block, _, h = opened(own)
         numbers, at = block.messages()
         low = block.keys.astype(np.uint32)
@@ -414,7 +420,7 @@ def _repeats(docs: DataFrame, id_col: str, text_col: str, as_text: bool, hash_bi
         return pa.table({"bucket": pa.array(numbers, pa.int32()), "h": pa.array([h] * len(out), pa.int32()), "rows": pa.array(out, pa.binary())})
 
     def settle(table: pa.Table) -> pa.Table:
-        base.give_back()
+        base.forget()
         keys, many, wild = [], [], []
         for raw in table["rows"].to_pylist():
             k, m, w = _opened(raw, "u1", "u1", "u1")
@@ -436,7 +442,7 @@ def _repeats(docs: DataFrame, id_col: str, text_col: str, as_text: bool, hash_bi
     names = {"bucket": pa.int32(), "h": pa.int32(), "states": pa.bool_(), "rows": pa.binary()}
 
     def suffixes(own: pa.Table, answers: pa.Table) -> pa.Table:
-        base.give_back()
+        base.forget()
         if not own.num_rows:
             return pa.table({c: pa.array([], t) for c, t in names.items()})
         block, _, h = opened(own)
@@ -455,7 +461,7 @@ def _repeats(docs: DataFrame, id_col: str, text_col: str, as_text: bool, hash_bi
         return pa.table({c: pa.array(v, t) for (c, t), v in zip(names.items(), (numbers, [h] * len(out), kinds, out))})
 
     def compare(table: pa.Table) -> pa.Table:
-        base.give_back()
+        base.forget()
         kinds = table["states"].to_pylist()
         packed = table["rows"].to_pylist()
         got = [_opened(x, "u1", "u1", "u1", "<i8", "u1", "<i8") for x, s in zip(packed, kinds) if not s]
@@ -474,7 +480,7 @@ def _repeats(docs: DataFrame, id_col: str, text_col: str, as_text: bool, hash_bi
     kept_type = pa.string() if as_text else pa.binary()
 
     def finish(own: pa.Table, answers: pa.Table) -> pa.Table:
-        base.give_back()
+        base.forget()
         if not own.num_rows:
             return pa.table([pa.array([], own.schema.field(x).type) for x in carried] + [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), kept_type)], names=[*rest, *results])
         block, order, _ = opened(own)

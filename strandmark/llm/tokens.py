@@ -192,17 +192,11 @@ class Encoder:
         return flat, at
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
-
-
 def encoder(name: str, drops_space: bool) -> Encoder:
-    """This worker's encoder for a public tokenizer file; it lives as long as the worker."""
+    """This worker's encoder for a public tokenizer file; it's kept until the worker needs another tool, or none."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     key = (public_tokenizers.path(name), drops_space)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(*key)
-    return _ENCODERS[key]
+    return base.tool(key, lambda: Encoder(*key))
 
 
 def slices(texts: pa.Array, most: int = 3_000_000):
