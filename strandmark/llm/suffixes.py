@@ -46,7 +46,9 @@ from . import base
 LENGTH, KGRAM = 50, 20
 SPAN = LENGTH - KGRAM + 1
 FEW, MANY = 16, 512
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
+#: Bytes of text for which there is a bucket of hashes; ranges of strings, which are longer, are RANGES times as many.
+BUCKET_BYTES, RANGES = 16 << 20, 4
 #: So many documents, and strings of each, from which the splitters are taken.
 SAMPLE_DOCS, SAMPLE_STRINGS = 4096, 8
 NOTHING, SORT, SINGLY = 0, 1, 2
@@ -398,9 +400,8 @@ def _repeats(docs: DataFrame, id_col: str, text_col: str, as_text: bool, hash_bi
     spark = docs.sparkSession
     own_rows = docs.where(F.col(id_col).isNotNull())
     size = own_rows.agg(F.count("*").alias("n"), F.sum(F.octet_length(text_col)).alias("b")).first()
-    blocks = max(base.partitions_for(spark), -(-(size.b or 0) // BLOCK_BYTES))
-    buckets = 2 * max(base.partitions_for(spark), blocks // 4)
-    ranges = 4 * buckets  # strings to sort are longer than hashes: a task holds one range at a time
+    blocks, buckets = (max(base.partitions_for(spark), -(-(size.b or 0) // n)) for n in (BLOCK_BYTES, BUCKET_BYTES))
+    ranges = RANGES * buckets
     results = ["n_bytes", "n_removed", "n_spans", "kept"]
     rest = [c for c in docs.columns if c not in (text_col, *results)]
     carried = [f"_{k}" for k in range(len(rest))]
