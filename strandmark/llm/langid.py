@@ -125,7 +125,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, rows = np.zeros(BUCKETS + 1, np.int64), 0
         for batch in batches:
-            base.give_back()
+            base.forget()
             for t in batch.column(0):
                 if has_letters(t.as_py()):
                     total[counts(t.as_py())[0]] += 1
@@ -149,7 +149,7 @@ def train(docs: DataFrame, allowed, sample_rows: int = SAMPLE_ROWS) -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            base.give_back()
+            base.forget()
             kept = [(h, lang, *counts(t)) for h, lang, t in zip(*(c.to_pylist() for c in batch.columns)) if has_letters(t)]
             columns = [pa.array([k[0] for k in kept], pa.int64()), pa.array([k[1] for k in kept], pa.string())] + [pa.array([k[j].astype(np.int32).tobytes() for k in kept], pa.binary()) for j in (2, 3)]
             yield pa.RecordBatch.from_arrays(columns, ["h", "lang", "found", "n"])
@@ -179,7 +179,7 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            base.give_back()
+            base.forget()
             langs, scores = model.predict(batch.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores)], [*rest, "lang_pred", "score"])
 

@@ -140,6 +140,8 @@ MISSED = 0.002
 CLOSE_BITS = 24
 #: Documents of an address beyond which it is dealt over tasks, and of the sample that shows it.
 CROWD, SAMPLE = 8192, 20_000
+#: Bytes of entries that meet in one group.
+GROUP_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -268,10 +270,9 @@ def _named(address: np.ndarray, ids: np.ndarray, labels: np.ndarray, words: np.n
     return {(max(p), min(p)) for p in found}
 
 
-def _crowds(nodes: DataFrame, shape: Shape, segments: range) -> dict[int, tuple[int, int]]:
+def _crowds(nodes: DataFrame, total: int, shape: Shape, segments: range) -> dict[int, tuple[int, int]]:
     """Of addresses that hold more than CROWD nodes by a sample of some SAMPLE: over how many tasks they are dealt, and
     their most frequent label."""
-    total = nodes.count()
     share = -(1 << 63) + min((1 << 64) - 1, (SAMPLE << 64) // max(1, total))
     sample = nodes.where(F.xxhash64("node", F.lit("sample")) <= F.lit(share)).select("label", "fp").collect() if total > CROWD else []
     if not sample:
@@ -290,9 +291,13 @@ def _crowds(nodes: DataFrame, shape: Shape, segments: range) -> dict[int, tuple[
 
 def near_candidates(nodes: DataFrame, shape: Shape, segments: range) -> DataFrame:
     """(a, b), a > b, of nodes(node, label, fp): candidates of different labels that share an address of these segments."""
-    groups = 2 * base.partitions_for(nodes.sparkSession)
-    size = 24 + shape.bits // 8
-    crowds = _crowds(nodes, shape, segments)
+    total = nodes.count()
+    crowds = _crowds(nodes, total, shape, segments)
+    # an entry: the address (with a task's number, if any are dealt), the node, in the second round its label, the fingerprint
+    wide = 8 if crowds else 5
+    heads = (wide, wide + 8, wide + 16 if segments.start else wide + 8)
+    size = heads[2] + shape.bits // 8
+    groups = max(base.partitions_for(nodes.sparkSession), total * len(segments) * (shape.width + 1) * size // GROUP_BYTES)
 
     def dealt(address: np.ndarray, rows: np.ndarray, ids: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The entries' addresses, rows and task numbers within an address."""
@@ -312,8 +317,8 @@ def near_candidates(nodes: DataFrame, shape: Shape, segments: range) -> DataFram
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, 4096):
-                batch = whole.slice(start, 4096)
+            for start in range(0, whole.num_rows, 1024):
+                batch = whole.slice(start, 1024)
                 base.forget()
                 ids, labels = batch.column(0).to_numpy(), batch.column(1).to_numpy()
                 raw = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(len(ids), -1)
@@ -326,20 +331,23 @@ def near_candidates(nodes: DataFrame, shape: Shape, segments: range) -> DataFram
                 at = np.searchsorted(group[order], np.arange(groups + 1, dtype=np.uint64))
                 rows = rows[order]
                 entry = np.empty((len(order), size), np.uint8)
-                for k, column in enumerate((address[order], ids[rows], labels[rows])):
-                    entry[:, 8 * k : 8 * k + 8] = column.astype("<u8" if not k else "<i8").view(np.uint8).reshape(-1, 8)
-                entry[:, 24:] = raw[rows]
+                entry[:, :wide] = address[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :wide]
+                for at_byte, column in zip(heads, (ids, labels) if segments.start else (ids,)):
+                    entry[:, at_byte : at_byte + 8] = column[rows].astype("<i8").view(np.uint8).reshape(-1, 8)
+                entry[:, heads[2] :] = raw[rows]
                 some = np.flatnonzero(np.diff(at))
                 yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([entry[at[g] : at[g + 1]].tobytes() for g in some], pa.binary())], ["g", "rows"])
 
     def match(table: pa.Table) -> pa.Table:
         base.forget()
         entry = np.frombuffer(b"".join(table["rows"].to_pylist()), np.uint8).reshape(-1, size)
-        address = entry[:, :8].copy().view("<u8").ravel()
+        address = np.zeros((len(entry), 8), np.uint8)
+        address[:, :wide] = entry[:, :wide]
+        address = address.view("<u8").ravel()
         order = np.argsort(address, kind="stable")
         entry = entry[order]
-        numbers = entry[:, 8:24].copy().view("<i8").reshape(len(entry), 2)
-        pairs = sorted(_named(address[order], numbers[:, 0], numbers[:, 1], entry[:, 24:].copy().view("<u8").reshape(len(entry), -1), shape))
+        ids, labels = (np.ascontiguousarray(entry[:, a : a + 8]).view("<i8").ravel() for a in (heads[0], heads[1] if segments.start else heads[0]))
+        pairs = sorted(_named(address[order], ids, labels, np.ascontiguousarray(entry[:, heads[2] :]).view("<u8").reshape(len(entry), -1), shape))
         return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
 
     even = nodes.select("node", "label", "fp").repartition(base.partitions_for(nodes.sparkSession), "fp")

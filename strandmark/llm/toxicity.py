@@ -264,7 +264,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed, sample_rows: int = SAMPLE
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            base.give_back()
+            base.forget()
             found: Counter = Counter()
             for text, toxic, fold in zip(*(c.to_pylist() for c in batch.columns)):
                 found.update((term, fold, toxic) for term in terms_of(words_of(text)))
@@ -290,7 +290,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed, sample_rows: int = SAMPLE
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            base.give_back()
+            base.forget()
             x = [np.array(features(t, of_fold[f])).tobytes() for t, f in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(x, pa.binary())], ["fold", "toxic", "h", "x"])
 
@@ -313,7 +313,7 @@ def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            base.give_back()
+            base.forget()
             score = model.score(batch.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))], [*rest, "score", "predicted"])
 
