@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import hash_sql, langid, lines, media, neighbours, packing, records, sentences, simhash, suffixes, toxicity
+from . import hash_sql, infill, langid, lines, media, neighbours, packing, records, sentences, simhash, suffixes, toxicity
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_suffix_dedup": suffixes.op9_suffix_dedup,
     "op10_token_records": records.op10_token_records,
+    "op11_fill_in_middle": infill.op11_fill_in_middle,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": lines.SQL,
     "op7_nearest_neighbours": neighbours.SQL,
     "op8_simhash": hash_sql.simhash_sql(),
     "op9_suffix_dedup": suffixes.SQL,
+    "op11_fill_in_middle": infill.SQL,
 }

@@ -29,6 +29,7 @@ TYPES = {
     "op8_simhash": "doc_id bigint, fingerprint string, component_id bigint",
     "op9_suffix_dedup": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
     "op10_token_records": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
+    "op11_fill_in_middle": "doc_id bigint, n bigint, form string, prefix_chars bigint, middle_chars bigint, output_sha256 string, restored_sha256 string",
 }
 
 
