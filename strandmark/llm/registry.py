@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import hash_sql, infill, langid, lines, media, neighbours, packing, records, sentences, simhash, suffixes, toxicity
+from . import hash_sql, infill, langid, lines, media, neighbours, packing, records, secrets, sentences, simhash, suffixes, toxicity
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_suffix_dedup": suffixes.op9_suffix_dedup,
     "op10_token_records": records.op10_token_records,
     "op11_fill_in_middle": infill.op11_fill_in_middle,
+    "op12_secret_scan": secrets.op12_secret_scan,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": lines.SQL,

@@ -10,6 +10,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import test_secrets
 import xxhash
 from pyspark.sql import functions as F
 from test_operators import TEXTS, brute_cut, closure, sentence
@@ -29,6 +30,7 @@ TYPES = {
     "op8_simhash": "doc_id bigint, fingerprint string, component_id bigint",
     "op9_suffix_dedup": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
     "op10_token_records": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
+    "op12_secret_scan": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
     "op11_fill_in_middle": "doc_id bigint, n bigint, form string, prefix_chars bigint, middle_chars bigint, output_sha256 string, restored_sha256 string",
 }
 
@@ -212,7 +214,7 @@ def check_records(found, texts):
 
 CHECKS = {
     "op1_best_fit_packing": check_packing, "op2_line_dedup": check_lines, "op3_media_columns": check_media, "op4_sentencepiece": check_sentences, "op5_toxicity": check_toxic, "op6_language_id": check_languages,
-    "op8_simhash": check_simhash, "op9_suffix_dedup": check_suffixes, "op10_token_records": check_records,
+    "op8_simhash": check_simhash, "op9_suffix_dedup": check_suffixes, "op10_token_records": check_records, "op12_secret_scan": test_secrets.check,
 }
 
 
