@@ -17,19 +17,29 @@ from strandmark.session import written
 PAIR = ["contig", "forward_position", "reverse_position"]
 
 
-def candidates(reads: DataFrame, params: Params, mask: DataFrame | None = None, metrics: bool = True) -> DataFrame:
-    """Pairs of a forward and a reverse pile-up around the expected distance, with score and caller reasons.
+def edges(reads: DataFrame, params: Params, mask: DataFrame | None = None, within: Column | None = None) -> DataFrame:
+    """PAIR of the pile-ups around the expected distance; only of pile-ups that are ``within`` (a condition on contig and pos), if given.
 
-    The minimum is that of the laxer strand, so pairs with too few on one side are listed with their reason.
+    The minimum is that of the laxer strand, so pairs with too few on one side are there too.
     """
     least = min(params.digenome_forward_cutoff, params.digenome_reverse_cutoff) + 1
+    found = S.pileups(reads, least, params.digenome_min_mapq, mask)
+    if within is not None:
+        found = found.where(within)
     # few of many reads: with their size known, the reads that are near them needn't be exchanged
-    found = written(S.pileups(reads, least, params.digenome_min_mapq, mask), "piles")
+    found = written(found, "piles")
     w = params.digenome_pair_window
     forward = found.where("strand = '+'").select("contig", F.col("pos").alias("forward_position"))
     reverse = found.where("strand = '-'").select("contig", F.col("pos").alias("reverse_position"))
     expected = F.col("forward_position") - params.digenome_overhang
-    pairs = written(forward.withColumn("reverse_position", F.explode(F.sequence(expected - w, expected + w))).join(reverse, ["contig", "reverse_position"]), "edges")
+    pairs = forward.withColumn("reverse_position", F.explode(F.sequence(expected - w, expected + w))).join(reverse, ["contig", "reverse_position"])
+    return written(pairs.select(*PAIR), "edges")
+
+
+def candidates(reads: DataFrame, params: Params, mask: DataFrame | None = None, metrics: bool = True, pairs: DataFrame | None = None) -> DataFrame:
+    """Pairs of a forward and a reverse pile-up around the expected distance, with score and caller reasons; ``pairs``: those to look at,
+    if they are known already."""
+    pairs = edges(reads, params, mask) if pairs is None else pairs
     one = lambda strand, name: pairs.select("contig", F.col(name).alias("pos"), F.lit(strand).alias("strand"))
     wanted = one("+", "forward_position").union(one("-", "reverse_position"))
     measured = S.metrics(wanted, reads, params.artifact_window, params.digenome_min_mapq) if metrics else S.depths(wanted, reads, params.digenome_min_mapq)
@@ -249,10 +259,14 @@ def single_precision_score(positions: DataFrame, reads: DataFrame, contigs: Data
     return wide.select("contig", "forward_position", F.expr(total).cast("double").alias(name))
 
 
-def calls(reads: DataFrame, contigs: DataFrame, params: Params, mask: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(candidate pairs, call rows before controls and filters)."""
-    pairs = written(candidates(reads, params, mask), "pairs")
-    chosen = written(select_pairs(pairs, params.digenome_overhang), "chosen")
+def calls(reads: DataFrame, contigs: DataFrame, params: Params, mask: DataFrame | None = None, pairs: DataFrame | None = None, own: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(candidate pairs, call rows before controls and filters). With ``pairs`` (PAIR, whole components) these are assigned; with ``own``
+    (a condition on contig and forward_position) only those for which it holds go on."""
+    pairs = written(candidates(reads, params, mask, pairs=pairs), "pairs")
+    chosen = select_pairs(pairs, params.digenome_overhang)
+    if own is not None:
+        chosen, pairs = chosen.where(own), pairs.where(own)
+    chosen = written(chosen, "chosen")
     score = single_precision_score(chosen, reads, contigs, params.digenome_overhang, params.digenome_min_mapq, mask)
     own = chosen.join(score, ["contig", "forward_position"])
     sides = {f"{name}_{out}": F.col(f"{s}.{c}") for s, name in (("f", "forward"), ("r", "reverse")) for out, c in (("endpoint_count", "endpoint_count"), ("depth", "strand_depth"), ("fraction", "endpoint_fraction"))}

@@ -38,8 +38,9 @@ def known_indels(calls: DataFrame, variants: DataFrame | None, window: int) -> D
     return calls.join(labels, CALL, "left").fillna({"known_indel_overlap": ""})
 
 
-def control(calls: DataFrame, reads: DataFrame | None, contigs: DataFrame, params: Params, mask: DataFrame | None = None) -> DataFrame:
-    """calls with the control's evidence at the same sites, Fisher's test against it, and q values over all of them."""
+def control(calls: DataFrame, reads: DataFrame | None, contigs: DataFrame, params: Params, mask: DataFrame | None = None, adjust: bool = True) -> DataFrame:
+    """calls with the control's evidence at the same sites, Fisher's test against it, and q values over all of them (null without ``adjust``,
+    where these calls aren't the whole sample)."""
     zero, none = F.lit(0).cast("long"), F.lit(None).cast("double")
     parts = ("endpoint_count", "depth", "fraction")
     if reads is None:
@@ -81,5 +82,7 @@ def control(calls: DataFrame, reads: DataFrame | None, contigs: DataFrame, param
             "control_fisher_p": F.when(enough, F.col("_p")),
         }
     )
+    if not adjust:
+        return out.drop("_p").withColumn("control_fisher_q", none)
     by = [c for c in ("sample", "analysis") if c in out.columns]
     return benjamini_hochberg(written(out.drop("_p"), "tested"), "control_fisher_p", "control_fisher_q", by, CALL)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandmark.functions.statistics import pair_score
@@ -12,10 +12,13 @@ from strandmark.schema import METRICS, Params
 from strandmark.session import written
 
 
-def focal(reads: DataFrame, params: Params, mask: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(scanned pile-ups, those whose fraction passes too, with their metrics)."""
+def focal(reads: DataFrame, params: Params, mask: DataFrame | None = None, own: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(scanned pile-ups, those whose fraction passes too, with their metrics); only those for which ``own`` holds (on contig and pos), if given."""
+    scanned = S.pileups(reads, params.ndigenome_min_count, params.ndigenome_min_mapq, mask)
+    if own is not None:
+        scanned = scanned.where(own)
     # few of many reads: with their size known, the reads that are near them needn't be exchanged
-    scanned = written(S.pileups(reads, params.ndigenome_min_count, params.ndigenome_min_mapq, mask), "scanned")
+    scanned = written(scanned, "scanned")
     measured = S.metrics(scanned, reads, params.artifact_window, params.ndigenome_min_mapq)
     return scanned, scanned.drop("count").join(measured, S.SITE).where(F.col("endpoint_fraction") >= params.ndigenome_min_fraction)
 
@@ -43,9 +46,9 @@ def signal(params: Params):
     return F.when(primary, "POSSIBLE_DSB").when(ambiguous, "AMBIGUOUS").otherwise("SSB")
 
 
-def calls(reads: DataFrame, params: Params, mask: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def calls(reads: DataFrame, params: Params, mask: DataFrame | None = None, own: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(scanned pile-ups, call rows before controls and filters)."""
-    scanned, sites = focal(reads, params, mask)
+    scanned, sites = focal(reads, params, mask, own)
     sites = written(sites, "sites")  # few rows of many reads, and read several times from here on
     found = sites.join(best_opposite(sites, reads, params, mask), S.SITE, "left")
     found = found.fillna({"opposite_count": 0, "opposite_depth": 0, "opposite_fraction": 0.0}).withColumn("signal_classification", signal(params))

@@ -1,6 +1,7 @@
 """Calls by chunk: row fragments and a summary document a chunk, and their checked union.
 
-A cluster needs none of this, the call is one plan; it is for runs that an external scheduler cuts into pieces. Fragments hold
+A cluster needs none of this, the call is one plan; it is for runs that an external scheduler cuts into pieces. A piece may be cut out of a whole
+call (``write_chunks``) or called by itself, from the reads near it (``local_chunks``, ``write_chunk``). Fragments hold
 call rows before q values and filters, since both are of the whole sample.
 """
 
@@ -29,7 +30,7 @@ def _owned(plan: list[dict]) -> list[tuple]:
 
 def write_chunks(found: DataFrame, candidates: DataFrame, plan: list[dict], contigs: DataFrame, params: Params, folder: str) -> None:
     """``rows`` (gzipped JSON lines, a folder a chunk) and ``summaries`` (a line of JSON a chunk) of calling.rows and a
-    planner.plan. Rows outside all chunks are a fault."""
+    planner.plan. Rows outside all chunks are a fault. For chunks that are called by themselves, see local_chunks."""
     spark = found.sparkSession
     own = spark.createDataFrame(_owned(plan), OWNED)
     slim = written(found.drop("control_fisher_q"), "rows")
@@ -38,30 +39,49 @@ def write_chunks(found: DataFrame, candidates: DataFrame, plan: list[dict], cont
     of_chunk.write.partitionBy("chunk_id").option("compression", "gzip").option("ignoreNullFields", False).json(f"{folder}/rows")
     reported = {r["chunk_id"]: r["count"] for r in of_chunk.groupBy("chunk_id").count().collect()}
     seen = {r["chunk_id"]: r["count"] for r in intervals.at_positions(calling.position(candidates), own).groupBy("chunk_id").count().collect()}
-    order = "ordinal" if "ordinal" in contigs.columns else "contig"
-    lengths = {r["contig"]: r["length"] for r in contigs.orderBy(order).collect()}
-    used = [c for c in lengths if any(r["contig"] == c for r in plan)]
+    lengths, used = _lengths(contigs), {r["contig"] for r in plan}
     documents = []
     for chunk in dict.fromkeys(r["chunk_id"] for r in plan):
-        pieces = [r for r in plan if r["chunk_id"] == chunk]
-        document = {
-            "schema_version": 1,
-            "sample": params.sample,
-            "analysis": params.analysis,
-            "chunk_id": chunk,
-            "parameters": vars(params),
-            "expected_contigs": used,
-            "expected_contig_lengths": {c: lengths[c] for c in used},
-            "contigs": list(dict.fromkeys(r["contig"] for r in pieces)),
-            "intervals": [{"contig": r["contig"], "start": r["owner_start"], "end": r["owner_end"]} for r in pieces],
-            "reported_rows": reported.get(chunk, 0),
-            "candidate_count": seen.get(chunk, 0),
-            "row_schema": of_chunk.drop("chunk_id").schema.jsonValue(),
-        }
-        documents.append((json.dumps(json_safe(document), sort_keys=True),))
+        pieces = [(r["contig"], r["owner_start"], r["owner_end"]) for r in plan if r["chunk_id"] == chunk]
+        documents.append((_document(chunk, pieces, params, {c: n for c, n in lengths.items() if c in used}, reported.get(chunk, 0), seen.get(chunk, 0), of_chunk.drop("chunk_id").schema),))
     spark.createDataFrame(documents, "value string").coalesce(1).write.text(f"{folder}/summaries")
 
 
+def _lengths(contigs: DataFrame) -> dict[str, int]:
+    """By contig, in their order."""
+    return {r["contig"]: r["length"] for r in contigs.orderBy("ordinal" if "ordinal" in contigs.columns else "contig").collect()}
+
+
+def _document(chunk: str, pieces: list[tuple[str, int, int]], params: Params, lengths: dict[str, int], reported: int, candidates: int, schema: StructType) -> str:
+    """A chunk's summary: what it owns of which contigs, its counts, the schema of its rows."""
+    document = {
+        "schema_version": 1,
+        "sample": params.sample,
+        "analysis": params.analysis,
+        "chunk_id": chunk,
+        "parameters": vars(params),
+        "expected_contigs": list(lengths),
+        "expected_contig_lengths": lengths,
+        "contigs": list(dict.fromkeys(c for c, _, _ in pieces)),
+        "intervals": [{"contig": c, "start": a, "end": b} for c, a, b in pieces],
+        "reported_rows": reported,
+        "candidate_count": candidates,
+        "row_schema": schema.jsonValue(),
+    }
+    return json.dumps(json_safe(document), sort_keys=True)
+
+
+def write_chunk(chunk: str, candidates: DataFrame, found: DataFrame, pieces: list[tuple[str, int, int]], params: Params, lengths: dict[str, int], folder: str) -> int:
+    """Rows and summary of one chunk that was called by itself (local_chunks.call), in the form that ``finalised`` reads; rows written. Both
+    replace what an earlier run of the chunk has left. lengths: of all contigs that the chunks of the run share."""
+    rows = written(found.drop("control_fisher_q").withColumn("_chunk_id", F.lit(chunk)), "chunk-rows")
+    rows.write.mode("overwrite").option("compression", "gzip").option("ignoreNullFields", False).json(f"{folder}/rows/chunk_id={chunk}")
+    count = rows.count()
+    document = _document(chunk, pieces, params, lengths, count, candidates.count(), rows.schema)
+    found.sparkSession.createDataFrame([(document,)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/summaries/chunk_id={chunk}")
+    return count
+
+
 def summaries(spark: SparkSession, path: str, sample: str, analysis: str) -> list[dict]:
     """The summary documents of all chunks, a row a chunk; ValueError where they don't belong together or don't cover their
     contigs, each base once."""

@@ -5,13 +5,15 @@ Reads, variants and the mask are projections of lineitem and part (strandmark.so
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandmark.functions import reads as R
 from strandmark.functions.statistics import benjamini_hochberg
 from strandmark.operators import double_strand, evidence, filters, intervals, manifest, planner, single_strand, sinks, sites
-from strandmark.plans import calling, chunks
+from strandmark.plans import calling, chunks, local_chunks
 from strandmark.plans.calling import Calls, Inputs, call
 from strandmark.plans.oracle import ORACLE_SQL as ORACLE_SQL
 from strandmark.schema import Params
@@ -318,6 +320,21 @@ def chunked_calls(spark, d):
     return _rounded(chunks.finalised(spark, folder, SINGLE)[0])
 
 
+def chunk_by_itself(spark, d):
+    """Calls of chunks that look at the reads near them only, of reads stored by place: written, read back, checked, finalised."""
+    inputs, folder, path = _inputs(spark, d), new_folder(spark, "local"), new_folder(spark, "stored")
+    formats.store_reads(inputs.reads, path)
+    inputs = replace(inputs, reads=spark.read.parquet(path))
+    plan = planner.plan(sites.contig_density(inputs.reads), inputs.contigs, 2, DOUBLE.padding, inputs.mask)
+    lengths = {r["contig"]: r["length"] for r in inputs.contigs.orderBy("contig").collect()}
+    for chunk in dict.fromkeys(r["chunk_id"] for r in plan):
+        rows = [r for r in plan if r["chunk_id"] == chunk]
+        owned = [local_chunks.Interval(r["contig"], r["owner_start"], r["owner_end"], r["scan_start"], r["scan_end"]) for r in rows]
+        candidates, found, _ = local_chunks.call(inputs, owned, DOUBLE)
+        chunks.write_chunk(chunk, candidates, found, [(x.contig, x.start, x.end) for x in owned], DOUBLE, {c: n for c, n in lengths.items() if any(r["contig"] == c for r in plan)}, folder)
+    return _rounded(chunks.finalised(spark, folder, DOUBLE)[0])
+
+
 def chunk_totals(spark, d):
     """Rows and candidates that the chunks' summaries report, in sum."""
     inputs, folder = _inputs(spark, d), new_folder(spark, "totals")
@@ -361,6 +378,6 @@ def streamed_pileups(spark, d):
 
 _NAMES = (
     "eligible_reads read_endpoints endpoint_pileups site_depth_fraction site_local_metrics modal_indel opposite_best ssb_calls pair_candidates pair_components pair_matching rgen_score control_evidence q_values blacklist_merge blacklist_totals blacklist_subtract masked_endpoints known_indel_overlap final_calls_ssb final_calls_dsb tier_counts bed_rows qc_counts contig_density flagstat chunk_plan control_matching "
-    "sam_reads region_reads sam_header reads_probe vcf_variants indel_spans bed_mask overlap_bases coverage_faults interval_table fastq_reads duplicates samplesheet lanes chunk_table chunked_calls chunk_totals formatted_calls written_calls qc_document streamed_pileups"
+    "sam_reads region_reads sam_header reads_probe vcf_variants indel_spans bed_mask overlap_bases coverage_faults interval_table fastq_reads duplicates samplesheet lanes chunk_table chunked_calls chunk_by_itself chunk_totals formatted_calls written_calls qc_document streamed_pileups"
 ).split()
 QUERIES = {name: globals()[name] for name in _NAMES}

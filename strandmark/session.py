@@ -56,9 +56,11 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder; removed when the application ends."""
+def new_folder(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A fresh path in the shared folder; removed when the application ends, unless it's to be kept."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if keep:
+        return path
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     return path
