@@ -35,8 +35,6 @@ from . import base
 SAMPLE_ROWS = 16_000
 FOLDS, TREES, DEPTH, RATE, BINS = 4, 50, 3, 0.2, 32
 MIN_TOXIC_ROWS = 3
-#: Terms that a lexicon holds at most, those that stand out most.
-MOST_TERMS = 2000
 THRESHOLD = 0.3
 
 # Insults that count without having been learned.
@@ -143,9 +141,8 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
     ]
 
 
-def learn_lexicon(counts: dict[str, tuple[int, int]], toxic: int, clean: int, terms: int, most_terms: int = MOST_TERMS) -> Lexicon:
-    """From rows by term (toxic, clean): those of all ``terms`` that stand out among toxic rows, with log odds as weights; the
-    first ``most_terms`` by G2."""
+def learn_lexicon(counts: dict[str, tuple[int, int]], toxic: int, clean: int, terms: int) -> Lexicon:
+    """From rows by term (toxic, clean): those of all ``terms`` that stand out among toxic rows by G2, with log odds as weights."""
     scored, all_ = [], toxic + clean
     least = 2 * math.log(max(100, terms))
     for term, (t, c) in counts.items():
@@ -156,7 +153,7 @@ def learn_lexicon(counts: dict[str, tuple[int, int]], toxic: int, clean: int, te
         if g2 >= least and odds > 1.5:
             scored.append((g2, term, odds))
     scored.sort(key=lambda x: (-x[0], x[1]))
-    return Lexicon({term: round(odds, 6) for _, term, odds in scored[:most_terms]})
+    return Lexicon({term: round(odds, 6) for _, term, odds in scored})
 
 
 @dataclass
@@ -242,9 +239,8 @@ class Model:
         return np.interp(self.trees.raw(x), *self.knots)
 
 
-def train(docs: DataFrame, labels: DataFrame, allowed, sample_rows: int = SAMPLE_ROWS, most_terms: int = MOST_TERMS) -> Model:
-    """Fits on at most ``sample_rows`` labelled rows for which ``allowed`` (a condition on doc_id) holds, with a lexicon of at most
-    ``most_terms`` learned terms.
+def train(docs: DataFrame, labels: DataFrame, allowed, sample_rows: int = SAMPLE_ROWS) -> Model:
+    """Fits on at most ``sample_rows`` labelled rows for which ``allowed`` (a condition on doc_id) holds.
 
     Terms are counted and features computed on the executors; the driver gets a row a promising term and a row a
     sampled text.
@@ -284,7 +280,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed, sample_rows: int = SAMPLE
     def lexicon(without: int | None) -> Lexicon:
         kept = [k for k in range(FOLDS) if k != without]
         counts = {t: (sum(c[2 * k + 1] for k in kept), sum(c[2 * k] for k in kept)) for t, c in table.items()}
-        return learn_lexicon(counts, max(1, sum(size.get((k, 1), 0) for k in kept)), max(1, sum(size.get((k, 0), 0) for k in kept)), terms, most_terms)
+        return learn_lexicon(counts, max(1, sum(size.get((k, 1), 0) for k in kept)), max(1, sum(size.get((k, 0), 0) for k in kept)), terms)
 
     of_fold = [lexicon(k) for k in range(FOLDS)]
 
