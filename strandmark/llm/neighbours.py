@@ -14,8 +14,9 @@ bound isn't above the query's k-th distance so far or the k-th upper bound of th
 Every row is indexed. Centroids come from a bounded sample (some ``SAMPLE_ROWS`` rows). Cells of about ``GROUP_ROWS`` rows by
 ``GROUP_QUERIES`` queries are the tasks, and k rows a query leave a cell.
 
-Edge cases: vectors that are null, zero, hold null or non-finite components take no part, as query or candidate, nor do those
-that have another length than most of the sample (there's no distance to them); a null id takes no part; candidates with the
+Edge cases: vectors that are null, zero, hold null or non-finite components take no part, as query or candidate, nor in the
+sample, however many they are; vectors of several lengths are searched by length, each among its like (there's no distance to
+others); a null id takes no part; candidates with the
 query's id are its own row; equal vectors tie and the smaller id comes first; repeated rows are candidates each; rows
 that repeat a query's id are searched each, and the k nearest of all are returned; fewer candidates than k are all returned;
 an empty table gives an empty table; further columns don't matter.
@@ -25,12 +26,13 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import base
@@ -166,21 +168,30 @@ def search_cell(q_ids: np.ndarray, q: np.ndarray, rotated: np.ndarray, blocks: l
 def nearest(vectors: DataFrame, queries, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): for the rows where ``queries`` holds, their k nearest among all other rows."""
     spark = vectors.sparkSession
-    rows = vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), queries.alias("asks"))
-    size = rows.agg(F.count("*").alias("n"), F.count_if("asks").alias("q")).first()
-    sample = [r.v for r in rows.select("v").sample(min(1.0, SAMPLE_ROWS / max(1, size.n)), SEED).collect()]
-    sample = [v for v in sample if v and None not in v and np.isfinite(v).all()]
-    if not sample:
-        sample = [r.v for r in rows.select("v").limit(SAMPLE_ROWS).collect()]
-        sample = [v for v in sample if v and None not in v and np.isfinite(v).all()]
-    if not sample:
+    v = F.col(vector_col).cast("array<double>")
+    rows = vectors.where(F.col(id_col).isNotNull() & _usable(v)).select(F.col(id_col).cast("long").alias("id"), v.alias("v"), queries.alias("asks"))
+    sizes = rows.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n"), F.count_if("asks").alias("q")).orderBy("dim").collect()  # a row a length
+    parts = [_nearest(rows.where(F.size("v") == s.dim), s.dim, s.n, s.q, k) for s in sizes if s.q]
+    if not parts:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim = Counter(map(len, sample)).most_common(1)[0][0]
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    ranked = reduce(DataFrame.union, parts).withColumn("rank", F.row_number().over(order))
+    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _usable(v: Column) -> Column:
+    return F.forall(v, lambda x: x.isNotNull() & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)  # NaN is above all
+
+
+def _nearest(rows: DataFrame, dim: int, n: int, q: int, k: int) -> DataFrame:
+    """(query_id, vec_id, score) of n rows (id, v, asks), q of them queries, of vectors of one length: the k nearest in each cell."""
+    spark = rows.sparkSession
+    sample = [r.v for r in rows.select("v").sample(min(1.0, SAMPLE_ROWS / n), SEED).collect()] or [r.v for r in rows.select("v").limit(SAMPLE_ROWS).collect()]
     turn = rotation(dim)
-    centres = centroids(np.array(sorted(v for v in sample if len(v) == dim)))
+    centres = centroids(np.array(sorted(sample)))
     turned = centres @ turn
-    groups = max(base.partitions_for(spark), -(-size.n // GROUP_ROWS))
-    query_groups = max(1, -(-size.q // GROUP_QUERIES))
+    groups = max(base.partitions_for(spark), -(-n // GROUP_ROWS))
+    query_groups = max(1, -(-q // GROUP_QUERIES))
 
     def code_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Blocks of one centroid, as full as the partition's rows make them."""
@@ -233,9 +244,7 @@ def nearest(vectors: DataFrame, queries, k: int = 10, id_col: str = "vec_id", ve
         q = np.concatenate([get(x, float) for x in asks["q"].to_pylist()]).reshape(-1, dim)
         return pa.table(dict(zip(empty, map(pa.array, search_cell(q_ids, q, q @ turn, held, turned, k)))))
 
-    found = blocks.groupBy("g", "qg").cogroup(asked.groupBy("g", "qg")).applyInArrow(cell, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return blocks.groupBy("g", "qg").cogroup(asked.groupBy("g", "qg")).applyInArrow(cell, "query_id long, vec_id long, score double")
 
 
 def op7_nearest_neighbours(spark, sf_dir: str) -> DataFrame:
