@@ -32,7 +32,6 @@ ids in it are null; other columns are carried by ``keep_one``; no documents give
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -138,7 +137,7 @@ WIDE_BITS = 256
 MISSED = 0.002
 #: Pairs within so many of 256 bits are linked as soon as they are seen, those further apart by nearness.
 CLOSE_BITS = 24
-#: Documents of an address beyond which it is dealt over tasks, and of the sample that shows it.
+#: Documents of an address beyond which it is dealt over tasks, and at least of the sample that shows it.
 CROWD, SAMPLE = 8192, 20_000
 #: Bytes of entries that meet in one group.
 GROUP_BYTES = 4 << 20
@@ -270,49 +269,79 @@ def _named(address: np.ndarray, ids: np.ndarray, labels: np.ndarray, words: np.n
     return {(max(p), min(p)) for p in found}
 
 
-def _crowds(nodes: DataFrame, total: int, shape: Shape, segments: range) -> dict[int, tuple[int, int]]:
-    """Of addresses that hold more than CROWD nodes by a sample of some SAMPLE: over how many tasks they are dealt, and
-    their most frequent label."""
-    share = -(1 << 63) + min((1 << 64) - 1, (SAMPLE << 64) // max(1, total))
-    sample = nodes.where(F.xxhash64("node", F.lit("sample")) <= F.lit(share)).select("label", "fp").collect() if total > CROWD else []
-    if not sample:
+def _crowds(nodes: DataFrame, total: int, shape: Shape, segments: range) -> dict[int, tuple[int, int, int]]:
+    """Of addresses that hold more than CROWD nodes by a sample: (parts of the others, parts of the most frequent label, that
+    label). The sample grows with the nodes, so that CROWD of them show at any size; it's counted on the executors."""
+    if total <= CROWD:
         return {}
-    words = np.frombuffer(b"".join(bytes(r.fp) for r in sample), "<u8").reshape(len(sample), -1)
-    address = _addresses(words, shape.width, segments)
-    found, counts = np.unique(address, return_counts=True)
-    held = counts * (total / len(sample))
+    rows = max(SAMPLE, 8 * total // CROWD)
+    share = -(1 << 63) + min((1 << 64) - 1, (rows << 64) // total)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1024):
+                batch = whole.slice(start, 1024)
+                base.forget()
+                raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+                address = _addresses(raw.copy().view("<u8"), shape.width, segments)
+                yield pa.RecordBatch.from_arrays([pa.array(address.ravel().astype(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), address.shape[1]))], ["address", "label"])
+
+    sample = base.written(nodes.where(F.xxhash64("node", F.lit("sample")) <= F.lit(share)).select("label", "fp"), "crowd-sample")
+    times = total / max(1, sample.count())
+    by_label = sample.mapInArrow(spread, "address long, label long").groupBy("address", "label").agg(F.count("*").alias("n"))
+    found = by_label.groupBy("address").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("most"))
+    large = found.where((F.col("n") >= 8) & (F.col("n") * times > CROWD)).collect()  # at most the entries by CROWD
+    base.discard(sample)
     out = {}
-    large = (held > CROWD) & (counts >= 8)
-    for a, n in zip(found[large].tolist(), held[large].tolist()):
-        labels = Counter(sample[k].label for k in np.flatnonzero((address == np.uint64(a)).any(axis=1)).tolist())
-        out[a] = (math.ceil(n / CROWD), labels.most_common(1)[0][0])
+    for r in large:
+        most, others = r.most.n * times, (r.n - r.most.n) * times
+        # a task's number has 20 bits
+        part = max(CROWD, (most + others) / 700)
+        out[r.address] = (max(1, math.ceil(others / part)), max(1, math.ceil(most / part)), r.most.label)
     return out
 
 
-def near_candidates(nodes: DataFrame, shape: Shape, segments: range) -> DataFrame:
-    """(a, b), a > b, of nodes(node, label, fp): candidates of different labels that share an address of these segments."""
+def near_candidates(nodes: DataFrame, shape: Shape, segments: range, again: range = range(0)) -> DataFrame:
+    """(a, b), a > b, of nodes(node, label, fp): candidates of different labels that share an address of these segments.
+
+    Crowded addresses are dealt over tasks. In the first round, which knows no components yet, a member goes to one of them,
+    so some pairs don't meet there; the second round takes these addresses up ``again`` (of the first round's segments they are the
+    only ones) and lets all pairs of different labels meet, whatever the labels: members of the most frequent label are dealt over some parts, the
+    others over parts of their own, and there is a task for each two parts of others and for each part of others with each of that label.
+    """
     total = nodes.count()
-    crowds = _crowds(nodes, total, shape, segments)
+    crowds = _crowds(nodes, total, shape, range(segments.start, segments.stop))
+    repeated = _crowds(nodes, total, shape, again) if len(again) else {}
+    crowds |= repeated
     # an entry: the address (with a task's number, if any are dealt), the node, in the second round its label, the fingerprint
     wide = 8 if crowds else 5
     heads = (wide, wide + 8, wide + 16 if segments.start else wide + 8)
     size = heads[2] + shape.bits // 8
     groups = max(base.partitions_for(nodes.sparkSession), total * len(segments) * (shape.width + 1) * size // GROUP_BYTES)
+    known = np.array(sorted(crowds), np.uint64)
+    only = np.array(sorted(repeated), np.uint64)
 
     def dealt(address: np.ndarray, rows: np.ndarray, ids: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The entries' addresses, rows and task numbers within an address."""
         salt = np.zeros(len(rows), np.uint64)
-        more: list[tuple[np.ndarray, np.ndarray]] = []
-        if crowds:
-            for k in np.flatnonzero(np.isin(address, np.array(list(crowds), np.uint64))).tolist():
-                tasks, label = crowds[int(address[k])]
-                if labels[rows[k]] == label or segments.start == 0:  # the first round knows no components
-                    salt[k] = xxhash.xxh64_intdigest(int(ids[rows[k]]).to_bytes(8, "little", signed=True), int(address[k]) & 0xFFFFFFFF) % tasks
-                else:
-                    more.append((np.full(tasks - 1, k), np.arange(1, tasks, dtype=np.uint64)))
-        if more:
-            again, salts = (np.concatenate(x) for x in zip(*more))
-            return np.concatenate((address, address[again])), np.concatenate((rows, rows[again])), np.concatenate((salt, salts))
+        extra: list[tuple[int, list[int]]] = []
+        for k in np.flatnonzero(np.isin(address, known)).tolist() if len(known) else []:
+            others, most, label = crowds[int(address[k])]
+            h = xxhash.xxh64_intdigest(int(ids[rows[k]]).to_bytes(8, "little", signed=True), int(address[k]) & 0xFFFFFFFF)
+            if segments.start == 0:
+                salt[k] = h % (others + most - 1)
+                continue
+            if labels[rows[k]] == label:
+                tasks = [others * others + i * most + h % most for i in range(others)]
+            else:
+                own = h % others
+                tasks = [min(own, j) * others + max(own, j) for j in range(others)] + [others * others + own * most + j for j in range(most)]
+            salt[k] = tasks[0]
+            extra.append((k, tasks[1:]))
+        if extra:
+            at = np.repeat([k for k, _ in extra], [len(t) for _, t in extra])
+            salts = np.array([x for _, t in extra for x in t], np.uint64)
+            return np.concatenate((address, address[at])), np.concatenate((rows, rows[at])), np.concatenate((salt, salts))
         return address, rows, salt
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,7 +353,12 @@ def near_candidates(nodes: DataFrame, shape: Shape, segments: range) -> DataFram
                 raw = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(len(ids), -1)
                 address = _addresses(raw.copy().view("<u8"), shape.width, segments)
                 rows = np.repeat(np.arange(len(ids)), address.shape[1])
-                address, rows, salt = dealt(address.ravel(), rows, ids, labels)
+                address = address.ravel()
+                if len(only):
+                    more = _addresses(raw.copy().view("<u8"), shape.width, again)
+                    place, column = np.nonzero(np.isin(more, only))
+                    address, rows = np.concatenate((address, more[place, column])), np.concatenate((rows, place))
+                address, rows, salt = dealt(address, rows, ids, labels)
                 address = address | salt << np.uint64(44)
                 group = (address * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(groups)
                 order = np.argsort(group, kind="stable")
@@ -400,8 +434,8 @@ def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
     now = base.written(marks.groupBy("node").agg(F.min(F.struct("id", "t")).alias("least"), F.first("fp").alias("fp")).withColumn("label", F.col("node")), "nodes")
     first = -(-shape.segments // 4)
     sets = None
-    for segments in (range(first), range(first, shape.segments)):
-        candidates = base.written(near_candidates(now, shape, segments), "candidates")
+    for segments, again in ((range(first), range(0)), (range(first, shape.segments), range(first))):
+        candidates = base.written(near_candidates(now, shape, segments, again), "candidates")
         named = now.join(candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
         new = base.written(spelled(named if sets is None else named.join(sets, "node", "left_anti")), "shingles")
         sets = new if sets is None else sets.unionByName(new)
