@@ -235,6 +235,13 @@ def combined(f: str = "f", r: str = "r") -> dict[str, Column]:
     return {c: out[c] for c in METRICS}
 
 
+def grid_places(pairs: DataFrame, overhang: int) -> DataFrame:
+    """(contig, pos): ends of the places at which evidence for pairs(contig, forward_position, reverse_position) is asked for."""
+    f = F.col("forward_position")
+    ends = [f, F.col("reverse_position"), f - 2, f + 2, f + overhang - 3, f + overhang + 1]
+    return pairs.select("contig", F.explode(F.array(*[F.greatest(e, F.lit(0)) for e in ends])).alias("pos"))
+
+
 def single_precision_score(positions: DataFrame, reads: DataFrame, contigs: DataFrame, overhang: int, min_mapq: int, mask: DataFrame | None = None, name: str = "rgen_digenome_score") -> DataFrame:
     """(contig, forward_position, name): the five-position score around each forward position.
 
@@ -262,7 +269,9 @@ def single_precision_score(positions: DataFrame, reads: DataFrame, contigs: Data
 def calls(reads: DataFrame, contigs: DataFrame, params: Params, mask: DataFrame | None = None, pairs: DataFrame | None = None, own: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(candidate pairs, call rows before controls and filters). With ``pairs`` (PAIR, whole components) these are assigned; with ``own``
     (a condition on contig and forward_position) only those for which it holds go on."""
-    pairs = written(candidates(reads, params, mask, pairs=pairs), "pairs")
+    known = edges(reads, params, mask) if pairs is None else written(pairs, "edges")
+    reads = S.cut(reads, grid_places(known, params.digenome_overhang), params.artifact_window)
+    pairs = written(candidates(reads, params, mask, pairs=known), "pairs")
     chosen = select_pairs(pairs, params.digenome_overhang)
     if own is not None:
         chosen, pairs = chosen.where(own), pairs.where(own)

@@ -53,6 +53,10 @@ def control(calls: DataFrame, reads: DataFrame | None, contigs: DataFrame, param
         wanted = calls.select("contig", F.explode(F.array(F.struct(F.col("forward_position_0based").alias("pos"), F.lit("+").alias("strand")), F.struct(F.col("reverse_position_0based").alias("pos"), F.lit("-").alias("strand")))).alias("s")).select("contig", "s.*")
     else:
         wanted = calls.select(*CALL)
+    places = wanted
+    if both:
+        places = D.grid_places(calls.select("contig", F.col("forward_position_0based").alias("forward_position"), F.col("reverse_position_0based").alias("reverse_position")), params.digenome_overhang)
+    reads = S.cut(reads, places, 0)
     found = S.depths(wanted, reads, params.min_mapq).select(*CALL, F.struct(F.col("endpoint_count").alias("n"), F.col("strand_depth").alias("d"), F.col("endpoint_fraction").alias("f")).alias("c"))
     nothing = F.struct(zero.alias("n"), zero.alias("d"), F.lit(0.0).alias("f"))
     out = calls

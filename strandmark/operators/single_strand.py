@@ -7,20 +7,29 @@ from pyspark.sql import functions as F
 
 from strandmark.functions.statistics import pair_score
 from strandmark.operators import sites as S
-from strandmark.operators.intervals import outside
+from strandmark.operators.intervals import BIN, outside
 from strandmark.schema import METRICS, Params
 from strandmark.session import written
 
 
-def focal(reads: DataFrame, params: Params, mask: DataFrame | None = None, own: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """(scanned pile-ups, those whose fraction passes too, with their metrics); only those for which ``own`` holds (on contig and pos), if given."""
+def scan(reads: DataFrame, params: Params, mask: DataFrame | None = None, own: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(scanned pile-ups, the reads cut to them and to where their opposites may be); only pile-ups for which ``own`` holds (on contig and
+    pos), if given."""
     scanned = S.pileups(reads, params.ndigenome_min_count, params.ndigenome_min_mapq, mask)
     if own is not None:
         scanned = scanned.where(own)
     # few of many reads: with their size known, the reads that are near them needn't be exchanged
     scanned = written(scanned, "scanned")
+    w = params.ndigenome_opposite_window
+    low, high = F.greatest(F.col("pos") - w, F.lit(0)), F.col("pos") + w
+    places = scanned.select("contig", F.explode(F.array_union(F.sequence(low, high, F.lit(BIN).cast("long")), F.array("pos", high))).alias("pos"))
+    return scanned, S.cut(reads, places, params.artifact_window)
+
+
+def focal(scanned: DataFrame, reads: DataFrame, params: Params) -> DataFrame:
+    """The scanned pile-ups whose fraction passes too, with their metrics."""
     measured = S.metrics(scanned, reads, params.artifact_window, params.ndigenome_min_mapq)
-    return scanned, scanned.drop("count").join(measured, S.SITE).where(F.col("endpoint_fraction") >= params.ndigenome_min_fraction)
+    return scanned.drop("count").join(measured, S.SITE).where(F.col("endpoint_fraction") >= params.ndigenome_min_fraction)
 
 
 def best_opposite(sites: DataFrame, reads: DataFrame, params: Params, mask: DataFrame | None = None) -> DataFrame:
@@ -48,8 +57,8 @@ def signal(params: Params):
 
 def calls(reads: DataFrame, params: Params, mask: DataFrame | None = None, own: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(scanned pile-ups, call rows before controls and filters)."""
-    scanned, sites = focal(reads, params, mask, own)
-    sites = written(sites, "sites")  # few rows of many reads, and read several times from here on
+    scanned, reads = scan(reads, params, mask, own)
+    sites = written(focal(scanned, reads, params), "sites")  # few rows of many reads, and read several times from here on
     found = sites.join(best_opposite(sites, reads, params, mask), S.SITE, "left")
     found = found.fillna({"opposite_count": 0, "opposite_depth": 0, "opposite_fraction": 0.0}).withColumn("signal_classification", signal(params))
     plus = F.col("strand") == "+"

@@ -2,18 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandmark.functions import reads as R
 from strandmark.functions.statistics import mean_or_zero, ratio
 from strandmark.operators import intervals
+from strandmark.session import written
 
 SITE = ["contig", "pos", "strand"]
 
 
+#: Bins of a row of the map of wanted bins, and of one of its words.
+BLOCK, WORD = 4096, 64
+CUT = ["contig", "_bin", "read_ord", "query_name", "flag", "reference_start", "reference_end", "mapping_quality", "cigar", "nm"]
+
+
+def bin_map(places: DataFrame) -> DataFrame:
+    """(contig, _block, words): the bins of places(contig, pos) as bits, a row for BLOCK bins. It has a bit for 1,024 bases at most, so
+    its size is bounded by the contigs' lengths (three gigabases: 400 kB), however many places there are."""
+    b = F.floor(F.col("pos") / intervals.BIN)
+    words = places.where("pos >= 0").select("contig", b.alias("_b")).groupBy("contig", F.floor(F.col("_b") / BLOCK).alias("_block"), (F.floor(F.col("_b") / WORD) % (BLOCK // WORD)).cast("int").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(_b % 64 as int)))").alias("bits"))
+    return words.groupBy("contig", "_block").agg(F.map_from_entries(F.collect_list(F.struct("w", "bits"))).alias("words"))
+
+
+def cut(reads: DataFrame, places: DataFrame, reach: int) -> DataFrame:
+    """The reads that can be evidence at places(contig, pos), once and for all: a row for each read and each bin that holds a
+    place and lies within ``reach`` of the read. What ``metrics``, ``depths``, ``single_base`` and ``endpoints`` make of them at these places (with
+    windows up to ``reach``) is what they make of all reads.
+
+    One pass, without an exchange: the map of bins is broadcast, its size is bounded. Rows are slim (a CIGAR only where it
+    has clips or indels, a name only with indels) and written, so that the steps that follow read these few and no others.
+    """
+    if "_bin" in reads.columns:
+        return reads
+    some = reads.where(~R.has(R.UNMAPPED | R.QCFAIL))
+    some = some.withColumns({"query_name": F.when(F.col("cigar").rlike("[ID]"), F.col("query_name")), "cigar": F.when(F.col("cigar").rlike("[IDSH]"), F.col("cigar"))})
+    binned = intervals.with_bins(some, F.greatest(F.col("reference_start") - reach, F.lit(0)), F.col("reference_end") + reach).withColumn("_block", F.floor(F.col("_bin") / BLOCK))
+    wanted = written(bin_map(places), "bins")
+    near = binned.join(F.broadcast(wanted), ["contig", "_block"])
+    word = F.coalesce(F.try_element_at("words", (F.floor(F.col("_bin") / WORD) % (BLOCK // WORD)).cast("int")), F.lit(0).cast("long"))
+    return written(near.where(F.getbit(word, (F.col("_bin") % WORD).cast("int")) == 1).select(*CUT), "cut-reads")
+
+
+def _binned(reads: DataFrame, low: Column, high: Column) -> DataFrame:
+    return reads if "_bin" in reads.columns else intervals.with_bins(reads, low, high)
+
+
 def endpoints(reads: DataFrame, min_mapq: int, places: DataFrame | None = None) -> DataFrame:
-    """(contig, pos, strand, count) of eligible reads' 5' ends; pre-aggregated before the shuffle. Only at ``places``, if given."""
+    """(contig, pos, strand, count) of eligible reads' 5' ends; pre-aggregated before the shuffle. Only at ``places``, if given. Of cut reads, the
+    row of the endpoint's own bin counts."""
+    if "_bin" in reads.columns:
+        reads = reads.where(F.col("_bin") == F.floor(R.endpoint() / intervals.BIN))
     ends = reads.where(R.eligible(min_mapq)).select("contig", R.endpoint().alias("pos"), R.strand().alias("strand"))
     ends = ends if places is None else ends.join(places, SITE, "left_semi")
     return ends.groupBy(*SITE).agg(F.count("*").alias("count"))
@@ -27,14 +67,15 @@ def pileups(reads: DataFrame, min_count: int, min_mapq: int, mask: DataFrame | N
 def _around(sites: DataFrame, reads: DataFrame, window: int) -> DataFrame:
     """Each site with the reads that overlap [pos - window, pos + window + 1)."""
     s = sites.select(*SITE).distinct().withColumn("_bin", F.floor(F.col("pos") / intervals.BIN))
-    r = intervals.with_bins(reads.where(~R.has(R.UNMAPPED)), F.greatest(F.col("reference_start") - window, F.lit(0)), F.col("reference_end") + window)
+    r = _binned(reads.where(~R.has(R.UNMAPPED)), F.greatest(F.col("reference_start") - window, F.lit(0)), F.col("reference_end") + window)
     near = (F.col("reference_start") < F.col("pos") + window + 1) & (F.col("reference_end") > F.greatest(F.col("pos") - window, F.lit(0)))
     return s.join(r, ["contig", "_bin"]).where(near)
 
 
 def depths(sites: DataFrame, reads: DataFrame, min_mapq: int) -> DataFrame:
     """Endpoint count, same-strand depth and their ratio only."""
-    r = reads.where(R.eligible(min_mapq)).select("contig", "flag", "reference_start", "reference_end", R.strand().alias("r_strand"), R.endpoint().alias("r_end"))
+    binned = ["_bin"] if "_bin" in reads.columns else []
+    r = reads.where(R.eligible(min_mapq)).select("contig", *binned, "flag", "reference_start", "reference_end", R.strand().alias("r_strand"), R.endpoint().alias("r_end"))
     near = _around(sites, r, 0).where("r_strand = strand")
     found = near.groupBy(*SITE).agg(F.count_if(F.col("r_end") == F.col("pos")).alias("endpoint_count"), F.count("*").alias("strand_depth"))
     return found.withColumn("endpoint_fraction", ratio(F.col("endpoint_count"), F.col("strand_depth")))
@@ -45,7 +86,7 @@ def metrics(sites: DataFrame, reads: DataFrame, window: int, min_mapq: int) -> D
 
     Mean MAPQ and NM, indels: both strands, over the window; depth and endpoints: the site's strand, at the site.
     """
-    useful = ["contig", "read_ord", "query_name", "flag", "reference_start", "reference_end", "mapping_quality", "cigar", "nm"]
+    useful = [c for c in CUT if c in reads.columns]
     near = _around(sites, reads.where(~R.has(R.QCFAIL)).select(*useful), window)
     primary, same, at = R.eligible(min_mapq), R.strand() == F.col("strand"), R.endpoint() == F.col("pos")
     covers = (F.col("reference_start") <= F.col("pos")) & (F.col("pos") < F.col("reference_end"))
@@ -91,7 +132,8 @@ def modal_indels(near: DataFrame, window: int) -> DataFrame:
 
 def single_base(positions: DataFrame, reads: DataFrame, min_mapq: int) -> DataFrame:
     """(contig, pos, forward_endpoint_count, reverse_endpoint_count, total_depth) at positions(contig, pos) with depth."""
-    r = intervals.with_bins(reads.where(R.eligible_rgen(min_mapq)).select("contig", "flag", "reference_start", "reference_end"), F.col("reference_start"), F.col("reference_end"))
+    binned = ["_bin"] if "_bin" in reads.columns else []
+    r = _binned(reads.where(R.eligible_rgen(min_mapq)).select("contig", *binned, "flag", "reference_start", "reference_end"), F.col("reference_start"), F.col("reference_end"))
     p = positions.select("contig", "pos").distinct().withColumn("_bin", F.floor(F.col("pos") / intervals.BIN))
     near = p.join(r, ["contig", "_bin"]).where("reference_start <= pos AND pos < reference_end")
     at = R.endpoint() == F.col("pos")

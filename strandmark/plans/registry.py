@@ -66,8 +66,8 @@ def modal_indel(spark, d):
 
 
 def opposite_best(spark, d):
-    r = fixtures.reads(spark, d)
-    return _rounded(single_strand.best_opposite(written(single_strand.focal(r, SINGLE)[1], "sites"), r, SINGLE))
+    scanned, near = single_strand.scan(fixtures.reads(spark, d), SINGLE)
+    return _rounded(single_strand.best_opposite(written(single_strand.focal(scanned, near, SINGLE), "sites"), near, SINGLE))
 
 
 def ssb_calls(spark, d):
