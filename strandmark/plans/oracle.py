@@ -272,6 +272,7 @@ ORACLE_SQL |= {
     "chunk_plan": _with("SELECT * FROM chunk", *_CHUNKS(8)),
     "chunk_table": _with("SELECT chunk_id, count(*) AS interval_count, count(DISTINCT contig) AS contig_count, max(mapped_records) AS estimated_mapped_records, max(callable_mapped_records) AS estimated_callable_mapped_records, CAST(sum(owner_end - owner_start) AS BIGINT) AS owned_bases, CAST(sum(callable_bases) AS BIGINT) AS callable_bases, CAST(sum(excluded_bases) AS BIGINT) AS excluded_bases, string_agg(contig || ':' || owner_start || '-' || owner_end, ',' ORDER BY contig, owner_start) AS intervals FROM chunk GROUP BY chunk_id", *_CHUNKS(8)),
     "chunked_calls": ORACLE_SQL["final_calls_ssb"],
+    "ordered_pileups": ORACLE_SQL["endpoint_pileups"],
     "chunk_by_itself": _with(_FINAL_DSB_SELECT, *_FINAL_DSB),
     "chunk_totals": _with("SELECT CAST((SELECT count(*) FROM final) AS BIGINT) AS rows, CAST((SELECT count(*) FROM piles) AS BIGINT) AS candidates", *_FINAL),
     "formatted_calls": _with(f"SELECT contig, CAST(pos AS VARCHAR) AS position_0based, strand, {_g8('endpoint_fraction')} AS endpoint_fraction, {_g8('support_mean_mapq')} AS support_mean_mapq, {_g8('local_mean_mapq')} AS local_mean_mapq, {_g8('support_mean_nm')} AS support_mean_nm, {_g8('score')} AS digenome_pair_score, '' AS rgen_digenome_score, coalesce(CAST(op + 1 AS VARCHAR), '') AS opposite_position_1based, array_to_string(reasons, ';') AS filter_reasons FROM final", *_FINAL),

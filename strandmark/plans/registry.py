@@ -19,7 +19,7 @@ from strandmark.plans.oracle import ORACLE_SQL as ORACLE_SQL
 from strandmark.schema import Params
 from strandmark.session import new_folder, written
 from strandmark.sources import fixtures, formats
-from strandmark.streaming import endpoints
+from strandmark.streaming import endpoints, ordered
 
 SINGLE = Params(sample="treated", control_sample="control", ndigenome_min_count=4, ndigenome_opposite_window=2, ndigenome_ambiguous_min_count=2, control_min_fold=3.0)
 DOUBLE = SINGLE.but(analysis="digenome", digenome_pair_window=3, digenome_forward_cutoff=2, digenome_reverse_cutoff=2, digenome_depth_cutoff=4, digenome_pair_score_cutoff=0.5)
@@ -376,8 +376,22 @@ def streamed_pileups(spark, d):
     return endpoints.current(spark, f"{folder}/out", 4)
 
 
+def ordered_pileups(spark, d):
+    """Pile-ups of reads that arrive in coordinate order, half a contig a file, given out once a later read has passed them."""
+    folder = new_folder(spark, "ordered")
+    reads, contigs = fixtures.reads(spark, d), fixtures.contigs(spark, d).orderBy("contig").collect()  # a row a contig
+    for c in contigs:
+        half = F.col("reference_start") < c["length"] // 2
+        for part in (half, ~half):
+            own = reads.where((F.col("contig") == c["contig"]) & part).repartitionByRange(1, "reference_start").sortWithinPartitions("reference_start", "read_ord")
+            own.write.mode("append").parquet(f"{folder}/in")
+    ordered.ended(spark, [c["contig"] for c in contigs]).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    ordered.run(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return ordered.final(spark, f"{folder}/out", 4)
+
+
 _NAMES = (
     "eligible_reads read_endpoints endpoint_pileups site_depth_fraction site_local_metrics modal_indel opposite_best ssb_calls pair_candidates pair_components pair_matching rgen_score control_evidence q_values blacklist_merge blacklist_totals blacklist_subtract masked_endpoints known_indel_overlap final_calls_ssb final_calls_dsb tier_counts bed_rows qc_counts contig_density flagstat chunk_plan control_matching "
-    "sam_reads region_reads sam_header reads_probe vcf_variants indel_spans bed_mask overlap_bases coverage_faults interval_table fastq_reads duplicates samplesheet lanes chunk_table chunked_calls chunk_by_itself chunk_totals formatted_calls written_calls qc_document streamed_pileups"
+    "sam_reads region_reads sam_header reads_probe vcf_variants indel_spans bed_mask overlap_bases coverage_faults interval_table fastq_reads duplicates samplesheet lanes chunk_table chunked_calls chunk_by_itself chunk_totals formatted_calls written_calls qc_document streamed_pileups ordered_pileups"
 ).split()
 QUERIES = {name: globals()[name] for name in _NAMES}
