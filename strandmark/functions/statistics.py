@@ -6,11 +6,13 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
+from strandmark.operators import scans
+
 
 def ratio(a: Column, b: Column) -> Column:
     """a / b, zero where b is zero."""
@@ -69,13 +71,14 @@ def fisher(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
 def benjamini_hochberg(df: DataFrame, p: str, q: str, by: list[str], tie: list[str]) -> DataFrame:
     """q values of the rows with a p value, over all rows of the same ``by``; null elsewhere.
 
-    Ranks come from counts of distinct p values: equal p values share the largest rank, so a group's rows pass one
-    window as distinct p values only.
+    Equal p values share the largest rank, so rows pass as distinct p values with their counts, and those by ranges
+    (operators.scans): ranks are running counts, and q is the running minimum from the largest p down.
     """
-    counts = df.where(F.col(p).isNotNull()).groupBy(*by, p).agg(F.count("*").alias("_n"))
-    up = Window.partitionBy(*by).orderBy(p).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    all_ = Window.partitionBy(*by)
-    ranked = counts.withColumn("_rank", F.sum("_n").over(up)).withColumn("_all", F.sum("_n").over(all_))
-    down = Window.partitionBy(*by).orderBy(F.col(p).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    adjusted = ranked.select(*by, p, F.least(F.lit(1.0), F.min(F.col(p) * F.col("_all") / F.col("_rank")).over(down)).alias(q))
-    return df.join(adjusted, [*by, p], "left")
+    one = df.withColumn("_q_rows", F.lit(0))
+    by = [*by, "_q_rows"]
+    counts = scans.ranged(one.where(F.col(p).isNotNull()).groupBy(*by, p).agg(F.count("*").alias("_n")), by, [p], "p-values")
+    ranked = scans.before(counts, by, [p], {"_less": ("sum", "_n")}).join(counts.groupBy(*by).agg(F.sum("_n").alias("_all")), by)
+    ranked = ranked.withColumn("_value", F.col(p) * F.col("_all") / (F.col("_less") + F.col("_n")))
+    least = scans.before(ranked, by, [p], {"_above": ("min", "_value")}, backward=True)
+    adjusted = least.select(*by, p, F.least(F.lit(1.0), "_value", "_above").alias(q))
+    return one.join(adjusted, [*by, p], "left").drop("_q_rows")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandmark.functions.statistics import contribution, pair_score, ratio, weighted_mean
+from strandmark.operators import scans
 from strandmark.operators import sites as S
 from strandmark.operators.intervals import outside
 from strandmark.schema import METRICS, Params
@@ -67,15 +68,14 @@ def caller_reasons(params: Params) -> Column:
 def components(pairs: DataFrame, overhang: int) -> DataFrame:
     """pairs with ``component``: pairs that share an endpoint, directly or over others, have one number in a contig.
 
-    Shifted by the overhang, a component is an island of overlapping closed spans, so a running maximum finds it.
+    Shifted by the overhang, a component is an island of overlapping closed spans, so a running maximum finds it (scans.islands: over ranges, no task
+    holds a contig).
     """
     low = F.least(F.col("forward_position") - overhang, F.col("reverse_position"))
     high = F.greatest(F.col("forward_position") - overhang, F.col("reverse_position"))
-    w = Window.partitionBy("contig").orderBy("_low", "_high", "forward_position", "reverse_position")
-    spans = pairs.withColumns({"_low": low, "_high": high})
-    before = F.max("_high").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    spans = spans.withColumn("_new", (before.isNull() | (F.col("_low") > before)).cast("int"))
-    return spans.withColumn("component", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long")).drop("_low", "_high", "_new")
+    rows = scans.ranged(pairs.withColumns({"_low": low, "_high": high}), ["contig"], ["_low", "_high", "forward_position", "reverse_position"], "pair-ranges")
+    found = scans.islands(rows, ["contig"], ["_low", "_high", "forward_position", "reverse_position"], "_low", "_high", "component", touching=True)
+    return found.drop("_low", "_high", scans.PART)
 
 
 def best_assignment(edges: list[tuple[int, int, bool, float]]) -> list[int]:

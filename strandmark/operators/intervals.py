@@ -10,16 +10,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandmark.operators import scans
+
 BIN = 1024
 
 
 def merge(intervals: DataFrame) -> DataFrame:
     """Overlapping and adjacent intervals become one."""
-    w = Window.partitionBy("contig").orderBy("start", "end")
-    before = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    islands = intervals.withColumn("_new", (before.isNull() | (F.col("start") > before)).cast("int"))
-    islands = islands.withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return islands.groupBy("contig", "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
+    rows = scans.ranged(intervals.select("contig", "start", "end").distinct(), ["contig"], ["start", "end"], "mask-ranges")
+    found = scans.islands(rows, ["contig"], ["start", "end"], "start", "end", "_island", touching=True)
+    return found.groupBy("contig", "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
 
 
 def totals(merged: DataFrame) -> DataFrame:
@@ -78,8 +78,11 @@ def overlap_bases(intervals: DataFrame, merged: DataFrame) -> DataFrame:
 
 def coverage_faults(intervals: DataFrame, contigs: DataFrame) -> DataFrame:
     """(contig, at, fault): gaps and overlaps of intervals that should tile the contigs(contig, length)."""
-    w = Window.partitionBy("contig").orderBy("start", "end")
-    walked = intervals.select("contig", "start", "end", F.coalesce(F.lag("end").over(w), F.lit(0)).alias("before"))
+    # equal intervals are told apart by a number, of which only the first follows what lies before
+    own = intervals.groupBy("contig", "start", "end").agg(F.count("*").alias("_n"))
+    rows = scans.before(scans.ranged(own, ["contig"], ["start", "end"], "interval-ranges"), ["contig"], ["start", "end"], {"before": ("last", "end")})
+    again = rows.where("_n > 1").select("contig", "start", "end", F.col("end").alias("before"), F.explode(F.expr("sequence(2, _n)"))).drop("col")
+    walked = rows.select("contig", "start", "end", F.coalesce("before", F.lit(0)).alias("before")).union(again)
     inner = walked.where("start <> before").select("contig", F.col("before").alias("at"), F.when(F.col("start") > F.col("before"), "gap").otherwise("overlap").alias("fault"))
     ends = contigs.join(intervals.groupBy("contig").agg(F.max("end").alias("last")), "contig", "left").where("coalesce(last, 0) <> length")
     return inner.union(ends.select("contig", F.coalesce("last", F.lit(0)).alias("at"), F.lit("end").alias("fault")))
