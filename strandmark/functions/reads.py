@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 UNMAPPED, REVERSE, SECONDARY, QCFAIL, DUPLICATE, SUPPLEMENTARY, PAIRED = 4, 16, 256, 512, 1024, 2048, 1
+MATE_UNMAPPED, MATE_REVERSE, FIRST, LAST = 8, 32, 64, 128
 
 
 def has(bits: int, flag: str | Column = "flag") -> Column:
@@ -43,6 +44,12 @@ def five_prime_clip(cigar: str = "cigar") -> Column:
     return F.coalesce(F.nullif(found, F.lit("")).cast("int"), F.lit(0))
 
 
+def unclipped_end(cigar: str = "cigar") -> Column:
+    """Where the 5' end would lie without any clips: all soft and hard ones before it count."""
+    total = lambda side: F.aggregate(F.regexp_extract_all(F.regexp_extract(F.col(cigar), side, 0), F.lit(r"(\d+)"), F.lit(1)), F.lit(0).cast("long"), lambda s, x: s + x.cast("long"))
+    return F.when(has(REVERSE), endpoint() + F.coalesce(total(r"(\d+[SH])+$"), F.lit(0))).otherwise(endpoint() - F.coalesce(total(r"^(\d+[SH])+"), F.lit(0)))
+
+
 def indel_events(cigar: str = "cigar", start: str = "reference_start") -> Column:
     """Array of (pos, kind, length) in read order; empty where the CIGAR has no indel."""
     walk = f"""

@@ -163,20 +163,57 @@ def layout(reads: DataFrame, min_mapq: int, require_paired: bool, most: int = 10
 
 
 MATE = ["mate_contig", "mate_start", "mate_reverse"]
+#: What ``fixmate`` adds: the mate's place, strand, unclipped 5' end, quality and order.
+FIXED = [*MATE, "mate_end", "mate_quality", "mate_ord"]
+
+
+def _quality(reads: DataFrame) -> Column:
+    """What fragments are ranked by: the sum of base qualities if reads have it, else the mapping quality."""
+    return F.coalesce("quality_sum", F.col("mapping_quality")).cast("long") if "quality_sum" in reads.columns else F.col("mapping_quality").cast("long")
+
+
+def fixmate(reads: DataFrame) -> DataFrame:
+    """reads with FIXED, and the flags of the mate's strand and of a mate that isn't mapped set as it is.
+
+    Templates meet by name: of each side (first, last) the primary record that comes first counts, so a template is a row of two structs, and however
+    often a name repeats, no pairs are made. Secondary and supplementary records get the mate of their side. Reads that
+    aren't paired, or whose mate isn't there or isn't mapped, have nulls.
+    """
+    found = F.struct(F.col("read_ord").alias("ord"), "contig", F.col("reference_start").alias("start"), R.has(R.REVERSE).alias("reverse"), R.has(R.UNMAPPED).alias("unmapped"), R.unclipped_end().alias("end"), _quality(reads).alias("quality"))
+    primary = R.has(R.PAIRED) & ~R.has(R.SECONDARY | R.SUPPLEMENTARY)
+    sides = {"_first": R.has(R.FIRST), "_last": R.has(R.LAST)}
+    templates = reads.where(primary).groupBy("query_name").agg(*[F.min(F.when(s, found)).alias(n) for n, s in sides.items()])
+    joined = reads.drop(*FIXED).join(templates, "query_name", "left")
+    joined = joined.withColumn("_mate", F.when(R.has(R.PAIRED), F.when(R.has(R.FIRST), F.col("_last")).when(R.has(R.LAST), F.col("_first"))))
+    mapped = F.col("_mate").isNotNull() & ~F.col("_mate.unmapped")
+    fields = dict(zip(FIXED, ("contig", "start", "reverse", "end", "quality", "ord")))
+    bits = F.when(mapped & F.col("_mate.reverse"), R.MATE_REVERSE).otherwise(0).bitwiseOR(F.when(F.col("_mate.unmapped"), R.MATE_UNMAPPED).otherwise(0))
+    flag = F.when(F.col("_mate").isNull(), F.col("flag")).otherwise(F.col("flag").bitwiseAND(~(R.MATE_REVERSE | R.MATE_UNMAPPED)).bitwiseOR(bits))
+    return joined.select(*[flag.cast("int").alias(c) if c == "flag" else F.col(c) for c in reads.columns if c not in FIXED], *[F.when(mapped, F.col(f"_mate.{f}")).alias(c) for c, f in fields.items()])
 
 
 def mark_duplicates(reads: DataFrame) -> DataFrame:
     """Flags all but one of the fragments that begin alike.
 
     Only mapped primary records are compared, others keep their flags and stand in nobody's way. Alike: contig, strand,
-    unclipped 5' end, being paired, and the mate's place as far as reads have the columns of MATE. The one that stays has the
+    unclipped 5' end (all clips before it counted), being paired, and the mate's place as far as reads have the columns of MATE. The one that stays has the
     greatest ``quality_sum`` if reads have it, then mapping quality, then comes first.
+
+    After ``fixmate`` whole pairs are compared: mates by their unclipped ends, qualities of both in sum, the order of whichever comes first, so
+    that both mates of a pair stay or go. A read without a mapped mate that begins where a pair's read does is a duplicate of it.
     """
-    plus = R.five_prime_clip()
-    start = F.when(R.has(R.REVERSE), R.endpoint() + plus).otherwise(R.endpoint() - plus)
-    alike = ["contig", R.strand(), start, R.has(R.PAIRED), *[c for c in MATE if c in reads.columns]]
-    best = [F.col(c).desc() for c in ("quality_sum", "mapping_quality") if c in reads.columns]
+    alike = ["contig", R.strand(), R.unclipped_end()]
+    whole = set(FIXED) <= set(reads.columns)
+    if whole:
+        own = Window.partitionBy(*alike)
+        alike += ["mate_contig", "mate_end", "mate_reverse"]
+        best = [(_quality(reads) + F.coalesce("mate_quality", F.lit(0))).desc(), F.least("read_ord", "mate_ord")]
+    else:
+        alike += [R.has(R.PAIRED), *[c for c in MATE if c in reads.columns]]
+        best = [*[F.col(c).desc() for c in ("quality_sum", "mapping_quality") if c in reads.columns], "read_ord"]
     compared = ~R.has(R.UNMAPPED | R.SECONDARY | R.SUPPLEMENTARY)
-    rank = F.row_number().over(Window.partitionBy(*alike).orderBy(*best, "read_ord"))
-    own = reads.where(compared).withColumn("flag", F.when(rank > 1, F.col("flag").bitwiseOR(R.DUPLICATE)).otherwise(F.col("flag")))
+    gone = F.row_number().over(Window.partitionBy(*alike).orderBy(*best)) > 1
+    if whole:
+        gone = gone | F.col("mate_end").isNull() & (F.count("mate_end").over(own) > 0)
+    own = reads.where(compared).withColumn("flag", F.when(gone, F.col("flag").bitwiseOR(R.DUPLICATE)).otherwise(F.col("flag")))
     return own.unionByName(reads.where(~compared))

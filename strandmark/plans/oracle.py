@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strandmark.sources.fixtures import CONTIGS_SQL, MASK_SQL, READS_SQL, VARIANTS_SQL
+from strandmark.sources.fixtures import CONTIGS_SQL, MASK_SQL, PAIRS_SQL, READS_SQL, VARIANTS_SQL
 
 
 def _with(body: str, *parts: str, sample: str = "treated") -> str:
@@ -243,7 +243,7 @@ _CHUNKS = lambda n: (
       chunk AS (SELECT 'chunk_' || lpad(CAST(number AS VARCHAR), 3, '0') AS chunk_id, contig, a AS owner_start, b AS owner_end, greatest(0, a - 10) AS scan_start, least(length, b + 10) AS scan_end, CAST(own AS BIGINT) AS callable_bases, CAST(b - a - own AS BIGINT) AS excluded_bases,
         CAST((2 * sum(m * (b - a)) OVER (PARTITION BY number) + length) // (2 * length) AS BIGINT) AS mapped_records, CAST((2 * sum(m * own) OVER (PARTITION BY number) + length) // (2 * length) AS BIGINT) AS callable_mapped_records FROM planned)""",
 )
-_FASTQ = "fastq AS (SELECT o_orderkey AS k, left(CASE o_orderkey % 5 WHEN 0 THEN repeat('A', 60) WHEN 1 THEN repeat('ACGT', 15) ELSE repeat('GATTACAC', 8) END, CAST(24 + 8 * (o_orderkey % 6) AS INT)) AS seq FROM orders WHERE o_orderkey % 4 <> 1)"
+_FASTQ = "fastq AS (SELECT o_orderkey AS k, left(CASE o_orderkey % 5 WHEN 0 THEN repeat('A', 60) WHEN 1 THEN repeat('ACGT', 15) ELSE repeat('GATTACAC', 8) END, CAST(24 + 8 * (o_orderkey % 6) AS INT)) AS seq FROM orders)"
 _SHEET = """s AS (SELECT s_suppkey AS k, 's' || s_suppkey AS sample, unnest(range(1, s_suppkey % 3 + 2)) AS lane FROM supplier),
  sheet AS (SELECT sample, 'L' || lpad(CAST(lane AS VARCHAR), 3, '0') AS lane, '/lanes/' || sample || '_' || lane || '_1.fq.gz' AS fastq_1, '/lanes/' || sample || '_' || lane || '_2.fq.gz' AS fastq_2, CASE WHEN k > 7 AND k % 7 > 0 THEN 's' || (k % 7) ELSE '' END AS control,
   CASE WHEN k % 5 = 0 THEN '/known/' || sample || '.vcf.gz' ELSE '' END AS variant_vcf, CASE WHEN k % 5 = 0 THEN '/known/' || sample || '.vcf.gz.csi' ELSE '' END AS variant_index, CASE WHEN k IN (SELECT x.k % 7 FROM s x WHERE x.k > 7 AND x.k % 7 > 0) THEN 'true' ELSE 'false' END AS is_control FROM s)"""
@@ -272,6 +272,14 @@ ORACLE_SQL |= {
     "chunk_plan": _with("SELECT * FROM chunk", *_CHUNKS(8)),
     "chunk_table": _with("SELECT chunk_id, count(*) AS interval_count, count(DISTINCT contig) AS contig_count, max(mapped_records) AS estimated_mapped_records, max(callable_mapped_records) AS estimated_callable_mapped_records, CAST(sum(owner_end - owner_start) AS BIGINT) AS owned_bases, CAST(sum(callable_bases) AS BIGINT) AS callable_bases, CAST(sum(excluded_bases) AS BIGINT) AS excluded_bases, string_agg(contig || ':' || owner_start || '-' || owner_end, ',' ORDER BY contig, owner_start) AS intervals FROM chunk GROUP BY chunk_id", *_CHUNKS(8)),
     "chunked_calls": ORACLE_SQL["final_calls_ssb"],
+    "pair_duplicates": f"""WITH p AS ({PAIRS_SQL}),
+  e AS (SELECT *, CASE WHEN (flag & 16) <> 0 THEN reference_end - 1 + tail ELSE reference_start - head END AS five, (flag & 16) <> 0 AS back FROM p),
+  m AS (SELECT a.*, b.five AS mate_five, b.contig AS mate_contig, b.back AS mate_back, b.mapping_quality AS mate_quality, b.read_ord AS mate_ord
+        FROM e a LEFT JOIN e b ON a.query_name = b.query_name AND a.read_ord <> b.read_ord AND (a.flag & 1) <> 0),
+  r AS (SELECT *, row_number() OVER (PARTITION BY contig, back, five, mate_contig, mate_five, mate_back ORDER BY mapping_quality + coalesce(mate_quality, 0) DESC, least(read_ord, coalesce(mate_ord, read_ord))) AS k,
+               count(*) FILTER (WHERE mate_five IS NOT NULL) OVER (PARTITION BY contig, back, five) AS paired FROM m)
+  SELECT query_name, read_ord, CAST(CASE WHEN k > 1 OR (mate_five IS NULL AND paired > 0) THEN flag | 1024 ELSE flag END | CASE WHEN coalesce(mate_back, false) THEN 32 ELSE 0 END AS INT) AS flag,
+         coalesce(mate_contig, '') AS mate_contig, mate_five AS mate_end FROM r""",
     "ordered_pileups": ORACLE_SQL["endpoint_pileups"],
     "chunk_by_itself": _with(_FINAL_DSB_SELECT, *_FINAL_DSB),
     "chunk_totals": _with("SELECT CAST((SELECT count(*) FROM final) AS BIGINT) AS rows, CAST((SELECT count(*) FROM piles) AS BIGINT) AS candidates", *_FINAL),

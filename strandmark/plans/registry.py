@@ -257,7 +257,7 @@ def fastq_reads(spark, d):
     """Two lanes of FASTQ text read as one, tails trimmed, filtered."""
     from strandmark.session import table
 
-    o = table(spark, d, "orders").where("o_orderkey % 4 <> 1")
+    o = table(spark, d, "orders")
     key = F.col("o_orderkey")
     body = F.when(key % 5 == 0, F.repeat(F.lit("A"), 60)).when(key % 5 == 1, F.repeat(F.lit("ACGT"), 15)).otherwise(F.repeat(F.lit("GATTACAC"), 8))
     seq = F.substring(body, F.lit(1), (24 + 8 * (key % 6)).cast("int"))
@@ -274,6 +274,12 @@ def duplicates(spark, d):
     return sites.mark_duplicates(fixtures.reads(spark, d)).select("query_name", "reference_start", "flag")
 
 
+def pair_duplicates(spark, d):
+    """Mates found for each other, then duplicates among whole pairs and single reads."""
+    marked = sites.mark_duplicates(sites.fixmate(fixtures.pairs(spark, d)))
+    return marked.select("query_name", "read_ord", "flag", F.coalesce("mate_contig", F.lit("")).alias("mate_contig"), "mate_end")
+
+
 def samplesheet(spark, d):
     """A sheet of suppliers as samples with one to three lanes, checked, numbered, sorted and written."""
     path = new_folder(spark, "sheet")
@@ -392,6 +398,6 @@ def ordered_pileups(spark, d):
 
 _NAMES = (
     "eligible_reads read_endpoints endpoint_pileups site_depth_fraction site_local_metrics modal_indel opposite_best ssb_calls pair_candidates pair_components pair_matching rgen_score control_evidence q_values blacklist_merge blacklist_totals blacklist_subtract masked_endpoints known_indel_overlap final_calls_ssb final_calls_dsb tier_counts bed_rows qc_counts contig_density flagstat chunk_plan control_matching "
-    "sam_reads region_reads sam_header reads_probe vcf_variants indel_spans bed_mask overlap_bases coverage_faults interval_table fastq_reads duplicates samplesheet lanes chunk_table chunked_calls chunk_by_itself chunk_totals formatted_calls written_calls qc_document streamed_pileups ordered_pileups"
+    "sam_reads region_reads sam_header reads_probe vcf_variants indel_spans bed_mask overlap_bases coverage_faults interval_table fastq_reads duplicates pair_duplicates samplesheet lanes chunk_table chunked_calls chunk_by_itself chunk_totals formatted_calls written_calls qc_document streamed_pileups ordered_pileups"
 ).split()
 QUERIES = {name: globals()[name] for name in _NAMES}

@@ -44,6 +44,17 @@ SELECT CONCAT('chr', CAST(p_partkey % 3 + 1 AS VARCHAR(9))) AS contig, p_partkey
 UNION ALL
 SELECT CONCAT('chr', CAST(p_partkey % 3 + 1 AS VARCHAR(9))), p_partkey * 40 + 205, p_partkey * 40 + 210 FROM part WHERE p_partkey % 9 = 0
 """
+#: Templates: the first two lines of an order are mates, other lines single reads; places are few, so that fragments repeat.
+PAIRS_SQL = """
+SELECT o * 10 + line AS read_ord, CASE WHEN n > 1 AND line < 3 THEN CONCAT('p', CAST(o AS VARCHAR(20))) ELSE CONCAT('s', CAST(o AS VARCHAR(20)), '/', CAST(line AS VARCHAR(9))) END AS query_name,
+ CAST((CASE WHEN n > 1 AND line < 3 THEN (CASE WHEN line = 1 THEN 65 ELSE 129 END) ELSE 0 END) + (CASE WHEN rev THEN 16 ELSE 0 END) AS INT) AS flag,
+ CONCAT('chr', CAST(o % 3 + 1 AS VARCHAR(9))) AS contig, place + head AS reference_start, place + head + 50 AS reference_end, mapping_quality,
+ CONCAT(CASE head WHEN 8 THEN '5H3S' WHEN 5 THEN '5S' ELSE '' END, '50M', CASE tail WHEN 7 THEN '4S3H' WHEN 2 THEN '2H' ELSE '' END) AS cigar, CAST(NULL AS INT) AS nm, head, tail
+FROM (SELECT l_orderkey AS o, line, count(*) OVER (PARTITION BY l_orderkey) AS n, line % 2 = 0 AS rev,
+  (l_orderkey * 7 + line * 3) % 40 * 500 + (CASE WHEN line = 2 THEN 300 ELSE 0 END) AS place, CASE l_orderkey % 4 WHEN 0 THEN 8 WHEN 1 THEN 5 ELSE 0 END AS head,
+  CASE l_orderkey % 3 WHEN 0 THEN 7 WHEN 1 THEN 2 ELSE 0 END AS tail, CAST(CAST(round(l_extendedprice * 100) AS BIGINT) % 61 AS INT) AS mapping_quality
+  FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate) AS line FROM lineitem) x) a
+"""
 CONTIGS_SQL = "SELECT contig, length FROM (SELECT CAST((max(p_partkey) + 1) * 40 + 1000 AS BIGINT) AS length FROM part) l CROSS JOIN (SELECT 'chr1' AS contig UNION ALL SELECT 'chr2' UNION ALL SELECT 'chr3') c"
 
 
@@ -65,6 +76,11 @@ def reads(spark: SparkSession, sf_dir: str, sample: str = "treated") -> DataFram
     return spark.read.parquet(_WRITTEN[key]).where(F.col("sample") == sample).drop("sample")
 
 
+def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligned reads, single ones and mates of pairs."""
+    return _sql(spark, sf_dir, PAIRS_SQL, "lineitem").drop("head", "tail")
+
+
 def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sql(spark, sf_dir, VARIANTS_SQL, "part").select("contig", "pos", "ref", F.split("alt", ",").alias("alts"))
 

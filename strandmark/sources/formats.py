@@ -6,7 +6,9 @@ filters and raised together with the first of them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandmark.functions import reads as R
@@ -111,29 +113,58 @@ def owned(points: DataFrame, table: DataFrame, pos: str = "pos") -> DataFrame:
 
 
 def fastq(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(name, seq, qual) of one or more lanes. A record must lie in one split, as it does in gzipped files."""
-    text = spark.read.option("wholetext", False).text(paths).withColumn("_file", F.input_file_name()).withColumn("_at", F.monotonically_increasing_id())
-    from pyspark.sql import Window
-
-    line = F.row_number().over(Window.partitionBy("_file").orderBy("_at")) - 1
-    rows = text.withColumn("_line", line).withColumn("_k", (F.col("_line") % 4).cast("int")).withColumn("_record", F.floor(F.col("_line") / 4))
+    """(name, seq, qual) of one or more lanes. Files may be read in many splits: lines are numbered by what splits hold, a row a
+    split, and a record's four lines meet by their number, wherever they lie."""
+    text = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+    splits = text.groupBy("_file", "_block").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # of splits, not of lines
+    placed = splits.select("_file", "_block", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    rows = text.join(placed, ["_file", "_block"]).withColumn("_line", F.col("_at") + F.col("_shift"))
+    rows = rows.select("_file", F.floor(F.col("_line") / 4).alias("_record"), (F.col("_line") % 4).cast("int").alias("_k"), "value")
     part = lambda k: F.max(F.when(F.col("_k") == k, F.col("value")))
-    return rows.groupBy("_file", "_record").agg(F.substring(part(0), 2, 1 << 20).alias("name"), part(1).alias("seq"), part(3).alias("qual")).drop("_file", "_record")
-
-
-def _tail(base: str, least: int) -> Column:
-    """Bases of the tail of ``seq`` that is all ``base`` but for one in eight, five at most; 0 if shorter than ``least``."""
-    state = "named_struct('i', 0, 'other', 0, 'tail', 0, 'open', true)"
-    other = f"s.other + if(x = '{base}', 0, 1)"
-    over = f"({other} > 5 OR ({other} > (s.i + 1) div 8 AND s.i >= {least - 1}))"
-    step = f"named_struct('i', if({over}, s.i, s.i + 1), 'other', {other}, 'tail', if(x = '{base}' AND NOT {over}, s.i + 1, s.tail), 'open', NOT {over})"
-    return F.expr(f"aggregate(split(reverse(seq), ''), {state}, (s, x) -> if(s.open, {step}, s), s -> if(s.i >= {least}, s.tail, 0))")
+    return rows.groupBy("_file", "_record").agg(F.substr(part(0), F.lit(2)).alias("name"), part(1).alias("seq"), part(3).alias("qual")).drop("_file", "_record")
+
+
+def _tails(seqs: list[str], base: str, least: int) -> np.ndarray:
+    """Of each sequence, the bases of the tail that is all ``base`` but for one in eight, five at most; 0 if shorter than ``least``."""
+    sizes = np.fromiter(map(len, seqs), np.int64, len(seqs))
+    width = int(sizes.max(initial=0))
+    if not width:
+        return np.zeros(len(seqs), np.int64)
+    # from the end on, padded with what is neither
+    letters = np.frombuffer("".join(s[::-1].ljust(width, "\0") for s in seqs).encode("utf-32-le"), np.uint32).reshape(len(seqs), width)
+    own = letters == ord(base)
+    place = np.arange(width)
+    other = np.cumsum(~own, axis=1)
+    over = (other > 5) | (other > (place + 1) // 8) & (place >= least - 1) | (place >= sizes[:, None])
+    stop = np.where(over.any(1), over.argmax(1), width)
+    last = np.where(own & (place < stop[:, None]), place + 1, 0).max(1)
+    return np.where(stop >= least, last, 0)
 
 
 def trimmed_tails(reads: DataFrame, least: int = 10, bases: str = "GATC") -> DataFrame:
-    """reads without their polyG/polyX tails: the longest tail of one base, of seq and qual alike. ``G`` alone: polyG."""
-    tail = F.greatest(F.lit(0), *[_tail(b, least) for b in bases])
-    cut = reads.withColumn("_left", F.length("seq") - tail)
+    """reads without their polyG/polyX tails: the longest tail of one base, of seq and qual alike. ``G`` alone: polyG.
+
+    Tails are found in Arrow batches, once a read: as an expression of four walks over the letters the optimiser would spell them out at each use.
+    """
+
+    @F.pandas_udf("long")
+    def tail(seq: pd.Series) -> pd.Series:
+        out = np.zeros(len(seq), np.int64)
+        texts = seq.fillna("").tolist()
+        first = 0
+        while first < len(texts):
+            # some four million letters at once, as wide as the longest
+            last, widest = first, 0
+            while last < len(texts) and (last == first or max(widest, len(texts[last])) * (last + 1 - first) <= 1 << 22):
+                widest = max(widest, len(texts[last]))
+                last += 1
+            out[first:last] = np.max([_tails(texts[first:last], b, least) for b in bases], axis=0)
+            first = last
+        return pd.Series(out)
+
+    # not deterministic, so that the optimiser neither moves nor repeats it
+    cut = reads.withColumn("_left", F.length("seq") - tail.asNondeterministic()("seq"))
     return cut.withColumns({c: F.substring(F.col(c), F.lit(1), F.col("_left")) for c in ("seq", "qual")}).drop("_left")
 
 
