@@ -127,12 +127,13 @@ def test_calls_again_leave_the_same(spark, tmp_path):
     wrote = cleavage_calls.run(spark, where, out, SITE | {"control_sample": "c"})
     first = rows_of(cleavage_calls.calls(spark, out))
     assert sum(wrote.values()) == len(first) > 2 and set(wrote) == {"ndigenome", "digenome"}
-    assert cleavage_calls.run(spark, where, out, SITE | {"control_sample": "c"}) == wrote
+    again = cleavage_calls.run(spark, where, out, SITE | {"control_sample": "c", "analyses": ["ndigenome"]})
+    assert again == {"ndigenome": wrote["ndigenome"]}
     assert rows_of(cleavage_calls.calls(spark, out)) == first
     counts = {(r.analysis, r.kind, r.value): r.n for r in spark.read.json(f"{out}/qc").collect()}
     assert counts["ndigenome", "reported", "all"] == wrote["ndigenome"] and counts["digenome", "candidates", "all"] >= wrote["digenome"]
     # another sample stands beside the first, which stays as it was
-    cleavage_calls.run(spark, where, out, SITE | {"sample": "s2"})
+    cleavage_calls.run(spark, where, out, SITE | {"sample": "s2", "analyses": ["ndigenome"]})
     both = cleavage_calls.calls(spark, out)
     assert rows_of(both.where("sample = 's1'")) == first and both.where("sample = 's2'").count() > 0
     assert {r.tier for r in both.select("tier").distinct().collect()} <= {"high_confidence", "manual_review", "artifact"}
@@ -140,10 +141,11 @@ def test_calls_again_leave_the_same(spark, tmp_path):
 
 def test_a_tier_that_runs_empty_leaves_nothing(spark, tmp_path):
     where, out = tables(spark, tmp_path / "t"), str(tmp_path / "out")
-    cleavage_calls.run(spark, where, out, SITE)
+    site = SITE | {"analyses": ["ndigenome"]}
+    cleavage_calls.run(spark, where, out, site)
     assert cleavage_calls.calls(spark, out).where("tier = 'high_confidence'").count() > 0
     strict = SITE["thresholds"] | {"min_support_mean_mapq": 99.0}
-    cleavage_calls.run(spark, where, out, SITE | {"thresholds": strict})
+    cleavage_calls.run(spark, where, out, site | {"thresholds": strict})
     assert {r.tier for r in cleavage_calls.calls(spark, out).select("tier").distinct().collect()} == {"artifact"}
     assert spark.read.csv(f"{out}/bed/analysis=ndigenome/sample=s1", sep="\t", schema="c string").count() == 0
 
