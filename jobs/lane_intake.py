@@ -2,7 +2,7 @@
 
     python -m jobs.lane_intake --texts FOLDER --out FOLDER --checkpoint FOLDER [--config FILE]
 
-The reference rule is that no input may be used twice and none may be blank; low-complexity ones are set aside. A run takes the
+No input may be used twice and none may be blank; low-complexity ones are set aside. A run takes the
 files of the table that earlier runs haven't taken (a file stream with its checkpoint), and ends when they are registered:
 
     registry/batch=N/lane=L/...    a row a text: id, sha256, n_bytes, n_lines, blank, complexity, reuse_of, status (Parquet)
