@@ -20,7 +20,7 @@ CUT = ["contig", "_bin", "read_ord", "query_name", "flag", "reference_start", "r
 
 def bin_map(places: DataFrame) -> DataFrame:
     """(contig, _block, words): the bins of places(contig, pos) as bits, a row for BLOCK bins. It has a bit for 1,024 bases at most, so
-    its size is bounded by the contigs' lengths (three gigabases: 400 kB), however many places there are."""
+    its size is bounded by the contigs' lengths (three gigabases: 3 million bits), however many places there are."""
     b = F.floor(F.col("pos") / intervals.BIN)
     words = places.where("pos >= 0").select("contig", b.alias("_b")).groupBy("contig", F.floor(F.col("_b") / BLOCK).alias("_block"), (F.floor(F.col("_b") / WORD) % (BLOCK // WORD)).cast("int").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(_b % 64 as int)))").alias("bits"))
     return words.groupBy("contig", "_block").agg(F.map_from_entries(F.collect_list(F.struct("w", "bits"))).alias("words"))
