@@ -18,7 +18,8 @@ Equal fingerprints are one node before anything is enumerated, so thousands of c
 and five words by default). Fingerprints, here of 256 bits or more over distinct shingles, only name candidates. Segments
 widen with the logarithm of the number of documents, so that an address holds about as many at every size, and there are
 so many of them that a pair at the similarity asked for shares an address in all but ``MISSED`` of cases (``Shape``). Balls
-have radius 1 on both sides: pairs within 2 bits in some segment meet. A link is what the shingle sets themselves confirm.
+have radius 1 on both sides: pairs within 2 bits in some segment meet. A fingerprint is sent a few times for each segment, by
+blocks of the segment's bits (``routes``), and its balls are enumerated where it arrives. A link is what the shingle sets themselves confirm.
 This goes in two rounds: a quarter of the segments first; what they connect is one component from then on, and the other
 segments only name pairs between components, so a large group of near copies does not name its pairs again and again.
 Addresses that a bounded sample shows to hold more than ``CROWD`` documents are dealt over several tasks; in the second
@@ -31,6 +32,7 @@ ids in it are null; other columns are carried by ``keep_one``; no documents give
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -141,6 +143,8 @@ CLOSE_BITS = 24
 CROWD, SAMPLE = 8192, 20_000
 #: Bytes of entries that meet in one group.
 GROUP_BYTES = 4 << 20
+#: Bytes of entries beyond which a place that they are sent to is cut.
+PLACE_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -197,20 +201,51 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return shared / max(1, len(both) - shared)
 
 
+def _values(words: np.ndarray, width: int, segments: np.ndarray) -> np.ndarray:
+    """The value of a segment of each fingerprint: ``segments`` has one for each, or is a single one for all."""
+    word, shift = np.divmod(np.broadcast_to(segments, len(words)) * width, 64)
+    every = np.arange(len(words))
+    above = words[every, np.minimum(word + 1, words.shape[1] - 1)]
+    value = words[every, word] >> shift.astype(np.uint64)
+    # a shift by 64 has no meaning, so by one and then the rest; bits above the segment are cut off
+    value |= np.where(shift + width > 64, above << np.uint64(1) << (63 - shift).astype(np.uint64), np.uint64(0))
+    return value & np.uint64((1 << width) - 1)
+
+
+def _ball_of(free: int, width: int) -> np.ndarray:
+    """0 and each bit of ``free``."""
+    return np.array([0, *(1 << b for b in range(width) if free >> b & 1)], np.uint64)
+
+
 def _addresses(words: np.ndarray, width: int, segments: range) -> np.ndarray:
     """(segment, value) addresses of each fingerprint: the radius-1 ball of each of these segments."""
-    flips = np.concatenate(([0], 1 << np.arange(width))).astype(np.uint64)
-    out = []
-    for k in segments:
-        word, shift = divmod(width * k, 64)
-        value = words[:, word] >> np.uint64(shift)
-        if shift + width > 64:
-            value = value | words[:, word + 1] << np.uint64(64 - shift)
-        value = value & np.uint64((1 << width) - 1)
-        out.append((value[:, None] ^ flips) | np.uint64(k << width))
+    flips = _ball_of((1 << width) - 1, width)
+    out = [(_values(words, width, np.int64(k))[:, None] ^ flips) | np.uint64(k << width) for k in segments]
     return np.concatenate(out, axis=1)
 
 
+def routes(total: int, size: int, width: int) -> list[int]:
+    """Masks of a segment's bits by which entries of ``size`` bytes are sent.
+
+    A segment is cut into blocks. Values within 2 bits agree in all blocks but two, so where a fingerprint goes once for each choice
+    of all blocks but two, with their bits as the place to go to, such values meet. There are as few blocks as keep a place's share
+    of all entries below half of PLACE_BYTES: three up to some 10^7 documents.
+    """
+    masks: list[int] = []
+    for n in range(3, width + 1):
+        cuts = [width * k // n for k in range(n + 1)]
+        blocks = [(1 << b) - (1 << a) for a, b in zip(cuts, cuts[1:])]
+        masks = [sum(chosen) for chosen in itertools.combinations(blocks, n - 2)]
+        if total * size >> min(m.bit_count() for m in masks) <= PLACE_BYTES // 2:
+            break
+    return masks
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(33))
+
+
 def _linked(ids: np.ndarray, labels: np.ndarray, words: np.ndarray, shape: Shape) -> list[tuple[int, int]]:
     """Candidates (a, b) that connect what pairs within ``most`` bits connect, by the nearest pairs between labels: each
     step takes the member nearest to those reached, and with it all of its label and those close to it."""
@@ -245,8 +280,8 @@ def _linked(ids: np.ndarray, labels: np.ndarray, words: np.ndarray, shape: Shape
     return out
 
 
-def _named(address: np.ndarray, ids: np.ndarray, labels: np.ndarray, words: np.ndarray, shape: Shape) -> set[tuple[int, int]]:
-    """Candidates of entries that are sorted by address."""
+def _named(address: np.ndarray, at: np.ndarray, ids: np.ndarray, labels: np.ndarray, words: np.ndarray, shape: Shape) -> set[tuple[int, int]]:
+    """Candidates of sorted addresses; ``at`` are the rows of ids, labels and fingerprints that lie there."""
     heads = np.flatnonzero(np.append(True, address[1:] != address[:-1]))
     ends = np.append(heads[1:], len(address))
     sizes = ends - heads
@@ -259,24 +294,31 @@ def _named(address: np.ndarray, ids: np.ndarray, labels: np.ndarray, words: np.n
         p = p[p + step < end[p]]
         for a in range(0, len(p), 1 << 18):
             q = p[a : a + (1 << 18)]
-            near = (np.bitwise_count(words[q] ^ words[q + step]).sum(axis=1, dtype=np.int64) <= shape.most) & (labels[q] != labels[q + step])
+            r, t = at[q], at[q + step]
+            near = (np.bitwise_count(words[r] ^ words[t]).sum(axis=1, dtype=np.int64) <= shape.most) & (labels[r] != labels[t])
             hit[q[near]] = hit[q[near] + step] = True
     some = np.flatnonzero(hit)
     cut = np.flatnonzero(address[some][1:] != address[some][:-1]) + 1
     found: set[tuple[int, int]] = set()
-    for part in np.split(some, cut) if len(some) else []:
+    for part in np.split(at[some], cut) if len(some) else []:
         found.update(_linked(ids[part], labels[part], words[part], shape))
     return {(max(p), min(p)) for p in found}
 
 
+def _sample(nodes: DataFrame, total: int) -> tuple[DataFrame, float]:
+    """(label, fp) of a share of the nodes, chosen by hash and written, and how many nodes one stands for. It grows with the nodes,
+    so that CROWD of them show at any size."""
+    rows = max(SAMPLE, 8 * total // CROWD)
+    share = -(1 << 63) + min((1 << 64) - 1, (rows << 64) // total)
+    sample = base.written(nodes.where(F.xxhash64("node", F.lit("sample")) <= F.lit(share)).select("label", "fp"), "crowd-sample")
+    return sample, total / max(1, sample.count())
+
+
 def _crowds(nodes: DataFrame, total: int, shape: Shape, segments: range) -> dict[int, tuple[int, int, int]]:
     """Of addresses that hold more than CROWD nodes by a sample: (parts of the others, parts of the most frequent label, that
-    label). The sample grows with the nodes, so that CROWD of them show at any size; it's counted on the executors."""
+    label). The sample is counted on the executors."""
     if total <= CROWD:
         return {}
-    rows = max(SAMPLE, 8 * total // CROWD)
-    share = -(1 << 63) + min((1 << 64) - 1, (rows << 64) // total)
-
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, 1024):
@@ -286,8 +328,7 @@ def _crowds(nodes: DataFrame, total: int, shape: Shape, segments: range) -> dict
                 address = _addresses(raw.copy().view("<u8"), shape.width, segments)
                 yield pa.RecordBatch.from_arrays([pa.array(address.ravel().astype(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), address.shape[1]))], ["address", "label"])
 
-    sample = base.written(nodes.where(F.xxhash64("node", F.lit("sample")) <= F.lit(share)).select("label", "fp"), "crowd-sample")
-    times = total / max(1, sample.count())
+    sample, times = _sample(nodes, total)
     by_label = sample.mapInArrow(spread, "address long, label long").groupBy("address", "label").agg(F.count("*").alias("n"))
     found = by_label.groupBy("address").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("most"))
     large = found.where((F.col("n") >= 8) & (F.col("n") * times > CROWD)).collect()  # at most the entries by CROWD
@@ -295,97 +336,233 @@ def _crowds(nodes: DataFrame, total: int, shape: Shape, segments: range) -> dict
     out = {}
     for r in large:
         most, others = r.most.n * times, (r.n - r.most.n) * times
-        # a task's number has 20 bits
         part = max(CROWD, (most + others) / 700)
         out[r.address] = (max(1, math.ceil(others / part)), max(1, math.ceil(most / part)), r.most.label)
     return out
 
 
+@dataclass(frozen=True)
+class Places:
+    """Where fingerprints of a round are sent: one entry for each segment and mask, at the bits of the mask; a place that holds more than
+    PLACE_BYTES by the sample is cut into pieces, by the addresses that lie in it."""
+
+    width: int
+    segments: range
+    masks: list[int]
+    groups: int
+    heavy: np.ndarray
+    pieces: np.ndarray
+
+    @property
+    def tags(self) -> int:
+        """Of segments and masks: a number each, segment * len(masks) + mask."""
+        return self.segments.stop * len(self.masks)
+
+    def of(self, values: np.ndarray, tags: np.ndarray) -> np.ndarray:
+        masks = np.array(self.masks, np.uint64)[tags % len(self.masks)]
+        return tags.astype(np.uint64) << np.uint64(self.width) | values & masks
+
+    def cut(self, place: np.ndarray) -> np.ndarray:
+        """In how many pieces each place is."""
+        if not len(self.heavy):
+            return np.ones(len(place), np.uint64)
+        k = np.minimum(np.searchsorted(self.heavy, place), len(self.heavy) - 1)
+        return np.where(self.heavy[k] == place, self.pieces[k], np.uint64(1))
+
+    def balls(self, values: np.ndarray, tags: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(rows, addresses) by mask: the radius-1 balls in the bits that the mask leaves free."""
+        for k, mask in enumerate(self.masks):
+            rows = np.flatnonzero(tags % len(self.masks) == k)
+            flips = _ball_of(~mask & (1 << self.width) - 1, self.width)
+            yield rows, (values[rows, None] ^ flips) | (tags[rows, None].astype(np.uint64) << np.uint64(self.width))
+
+    def groups_of(self, place: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        return (_mixed(_mixed(place) + piece) % np.uint64(self.groups)).astype(np.int64)
+
+    def groups_of_addresses(self, place: np.ndarray, cut: np.ndarray, address: np.ndarray) -> np.ndarray:
+        return self.groups_of(place[:, None], _mixed(address) % cut[:, None])
+
+
+def _heavy(nodes: DataFrame, total: int, size: int, width: int, segments: range, masks: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Places that hold more than PLACE_BYTES by a sample, ascending, and in how many pieces they are to be cut."""
+    none = np.zeros(0, np.uint64)
+    if total * size <= PLACE_BYTES:
+        return none, none
+    plain = Places(width, segments, masks, 1, none, none)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tags = np.arange(segments.start * len(masks), plain.tags)
+        for batch in batches:
+            base.forget()
+            words = _words(batch.column(1))
+            for tag in tags:
+                place = plain.of(_values(words, width, np.int64(tag // len(masks))), np.full(len(words), tag))
+                yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int64))], ["place"])
+
+    sample, times = _sample(nodes, total)
+    counts = sample.mapInArrow(spread, "place long").groupBy("place").agg(F.count("*").alias("n"))
+    # at most all entries' bytes by PLACE_BYTES
+    found = sorted((r.place, math.ceil(r.n * times * size / PLACE_BYTES)) for r in counts.where((F.col("n") >= 8) & (F.col("n") * times * size > PLACE_BYTES)).collect())
+    base.discard(sample)
+    return np.array([p for p, _ in found], np.uint64), np.array([n for _, n in found], np.uint64)
+
+
+def _words(column: pa.Array) -> np.ndarray:
+    """Fingerprints as rows of 64-bit words."""
+    return np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(len(column), -1)
+
+
+def _pairs_table(pairs: set[tuple[int, int]]) -> pa.Table:
+    some = sorted(pairs)
+    return pa.table({"a": pa.array([p[0] for p in some], pa.int64()), "b": pa.array([p[1] for p in some], pa.int64())})
+
+
+def entry_bytes(shape: Shape, later: bool) -> int:
+    """Of an entry: tag, node, in the second round its label, fingerprint."""
+    return 2 + 8 + 8 * later + shape.bits // 8
+
+
+def bytes_a_document(documents: int, similarity: float) -> int:
+    """What near-dedup sends of a document in both rounds, where no place is heavy and no address crowded."""
+    shape = Shape.of(documents, similarity)
+    first = -(-shape.segments // 4)
+    out = 0
+    for segments, later in ((first, False), (shape.segments - first, True)):
+        size = entry_bytes(shape, later)
+        out += segments * len(routes(documents, size, shape.width)) * size
+    return out
+
+
 def near_candidates(nodes: DataFrame, shape: Shape, segments: range, again: range = range(0)) -> DataFrame:
     """(a, b), a > b, of nodes(node, label, fp): candidates of different labels that share an address of these segments.
 
-    Crowded addresses are dealt over tasks. In the first round, which knows no components yet, a member goes to one of them,
-    so some pairs don't meet there; the second round takes these addresses up ``again`` (of the first round's segments they are the
-    only ones) and lets all pairs of different labels meet, whatever the labels: members of the most frequent label are dealt over some parts, the
-    others over parts of their own, and there is a task for each two parts of others and for each part of others with each of that label.
+    A fingerprint is sent by ``routes`` and its balls are enumerated where it arrives, so what is sent doesn't grow with the balls.
+    Crowded addresses are left out there and dealt over tasks of their own.
     """
     total = nodes.count()
+    later = segments.start > 0
     crowds = _crowds(nodes, total, shape, range(segments.start, segments.stop))
     repeated = _crowds(nodes, total, shape, again) if len(again) else {}
-    crowds |= repeated
-    # an entry: the address (with a task's number, if any are dealt), the node, in the second round its label, the fingerprint
-    wide = 8 if crowds else 5
-    heads = (wide, wide + 8, wide + 16 if segments.start else wide + 8)
-    size = heads[2] + shape.bits // 8
-    groups = max(base.partitions_for(nodes.sparkSession), total * len(segments) * (shape.width + 1) * size // GROUP_BYTES)
+    size = entry_bytes(shape, later)
+    masks = routes(total, size, shape.width)
+    partitions = base.partitions_for(nodes.sparkSession)
+    groups = max(partitions, 2 * total * len(segments) * len(masks) * size // GROUP_BYTES)
+    places = Places(shape.width, segments, masks, groups, *_heavy(nodes, total, size, shape.width, segments, masks))
     known = np.array(sorted(crowds), np.uint64)
-    only = np.array(sorted(repeated), np.uint64)
-
-    def dealt(address: np.ndarray, rows: np.ndarray, ids: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The entries' addresses, rows and task numbers within an address."""
-        salt = np.zeros(len(rows), np.uint64)
-        extra: list[tuple[int, list[int]]] = []
-        for k in np.flatnonzero(np.isin(address, known)).tolist() if len(known) else []:
-            others, most, label = crowds[int(address[k])]
-            h = xxhash.xxh64_intdigest(int(ids[rows[k]]).to_bytes(8, "little", signed=True), int(address[k]) & 0xFFFFFFFF)
-            if segments.start == 0:
-                salt[k] = h % (others + most - 1)
-                continue
-            if labels[rows[k]] == label:
-                tasks = [others * others + i * most + h % most for i in range(others)]
-            else:
-                own = h % others
-                tasks = [min(own, j) * others + max(own, j) for j in range(others)] + [others * others + own * most + j for j in range(most)]
-            salt[k] = tasks[0]
-            extra.append((k, tasks[1:]))
-        if extra:
-            at = np.repeat([k for k, _ in extra], [len(t) for _, t in extra])
-            salts = np.array([x for _, t in extra for x in t], np.uint64)
-            return np.concatenate((address, address[at])), np.concatenate((rows, rows[at])), np.concatenate((salt, salts))
-        return address, rows, salt
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tags = np.arange(segments.start * len(masks), places.tags)
         for whole in batches:
-            for start in range(0, whole.num_rows, 1024):
-                batch = whole.slice(start, 1024)
+            for start in range(0, whole.num_rows, 4096):
+                batch = whole.slice(start, 4096)
                 base.forget()
-                ids, labels = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-                raw = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(len(ids), -1)
-                address = _addresses(raw.copy().view("<u8"), shape.width, segments)
-                rows = np.repeat(np.arange(len(ids)), address.shape[1])
-                address = address.ravel()
-                if len(only):
-                    more = _addresses(raw.copy().view("<u8"), shape.width, again)
-                    place, column = np.nonzero(np.isin(more, only))
-                    address, rows = np.concatenate((address, more[place, column])), np.concatenate((rows, place))
-                address, rows, salt = dealt(address, rows, ids, labels)
-                address = address | salt << np.uint64(44)
-                group = (address * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(groups)
+                n, words = batch.num_rows, _words(batch.column(2))
+                values = np.concatenate([_values(words, shape.width, np.int64(t // len(masks))) for t in tags])
+                tag, row = np.repeat(tags, n), np.tile(np.arange(n), len(tags))
+                place = places.of(values, tag)
+                cut = places.cut(place)
+                group = places.groups_of(place, np.zeros(len(place), np.uint64))
+                several = np.flatnonzero(cut > 1)
+                if len(several):
+                    own, to = [], []
+                    for rows, address in places.balls(values[several], tag[several]):
+                        k = several[rows]
+                        g = np.sort(places.groups_of_addresses(place[k], cut[k], address), axis=1)
+                        new = np.concatenate((np.ones((len(g), 1), bool), g[:, 1:] != g[:, :-1]), axis=1)
+                        own.append(np.repeat(k, new.sum(axis=1)))
+                        to.append(g[new])
+                    at = np.concatenate((np.flatnonzero(cut == 1), *own))
+                    group = np.concatenate((group[cut == 1], *to))
+                    tag, row = tag[at], row[at]
                 order = np.argsort(group, kind="stable")
-                at = np.searchsorted(group[order], np.arange(groups + 1, dtype=np.uint64))
-                rows = rows[order]
+                group, tag, row = group[order], tag[order], row[order]
                 entry = np.empty((len(order), size), np.uint8)
-                entry[:, :wide] = address[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :wide]
-                for at_byte, column in zip(heads, (ids, labels) if segments.start else (ids,)):
-                    entry[:, at_byte : at_byte + 8] = column[rows].astype("<i8").view(np.uint8).reshape(-1, 8)
-                entry[:, heads[2] :] = raw[rows]
-                some = np.flatnonzero(np.diff(at))
-                yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([entry[at[g] : at[g + 1]].tobytes() for g in some], pa.binary())], ["g", "rows"])
-
-    def match(table: pa.Table) -> pa.Table:
+                entry[:, :2] = tag.astype("<u2").view(np.uint8).reshape(-1, 2)
+                for k in range(1 + later):
+                    entry[:, 2 + 8 * k : 10 + 8 * k] = batch.column(k).to_numpy()[row].astype("<i8").view(np.uint8).reshape(-1, 8)
+                entry[:, 10 + 8 * later :] = words.view(np.uint8).reshape(n, -1)[row]
+                heads = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+                ends = np.append(heads[1:], len(group))
+                yield pa.RecordBatch.from_arrays([pa.array(group[heads]), pa.array([entry[a:b].tobytes() for a, b in zip(heads, ends)], pa.binary())], ["g", "rows"])
+
+    def match(key: tuple, table: pa.Table) -> pa.Table:
         base.forget()
         entry = np.frombuffer(b"".join(table["rows"].to_pylist()), np.uint8).reshape(-1, size)
-        address = np.zeros((len(entry), 8), np.uint8)
-        address[:, :wide] = entry[:, :wide]
-        address = address.view("<u8").ravel()
+        tag = np.ascontiguousarray(entry[:, :2]).view("<u2").ravel().astype(np.int64)
+        ids, labels = (np.ascontiguousarray(entry[:, a : a + 8]).view("<i8").ravel() for a in (2, 2 + 8 * later))
+        words = np.ascontiguousarray(entry[:, 10 + 8 * later :]).view("<u8").reshape(len(entry), -1)
+        values = _values(words, shape.width, tag // len(masks))
+        place = places.of(values, tag)
+        cut = places.cut(place)
+        parts, at = [], []
+        for rows, address in places.balls(values, tag):
+            here = np.ones(address.shape, bool)
+            several = np.flatnonzero(cut[rows] > 1)
+            if len(several):
+                k = rows[several]
+                here[several] = places.groups_of_addresses(place[k], cut[k], address[several]) == key[0].as_py()
+            if len(known):
+                plain = address & np.uint64((1 << shape.width) - 1) | (tag[rows, None] // len(masks)).astype(np.uint64) << np.uint64(shape.width)
+                here &= ~np.isin(plain, known)
+            parts.append(address[here])
+            at.append(np.broadcast_to(rows[:, None], address.shape)[here])
+        address, row = np.concatenate(parts), np.concatenate(at)
         order = np.argsort(address, kind="stable")
-        entry = entry[order]
-        ids, labels = (np.ascontiguousarray(entry[:, a : a + 8]).view("<i8").ravel() for a in (heads[0], heads[1] if segments.start else heads[0]))
-        pairs = sorted(_named(address[order], ids, labels, np.ascontiguousarray(entry[:, heads[2] :]).view("<u8").reshape(len(entry), -1), shape))
-        return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
+        return _pairs_table(_named(address[order], row[order], ids, labels, words, shape))
+
+    even = nodes.select("node", "label", "fp").repartition(partitions, "fp")
+    found = even.mapInArrow(probe, "g long, rows binary").groupBy("g").applyInArrow(match, "a long, b long")
+    if crowds or repeated:
+        found = found.union(_dealt_candidates(even, shape, segments, again, crowds, repeated))
+    return found.distinct()
+
+
+def _dealt_candidates(nodes: DataFrame, shape: Shape, segments: range, again: range, crowds: dict, repeated: dict) -> DataFrame:
+    """Candidates of crowded addresses, which are dealt over tasks.
+
+    In the first round, which knows no components yet, a member goes to one of them, so some pairs don't meet there; the second round takes
+    these addresses up ``again`` (of the first round's segments they are the only ones) and lets all pairs of different labels meet, whatever
+    the labels: members of the most frequent label are dealt over some parts, the others over parts of their own, and there is a task
+    for each two parts of others and for each part of others with each of that label.
+    """
+    later = segments.start > 0
+    both = crowds | repeated
+    looked_up = [(k, np.array(sorted(found), np.uint64)) for k, found in ((segments, crowds), (again, repeated)) if found]
+
+    def tasks(address: int, node: int, label: int) -> list[int]:
+        others, most, frequent = both[address]
+        h = xxhash.xxh64_intdigest(node.to_bytes(8, "little", signed=True), address & 0xFFFFFFFF)
+        if not later:
+            return [h % (others + most - 1)]
+        if label == frequent:
+            return [others * others + i * most + h % most for i in range(others)]
+        own = h % others
+        return [min(own, j) * others + max(own, j) for j in range(others)] + [others * others + own * most + j for j in range(most)]
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1024):
+                batch = whole.slice(start, 1024)
+                base.forget()
+                ids, labels, words = batch.column(0).to_pylist(), batch.column(1).to_pylist(), _words(batch.column(2))
+                out: list[tuple[int, int, int]] = []
+                for own, some in looked_up:
+                    address = _addresses(words, shape.width, own)
+                    for row, column in zip(*np.nonzero(np.isin(address, some))):
+                        here = int(address[row, column])
+                        out += [(here, t, int(row)) for t in tasks(here, ids[row], labels[row])]
+                rows = pa.array([r for _, _, r in out], pa.int64())
+                names = [pa.array([a for a, _, _ in out], pa.int64()), pa.array([t for _, t, _ in out], pa.int64())]
+                yield pa.RecordBatch.from_arrays([*names, *[batch.column(k).take(rows) for k in range(3)]], ["address", "task", "node", "label", "fp"])
+
+    def match(table: pa.Table) -> pa.Table:
+        base.forget()
+        ids, labels = (table[c].to_numpy() for c in ("node", "label"))
+        words = _words(table["fp"].combine_chunks())
+        return _pairs_table(_named(np.zeros(len(ids), np.uint64), np.arange(len(ids)), ids, labels, words, shape))
 
-    even = nodes.select("node", "label", "fp").repartition(base.partitions_for(nodes.sparkSession), "fp")
-    return even.mapInArrow(probe, "g int, rows binary").groupBy("g").applyInArrow(match, "a long, b long").distinct()
+    entries = nodes.mapInArrow(probe, "address long, task long, node long, label long, fp binary")
+    return entries.groupBy("address", "task").applyInArrow(match, "a long, b long")
 
 
 def confirmed(candidates: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
