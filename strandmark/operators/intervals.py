@@ -3,6 +3,9 @@
 Intervals are rows (contig, start, end), half-open. Joins by overlap never compare a contig with itself: one side gets
 one bin for each probed position, the other one for each bin that it covers, so each pair meets once, in an equi-join
 on (contig, bin), which Spark may broadcast when a side's measured size allows it and splits when a bin is hot.
+
+Bins have several widths (``WIDTHS`` times ``BIN``). An interval lies at the first level where it covers nine bins at most, or
+at the widest, so one of 200 megabases is 13 rows; a point asks every level.
 """
 
 from __future__ import annotations
@@ -13,6 +16,8 @@ from pyspark.sql import functions as F
 from strandmark.operators import scans
 
 BIN = 1024
+#: Widths of the levels, in bins.
+WIDTHS = (1, 128, 16_384)
 
 
 def merge(intervals: DataFrame) -> DataFrame:
@@ -36,15 +41,51 @@ def with_bins(df: DataFrame, start: Column, end: Column, name: str = "_bin") ->
     return df.where(end > start).withColumn(name, F.explode(covering_bins(start, end)))
 
 
+def _level(start: Column, end: Column) -> Column:
+    """Where an interval lies, by its length."""
+    size = end - start
+    return F.when(size <= 8 * BIN * WIDTHS[0], 0).when(size <= 8 * BIN * WIDTHS[1], 1).otherwise(2)
+
+
+def _width() -> Column:
+    """Of the bins of ``_level``."""
+    return BIN * F.when(F.col("_level") == 0, WIDTHS[0]).when(F.col("_level") == 1, WIDTHS[1]).otherwise(WIDTHS[2])
+
+
+def at_home(df: DataFrame, start: Column, end: Column) -> DataFrame:
+    """df with a row (``_level``, ``_bin``) for each bin that an interval covers at its own level; empty intervals go."""
+    own = df.where(end > start).withColumn("_level", _level(start, end))
+    return own.withColumn("_bin", F.explode(F.sequence(F.floor(start / _width()), F.floor((end - 1) / _width()))))
+
+
 def at_positions(points: DataFrame, intervals: DataFrame, pos: str = "pos", how: str = "inner") -> DataFrame:
-    """points(contig, pos, ...) with the intervals that contain them; ``how`` may be left_semi or left_anti."""
-    p = points.withColumn("_bin", F.floor(F.col(pos) / BIN)).alias("p")
-    i = with_bins(intervals, F.col("start"), F.col("end")).alias("i")
-    on = (F.col("p.contig") == F.col("i.contig")) & (F.col("p._bin") == F.col("i._bin")) & (F.col(f"p.{pos}") >= F.col("i.start")) & (F.col(f"p.{pos}") < F.col("i.end"))
-    joined = p.join(i, on, how)
-    if how.startswith("left_"):
-        return joined.drop("_bin")
-    return joined.select("p.*", *[F.col(f"i.{c}") for c in intervals.columns if c != "contig"]).drop("_bin")
+    """points(contig, pos, ...) with the intervals that contain them; ``how`` may be left_semi or left_anti.
+
+    What is outside of all (left_anti) passes the levels one after the other: no point is repeated for it, and a level without intervals
+    is left out at run time.
+    """
+    homes = at_home(intervals, F.col("start"), F.col("end"))
+    within = (F.col("p.contig") == F.col("i.contig")) & (F.col("p._bin") == F.col("i._bin")) & (F.col(f"p.{pos}") >= F.col("i.start")) & (F.col(f"p.{pos}") < F.col("i.end"))
+    if how == "left_anti":
+        left = points
+        for k, width in enumerate(WIDTHS):
+            p = left.withColumn("_bin", F.floor(F.col(pos) / (BIN * width))).alias("p")
+            left = p.join(homes.where(F.col("_level") == k).alias("i"), within, how).drop("_bin")
+        return left
+    if how == "left_semi":
+        hits = at_positions(points.select("contig", F.col(pos).alias("_at")).distinct(), intervals.select("contig", "start", "end"), "_at")
+        return points.join(hits.select("contig", F.col("_at").alias(pos)).distinct(), ["contig", pos], how).select(*points.columns)
+    places = F.array(*[F.struct(F.lit(k).alias("_level"), F.floor(F.col(pos) / (BIN * w)).alias("_bin")) for k, w in enumerate(WIDTHS)])
+    p = points.withColumn("_place", F.explode(places)).select("*", "_place._level", "_place._bin").drop("_place").alias("p")
+    joined = p.join(homes.alias("i"), within & (F.col("p._level") == F.col("i._level")), how)
+    return joined.select("p.*", *[F.col(f"i.{c}") for c in intervals.columns if c != "contig"]).drop("_bin", "_level")
+
+
+def _in_levels(df: DataFrame, start: Column, end: Column, name: str) -> DataFrame:
+    """df with a row for each bin at its own level and at all wider ones; ``name`` tells which rows are at their own."""
+    own = df.where(end > start).withColumn("_own", _level(start, end)).withColumn("_level", F.explode(F.sequence(F.col("_own"), F.lit(len(WIDTHS) - 1))))
+    bins = F.sequence(F.floor(start / _width()), F.floor((end - 1) / _width()))
+    return own.withColumn("_bin", F.explode(bins)).withColumn(name, F.col("_own") == F.col("_level")).drop("_own")
 
 
 def outside(points: DataFrame, mask: DataFrame | None, pos: str = "pos") -> DataFrame:
@@ -54,9 +95,10 @@ def outside(points: DataFrame, mask: DataFrame | None, pos: str = "pos") -> Data
 def subtract(intervals: DataFrame, merged: DataFrame) -> DataFrame:
     """What is left of each interval (contig, start, end) without the merged mask; whole gaps, clipped."""
     own = intervals.select("contig", F.col("start").alias("own_start"), F.col("end").alias("own_end")).distinct()
-    a = own.withColumn("_bin", F.explode(covering_bins(F.col("own_start"), F.col("own_end"))))
-    b = with_bins(merged, F.col("start"), F.col("end"))
-    hits = a.join(b, ["contig", "_bin"]).where("start < own_end AND end > own_start").select("contig", "own_start", "own_end", "start", "end").distinct()
+    # two intervals meet at the wider one's level
+    a = _in_levels(own, F.col("own_start"), F.col("own_end"), "_a")
+    b = _in_levels(merged.select("contig", "start", "end"), F.col("start"), F.col("end"), "_b")
+    hits = a.join(b, ["contig", "_level", "_bin"]).where("(_a OR _b) AND start < own_end AND end > own_start").select("contig", "own_start", "own_end", "start", "end").distinct()
     keys = ["contig", "own_start", "own_end"]
     w = Window.partitionBy(*keys).orderBy("start")
     gaps = hits.select(*keys, F.col("end").alias("from"), F.lead("start").over(w).alias("to"), F.lag("end").over(w).alias("_prev"), "start")

@@ -37,7 +37,7 @@ def _exists(path: str) -> bool:
     return system.get_file_info(place).type == pa.fs.FileType.File
 
 
-def _opened(path: str) -> pa.NativeFile:
+def opened(path: str) -> pa.NativeFile:
     system, place = _system(path)
     return system.open_input_file(place)
 
@@ -104,7 +104,7 @@ class Header:
 
 
 def header(path: str) -> Header:
-    with _opened(path) as file:
+    with opened(path) as file:
         stream = Stream(file, 0)
         if stream.read(4) != b"BAM\1":
             raise ValueError(f"{path} isn't a BAM file")
@@ -125,7 +125,7 @@ def index_of(path: str) -> str:
 
 def chunks(path: str) -> list[list[tuple[int, int, int]]]:
     """By contig: (bin, first virtual offset, end) of the index."""
-    with _opened(index_of(path)) as file:
+    with opened(index_of(path)) as file:
         data = file.read()
     if data[:4] != b"BAI\1":
         raise ValueError(f"{path}: not an index")
@@ -236,7 +236,7 @@ class Reader(DataSourceReader):
         columns = [f.split()[0] for f in READ_SCHEMA.split(", ")]
         kinds = [pa.int64(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int32()]
         rows: list[tuple] = []
-        with _opened(self.path) as file:
+        with opened(self.path) as file:
             stream = Stream(file, part.first)
             while True:
                 offset = stream.offset()

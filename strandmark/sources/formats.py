@@ -6,13 +6,18 @@ filters and raised together with the first of them.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandmark.functions import reads as R
 from strandmark.operators import intervals
+from strandmark.sources import bam
 
 
 def _refuse(bad: DataFrame, what: str) -> None:
@@ -181,9 +186,30 @@ def passing_reads(reads: DataFrame, phred: int = 20, length: int = 30, low_compl
     return reads.where(keep)
 
 
+def digests(spark: SparkSession, paths: list[str], block_bytes: int = 8 << 20) -> DataFrame:
+    """(path, size, sha256) of files' bytes, for provenance, a row a file.
+
+    A file is read block by block where its row is, through Arrow's file systems, so it may be of any size: Spark's ``binaryFile`` takes a
+    file into a row and refuses those over 2 GB, as a genome's sequence is.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                digest, at = hashlib.sha256(), 0
+                with bam.opened(path) as file:
+                    while block := file.read_at(block_bytes, at):
+                        digest.update(block)
+                        at += len(block)
+                yield pa.RecordBatch.from_pydict({"path": [path], "size": [at], "sha256": [digest.hexdigest()]})
+
+    files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)))
+    return files.mapInArrow(run, "path string, size long, sha256 string")
+
+
 def sha256(spark: SparkSession, path: str) -> str:
-    """Of a file's bytes, for provenance."""
-    return spark.read.format("binaryFile").load(path).select(F.sha2("content", 256)).first()[0]
+    """Of one file."""
+    return digests(spark, [path]).first().sha256
 
 
 def fragments(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
