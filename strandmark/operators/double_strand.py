@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
 from itertools import accumulate
 
 import pandas as pd
@@ -77,16 +79,26 @@ def components(pairs: DataFrame, overhang: int) -> DataFrame:
     found = scans.islands(rows, ["contig"], ["_low", "_high", "forward_position", "reverse_position"], "_low", "_high", "component", touching=True)
     return found.drop("_low", "_high", scans.PART)
 
+#: Decimals to which score sums are compared: equal ratios of counts can differ in the last bits of a double.
+DIGITS = 9
+
+
+def ratio_of(score: float) -> tuple[int, int]:
+    """The ratio of counts that a score is as nearly as a double can be, if there is a plain one; else the double's own."""
+    near = Fraction(score).limit_denominator(10**6)
+    return (near if abs(near - Fraction(score)) <= Fraction(4 * math.ulp(score)) else Fraction(score)).as_integer_ratio()
+
+
 
 def best_assignment(edges: list[tuple[int, int, bool, float]]) -> list[int]:
     """Indices of the one-to-one choice of (forward, reverse, passes, score), given in coordinate order.
 
-    Lexicographically best: passing pairs, pairs, exact score sum, smallest sum of coordinate ranks, then the choice
+    Lexicographically best: passing pairs, pairs, score sum (of ``ratio_of``, exact), smallest sum of coordinate ranks, then the choice
     that is first in coordinate order. Each edge's worth is one integer, its fields too far apart to carry; the
     assignment problem over these is solved with potentials, a row at a time.
     """
-    ratios = [float(e[3]).as_integer_ratio() for e in edges]
-    unit = max(d for _, d in ratios)
+    ratios = [ratio_of(float(e[3])) for e in edges]
+    unit = math.lcm(*(d for _, d in ratios))
     n = len(edges)
     scores = [a * (unit // d) for a, d in ratios]
     low = 1 << n
@@ -154,7 +166,7 @@ def most_open(edges: list[tuple[int, int, bool, float]]) -> int:
 
 
 def walked_assignment(edges: list[tuple[int, int, bool, float]]) -> list[int]:
-    """What best_assignment chooses, by one walk over the forward endpoints: a state is which reverse endpoints that a later
+    """What best_assignment chooses (score sums compared to DIGITS decimals), by one walk over the forward endpoints: a state is which reverse endpoints that a later
     forward one can still have are taken, and only the best way into each state goes on. Linear in the edges for a given
     ``most_open``, so a long crowded region costs no more than its parts."""
     ratios = [float(e[3]).as_integer_ratio() for e in edges]
@@ -166,6 +178,8 @@ def walked_assignment(edges: list[tuple[int, int, bool, float]]) -> list[int]:
     least_later, smallest = {}, None
     for f in reversed(order):
         least_later[f] = smallest
+    # worths as they are compared: the exact sum of scores, rounded
+    compared = lambda worth: (worth[0], worth[1], (2 * worth[2] * 10**DIGITS + unit) // (2 * unit), worth[3])
         smallest = min([r for r, _ in by_forward[f]] + ([smallest] if smallest is not None else []))
     # taken reverse endpoints -> (worth, rank of the choices so far (smaller: earlier in order), chosen edges as a chain)
     states: dict[frozenset, tuple] = {frozenset(): ((0, 0, 0, 0), 0, None)}
@@ -185,7 +199,7 @@ def walked_assignment(edges: list[tuple[int, int, bool, float]]) -> list[int]:
                     value = (worth[0] + int(edges[k][2]), worth[1] + 1, worth[2] + a * (unit // d), worth[3] - k)
                 now = frozenset(r for r in now if least_later[f] is not None and r >= least_later[f])
                 known = found.get(now)
-                if known is None or value > known[0] or value == known[0] and (rank, choice) < known[1]:
+                if known is None or compared(value) > compared(known[0]) or compared(value) == compared(known[0]) and (rank, choice) < known[1]:
                     found[now] = (value, (rank, choice), link)
         ranks = {h: n for n, h in enumerate(sorted({x[1] for x in found.values()}))}
         states = {s: (value, ranks[h], link) for s, (value, h, link) in found.items()}
@@ -205,7 +219,7 @@ def select_pairs(pairs: DataFrame, overhang: int) -> DataFrame:
     """One-to-one pairs. Single pairs and stars are decided by a window; only the rest goes to Python, by component."""
     slim = components(pairs.select(*PAIR, "pair_score", (F.size("caller_reasons") == 0).alias("good")), overhang)
     w = Window.partitionBy("contig", "component")
-    order = w.orderBy(F.col("good").desc(), F.col("pair_score").desc(), "forward_position", "reverse_position")
+    order = w.orderBy(F.col("good").desc(), F.round("pair_score", DIGITS).desc(), "forward_position", "reverse_position")
     first_last = lambda c: F.min(c).over(w) == F.max(c).over(w)
     slim = slim.withColumns({"_star": first_last("forward_position") | first_last("reverse_position"), "_k": F.row_number().over(order)})
     easy = slim.where("_star AND _k = 1").select(*PAIR)
