@@ -77,7 +77,7 @@ def benjamini_hochberg(df: DataFrame, p: str, q: str, by: list[str], tie: list[s
     one = df.withColumn("_q_rows", F.lit(0))
     by = [*by, "_q_rows"]
     counts = scans.ranged(one.where(F.col(p).isNotNull()).groupBy(*by, p).agg(F.count("*").alias("_n")), by, [p], "p-values")
-    ranked = scans.before(counts, by, [p], {"_less": ("sum", "_n")}).join(counts.groupBy(*by).agg(F.sum("_n").alias("_all")), by)
+    ranked = scans.before(counts, by, [p], {"_less": ("sum", "_n")}).join(F.broadcast(counts.groupBy(*by).agg(F.sum("_n").alias("_all"))), by)
     ranked = ranked.withColumn("_value", F.col(p) * F.col("_all") / (F.col("_less") + F.col("_n")))
     least = scans.before(ranked, by, [p], {"_above": ("min", "_value")}, backward=True)
     adjusted = least.select(*by, p, F.least(F.lit(1.0), "_value", "_above").alias(q))

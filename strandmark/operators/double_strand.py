@@ -15,7 +15,7 @@ from strandmark.operators import scans
 from strandmark.operators import sites as S
 from strandmark.operators.intervals import outside
 from strandmark.schema import METRICS, Params
-from strandmark.session import written
+from strandmark.session import by_rows, written
 
 PAIR = ["contig", "forward_position", "reverse_position"]
 
@@ -29,22 +29,21 @@ def edges(reads: DataFrame, params: Params, mask: DataFrame | None = None, withi
     found = S.pileups(reads, least, params.digenome_min_mapq, mask)
     if within is not None:
         found = found.where(within)
-    # few of many reads: with their size known, the reads that are near them needn't be exchanged
-    found = written(found, "piles")
+    found = by_rows(written(found, "piles"))
     w = params.digenome_pair_window
     forward = found.where("strand = '+'").select("contig", F.col("pos").alias("forward_position"))
     reverse = found.where("strand = '-'").select("contig", F.col("pos").alias("reverse_position"))
     expected = F.col("forward_position") - params.digenome_overhang
     pairs = forward.withColumn("reverse_position", F.explode(F.sequence(expected - w, expected + w))).join(reverse, ["contig", "reverse_position"])
-    return written(pairs.select(*PAIR), "edges")
+    return by_rows(written(pairs.select(*PAIR), "edges"))
 
 
 def candidates(reads: DataFrame, params: Params, mask: DataFrame | None = None, metrics: bool = True, pairs: DataFrame | None = None) -> DataFrame:
     """Pairs of a forward and a reverse pile-up around the expected distance, with score and caller reasons; ``pairs``: those to look at,
     if they are known already."""
     pairs = edges(reads, params, mask) if pairs is None else pairs
-    one = lambda strand, name: pairs.select("contig", F.col(name).alias("pos"), F.lit(strand).alias("strand"))
-    wanted = one("+", "forward_position").union(one("-", "reverse_position"))
+    one = lambda strand, name: F.struct(F.col(name).alias("pos"), F.lit(strand).alias("strand"))
+    wanted = pairs.select("contig", F.explode(F.array(one("+", "forward_position"), one("-", "reverse_position"))).alias("s")).select("contig", "s.*")
     measured = S.metrics(wanted, reads, params.artifact_window, params.digenome_min_mapq) if metrics else S.depths(wanted, reads, params.digenome_min_mapq)
     names = METRICS if metrics else ["endpoint_count", "strand_depth", "endpoint_fraction"]
     side = lambda strand, name, out: measured.where(F.col("strand") == strand).select("contig", F.col("pos").alias(name), F.struct(*names).alias(out))
@@ -79,6 +78,7 @@ def components(pairs: DataFrame, overhang: int) -> DataFrame:
     found = scans.islands(rows, ["contig"], ["_low", "_high", "forward_position", "reverse_position"], "_low", "_high", "component", touching=True)
     return found.drop("_low", "_high", scans.PART)
 
+
 #: Decimals to which score sums are compared: equal ratios of counts can differ in the last bits of a double.
 DIGITS = 9
 
@@ -89,7 +89,6 @@ def ratio_of(score: float) -> tuple[int, int]:
     return (near if abs(near - Fraction(score)) <= Fraction(4 * math.ulp(score)) else Fraction(score)).as_integer_ratio()
 
 
-
 def best_assignment(edges: list[tuple[int, int, bool, float]]) -> list[int]:
     """Indices of the one-to-one choice of (forward, reverse, passes, score), given in coordinate order.
 
@@ -178,9 +177,9 @@ def walked_assignment(edges: list[tuple[int, int, bool, float]]) -> list[int]:
     least_later, smallest = {}, None
     for f in reversed(order):
         least_later[f] = smallest
+        smallest = min([r for r, _ in by_forward[f]] + ([smallest] if smallest is not None else []))
     # worths as they are compared: the exact sum of scores, rounded
     compared = lambda worth: (worth[0], worth[1], (2 * worth[2] * 10**DIGITS + unit) // (2 * unit), worth[3])
-        smallest = min([r for r, _ in by_forward[f]] + ([smallest] if smallest is not None else []))
     # taken reverse endpoints -> (worth, rank of the choices so far (smaller: earlier in order), chosen edges as a chain)
     states: dict[frozenset, tuple] = {frozenset(): ((0, 0, 0, 0), 0, None)}
     for f in order:
@@ -266,7 +265,7 @@ def single_precision_score(positions: DataFrame, reads: DataFrame, contigs: Data
     wanted = own.select(*own.columns, F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(s).alias("s")) for k in range(-2, 3) for s in ("f", "r")])).alias("o"))
     centre = F.col("forward_position") + F.when(F.col("o.s") == "r", overhang - 1).otherwise(0)
     wanted = wanted.select("contig", "forward_position", F.col("o.k").alias("k"), F.col("o.s").alias("s"), (centre + F.col("o.k")).alias("pos"))
-    valid = outside(wanted.join(contigs, "contig").where("pos >= 0 AND pos < length").select("contig", "pos").distinct(), mask)
+    valid = outside(wanted.join(F.broadcast(contigs), "contig").where("pos >= 0 AND pos < length").select("contig", "pos").distinct(), mask)
     base = S.single_base(valid, reads, min_mapq)
     flat = wanted.join(base, ["contig", "pos"], "left")
     grid = [F.max(F.when((F.col("k") == k) & (F.col("s") == s), F.struct(F.col("forward_endpoint_count").alias("f"), F.col("reverse_endpoint_count").alias("r"), F.col("total_depth").alias("d")))).alias(f"{s}{k + 2}") for k in range(-2, 3) for s in ("f", "r")]
@@ -283,13 +282,13 @@ def single_precision_score(positions: DataFrame, reads: DataFrame, contigs: Data
 def calls(reads: DataFrame, contigs: DataFrame, params: Params, mask: DataFrame | None = None, pairs: DataFrame | None = None, own: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(candidate pairs, call rows before controls and filters). With ``pairs`` (PAIR, whole components) these are assigned; with ``own``
     (a condition on contig and forward_position) only those for which it holds go on."""
-    known = edges(reads, params, mask) if pairs is None else written(pairs, "edges")
+    known = edges(reads, params, mask) if pairs is None else by_rows(written(pairs, "edges"))
     reads = S.cut(reads, grid_places(known, params.digenome_overhang), params.artifact_window)
-    pairs = written(candidates(reads, params, mask, pairs=known), "pairs")
+    pairs = by_rows(written(candidates(reads, params, mask, pairs=known), "pairs"))
     chosen = select_pairs(pairs, params.digenome_overhang)
     if own is not None:
         chosen, pairs = chosen.where(own), pairs.where(own)
-    chosen = written(chosen, "chosen")
+    chosen = by_rows(written(chosen, "chosen"))
     score = single_precision_score(chosen, reads, contigs, params.digenome_overhang, params.digenome_min_mapq, mask)
     own = chosen.join(score, ["contig", "forward_position"])
     sides = {f"{name}_{out}": F.col(f"{s}.{c}") for s, name in (("f", "forward"), ("r", "reverse")) for out, c in (("endpoint_count", "endpoint_count"), ("depth", "strand_depth"), ("fraction", "endpoint_fraction"))}

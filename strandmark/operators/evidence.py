@@ -10,7 +10,7 @@ from strandmark.operators import double_strand as D
 from strandmark.operators import intervals
 from strandmark.operators import sites as S
 from strandmark.schema import Params
-from strandmark.session import written
+from strandmark.session import by_rows, written
 
 CALL = ["contig", "pos", "strand"]
 
@@ -32,7 +32,7 @@ def known_indels(calls: DataFrame, variants: DataFrame | None, window: int) -> D
     if variants is None:
         return calls.withColumn("known_indel_overlap", F.lit(""))
     points = calls.select(*CALL, F.explode(F.array_distinct(F.array_compact(F.array("pos", "opposite_position_0based")))).alias("at"))
-    wide = indel_labels(variants).withColumns({"start": F.greatest(F.col("start") - window, F.lit(0)), "end": F.col("end") + window})
+    wide = by_rows(written(indel_labels(variants), "known-indels")).withColumns({"start": F.greatest(F.col("start") - window, F.lit(0)), "end": F.col("end") + window})
     hits = intervals.at_positions(points.withColumnRenamed("pos", "_pos"), wide, "at").groupBy("contig", F.col("_pos").alias("pos"), "strand")
     labels = hits.agg(F.array_join(F.array_sort(F.collect_set("label")), ";").alias("known_indel_overlap"))
     return calls.join(labels, CALL, "left").fillna({"known_indel_overlap": ""})
@@ -48,7 +48,7 @@ def control(calls: DataFrame, reads: DataFrame | None, contigs: DataFrame, param
         names = ("control_digenome_pair_score", "control_rgen_digenome_score", "control_fold_enrichment", "control_fisher_p", "control_fisher_q")
         return calls.withColumns(empty | {n: none for n in names} | {"control_sample": F.lit(""), "control_status": F.lit("UNCONTROLLED")})
     both = params.analysis == "digenome"
-    calls = written(calls, "calls")
+    calls = by_rows(written(calls, "calls"))
     if both:
         wanted = calls.select("contig", F.explode(F.array(F.struct(F.col("forward_position_0based").alias("pos"), F.lit("+").alias("strand")), F.struct(F.col("reverse_position_0based").alias("pos"), F.lit("-").alias("strand")))).alias("s")).select("contig", "s.*")
     else:
@@ -89,4 +89,4 @@ def control(calls: DataFrame, reads: DataFrame | None, contigs: DataFrame, param
     if not adjust:
         return out.drop("_p").withColumn("control_fisher_q", none)
     by = [c for c in ("sample", "analysis") if c in out.columns]
-    return benjamini_hochberg(written(out.drop("_p"), "tested"), "control_fisher_p", "control_fisher_q", by, CALL)
+    return benjamini_hochberg(by_rows(written(out.drop("_p"), "tested")), "control_fisher_p", "control_fisher_q", by, CALL)

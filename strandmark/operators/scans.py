@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandmark.session import written
+from strandmark.session import by_rows, written
 
 PART = "_part"
 
@@ -18,7 +18,7 @@ PART = "_part"
 def ranged(df: DataFrame, by: list[str], order: list[str], name: str = "ranged") -> DataFrame:
     """df with ``_part``, the number of a row's range; numbers rise with (by, order)."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return written(df.repartitionByRange(n, *by, *order).withColumn(PART, F.spark_partition_id()), name)
+    return by_rows(written(df.repartitionByRange(n, *by, *order).withColumn(PART, F.spark_partition_id()), name))
 
 
 def _both(kind: str, here: Column, carried: Column) -> Column:

@@ -9,7 +9,7 @@ from strandmark.functions.statistics import pair_score
 from strandmark.operators import sites as S
 from strandmark.operators.intervals import BIN, outside
 from strandmark.schema import METRICS, Params
-from strandmark.session import written
+from strandmark.session import by_rows, written
 
 
 def scan(reads: DataFrame, params: Params, mask: DataFrame | None = None, own: Column | None = None) -> tuple[DataFrame, DataFrame]:
@@ -18,8 +18,7 @@ def scan(reads: DataFrame, params: Params, mask: DataFrame | None = None, own: C
     scanned = S.pileups(reads, params.ndigenome_min_count, params.ndigenome_min_mapq, mask)
     if own is not None:
         scanned = scanned.where(own)
-    # few of many reads: with their size known, the reads that are near them needn't be exchanged
-    scanned = written(scanned, "scanned")
+    scanned = by_rows(written(scanned, "scanned"))
     w = params.ndigenome_opposite_window
     low, high = F.greatest(F.col("pos") - w, F.lit(0)), F.col("pos") + w
     places = scanned.select("contig", F.explode(F.array_union(F.sequence(low, high, F.lit(BIN).cast("long")), F.array("pos", high))).alias("pos"))
@@ -39,7 +38,7 @@ def best_opposite(sites: DataFrame, reads: DataFrame, params: Params, mask: Data
     asked = sites.select(*S.SITE, F.when(F.col("strand") == "+", "-").otherwise("+").alias("o_strand"), F.explode(F.sequence(F.greatest(F.col("pos") - w, F.lit(0)), F.col("pos") + w)).alias("o_pos"))
     places = asked.select("contig", F.col("o_pos").alias("pos"), F.col("o_strand").alias("strand")).distinct()
     ends = outside(S.endpoints(reads, params.ndigenome_min_mapq, places), mask).select("contig", F.col("pos").alias("o_pos"), F.col("strand").alias("o_strand"))
-    pairs = written(asked.join(ends, ["contig", "o_pos", "o_strand"]), "opposites")
+    pairs = by_rows(written(asked.join(ends, ["contig", "o_pos", "o_strand"]), "opposites"))
     measured = S.depths(pairs.select("contig", F.col("o_pos").alias("pos"), F.col("o_strand").alias("strand")), reads, params.ndigenome_min_mapq)
     measured = measured.select("contig", F.col("pos").alias("o_pos"), F.col("strand").alias("o_strand"), F.col("endpoint_count").alias("n"), F.col("strand_depth").alias("d"), F.col("endpoint_fraction").alias("f"))
     primary = (F.col("n") >= params.ndigenome_min_count) & (F.col("f") >= params.ndigenome_min_fraction)
@@ -58,7 +57,7 @@ def signal(params: Params):
 def calls(reads: DataFrame, params: Params, mask: DataFrame | None = None, own: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(scanned pile-ups, call rows before controls and filters)."""
     scanned, reads = scan(reads, params, mask, own)
-    sites = written(focal(scanned, reads, params), "sites")  # few rows of many reads, and read several times from here on
+    sites = by_rows(written(focal(scanned, reads, params), "sites"))  # few rows of many reads, and read several times from here on
     found = sites.join(best_opposite(sites, reads, params, mask), S.SITE, "left")
     found = found.fillna({"opposite_count": 0, "opposite_depth": 0, "opposite_fraction": 0.0}).withColumn("signal_classification", signal(params))
     plus = F.col("strand") == "+"

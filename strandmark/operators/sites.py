@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strandmark.functions import reads as R
 from strandmark.functions.statistics import mean_or_zero, ratio
 from strandmark.operators import intervals
-from strandmark.session import written
+from strandmark.session import by_rows, written
 
 SITE = ["contig", "pos", "strand"]
 
@@ -42,7 +42,7 @@ def cut(reads: DataFrame, places: DataFrame, reach: int) -> DataFrame:
     wanted = written(bin_map(places), "bins")
     near = binned.join(F.broadcast(wanted), ["contig", "_block"])
     word = F.coalesce(F.try_element_at("words", (F.floor(F.col("_bin") / WORD) % (BLOCK // WORD)).cast("int")), F.lit(0).cast("long"))
-    return written(near.where(F.getbit(word, (F.col("_bin") % WORD).cast("int")) == 1).select(*CUT), "cut-reads")
+    return by_rows(written(near.where(F.getbit(word, (F.col("_bin") % WORD).cast("int")) == 1).select(*CUT), "cut-reads"))
 
 
 def _binned(reads: DataFrame, low: Column, high: Column) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strandmark.operators import double_strand, evidence, filters, intervals, single_strand, sites
 from strandmark.schema import Params
+from strandmark.session import by_rows, written
 from strandmark.sources import formats
 
 
@@ -50,7 +51,7 @@ def check(inputs: Inputs, params: Params) -> None:
 
 def rows(inputs: Inputs, params: Params) -> tuple[DataFrame, DataFrame]:
     """(candidates, call rows with all evidence, before the filters)."""
-    mask = None if inputs.mask is None else intervals.merge(inputs.mask)
+    mask = None if inputs.mask is None else by_rows(written(intervals.merge(inputs.mask), "mask"))
     if params.analysis == "ndigenome":
         candidates, found = single_strand.calls(inputs.reads, params, mask)
     else:

@@ -18,7 +18,7 @@ from strandmark.operators import evidence, intervals
 from strandmark.operators.runinfo import json_safe
 from strandmark.plans import calling
 from strandmark.schema import Params
-from strandmark.session import written
+from strandmark.session import by_rows, written
 from strandmark.sources import formats
 
 OWNED = "chunk_id string, contig string, start long, `end` long"
@@ -32,9 +32,9 @@ def write_chunks(found: DataFrame, candidates: DataFrame, plan: list[dict], cont
     """``rows`` (gzipped JSON lines, a folder a chunk) and ``summaries`` (a line of JSON a chunk) of calling.rows and a
     planner.plan. Rows outside all chunks are a fault. For chunks that are called by themselves, see local_chunks."""
     spark = found.sparkSession
-    own = spark.createDataFrame(_owned(plan), OWNED)
-    slim = written(found.drop("control_fisher_q"), "rows")
-    of_chunk = written(intervals.at_positions(slim, own).drop("start", "end").withColumn("_chunk_id", F.col("chunk_id")), "chunk-rows")
+    own = F.broadcast(spark.createDataFrame(_owned(plan), OWNED))  # of the plan, so few
+    slim = by_rows(written(found.drop("control_fisher_q"), "rows"))
+    of_chunk = by_rows(written(intervals.at_positions(slim, own).drop("start", "end").withColumn("_chunk_id", F.col("chunk_id")), "chunk-rows"))
     formats._refuse(slim.join(of_chunk.select("contig", "pos", "strand"), ["contig", "pos", "strand"], "left_anti").select("contig", "pos", "strand"), "rows outside all chunks")
     of_chunk.write.partitionBy("chunk_id").option("compression", "gzip").option("ignoreNullFields", False).json(f"{folder}/rows")
     reported = {r["chunk_id"]: r["count"] for r in of_chunk.groupBy("chunk_id").count().collect()}
@@ -119,8 +119,8 @@ def finalised(spark: SparkSession, folder: str, params: Params) -> tuple[DataFra
     """(call table of all chunks, candidates) of what write_chunks has left in the folder: rows are checked against their
     chunk, the totals and each other; q values and filters are those of the whole sample."""
     documents = summaries(spark, f"{folder}/summaries", params.sample, params.analysis)
-    rows = written(formats.fragments(spark, f"{folder}/rows", StructType.fromJson(documents[0]["row_schema"])).drop("chunk_id"), "fragments")
-    owned = spark.createDataFrame([(s["chunk_id"], x["contig"], x["start"], x["end"]) for s in documents for x in s["intervals"]], OWNED)
+    rows = by_rows(written(formats.fragments(spark, f"{folder}/rows", StructType.fromJson(documents[0]["row_schema"])).drop("chunk_id"), "fragments"))
+    owned = F.broadcast(spark.createDataFrame([(s["chunk_id"], x["contig"], x["start"], x["end"]) for s in documents for x in s["intervals"]], OWNED))
     inside = intervals.at_positions(rows, owned).where("chunk_id = _chunk_id")
     formats._refuse(rows.join(inside.select("contig", "pos", "strand", "_chunk_id"), ["contig", "pos", "strand", "_chunk_id"], "left_anti").select("_chunk_id", "contig", "pos"), "rows outside their chunk")
     expected, count = sum(s["reported_rows"] for s in documents), rows.count()

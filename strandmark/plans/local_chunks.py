@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from strandmark.operators import double_strand, evidence, intervals, single_strand
 from strandmark.plans.calling import Inputs
 from strandmark.schema import Params
+from strandmark.session import by_rows, written
 
 
 @dataclass(frozen=True)
@@ -104,7 +105,7 @@ def call(inputs: Inputs, owned: list[Interval], params: Params) -> tuple[DataFra
     lengths = {r["contig"]: r["length"] for r in inputs.contigs.collect()}
     if unknown := sorted({x.contig for x in owned} - set(lengths)):
         raise ValueError(f"intervals on unknown contigs: {unknown}")
-    mask = None if inputs.mask is None else intervals.merge(inputs.mask)
+    mask = None if inputs.mask is None else by_rows(written(intervals.merge(inputs.mask), "mask"))
     own = [(x.contig, x.start, x.end) for x in owned]
     if params.analysis == "ndigenome":
         looked = _merged([(x.contig, max(0, min(x.scan_start, x.start - params.padding)), max(x.scan_end, x.end + params.padding)) for x in owned])

@@ -17,7 +17,7 @@ from strandmark.plans import calling, chunks, local_chunks
 from strandmark.plans.calling import Calls, Inputs, call
 from strandmark.plans.oracle import ORACLE_SQL as ORACLE_SQL
 from strandmark.schema import Params
-from strandmark.session import new_folder, written
+from strandmark.session import by_rows, new_folder, written
 from strandmark.sources import fixtures, formats
 from strandmark.streaming import endpoints, ordered
 
@@ -67,7 +67,7 @@ def modal_indel(spark, d):
 
 def opposite_best(spark, d):
     scanned, near = single_strand.scan(fixtures.reads(spark, d), SINGLE)
-    return _rounded(single_strand.best_opposite(written(single_strand.focal(scanned, near, SINGLE), "sites"), near, SINGLE))
+    return _rounded(single_strand.best_opposite(by_rows(written(single_strand.focal(scanned, near, SINGLE), "sites")), near, SINGLE))
 
 
 def ssb_calls(spark, d):
@@ -86,7 +86,7 @@ def pair_components(spark, d):
 
 
 def pair_matching(spark, d):
-    pairs = written(double_strand.candidates(fixtures.reads(spark, d), DOUBLE, metrics=False), "pairs")
+    pairs = by_rows(written(double_strand.candidates(fixtures.reads(spark, d), DOUBLE, metrics=False), "pairs"))
     return _rounded(double_strand.select_pairs(pairs, 0).select(*double_strand.PAIR, "pair_score"))
 
 
