@@ -247,8 +247,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def _linked(ids: np.ndarray, labels: np.ndarray, words: np.ndarray, shape: Shape) -> list[tuple[int, int]]:
-    """Candidates (a, b) that connect what pairs within ``most`` bits connect, by the nearest pairs between labels: each
-    step takes the member nearest to those reached, and with it all of its label and those close to it."""
+    """Candidates (a, b) that connect what pairs within ``most`` bits connect, by the nearest pairs between labels. One that isn't confirmed may
+    hide others that would be, so this serves a first round, behind which all pairs meet. Each step takes the member nearest to those reached, and with it all of its label and those close to it."""
     out = []
     open_ = np.arange(len(ids))
     distance, source = np.full(len(ids), shape.bits + 1), np.zeros(len(ids), np.int64)
@@ -280,8 +280,41 @@ def _linked(ids: np.ndarray, labels: np.ndarray, words: np.ndarray, shape: Shape
     return out
 
 
-def _named(address: np.ndarray, at: np.ndarray, ids: np.ndarray, labels: np.ndarray, words: np.ndarray, shape: Shape) -> set[tuple[int, int]]:
-    """Candidates of sorted addresses; ``at`` are the rows of ids, labels and fingerprints that lie there."""
+def _distinct(pairs: list[np.ndarray]) -> np.ndarray:
+    """Rows (a, b), a > b, each once."""
+    both = np.concatenate([np.empty((0, 2), np.int64), *pairs])
+    both = np.stack((both.max(axis=1), both.min(axis=1)), axis=1) if len(both) else both
+    both = both[np.lexsort((both[:, 1], both[:, 0]))]
+    return both[np.append(True, (both[1:] != both[:-1]).any(axis=1))] if len(both) else both
+
+
+def _every(address: np.ndarray, at: np.ndarray, ids: np.ndarray, labels: np.ndarray, words: np.ndarray, shape: Shape) -> np.ndarray:
+    """All pairs of different labels within ``most`` bits, of sorted addresses; ``at`` as in ``_named``."""
+    heads = np.flatnonzero(np.append(True, address[1:] != address[:-1]))
+    end = np.repeat(np.append(heads[1:], len(address)), np.diff(np.append(heads, len(address))))
+    p, step, held = np.arange(len(address)), 0, 0
+    found: list[np.ndarray] = []
+    while len(p):
+        step += 1
+        p = p[p + step < end[p]]
+        for a in range(0, len(p), 1 << 18):
+            q = p[a : a + (1 << 18)]
+            r, t = at[q], at[q + step]
+            some = np.flatnonzero(labels[r] != labels[t])
+            r, t = r[some], t[some]
+            near = np.bitwise_count(words[r] ^ words[t]).sum(axis=1, dtype=np.int64) <= shape.most
+            found.append(np.stack((ids[r[near]], ids[t[near]]), axis=1))
+            held += len(found[-1])
+            if held > 1 << 20:  # a pair shares many addresses
+                found = [_distinct(found)]
+                held = 0
+    return _distinct(found)
+
+
+def _named(address: np.ndarray, at: np.ndarray, ids: np.ndarray, labels: np.ndarray, words: np.ndarray, shape: Shape, whole: bool = False) -> np.ndarray:
+    """Candidates of sorted addresses; ``at`` are the rows of ids, labels and fingerprints that lie there. ``whole``: all of them."""
+    if whole:
+        return _every(address, at, ids, labels, words, shape)
     heads = np.flatnonzero(np.append(True, address[1:] != address[:-1]))
     ends = np.append(heads[1:], len(address))
     sizes = ends - heads
@@ -302,7 +335,7 @@ def _named(address: np.ndarray, at: np.ndarray, ids: np.ndarray, labels: np.ndar
     found: set[tuple[int, int]] = set()
     for part in np.split(at[some], cut) if len(some) else []:
         found.update(_linked(ids[part], labels[part], words[part], shape))
-    return {(max(p), min(p)) for p in found}
+    return _distinct([np.array(sorted(found), np.int64).reshape(-1, 2)])
 
 
 def _sample(nodes: DataFrame, total: int) -> tuple[DataFrame, float]:
@@ -412,9 +445,13 @@ def _words(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(len(column), -1)
 
 
-def _pairs_table(pairs: set[tuple[int, int]]) -> pa.Table:
-    some = sorted(pairs)
-    return pa.table({"a": pa.array([p[0] for p in some], pa.int64()), "b": pa.array([p[1] for p in some], pa.int64())})
+def _pairs_table(pairs: np.ndarray) -> pa.Table:
+    return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+
+
+def first_segments(shape: Shape) -> int:
+    """Segments of the first round, which only joins what is easily found, so that few pairs of different labels are left to the second, of all segments."""
+    return -(-shape.segments // 4) if shape.segments <= 16 else -(-shape.segments // 32)
 
 
 def entry_bytes(shape: Shape, later: bool) -> int:
@@ -425,22 +462,22 @@ def entry_bytes(shape: Shape, later: bool) -> int:
 def bytes_a_document(documents: int, similarity: float) -> int:
     """What near-dedup sends of a document in both rounds, where no place is heavy and no address crowded."""
     shape = Shape.of(documents, similarity)
-    first = -(-shape.segments // 4)
     out = 0
-    for segments, later in ((first, False), (shape.segments - first, True)):
+    for segments, later in ((first_segments(shape), False), (shape.segments, True)):
         size = entry_bytes(shape, later)
         out += segments * len(routes(documents, size, shape.width)) * size
     return out
 
 
-def near_candidates(nodes: DataFrame, shape: Shape, segments: range, again: range = range(0)) -> DataFrame:
-    """(a, b), a > b, of nodes(node, label, fp): candidates of different labels that share an address of these segments.
+def near_candidates(nodes: DataFrame, shape: Shape, segments: range, again: range = range(0), whole: bool = False) -> DataFrame:
+    """(a, b), a > b, of nodes(node, label, fp): candidates of different labels that share an address of these segments; all of them with ``whole``,
+    else such as connect what all would, if all were confirmed.
 
     A fingerprint is sent by ``routes`` and its balls are enumerated where it arrives, so what is sent doesn't grow with the balls.
     Crowded addresses are left out there and dealt over tasks of their own.
     """
     total = nodes.count()
-    later = segments.start > 0
+    later = whole or segments.start > 0
     crowds = _crowds(nodes, total, shape, range(segments.start, segments.stop))
     repeated = _crowds(nodes, total, shape, again) if len(again) else {}
     size = entry_bytes(shape, later)
@@ -508,24 +545,24 @@ def near_candidates(nodes: DataFrame, shape: Shape, segments: range, again: rang
             at.append(np.broadcast_to(rows[:, None], address.shape)[here])
         address, row = np.concatenate(parts), np.concatenate(at)
         order = np.argsort(address, kind="stable")
-        return _pairs_table(_named(address[order], row[order], ids, labels, words, shape))
+        return _pairs_table(_named(address[order], row[order], ids, labels, words, shape, whole))
 
     even = nodes.select("node", "label", "fp").repartition(partitions, "fp")
     found = even.mapInArrow(probe, "g long, rows binary").groupBy("g").applyInArrow(match, "a long, b long")
     if crowds or repeated:
-        found = found.union(_dealt_candidates(even, shape, segments, again, crowds, repeated))
+        found = found.union(_dealt_candidates(even, shape, segments, again, crowds, repeated, whole))
     return found.distinct()
 
 
-def _dealt_candidates(nodes: DataFrame, shape: Shape, segments: range, again: range, crowds: dict, repeated: dict) -> DataFrame:
+def _dealt_candidates(nodes: DataFrame, shape: Shape, segments: range, again: range, crowds: dict, repeated: dict, whole: bool = False) -> DataFrame:
     """Candidates of crowded addresses, which are dealt over tasks.
 
     In the first round, which knows no components yet, a member goes to one of them, so some pairs don't meet there; the second round takes
-    these addresses up ``again`` (of the first round's segments they are the only ones) and lets all pairs of different labels meet, whatever
+    these addresses up again and lets all pairs of different labels meet, whatever
     the labels: members of the most frequent label are dealt over some parts, the others over parts of their own, and there is a task
     for each two parts of others and for each part of others with each of that label.
     """
-    later = segments.start > 0
+    later = whole or segments.start > 0
     both = crowds | repeated
     looked_up = [(k, np.array(sorted(found), np.uint64)) for k, found in ((segments, crowds), (again, repeated)) if found]
 
@@ -559,7 +596,7 @@ def _dealt_candidates(nodes: DataFrame, shape: Shape, segments: range, again: ra
         base.forget()
         ids, labels = (table[c].to_numpy() for c in ("node", "label"))
         words = _words(table["fp"].combine_chunks())
-        return _pairs_table(_named(np.zeros(len(ids), np.uint64), np.arange(len(ids)), ids, labels, words, shape))
+        return _pairs_table(_named(np.zeros(len(ids), np.uint64), np.arange(len(ids)), ids, labels, words, shape, whole))
 
     entries = nodes.mapInArrow(probe, "address long, task long, node long, label long, fp binary")
     return entries.groupBy("address", "task").applyInArrow(match, "a long, b long")
@@ -609,10 +646,9 @@ def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
 
     marks = base.written(own.mapInArrow(run, "id long, t long, node long, fp binary"), "fingerprints")
     now = base.written(marks.groupBy("node").agg(F.min(F.struct("id", "t")).alias("least"), F.first("fp").alias("fp")).withColumn("label", F.col("node")), "nodes")
-    first = -(-shape.segments // 4)
     sets = None
-    for segments, again in ((range(first), range(0)), (range(first, shape.segments), range(first))):
-        candidates = base.written(near_candidates(now, shape, segments, again), "candidates")
+    for segments, whole in ((range(first_segments(shape)), False), (range(shape.segments), True)):
+        candidates = base.written(near_candidates(now, shape, segments, whole=whole), "candidates")
         named = now.join(candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
         new = base.written(spelled(named if sets is None else named.join(sets, "node", "left_anti")), "shingles")
         sets = new if sets is None else sets.unionByName(new)
