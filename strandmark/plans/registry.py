@@ -24,6 +24,9 @@ from strandmark.streaming import endpoints, ordered
 SINGLE = Params(sample="treated", control_sample="control", ndigenome_min_count=4, ndigenome_opposite_window=2, ndigenome_ambiguous_min_count=2, control_min_fold=3.0)
 DOUBLE = SINGLE.but(analysis="digenome", digenome_pair_window=3, digenome_forward_cutoff=2, digenome_reverse_cutoff=2, digenome_depth_cutoff=4, digenome_pair_score_cutoff=0.5)
 
+#: Of a stream's arriving files, so that their number grows with the reads and no task sees a fixed share of all.
+READS_A_FILE = 500_000
+
 
 def _inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     return Inputs(fixtures.reads(spark, sf_dir), fixtures.contigs(spark, sf_dir), fixtures.reads(spark, sf_dir, "control"), fixtures.variants(spark, sf_dir), fixtures.mask(spark, sf_dir))
@@ -377,7 +380,7 @@ def qc_document(spark, d):
 def streamed_pileups(spark, d):
     """Pile-ups of reads that arrive as files of a stream."""
     folder = new_folder(spark, "stream")
-    fixtures.reads(spark, d).repartition(3).write.parquet(f"{folder}/in")
+    fixtures.reads(spark, d).write.option("maxRecordsPerFile", READS_A_FILE).parquet(f"{folder}/in")
     endpoints.run(endpoints.endpoint_counts(spark, f"{folder}/in", 1), f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     return endpoints.current(spark, f"{folder}/out", 4)
 
