@@ -27,6 +27,9 @@ DOUBLE = SINGLE.but(analysis="digenome", digenome_pair_window=3, digenome_forwar
 #: Of a stream's arriving files, so that their number grows with the reads and no task sees a fixed share of all.
 READS_A_FILE = 500_000
 
+#: That a batch of the ordered stream takes at once, and a piece of work for as many tasks.
+FILES_A_BATCH = 12
+
 
 def _inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     return Inputs(fixtures.reads(spark, sf_dir), fixtures.contigs(spark, sf_dir), fixtures.reads(spark, sf_dir, "control"), fixtures.variants(spark, sf_dir), fixtures.mask(spark, sf_dir))
@@ -386,16 +389,15 @@ def streamed_pileups(spark, d):
 
 
 def ordered_pileups(spark, d):
-    """Pile-ups of reads that arrive in coordinate order, half a contig a file, given out once a later read has passed them."""
+    """Pile-ups of reads that arrive in coordinate order, as files of a bounded number of reads, given out once a later read has passed them."""
     folder = new_folder(spark, "ordered")
-    reads, contigs = fixtures.reads(spark, d), fixtures.contigs(spark, d).orderBy("contig").collect()  # a row a contig
-    for c in contigs:
-        half = F.col("reference_start") < c["length"] // 2
-        for part in (half, ~half):
-            own = reads.where((F.col("contig") == c["contig"]) & part).repartitionByRange(1, "reference_start").sortWithinPartitions("reference_start", "read_ord")
-            own.write.mode("append").parquet(f"{folder}/in")
-    ordered.ended(spark, [c["contig"] for c in contigs]).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    ordered.run(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    reads, contigs = fixtures.reads(spark, d), [r["contig"] for r in fixtures.contigs(spark, d).collect()]  # a row a contig
+    order = ["contig", "reference_start", "read_ord"]
+    ranges = reads.count() // READS_A_FILE + 1
+    reads.repartitionByRange(ranges, *order).sortWithinPartitions(*order).write.option("maxRecordsPerFile", READS_A_FILE).parquet(f"{folder}/in")
+    ordered.in_turn(spark, f"{folder}/in")
+    ordered.ended(spark, contigs).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    ordered.run(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", files=FILES_A_BATCH, partitions=len(contigs)).awaitTermination()
     return ordered.final(spark, f"{folder}/out", 4)
 
 

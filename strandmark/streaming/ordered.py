@@ -6,7 +6,8 @@ than the reads that are still open there have ends. A read that goes back, withi
 ("not sorted"), as its place's counts may have been given out.
 
 Each task first counts its own piece of a file (places, counts, first and last start), so a contig that most reads lie on sends
-counts to its state and not reads. ``ended`` makes the rows that close contigs: a contig that is closed gives out all that is left and
+counts to its state and not reads. A batch may take several files at once where ``read_ord`` rises over all of them: pieces never span two parts of files, and
+are put in order by it. ``in_turn`` gives the files of one parallel write the times by which a stream takes them in order. ``ended`` makes the rows that close contigs: a contig that is closed gives out all that is left and
 takes no more reads.
 """
 
@@ -48,10 +49,10 @@ def _summed(place: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (contig, ord, start, place, counts), in the order of a file."""
+    """Of (contig, split, ord, start, place, counts), in the order of a file; a task may have several splits, which needn't be neighbours."""
     for batch in batches:
         df = batch.to_pandas()
-        for contig, own in df.groupby("contig", sort=False):
+        for (contig, _), own in df.groupby(["contig", "split"], sort=False):
             over = own["start"].isna()
             reads = own[~over].sort_values("ord", kind="stable")
             start = reads["start"].to_numpy(np.int64)
@@ -91,15 +92,33 @@ def ordered_counts(reads: DataFrame, min_mapq: int) -> DataFrame:
     """(contig, pos, strand, count) of eligible reads' 5' ends, each place once, of a stream of reads in order (append)."""
     place = 2 * R.endpoint() + F.when(R.has(R.REVERSE), 1).otherwise(0)
     # a read that doesn't count still tells how far the stream has come
-    slim = reads.where("reference_start IS NULL OR flag & 4 = 0").select("contig", F.col("read_ord").alias("ord"), F.col("reference_start").alias("start"), place.cast("long").alias("place"), F.coalesce(R.eligible(min_mapq), F.lit(False)).alias("counts"))
+    split = F.xxhash64(F.input_file_name(), F.input_file_block_start())
+    slim = reads.where("reference_start IS NULL OR flag & 4 = 0").select("contig", split.alias("split"), F.col("read_ord").alias("ord"), F.col("reference_start").alias("start"), place.cast("long").alias("place"), F.coalesce(R.eligible(min_mapq), F.lit(False)).alias("counts"))
     parts = slim.mapInArrow(pieces, PIECE)
     return parts.groupBy("contig").applyInPandasWithState(passed, COUNTS, STATE, "append", GroupStateTimeout.NoTimeout)
 
 
-def run(spark: SparkSession, source: str, target: str, checkpoint: str, min_mapq: int = 1) -> StreamingQuery:
-    """Takes the files that have come to the folder, in the order of their times, one a batch."""
-    reads = spark.readStream.schema(READ_SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
-    return ordered_counts(reads, min_mapq).writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+def in_turn(spark: SparkSession, folder: str) -> None:
+    """Sets the times of a folder's files in the order of their names, a second apart, none later than the last one's."""
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    files = sorted((f for f in fs.listStatus(Path(folder)) if f.getPath().getName()[0] not in "_."), key=lambda f: f.getPath().getName())
+    last = max((f.getModificationTime() for f in files), default=0)
+    for k, f in enumerate(files, 1):
+        fs.setTimes(f.getPath(), last - 1000 * (len(files) - k), -1)
+
+
+def run(spark: SparkSession, source: str, target: str, checkpoint: str, min_mapq: int = 1, files: int = 1, partitions: int | None = None) -> StreamingQuery:
+    """Takes the files that have come to the folder, in the order of their times, so many a batch. Several need a ``read_ord`` that rises over them all.
+    The state is dealt out by contig over ``partitions`` (of a new checkpoint; by default as many as the session's shuffles have)."""
+    reads = spark.readStream.schema(READ_SCHEMA).option("maxFilesPerTrigger", files).parquet(source)
+    writer = ordered_counts(reads, min_mapq).writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True)
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions or usual))
+        return writer.start()  # which takes the settings over
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
 
 
 def final(spark: SparkSession, target: str, min_count: int) -> DataFrame:

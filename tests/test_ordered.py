@@ -3,11 +3,13 @@
 import random
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import StreamingQueryException
 from util import frame, read
 
 from strandmark.operators import sites
+from strandmark.plans import registry
 from strandmark.schema import READ_SCHEMA
 from strandmark.streaming import ordered
 
@@ -67,3 +69,24 @@ def test_reads_that_go_back_fail(spark, tmp_path, files):
             order += len(starts)
     with pytest.raises(StreamingQueryException, match="not sorted|after its end"):
         ordered.run(spark, *where).awaitTermination()
+
+
+def test_a_piece_lies_in_one_part_of_a_file():
+    """A task's rows may be of files with another one between them."""
+    columns = {"contig": ["chr1"] * 4, "split": [1, 1, 3, 3], "ord": [0, 1, 20, 21], "start": [5, 6, 50, 51], "place": [10, 12, 100, 102], "counts": [True] * 4}
+    got = [r for b in ordered.pieces(iter([pa.RecordBatch.from_pydict(columns)])) for r in b.to_pylist()]
+    assert [(r["first_start"], r["last_start"]) for r in got] == [(5, 6), (50, 51)]
+
+
+def test_more_reads_are_more_files_that_are_taken_several_at_once(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(registry, "READS_A_FILE", 100, raising=False)
+    monkeypatch.setattr(registry, "new_folder", lambda spark, name: f"file://{tmp_path}/{name}")
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    found = registry.ordered_pileups(spark, "/root/testdata/sf0.001")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == usual
+    files = spark.read.parquet(f"file://{tmp_path}/ordered/in").where("reference_start IS NOT NULL").selectExpr("input_file_name() AS f").groupBy("f").count().collect()
+    assert len(files) > 30 and max(r["count"] for r in files) <= 100
+    batches = len(list((tmp_path / "ordered/checkpoint/commits").glob("[0-9]*")))
+    assert batches < len(files) / 6
+    want = registry.endpoint_pileups(spark, "/root/testdata/sf0.001")
+    assert rows_of(found) == rows_of(want)
