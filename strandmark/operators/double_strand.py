@@ -45,6 +45,7 @@ def candidates(reads: DataFrame, params: Params, mask: DataFrame | None = None,
     one = lambda strand, name: F.struct(F.col(name).alias("pos"), F.lit(strand).alias("strand"))
     wanted = pairs.select("contig", F.explode(F.array(one("+", "forward_position"), one("-", "reverse_position"))).alias("s")).select("contig", "s.*")
     measured = S.metrics(wanted, reads, params.artifact_window, params.digenome_min_mapq) if metrics else S.depths(wanted, reads, params.digenome_min_mapq)
+    measured = by_rows(written(measured, "measured"))  # both strands' sides are of it
     names = METRICS if metrics else ["endpoint_count", "strand_depth", "endpoint_fraction"]
     side = lambda strand, name, out: measured.where(F.col("strand") == strand).select("contig", F.col("pos").alias(name), F.struct(*names).alias(out))
     pairs = pairs.join(side("+", "forward_position", "f"), ["contig", "forward_position"]).join(side("-", "reverse_position", "r"), ["contig", "reverse_position"])

@@ -58,6 +58,7 @@ def control(calls: DataFrame, reads: DataFrame | None, contigs: DataFrame, param
         places = D.grid_places(calls.select("contig", F.col("forward_position_0based").alias("forward_position"), F.col("reverse_position_0based").alias("reverse_position")), params.digenome_overhang)
     reads = S.cut(reads, places, 0)
     found = S.depths(wanted, reads, params.min_mapq).select(*CALL, F.struct(F.col("endpoint_count").alias("n"), F.col("strand_depth").alias("d"), F.col("endpoint_fraction").alias("f")).alias("c"))
+    found = by_rows(written(found, "control-depths"))  # both sides are of it
     nothing = F.struct(zero.alias("n"), zero.alias("d"), F.lit(0.0).alias("f"))
     out = calls
     for side, strand in (("forward", "+"), ("reverse", "-")):

@@ -64,8 +64,8 @@ def _merged(ranges: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
 
 
 def _owned_components(pairs: DataFrame, own: Column, overhang: int) -> DataFrame:
-    """pairs, with ``component``, of components that hold an owned pair."""
-    every = double_strand.components(pairs, overhang)
+    """pairs, with ``component``, of components that hold an owned pair. Components are written: they are asked here twice, for the reach, and again by the call."""
+    every = by_rows(written(double_strand.components(pairs, overhang), "components"))
     return every.join(every.where(own).select("contig", "component").distinct(), ["contig", "component"], "left_semi")
 
 
