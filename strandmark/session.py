@@ -76,14 +76,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
-#: Rows up to which Spark may broadcast a written table by the size of its files.
-MOST_BROADCAST = 100_000
+#: Values (rows times columns) up to which Spark may broadcast a written table by the size of its files.
+MOST_BROADCAST = 400_000
 
 
 def by_rows(table: DataFrame) -> DataFrame:
-    """A written table, with the hint to merge it in joins where it has many rows. Spark goes by the size of the files, and few megabytes of packed
-    positions are hundreds as the hashed rows of a broadcast, which the driver holds. Join a table with the hint to a small one by ``F.broadcast``."""
-    if table.count() <= MOST_BROADCAST:  # from the files' footers
+    """A written table, with the hint to merge it in joins where it has many rows for their width. Spark goes by the size of the files, and few megabytes of
+    packed positions are hundreds as the hashed rows of a broadcast, which the driver holds. Join a table with the hint to a small one by ``F.broadcast``."""
+    if table.count() * len(table.columns) <= MOST_BROADCAST:  # rows from the files' footers
         return table
     hinted = table.hint("merge")
     hinted._written_to = getattr(table, "_written_to", None)

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from strandmark import session
 from strandmark.operators import double_strand, single_strand
 from strandmark.schema import Params
@@ -27,3 +29,13 @@ def test_written_tables_of_many_rows_are_merged_however_small_their_files(spark,
 def test_few_rows_may_be_broadcast(spark):
     few = by_rows(written(spark.range(10), "few"))
     assert few._written_to and "BroadcastHashJoin" in plan_of(spark.range(1_000_000).join(few, "id"))
+
+
+def test_wide_rows_are_merged_where_as_many_slim_ones_may_be_broadcast(spark, tmp_path):
+    """Rows of sixty columns fill a broadcast long before rows of two do."""
+    slim = by_rows(written(spark.range(20_000).withColumn("a", F.col("id") % 7), "slim"))
+    wide = by_rows(written(spark.range(20_000).withColumns({f"a{k}": F.col("id") % 7 for k in range(60)}), "wide"))
+    spark.range(5_000_000).write.parquet(str(tmp_path / "many"))
+    many = spark.read.parquet(str(tmp_path / "many"))
+    assert "BroadcastHashJoin" in plan_of(many.join(slim, "id"))
+    assert "BroadcastHashJoin" not in plan_of(many.join(wide, "id"))
