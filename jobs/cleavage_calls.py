@@ -22,10 +22,11 @@ from pyspark.sql import functions as F
 
 from jobs.common import LOG, command_line, config_of
 from strandmark.operators import filters, sinks, sites
-from strandmark.plans.calling import Inputs, call
+from strandmark.plans.calling import Inputs
+from strandmark.plans.calling import calls as calls_of
 from strandmark.plans.oracle import ORACLE_SQL
 from strandmark.schema import Params
-from strandmark.session import discard, new_folder, written
+from strandmark.session import new_folder
 from strandmark.sources import fixtures
 
 CONFIG = Path(__file__).with_suffix(".json")
@@ -55,19 +56,20 @@ def run(spark: SparkSession, tables: str, out: str, config: dict | None = None)
     for r in sites.contig_density(inputs.reads).orderBy("contig").collect():  # a row a contig
         LOG.info("read %s: %s has %d mapped reads", tables, r["contig"], r["mapped"])
     total = {}
-    for analysis in config["analyses"]:
-        params = Params(sample=config["sample"], control_sample=config["control_sample"], analysis=analysis, **config["thresholds"])
-        got = call(inputs, params, checks=config["check_inputs"])
-        table = written(got.table.withColumn("tier", filters.tier()), "job-calls")
+    analyses = [Params(sample=config["sample"], control_sample=config["control_sample"], analysis=analysis, **config["thresholds"]) for analysis in config["analyses"]]
+    for params, got in zip(analyses, calls_of(inputs, analyses, checks=config["check_inputs"])):
+        analysis = params.analysis
         place = lambda what: f"{out}/{what}/analysis={analysis}/sample={params.sample}"  # noqa: B023, E731
-        table.drop(*KEYS).repartitionByRange("tier", "contig", "position_0based").sortWithinPartitions(*sinks.ORDER).write.mode("overwrite").partitionBy("tier").parquet(place("calls"))
+        rows = got.table.withColumn("tier", filters.tier()).drop(*KEYS)
+        rows.repartitionByRange("tier", "contig", "position_0based").sortWithinPartitions(*sinks.ORDER).write.mode("overwrite").partitionBy("tier").parquet(place("calls"))
+        # what else is written comes from the calls as they stand
+        table = spark.read.schema(rows.schema).parquet(place("calls")).withColumns({"analysis": F.lit(analysis), "sample": F.lit(params.sample)})
         sinks.bed(table).orderBy("contig", "start", "bed_strand").write.mode("overwrite").option("sep", "\t").csv(place("bed"))
         candidates = got.candidates.agg(F.lit("candidates").alias("kind"), F.lit("all").alias("value"), F.count("*").alias("n"))
         sinks.counts(table).unionByName(candidates).coalesce(1).write.mode("overwrite").json(place("qc"))
         by_tier = {r["tier"]: r["count"] for r in table.groupBy("tier").count().collect()}  # a row a tier
         total[analysis] = sum(by_tier.values())
         LOG.info("wrote %s: %d calls: %s", place("calls"), total[analysis], ", ".join(f"{n} {t}" for t, n in sorted(by_tier.items())))
-        discard(table)
     return total
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -46,6 +47,7 @@ def fold_enrichment(te: Column, td: Column, ce: Column, cd: Column) -> Column:
     return ((te + 0.5) / (td + 1.0)) / ((ce + 0.5) / (cd + 1.0))
 
 
+@lru_cache(1 << 16)
 def fisher_two_sided(a: int, b: int, c: int, d: int) -> float:
     """Sum of the tables' probabilities that don't exceed the observed one's by more than 1e-12 of it."""
     n1, n2, k = a + b, c + d, a + c
@@ -61,7 +63,7 @@ def fisher_two_sided(a: int, b: int, c: int, d: int) -> float:
 
 @pandas_udf(DoubleType())
 def fisher(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
-    """Distinct tables are computed once a batch."""
+    """Distinct tables are computed once a batch, those that a worker has met before not at all."""
     tables = pd.DataFrame({"a": a, "b": b, "c": c, "d": d})
     distinct = tables.drop_duplicates()
     distinct = distinct.assign(p=[fisher_two_sided(*map(int, t)) for t in distinct.itertuples(index=False)])

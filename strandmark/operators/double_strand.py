@@ -13,23 +13,29 @@ from pyspark.sql import functions as F
 from strandmark.functions.statistics import contribution, pair_score, ratio, weighted_mean
 from strandmark.operators import scans
 from strandmark.operators import sites as S
-from strandmark.operators.intervals import outside
+from strandmark.operators.intervals import covered
 from strandmark.schema import METRICS, Params
 from strandmark.session import by_rows, written
 
 PAIR = ["contig", "forward_position", "reverse_position"]
 
 
-def edges(reads: DataFrame, params: Params, mask: DataFrame | None = None, within: Column | None = None) -> DataFrame:
-    """PAIR of the pile-ups around the expected distance; only of pile-ups that are ``within`` (a condition on contig and pos), if given.
+def least_count(params: Params) -> int:
+    """Of a pile-up that can be a side of a pair: that of the laxer strand, so pairs with too few on one side are there too."""
+    return min(params.digenome_forward_cutoff, params.digenome_reverse_cutoff) + 1
 
-    The minimum is that of the laxer strand, so pairs with too few on one side are there too.
-    """
-    least = min(params.digenome_forward_cutoff, params.digenome_reverse_cutoff) + 1
-    found = S.pileups(reads, least, params.digenome_min_mapq, mask)
-    if within is not None:
-        found = found.where(within)
-    found = by_rows(written(found, "piles"))
+
+def edges(reads: DataFrame, params: Params, mask: DataFrame | None = None, within: Column | None = None, piles: DataFrame | None = None) -> DataFrame:
+    """PAIR of the pile-ups around the expected distance; only of pile-ups that are ``within`` (a condition on contig and pos), if given. ``piles``: written pile-ups,
+    if there are such already."""
+    least = least_count(params)
+    if piles is None:
+        found = S.pileups(reads, least, params.digenome_min_mapq, mask)
+        if within is not None:
+            found = found.where(within)
+        found = by_rows(written(found, "piles"))
+    else:
+        found = piles.where(F.col("count") >= least)
     w = params.digenome_pair_window
     forward = found.where("strand = '+'").select("contig", F.col("pos").alias("forward_position"))
     reverse = found.where("strand = '-'").select("contig", F.col("pos").alias("reverse_position"))
@@ -38,14 +44,20 @@ def edges(reads: DataFrame, params: Params, mask: DataFrame | None = None, withi
     return by_rows(written(pairs.select(*PAIR), "edges"))
 
 
-def candidates(reads: DataFrame, params: Params, mask: DataFrame | None = None, metrics: bool = True, pairs: DataFrame | None = None) -> DataFrame:
+def sides(pairs: DataFrame, forward: str = "forward_position", reverse: str = "reverse_position") -> DataFrame:
+    """(contig, pos, strand) of both endpoints of each pair."""
+    one = lambda strand, name: F.struct(F.col(name).alias("pos"), F.lit(strand).alias("strand"))
+    return pairs.select("contig", F.explode(F.array(one("+", forward), one("-", reverse))).alias("s")).select("contig", "s.*")
+
+
+def candidates(reads: DataFrame, params: Params, mask: DataFrame | None = None, metrics: bool = True, pairs: DataFrame | None = None, measured: DataFrame | None = None) -> DataFrame:
     """Pairs of a forward and a reverse pile-up around the expected distance, with score and caller reasons; ``pairs``: those to look at,
-    if they are known already."""
+    if they are known already; ``measured``: the written metrics at their sides, so too."""
     pairs = edges(reads, params, mask) if pairs is None else pairs
-    one = lambda strand, name: F.struct(F.col(name).alias("pos"), F.lit(strand).alias("strand"))
-    wanted = pairs.select("contig", F.explode(F.array(one("+", "forward_position"), one("-", "reverse_position"))).alias("s")).select("contig", "s.*")
-    measured = S.metrics(wanted, reads, params.artifact_window, params.digenome_min_mapq) if metrics else S.depths(wanted, reads, params.digenome_min_mapq)
-    measured = by_rows(written(measured, "measured"))  # both strands' sides are of it
+    if measured is None:
+        wanted = sides(pairs)
+        measured = S.metrics(wanted, reads, params.artifact_window, params.digenome_min_mapq) if metrics else S.depths(wanted, reads, params.digenome_min_mapq)
+        measured = by_rows(written(measured, "measured"))  # both strands' sides are of it
     names = METRICS if metrics else ["endpoint_count", "strand_depth", "endpoint_fraction"]
     side = lambda strand, name, out: measured.where(F.col("strand") == strand).select("contig", F.col("pos").alias(name), F.struct(*names).alias(out))
     pairs = pairs.join(side("+", "forward_position", "f"), ["contig", "forward_position"]).join(side("-", "reverse_position", "r"), ["contig", "reverse_position"])
@@ -224,12 +236,14 @@ def select_pairs(pairs: DataFrame, overhang: int) -> DataFrame:
     slim = slim.withColumns({"_star": first_last("forward_position") | first_last("reverse_position"), "_k": F.row_number().over(order)})
     easy = slim.where("_star AND _k = 1").select(*PAIR)
 
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["forward_position", "reverse_position"])
-        return pdf.iloc[assignment(list(pdf[["forward_position", "reverse_position", "good", "pair_score"]].itertuples(index=False, name=None)))][PAIR]
+    @F.pandas_udf("array<int>")
+    def choose(forward: pd.Series, reverse: pd.Series, good: pd.Series, score: pd.Series) -> pd.Series:
+        return pd.Series([assignment([(int(f), int(r), bool(g), float(s)) for f, r, g, s in zip(*edges)]) for edges in zip(forward, reverse, good, score)])
 
-    hard = slim.where("NOT _star").select(*PAIR, "component", "good", "pair_score")
-    hard = hard.groupBy("contig", "component").applyInPandas(choose, "contig string, forward_position long, reverse_position long")
+    fields = ["forward_position", "reverse_position", "good", "pair_score"]
+    hard = slim.where("NOT _star").groupBy("contig", "component").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("e"))
+    hard = hard.withColumn("_chosen", choose(*[F.col(f"e.{f}") for f in fields])).select("contig", "e", F.explode("_chosen").alias("_k"))
+    hard = hard.select("contig", *[F.element_at("e", F.col("_k") + 1)[f].alias(f) for f in PAIR[1:]])
     return pairs.join(easy.union(hard), PAIR, "left_semi")
 
 
@@ -256,47 +270,64 @@ def grid_places(pairs: DataFrame, overhang: int) -> DataFrame:
     return pairs.select("contig", F.explode(F.array(*[F.greatest(e, F.lit(0)) for e in ends])).alias("pos"))
 
 
+def grid_offsets(overhang: int) -> list[int]:
+    """Of the score's places from the forward position."""
+    return sorted({anchor + k for anchor in (0, overhang - 1) for k in range(-2, 3)})
+
+
+def grid_reach(overhang: int) -> int:
+    """That reads must be cut with (sites.cut) to score them."""
+    return max(map(abs, grid_offsets(overhang)))
+
+
 def single_precision_score(positions: DataFrame, reads: DataFrame, contigs: DataFrame, overhang: int, min_mapq: int, mask: DataFrame | None = None, name: str = "rgen_digenome_score") -> DataFrame:
     """(contig, forward_position, name): the five-position score around each forward position.
 
     Places outside the contig or in the mask add nothing. The forward anchor is the position, the reverse one
     position + overhang - 1; sums are rounded to FLOAT in the order of offsets.
     """
-    own = positions.select("contig", "forward_position").distinct()
-    wanted = own.select(*own.columns, F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(s).alias("s")) for k in range(-2, 3) for s in ("f", "r")])).alias("o"))
-    centre = F.col("forward_position") + F.when(F.col("o.s") == "r", overhang - 1).otherwise(0)
-    wanted = wanted.select("contig", "forward_position", F.col("o.k").alias("k"), F.col("o.s").alias("s"), (centre + F.col("o.k")).alias("pos"))
-    valid = outside(wanted.join(F.broadcast(contigs), "contig").where("pos >= 0 AND pos < length").select("contig", "pos").distinct(), mask)
-    base = S.single_base(valid, reads, min_mapq)
-    flat = wanted.join(base, ["contig", "pos"], "left")
-    grid = [F.max(F.when((F.col("k") == k) & (F.col("s") == s), F.struct(F.col("forward_endpoint_count").alias("f"), F.col("reverse_endpoint_count").alias("r"), F.col("total_depth").alias("d")))).alias(f"{s}{k + 2}") for k in range(-2, 3) for s in ("f", "r")]
-    wide = flat.groupBy("contig", "forward_position").agg(*grid)
+    offsets = grid_offsets(overhang)
+    own = positions.select("contig", F.col("forward_position").alias("pos")).distinct()
+    hidden = own.withColumn("_hidden", F.lit(0).cast("long")) if mask is None else own.join(covered(own, mask, offsets, "_hidden"), ["contig", "pos"], "left")
+    lengths = contigs.groupBy("contig").agg(F.max("length").alias("_length"))
+    wide = hidden.join(F.broadcast(lengths), "contig", "left").join(S.around(own, reads, offsets, min_mapq), ["contig", "pos"], "left")
+    there = [f"pos + ({o}) >= 0 AND pos + ({o}) < _length AND (coalesce(_hidden, 0L) & {1 << n}L) = 0" for n, o in enumerate(offsets)]
+    wide = wide.select("contig", "pos", *[F.expr(f"CASE WHEN {t} THEN coalesce({c}{n}, 0L) ELSE 0L END").alias(f"{c}{n}") for n, t in enumerate(there) for c in "frd"])
     total = "CAST(0 AS FLOAT)"
-    for k in range(5):
-        z = lambda c: f"coalesce({c}, 0L)"
-        forward = contribution(z("f2.f"), z("f2.d"), z(f"r{k}.r"), z(f"r{k}.d"))
-        reverse = contribution(z("r2.r"), z("r2.d"), z(f"f{k}.f"), z(f"f{k}.d"))
+    of = lambda count, anchor, k: f"{count}{offsets.index(anchor + k)}"
+    back = overhang - 1
+    for k in range(-2, 3):
+        forward = contribution(of("f", 0, 0), of("d", 0, 0), of("r", back, k), of("d", back, k))
+        reverse = contribution(of("r", back, 0), of("d", back, 0), of("f", 0, k), of("d", 0, k))
         total = f"CAST(CAST({reverse} + {forward} AS FLOAT) + {total} AS FLOAT)"
-    return wide.select("contig", "forward_position", F.expr(total).cast("double").alias(name))
+    return wide.select("contig", F.col("pos").alias("forward_position"), F.expr(total).cast("double").alias(name))
+
+
+def reach(params: Params) -> int:
+    """That a call's reads are cut with."""
+    return max(params.artifact_window, grid_reach(params.digenome_overhang))
 
 
-def calls(reads: DataFrame, contigs: DataFrame, params: Params, mask: DataFrame | None = None, pairs: DataFrame | None = None, own: Column | None = None) -> tuple[DataFrame, DataFrame]:
+def calls(reads: DataFrame, contigs: DataFrame, params: Params, mask: DataFrame | None = None, pairs: DataFrame | None = None, own: Column | None = None, measured: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(candidate pairs, call rows before controls and filters). With ``pairs`` (PAIR, whole components) these are assigned; with ``own``
-    (a condition on contig and forward_position) only those for which it holds go on."""
-    known = edges(reads, params, mask) if pairs is None else by_rows(written(pairs, "edges"))
-    reads = S.cut(reads, grid_places(known, params.digenome_overhang), params.artifact_window)
-    pairs = by_rows(written(candidates(reads, params, mask, pairs=known), "pairs"))
+    (a condition on contig and forward_position) only those for which it holds go on. ``measured``, with written ``pairs`` and cut reads: as for ``candidates``."""
+    if measured is None:
+        known = edges(reads, params, mask) if pairs is None else by_rows(written(pairs, "edges"))
+        reads = S.cut(reads, grid_places(known, params.digenome_overhang), reach(params))
+    else:
+        known = pairs
+    pairs = by_rows(written(candidates(reads, params, mask, pairs=known, measured=measured), "pairs"))
     chosen = select_pairs(pairs, params.digenome_overhang)
     if own is not None:
         chosen, pairs = chosen.where(own), pairs.where(own)
     chosen = by_rows(written(chosen, "chosen"))
-    score = single_precision_score(chosen, reads, contigs, params.digenome_overhang, params.digenome_min_mapq, mask)
+    score = by_rows(written(single_precision_score(chosen, reads, contigs, params.digenome_overhang, params.digenome_min_mapq, mask), "scores"))
     own = chosen.join(score, ["contig", "forward_position"])
-    sides = {f"{name}_{out}": F.col(f"{s}.{c}") for s, name in (("f", "forward"), ("r", "reverse")) for out, c in (("endpoint_count", "endpoint_count"), ("depth", "strand_depth"), ("fraction", "endpoint_fraction"))}
+    both = {f"{name}_{out}": F.col(f"{s}.{c}") for s, name in (("f", "forward"), ("r", "reverse")) for out, c in (("endpoint_count", "endpoint_count"), ("depth", "strand_depth"), ("fraction", "endpoint_fraction"))}
     rows = own.select(
         "contig", F.col("forward_position").alias("pos"), F.lit("both").alias("strand"), *[c.alias(n) for n, c in combined().items()],
         F.col("forward_position").alias("forward_position_0based"), F.col("reverse_position").alias("reverse_position_0based"), F.col("reverse_position").alias("opposite_position_0based"),
         F.col("r.endpoint_count").alias("opposite_count"), F.col("r.strand_depth").alias("opposite_depth"), F.col("r.endpoint_fraction").alias("opposite_fraction"),
-        *[c.alias(n) for n, c in sides.items()], F.col("pair_score").alias("digenome_pair_score"), "rgen_digenome_score", F.lit("DSB").alias("signal_classification"), "caller_reasons",
+        *[c.alias(n) for n, c in both.items()], F.col("pair_score").alias("digenome_pair_score"), "rgen_digenome_score", F.lit("DSB").alias("signal_classification"), "caller_reasons",
     )
     return pairs, rows

@@ -88,6 +88,19 @@ def _in_levels(df: DataFrame, start: Column, end: Column, name: str) -> DataFram
     return own.withColumn("_bin", F.explode(bins)).withColumn(name, F.col("_own") == F.col("_level")).drop("_own")
 
 
+def covered(points: DataFrame, intervals: DataFrame, offsets: list[int], name: str) -> DataFrame:
+    """(contig, pos, name) of the points(contig, pos) with an interval nearby: bit k of ``name`` is set where pos + offsets[k] lies in one. A point
+    is a row a level (two across a bin's end), not one for each offset."""
+    low, high = F.col("pos") + min(offsets), F.col("pos") + max(offsets) + 1
+    level = lambda k, w: F.transform(F.sequence(F.floor(low / (BIN * w)), F.floor((high - 1) / (BIN * w))), lambda b: F.struct(F.lit(k).alias("_level"), b.alias("_bin")))
+    p = points.select("contig", "pos", F.explode(F.concat(*[level(k, w) for k, w in enumerate(WIDTHS)])).alias("_place")).select("contig", "pos", "_place.*")
+    homes = at_home(intervals.select("contig", "start", "end"), F.col("start"), F.col("end"))
+    hits = p.join(homes, ["_bin", "_level", "contig"]).where((F.col("start") < high) & (F.col("end") > low))
+    within = lambda o: (F.col("start") <= F.col("pos") + o) & (F.col("pos") + o < F.col("end"))
+    bits = sum((F.when(within(o), F.lit(1 << k)).otherwise(0) for k, o in enumerate(offsets)), F.lit(0).cast("long"))
+    return hits.groupBy("contig", "pos").agg(F.bit_or(bits).alias(name))
+
+
 def outside(points: DataFrame, mask: DataFrame | None, pos: str = "pos") -> DataFrame:
     return points if mask is None else at_positions(points, mask, pos, "left_anti")
 

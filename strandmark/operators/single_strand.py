@@ -19,15 +19,20 @@ def scan(reads: DataFrame, params: Params, mask: DataFrame | None = None, own: C
     if own is not None:
         scanned = scanned.where(own)
     scanned = by_rows(written(scanned, "scanned"))
+    return scanned, S.cut(reads, places(scanned, params), params.artifact_window)
+
+
+def places(scanned: DataFrame, params: Params) -> DataFrame:
+    """(contig, pos) at which evidence for the pile-ups is asked for: their own and those of opposites, one in each bin at least."""
     w = params.ndigenome_opposite_window
     low, high = F.greatest(F.col("pos") - w, F.lit(0)), F.col("pos") + w
-    places = scanned.select("contig", F.explode(F.array_union(F.sequence(low, high, F.lit(BIN).cast("long")), F.array("pos", high))).alias("pos"))
-    return scanned, S.cut(reads, places, params.artifact_window)
+    return scanned.select("contig", F.explode(F.array_union(F.sequence(low, high, F.lit(BIN).cast("long")), F.array("pos", high))).alias("pos"))
 
 
-def focal(scanned: DataFrame, reads: DataFrame, params: Params) -> DataFrame:
-    """The scanned pile-ups whose fraction passes too, with their metrics."""
-    measured = S.metrics(scanned, reads, params.artifact_window, params.ndigenome_min_mapq)
+def focal(scanned: DataFrame, reads: DataFrame, params: Params, measured: DataFrame | None = None) -> DataFrame:
+    """The scanned pile-ups whose fraction passes too, with their metrics; ``measured``: these, if they are known already."""
+    if measured is None:
+        measured = S.metrics(scanned, reads, params.artifact_window, params.ndigenome_min_mapq)
     return scanned.drop("count").join(measured, S.SITE).where(F.col("endpoint_fraction") >= params.ndigenome_min_fraction)
 
 
@@ -36,9 +41,8 @@ def best_opposite(sites: DataFrame, reads: DataFrame, params: Params, mask: Data
     opposite_depth, opposite_fraction). Offsets are exploded, so the band join is an equi-join."""
     w = params.ndigenome_opposite_window
     asked = sites.select(*S.SITE, F.when(F.col("strand") == "+", "-").otherwise("+").alias("o_strand"), F.explode(F.sequence(F.greatest(F.col("pos") - w, F.lit(0)), F.col("pos") + w)).alias("o_pos"))
-    places = asked.select("contig", F.col("o_pos").alias("pos"), F.col("o_strand").alias("strand")).distinct()
-    ends = outside(S.endpoints(reads, params.ndigenome_min_mapq, places), mask).select("contig", F.col("pos").alias("o_pos"), F.col("strand").alias("o_strand"))
-    pairs = by_rows(written(asked.join(ends, ["contig", "o_pos", "o_strand"]), "opposites"))
+    ends = S.endpoints(reads, params.ndigenome_min_mapq).select("contig", F.col("pos").alias("o_pos"), F.col("strand").alias("o_strand"))
+    pairs = by_rows(written(outside(asked.join(ends, ["o_pos", "contig", "o_strand"]), mask, "o_pos"), "opposites"))
     measured = S.depths(pairs.select("contig", F.col("o_pos").alias("pos"), F.col("o_strand").alias("strand")), reads, params.ndigenome_min_mapq)
     measured = measured.select("contig", F.col("pos").alias("o_pos"), F.col("strand").alias("o_strand"), F.col("endpoint_count").alias("n"), F.col("strand_depth").alias("d"), F.col("endpoint_fraction").alias("f"))
     primary = (F.col("n") >= params.ndigenome_min_count) & (F.col("f") >= params.ndigenome_min_fraction)
@@ -54,11 +58,14 @@ def signal(params: Params):
     return F.when(primary, "POSSIBLE_DSB").when(ambiguous, "AMBIGUOUS").otherwise("SSB")
 
 
-def calls(reads: DataFrame, params: Params, mask: DataFrame | None = None, own: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """(scanned pile-ups, call rows before controls and filters)."""
-    scanned, reads = scan(reads, params, mask, own)
-    sites = by_rows(written(focal(scanned, reads, params), "sites"))  # few rows of many reads, and read several times from here on
-    found = sites.join(best_opposite(sites, reads, params, mask), S.SITE, "left")
+def calls(reads: DataFrame, params: Params, mask: DataFrame | None = None, own: Column | None = None, scanned: DataFrame | None = None, measured: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(scanned pile-ups, call rows before controls and filters). ``scanned`` and ``measured``, with cut reads: pile-ups and their metrics, if they are known already."""
+    if scanned is None:
+        scanned, reads = scan(reads, params, mask, own)
+    sites = by_rows(written(focal(scanned, reads, params, measured), "sites"))  # few rows of many reads, and read several times from here on
+    best = by_rows(written(best_opposite(sites, reads, params, mask), "best-opposites"))
+    # of written tables from here on, so that the wide rows are put together where they are wanted, and nowhere before
+    found = sites.join(best, S.SITE, "left")
     found = found.fillna({"opposite_count": 0, "opposite_depth": 0, "opposite_fraction": 0.0}).withColumn("signal_classification", signal(params))
     plus = F.col("strand") == "+"
     either = lambda own, other: (F.when(plus, F.col(own)).otherwise(F.col(other)), F.when(plus, F.col(other)).otherwise(F.col(own)))

@@ -29,7 +29,7 @@ def bin_map(places: DataFrame) -> DataFrame:
 def cut(reads: DataFrame, places: DataFrame, reach: int) -> DataFrame:
     """The reads that can be evidence at places(contig, pos), once and for all: a row for each read and each bin that holds a
     place and lies within ``reach`` of the read. What ``metrics``, ``depths``, ``single_base`` and ``endpoints`` make of them at these places (with
-    windows up to ``reach``) is what they make of all reads.
+    windows up to ``reach``) is what they make of all reads; so of ``around`` with offsets up to it.
 
     One pass, without an exchange: the map of bins is broadcast, its size is bounded. Rows are slim (a CIGAR only where it
     has clips or indels, a name only with indels) and written, so that the steps that follow read these few and no others.
@@ -69,7 +69,7 @@ def _around(sites: DataFrame, reads: DataFrame, window: int) -> DataFrame:
     s = sites.select(*SITE).distinct().withColumn("_bin", F.floor(F.col("pos") / intervals.BIN))
     r = _binned(reads.where(~R.has(R.UNMAPPED)), F.greatest(F.col("reference_start") - window, F.lit(0)), F.col("reference_end") + window)
     near = (F.col("reference_start") < F.col("pos") + window + 1) & (F.col("reference_end") > F.greatest(F.col("pos") - window, F.lit(0)))
-    return s.join(r, ["contig", "_bin"]).where(near)
+    return s.join(r, ["_bin", "contig"]).where(near)  # sorted by a number first: contigs are few
 
 
 def depths(sites: DataFrame, reads: DataFrame, min_mapq: int) -> DataFrame:
@@ -123,6 +123,7 @@ def modal_indels(near: DataFrame, window: int) -> DataFrame:
     events = near.where(F.col("cigar").rlike("[ID]")).select(*SITE, "read_ord", "query_name", "flag", "reference_start", F.posexplode(R.indel_events()).alias("_k", "event"))
     deletion = (F.col("event.pos") < high) & (F.col("event.pos") + F.col("event.length") > low)
     events = events.where(F.when(F.col("event.kind") == "DEL", deletion).otherwise((low <= F.col("event.pos")) & (F.col("event.pos") < high)))
+    events = by_rows(written(events.select(*SITE, "read_ord", "query_name", "flag", "reference_start", "_k", "event"), "indel-events"))  # both aggregations are of it
     counted = events.groupBy(*SITE, "event").agg(F.count("*").alias("n"), F.min(F.struct("read_ord", "_k")).alias("first"))
     rank = F.struct(F.col("n"), -F.col("first.read_ord"), -F.col("first._k"), -F.col("event.pos"))
     modal = counted.groupBy(*SITE).agg(F.max_by("event", rank).alias("indel"))
@@ -130,16 +131,27 @@ def modal_indels(near: DataFrame, window: int) -> DataFrame:
     return modal.join(alignments, SITE)
 
 
+def around(anchors: DataFrame, reads: DataFrame, offsets: list[int], min_mapq: int) -> DataFrame:
+    """(contig, pos, f0, r0, d0, f1, ...) at the distinct anchors(contig, pos) that any read is near: forward and reverse endpoints and depth at
+    pos + offsets[0], pos + offsets[1], ...; a read meets an anchor once, however many places around it are asked for."""
+    low, high = min(offsets), max(offsets)
+    binned = ["_bin"] if "_bin" in reads.columns else []
+    r = reads.where(R.eligible_rgen(min_mapq)).select("contig", *binned, "flag", "reference_start", "reference_end")
+    r = _binned(r, F.greatest(F.col("reference_start") - high, F.lit(0)), F.col("reference_end") - low)
+    a = anchors.select("contig", "pos").distinct().withColumn("_bin", F.floor(F.col("pos") / intervals.BIN))
+    near = a.join(r, ["_bin", "contig"]).where((F.col("reference_start") <= F.col("pos") + high) & (F.col("reference_end") > F.col("pos") + low))
+    near = near.select("contig", "pos", "reference_start", "reference_end", R.has(R.REVERSE).alias("_back"), (R.endpoint() - F.col("pos")).alias("_at"))
+    counts = []
+    for n, k in enumerate(offsets):
+        covers = (F.col("reference_start") <= F.col("pos") + k) & (F.col("pos") + k < F.col("reference_end"))
+        ends = covers & (F.col("_at") == k)
+        counts += [F.count_if(ends & ~F.col("_back")).alias(f"f{n}"), F.count_if(ends & F.col("_back")).alias(f"r{n}"), F.count_if(covers).alias(f"d{n}")]
+    return near.groupBy("contig", "pos").agg(*counts)
+
+
 def single_base(positions: DataFrame, reads: DataFrame, min_mapq: int) -> DataFrame:
     """(contig, pos, forward_endpoint_count, reverse_endpoint_count, total_depth) at positions(contig, pos) with depth."""
-    binned = ["_bin"] if "_bin" in reads.columns else []
-    r = _binned(reads.where(R.eligible_rgen(min_mapq)).select("contig", *binned, "flag", "reference_start", "reference_end"), F.col("reference_start"), F.col("reference_end"))
-    p = positions.select("contig", "pos").distinct().withColumn("_bin", F.floor(F.col("pos") / intervals.BIN))
-    near = p.join(r, ["contig", "_bin"]).where("reference_start <= pos AND pos < reference_end")
-    at = R.endpoint() == F.col("pos")
-    return near.groupBy("contig", "pos").agg(
-        F.count_if(at & ~R.has(R.REVERSE)).alias("forward_endpoint_count"), F.count_if(at & R.has(R.REVERSE)).alias("reverse_endpoint_count"), F.count("*").alias("total_depth")
-    )
+    return around(positions, reads, [0], min_mapq).withColumnsRenamed({"f0": "forward_endpoint_count", "r0": "reverse_endpoint_count", "d0": "total_depth"})
 
 
 def flagstat(reads: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
-"""The whole call: checks of the inputs, candidates, variants, control, filters, as one lazy plan."""
+"""The whole call: checks of the inputs, candidates, variants, control, filters, as one lazy plan; of one analysis or of several."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,16 +61,52 @@ def rows(inputs: Inputs, params: Params) -> tuple[DataFrame, DataFrame]:
     return candidates, evidence.control(found, inputs.control, inputs.contigs, params, mask)
 
 
+def several(inputs: Inputs, params: list[Params]) -> list[tuple[DataFrame, DataFrame]]:
+    """``rows`` of several analyses. Where they have the same window and minimum of mapping quality, all that looks at reads is done once for all of them: pile-ups,
+    the cut, the metrics at their sites, the control's cut and depths."""
+    if len(params) < 2 or len({(p.min_mapq, p.artifact_window) for p in params}) > 1:
+        return [rows(inputs, p) for p in params]
+    mask = None if inputs.mask is None else by_rows(written(intervals.merge(inputs.mask), "mask"))
+    single = [p.analysis == "ndigenome" for p in params]
+    least = min(p.ndigenome_min_count if s else double_strand.least_count(p) for p, s in zip(params, single))
+    piles = by_rows(written(sites.pileups(inputs.reads, least, params[0].min_mapq, mask), "piles"))
+    # what is looked at (pile-ups or pairs), the sites of it, the places of its evidence
+    looked = [piles.where(F.col("count") >= p.ndigenome_min_count) if s else double_strand.edges(inputs.reads, p, piles=piles) for p, s in zip(params, single)]
+    union = lambda tables: reduce(DataFrame.unionByName, tables)
+    places = union([single_strand.places(x, p) if s else double_strand.grid_places(x, p.digenome_overhang) for x, p, s in zip(looked, params, single)])
+    near = sites.cut(inputs.reads, places, max(map(double_strand.reach, params)))
+    wanted = union([x.select(*sites.SITE) if s else double_strand.sides(x) for x, s in zip(looked, single)])
+    measured = by_rows(written(sites.metrics(wanted, near, params[0].artifact_window, params[0].min_mapq), "measured"))
+    out = []
+    for x, p, s in zip(looked, params, single):
+        if s:
+            candidates, found = single_strand.calls(near, p, mask, scanned=x, measured=measured)
+        else:
+            candidates, found = double_strand.calls(near, inputs.contigs, p, mask, pairs=x, measured=measured)
+        found = evidence.known_indels(found, inputs.variants, p.artifact_window)
+        out.append((candidates, found))
+    if inputs.control is None:
+        return [(candidates, evidence.control(found, None, inputs.contigs, p, mask)) for (candidates, found), p in zip(out, params)]
+    asked = [evidence.slim(found, p) for (_, found), p in zip(out, params)]
+    control, depths = evidence.control_reads([*zip(asked, params)], inputs.control)
+    return [(candidates, evidence.control(found, control, inputs.contigs, p, mask, asked=(few, depths))) for (candidates, found), few, p in zip(out, asked, params)]
+
+
 def table(found: DataFrame, params: Params) -> DataFrame:
     return filters.call_table(filters.classified(found, params), params)
 
 
 def call(inputs: Inputs, params: Params, checks: bool = True) -> Calls:
     """The calls; with ``checks`` the inputs are checked first, which takes a look at each of them."""
+    return calls(inputs, [params], checks)[0]
+
+
+def calls(inputs: Inputs, params: list[Params], checks: bool = True) -> list[Calls]:
+    """The calls of several analyses of the same inputs, see ``several``."""
     if checks:
-        check(inputs, params)
-    candidates, found = rows(inputs, params)
-    return Calls(table(found, params), candidates)
+        for p in params:
+            check(inputs, p)
+    return [Calls(table(found, p), candidates) for p, (candidates, found) in zip(params, several(inputs, params))]
 
 
 def position(candidates: DataFrame) -> DataFrame:
